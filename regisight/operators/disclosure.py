@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regisight.functions import fixed as X
+from regisight.plans.sizing import small_side
 from regisight.session import cut_lineage
 
 PUBLISHED, OTHER, HIDDEN, ZERO = "published", "other", "hidden", "zero"
@@ -32,7 +33,7 @@ def suppress(cells: DataFrame, group: list[str], code: str = "code", value: str
         F.min(F.when(large, F.struct(F.coalesce(guard, F.lit(False)), v, F.col(code)))).alias("_pick"),
         *([F.max(F.col(force_hidden).cast("boolean")).alias("_force")] if force_hidden else []),
     )
-    joined = cells.join(facts, group, "left") if group else cells.join(F.broadcast(facts))
+    joined = cells.join(facts, group, "left")
     needs_more = (F.col("_small") > 0) & (F.col("_small") < threshold)
     picked = F.coalesce(
         needs_more & large & (F.struct(F.coalesce(guard, F.lit(False)), v, F.col(code)) == F.col("_pick")), F.lit(False)
@@ -231,7 +232,7 @@ def threshold_audit(report_cells: DataFrame, cells: DataFrame, catalogue: DataFr
     shown = report_cells.filter(F.col("value").isNotNull())
     c = cells.select("report_id", F.col("var").alias("base_var"), F.col("value").alias("base_value"),
                      F.col("published").alias("base_published"))
-    j = shown.join(F.broadcast(catalogue), "indicator", "left").join(c, ["report_id", "base_var"], "left")
+    j = shown.join(small_side(catalogue), "indicator", "left").join(c, ["report_id", "base_var"], "left")
     is_count = F.col("kind") == X.COUNT_TYPE
     rules = F.array(
         F.when(F.col("kind").isNull(), F.lit("indicator not in the catalogue")),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from regisight.functions import fixed as X
 from regisight.functions.numbers import pct, ratio
 from regisight.operators import territory as T
+from regisight.plans.sizing import small_side
 
 
 def with_state_value(cells: DataFrame, by: list[str], column: str, name: str) -> DataFrame:
@@ -21,10 +22,10 @@ def basic_indicators(counts: DataFrame, all_counts: DataFrame, population: DataF
     """counts(by, level, territory, parent, n), all_counts(level, territory, n_all),
     population(level, territory, inhabitants) -> shares, location quotient, density, ranks.
 
-    The two territory tables have one row per territory: a code list, safe to broadcast."""
+    The two territory tables have one row per territory; they are broadcast when measured small."""
     cells = (
-        counts.join(F.broadcast(all_counts.select("level", "territory", "n_all")), ["level", "territory"], "left")
-        .join(F.broadcast(population.select("level", "territory", "inhabitants")), ["level", "territory"], "left")
+        counts.join(small_side(all_counts.select("level", "territory", "n_all")), ["level", "territory"], "left")
+        .join(small_side(population.select("level", "territory", "inhabitants")), ["level", "territory"], "left")
     )
     cells = with_state_value(cells, by, "n", "n_state")
     cells = with_state_value(cells, by, "n_all", "n_all_state")

@@ -12,6 +12,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regisight.plans.sizing import small_side
+
 SNAPSHOT = date(2001, 8, 1)      # day of the snapshot the subjects are read at
 CLOSED_BEFORE = date(2001, 1, 1)  # a last order before this day closes the subject
 
@@ -36,7 +38,7 @@ def region_code(region_key: Column) -> Column:
 def territories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """District list with its region: code, name, region, region_name."""
     n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left").select(
+    return n.join(small_side(r), n.n_regionkey == r.r_regionkey, "left").select(
         district_code(F.col("n_nationkey")).alias("district"),
         F.col("n_name").alias("district_name"),
         region_code(F.col("n_regionkey")).alias("region"),
@@ -74,7 +76,7 @@ def subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     places = territories(spark, sf_dir).select("n_nationkey", "district", "region")
     customers = table(spark, sf_dir, "customer").join(
-        F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"), "left"
+        small_side(places), F.col("c_nationkey") == F.col("n_nationkey"), "left"
     )
     closed = F.when(F.col("last_day") < F.lit(CLOSED_BEFORE), F.col("last_day"))
     section = F.substring("c_mktsegment", 1, 1)
