@@ -25,4 +25,4 @@ def registered(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> None:
-    from regisight.catalog import regional, scalars, snapshot  # noqa: F401
+    from regisight.catalog import classification, regional, scalars, snapshot, temporal  # noqa: F401

@@ -49,3 +49,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of executors, unlike a local one."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Writes an intermediate result to the shared folder and reads it back: a short plan with true
+    sizes for later joins, and nothing to recompute when an executor is lost."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
