@@ -234,8 +234,9 @@ def spread(df: DataFrame) -> DataFrame:
 
 def class_count_cells(spark: SparkSession, sf: str) -> DataFrame:
     # counted per attribute first, then doubled for state and region
-    living = subjects(spark, sf).filter(F.col("closed").isNull()).select("section", "region", "forma", "katpo")
-    return E.class_counts(spread(living), ["section", "territory"])
+    living = subjects(spark, sf).filter(F.col("closed").isNull()).groupBy("section", "region", "forma", "katpo").agg(
+        F.count(F.lit(1)).alias("n"))
+    return E.class_counts(spread(living), ["section", "territory"], F.col("n"))
 
 
 def survey_level(spark: SparkSession, sf: str) -> DataFrame:

@@ -16,12 +16,13 @@ def class_order(c: Column) -> Column:
     return F.array_position(F.array(*[F.lit(k) for k in X.SIZE_CLASSES]), c)
 
 
-def class_counts(subjects: DataFrame, by: list[str]) -> DataFrame:
+def class_counts(subjects: DataFrame, by: list[str], weight: Column | None = None) -> DataFrame:
     """Subjects per class in two variants: unknown size to the smallest class, or in proportion to the
-    known structure of natural / legal persons. One row per key and class, all five classes."""
+    known structure of natural / legal persons. One row per key and class, all five classes. Rows may
+    be counts already, with their number as weight."""
     c = F.col
     counted = subjects.groupBy(*by, person_type(c("forma")).alias("person"), size_class(c("katpo")).alias("cls")).agg(
-        F.count(F.lit(1)).alias("n"))
+        F.sum(F.lit(1) if weight is None else weight).alias("n"))
     wide = counted.groupBy(*by, "person").agg(
         F.coalesce(F.sum(F.when(c("cls").isNull(), c("n"))), F.lit(0)).alias("unknown"),
         F.coalesce(F.sum(F.when(c("cls").isNotNull(), c("n"))), F.lit(0)).alias("known"),

@@ -62,16 +62,26 @@ def structure_deviation(bench: DataFrame, key: list[str]) -> DataFrame:
                    F.col("share_state"), refs(ref("T13-T17", place, "uzemi"), ref("T13-T17", place, "cr")))
 
 
+def cents(x: Column) -> Column:
+    """A value with two decimals as a whole number of hundredths."""
+    return F.round(x * 100).cast("bigint")
+
+
+def mean_of_cents(total: Column, n: Column) -> Column:
+    """Mean of n values given by the sum of their hundredths, exactly half-up at two decimals."""
+    return F.floor((2 * total + n) / (2 * n)) / 100.0
+
+
 def rate_trends(rates: DataFrame, by: list[str], rate: str = "rate") -> DataFrame:
     """Facts of the published years of one series: last and first value, mean of the earlier years (two
     decimals), index last / first. A series has one row per year."""
     c = F.col
     years = rates.filter(c(rate).isNotNull()).groupBy(*by).agg(
         F.max("year").alias("last_year"), F.min("year").alias("first_year"), F.count(F.lit(1)).alias("years"),
-        F.max_by(rate, "year").alias("last"), F.min_by(rate, "year").alias("first"), F.sum(rate).alias("_sum"))
+        F.max_by(rate, "year").alias("last"), F.min_by(rate, "year").alias("first"), F.sum(cents(c(rate))).alias("_sum"))
     return years.select(
         *by, "last_year", "first_year", "years", "last", "first",
-        F.when(c("years") > 1, F.round((c("_sum") - c("last")) / (c("years") - 1), 2)).alias("mean_before"),
+        F.when(c("years") > 1, mean_of_cents(c("_sum") - cents(c("last")), c("years") - 1)).alias("mean_before"),
         F.when((c("years") > 1) & (c("first") != 0), F.round(c("last") / c("first"), 2)).alias("index"))
 
 
@@ -90,7 +100,8 @@ def trend_changes(rates: DataFrame, others: DataFrame, key: list[str], rate: str
     both = rates.filter(c(rate).isNotNull()).select(*key, "territory", "year").join(other, [*key, "territory", "year"], "left")
     other_trend = both.join(own.select(*key, "territory", "last_year"), [*key, "territory"]).groupBy(*key, "territory").agg(
         F.max(F.when(c("year") == c("last_year"), c("_o"))).alias("o_last"),
-        F.when(F.count_if(c("_o").isNull()) == 0, F.round(F.avg(F.when(c("year") < c("last_year"), c("_o"))), 2)).alias("o_mean"))
+        F.when((F.count_if(c("_o").isNull()) == 0) & (F.count(F.lit(1)) > 1), mean_of_cents(
+            F.sum(F.when(c("year") < c("last_year"), cents(c("_o")))), F.count_if(c("year") < c("last_year")))).alias("o_mean"))
 
     def at(df: DataFrame, year: str, columns: dict[str, str], on: list[str]) -> DataFrame:
         return df.select(*on, c("year").alias(year), *[c(a).alias(b) for a, b in columns.items()])
