@@ -78,10 +78,8 @@ tr AS (SELECT *, coalesce(r * ro > 0 AND abs(ro) >= 0.03 AND abs(ro) >= 0.5 * ab
 
 def trend_findings(spark: SparkSession, sf: str) -> DataFrame:
     flows = snapshot.flows(spark, sf).filter(F.col("level") != "OKRES")
-    own = Y.closure_rates(flows, ["section"], snapshot.LAST)
-    rest = Y.closure_rates(
-        Y.others(flows, "section", ["stock", "closed", "period", "closed_04", "period_04"]), ["section"], snapshot.LAST)
-    return K.trend_changes(own, rest, ["section"], "rate", "za rok")
+    series = Y.rates_beside_others(flows, "section", snapshot.LAST)
+    return K.trend_changes(series, ["section"], "rate", "other_rate", "za rok")
 
 
 @registered(SQL_RT + """SELECT section, territory, subtype, value, reference, round(abs(r), 4) AS original, round(abs(100 * r), 1) AS difference_pct FROM tr""")

@@ -203,7 +203,8 @@ def derivable_exactly(cells: DataFrame, relations: DataFrame) -> DataFrame:
         ]
         wanted = sorted(pdf.loc[pdf["protect"], "var"].unique())
         found = _determined(rows, wanted)
-        return pd.DataFrame({"report_id": [pdf["report_id"].iloc[0]] * len(found), "var": found})
+        report = pd.Series([pdf["report_id"].iloc[0]] * len(found), dtype=object)
+        return pd.DataFrame({"report_id": report, "var": pd.Series(found, dtype=object)})
 
     schema = f"report_id {links.schema['report_id'].dataType.simpleString()}, var string"
     return work.groupBy("report_id", "block").applyInPandas(solve, schema)

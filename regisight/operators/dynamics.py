@@ -66,6 +66,17 @@ def others(flows: DataFrame, by: str, measures: list[str]) -> DataFrame:
                         *[(F.sum(m).over(w) - F.col(m)).alias(m) for m in measures])
 
 
+def rates_beside_others(flows: DataFrame, by: str, last_year: int) -> DataFrame:
+    """Closure rate of an industry and of all other industries of the territory, in one pass."""
+    w = Window.partitionBy("level", "territory", "year")  # one row per industry code
+    c = F.col
+    rest = lambda m: F.sum(m).over(w) - c(m)
+    f = flows.withColumn("_oc", rest("closed")).withColumn("_os", rest("stock"))
+    full = c("year") < last_year
+    return f.select(by, "level", "territory", "year", F.when(full, ratio(c("closed"), c("stock"), 2, 100)).alias("rate"),
+                    F.when(full, ratio(c("_oc"), c("_os"), 2, 100)).alias("other_rate"))
+
+
 def closure_rates(flows: DataFrame, by: list[str], last_year: int) -> DataFrame:
     """Rates in percent of the stock: whole (complete) years, comparable period, and both without
     mode 04."""

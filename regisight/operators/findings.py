@@ -72,69 +72,61 @@ def mean_of_cents(total: Column, n: Column) -> Column:
     return F.floor((2 * total + n) / (2 * n)) / 100.0
 
 
-def rate_trends(rates: DataFrame, by: list[str], rate: str = "rate") -> DataFrame:
-    """Facts of the published years of one series: last and first value, mean of the earlier years (two
-    decimals), index last / first. A series has one row per year."""
-    c = F.col
-    years = rates.filter(c(rate).isNotNull()).groupBy(*by).agg(
-        F.max("year").alias("last_year"), F.min("year").alias("first_year"), F.count(F.lit(1)).alias("years"),
-        F.max_by(rate, "year").alias("last"), F.min_by(rate, "year").alias("first"), F.sum(cents(c(rate))).alias("_sum"))
-    return years.select(
-        *by, "last_year", "first_year", "years", "last", "first",
-        F.when(c("years") > 1, mean_of_cents(c("_sum") - cents(c("last")), c("years") - 1)).alias("mean_before"),
-        F.when((c("years") > 1) & (c("first") != 0), F.round(c("last") / c("first"), 2)).alias("index"))
-
-
-def trend_changes(rates: DataFrame, others: DataFrame, key: list[str], rate: str, label: str) -> DataFrame:
+def trend_changes(series: DataFrame, key: list[str], rate: str, other: str, label: str) -> DataFrame:
     """Last year against the earlier ones, against the state, and the development against the state,
-    each checked for the effect of the whole territory with the series of all other industries.
+    each with the same change of all other industries for the whole-territory rule.
 
-    rates / others(key, territory, year, rate)."""
+    series(key, territory, year, rate, other): one row per year. The few years of a series become one
+    sorted array, the state's array is attached by key, and everything else is array arithmetic: one
+    aggregation and one window over the territories of a key."""
     c = F.col
     table = "T18_mira_zaniku_po"
-    own = rate_trends(rates, [*key, "territory"], rate)
-    state_rows = rates.filter(c("territory") == "CZ").select(*key, "year", c(rate).alias("_state"))
-    other = others.select(*key, "territory", "year", c(rate).alias("_o"))
-    other_state = other.filter(c("territory") == "CZ").select(*key, "year", c("_o").alias("_os"))
-    # the same years of the other industries as the industry's own published ones
-    both = rates.filter(c(rate).isNotNull()).select(*key, "territory", "year").join(other, [*key, "territory", "year"], "left")
-    other_trend = both.join(own.select(*key, "territory", "last_year"), [*key, "territory"]).groupBy(*key, "territory").agg(
-        F.max(F.when(c("year") == c("last_year"), c("_o"))).alias("o_last"),
-        F.when((F.count_if(c("_o").isNull()) == 0) & (F.count(F.lit(1)) > 1), mean_of_cents(
-            F.sum(F.when(c("year") < c("last_year"), cents(c("_o")))), F.count_if(c("year") < c("last_year")))).alias("o_mean"))
-
-    def at(df: DataFrame, year: str, columns: dict[str, str], on: list[str]) -> DataFrame:
-        return df.select(*on, c("year").alias(year), *[c(a).alias(b) for a, b in columns.items()])
-
-    j = own.join(other_trend, [*key, "territory"], "left")
-    j = j.join(at(state_rows, "last_year", {"_state": "s_last"}, key), [*key, "last_year"], "left")
-    j = j.join(at(state_rows, "first_year", {"_state": "s_first"}, key), [*key, "first_year"], "left")
-    j = j.join(at(other, "first_year", {"_o": "o_first"}, [*key, "territory"]), [*key, "territory", "first_year"], "left")
-    j = j.join(at(other_state, "last_year", {"_os": "os_last"}, key), [*key, "last_year"], "left")
-    j = j.join(at(other_state, "first_year", {"_os": "os_first"}, key), [*key, "first_year"], "left")
-    j = j.withColumn("s_index", F.when((c("years") > 1) & (c("s_first") != 0) & (c("s_last") != 0), F.round(c("s_last") / c("s_first"), 2)))
-    j = j.withColumn("o_index", F.when((c("o_first") != 0) & (c("o_last") != 0), F.round(c("o_last") / c("o_first"), 2)))
-    j = j.withColumn("os_index", F.when((c("os_first") != 0) & (c("os_last") != 0), F.round(c("os_last") / c("os_first"), 2)))
-    j = j.withColumn("o_index", F.when(c("os_index").isNotNull(), c("o_index"))).withColumn(
-        "os_index", F.when(c("o_index").isNotNull(), c("os_index")))
-    outside = c("territory") != "CZ"
-    place = lambda t, y: F.concat_ws(" ", t, y.cast("string"))
+    packed = series.groupBy(*key, "territory").agg(F.array_sort(F.collect_list(
+        F.struct("year", c(rate).alias("r"), c(other).alias("o")))).alias("ys"))
+    by_key = Window.partitionBy(*key)
+    packed = packed.withColumn("state", F.max(F.when(c("territory") == "CZ", c("ys"))).over(by_key))
+    packed = packed.withColumn("own", F.filter("ys", lambda y: y["r"].isNotNull())).filter(F.size("own") > 0)
+    packed = packed.select("*", F.element_at("own", -1).alias("last"), F.element_at("own", 1).alias("first"),
+                           F.slice("own", 1, F.size("own") - 1).alias("before"))
+
+    def state_at(point: str) -> Column:
+        return F.get(F.filter("state", lambda y: y["year"] == c(f"{point}.year")), F.lit(0))
+
+    packed = packed.withColumn("s_last", state_at("last")).withColumn("s_first", state_at("first"))
+    many = F.size("own") > 1
+
+    def mean(field: str) -> Column:
+        complete = ~F.exists("before", lambda y: y[field].isNull())
+        total = F.aggregate("before", F.lit(0).cast("bigint"), lambda acc, y: acc + cents(y[field]))
+        return F.when(many & complete, mean_of_cents(total, F.size("before")))
+
+    def index(last: Column, first: Column) -> Column:
+        return F.when(many & (first != 0) & (last != 0), F.round(last / first, 2))
+
+    o_index = index(c("last.o"), c("first.o"))
+    os_index = index(c("s_last.o"), c("s_first.o"))
+    place = lambda t, point: F.concat_ws(" ", t, c(f"{point}.year").cast("string"))
     here, state = c("territory"), F.lit("CZ")
-    found = None
-    for subtype, keep, value, reference, o_value, o_reference, sources in (
-        ("poslední rok proti předchozím", F.lit(True), "last", "mean_before", "o_last", "o_mean",
-         refs(ref(table, place(here, c("first_year")), rate), ref(table, place(here, c("last_year")), rate))),
-        ("proti ČR", outside, "last", "s_last", "o_last", "os_last",
-         refs(ref(table, place(here, c("last_year")), rate), ref(table, place(state, c("last_year")), rate))),
-        ("vývoj proti ČR", outside, "index", "s_index", "o_index", "os_index",
-         refs(ref(table, place(here, c("first_year")), rate), ref(table, place(here, c("last_year")), rate),
-              ref(table, place(state, c("first_year")), rate), ref(table, place(state, c("last_year")), rate))),
-    ):
-        rows = j.filter(keep).withColumn("o_value", c(o_value)).withColumn("o_reference", c(o_reference))
-        one = compare(rows, [*key, "territory"], "zmena_trendu", F.lit(f"míra zániku PO {label}: {subtype}"),
-                      c(value), c(reference), sources, carried=["o_value", "o_reference"])
-        found = one if found is None else found.unionByName(one)
-    return territory_effect(found)
+    own_first, own_last = ref(table, place(here, "first"), rate), ref(table, place(here, "last"), rate)
+    state_first, state_last = ref(table, place(state, "first"), rate), ref(table, place(state, "last"), rate)
+    outside = here != "CZ"
+
+    def row(kind: str, keep, value, reference, o_value, o_reference, *sources) -> Column:
+        return F.when(keep, F.struct(
+            F.lit(f"míra zániku PO {label}: {kind}").alias("subtype"), value.alias("a"), reference.alias("b"),
+            o_value.alias("o_value"), o_reference.alias("o_reference"), refs(*sources).alias("src")))
+
+    rows = F.array_compact(F.array(
+        row("poslední rok proti předchozím", many, c("last.r"), mean("r"), c("last.o"),
+            F.when(c("last.o").isNotNull(), mean("o")), own_first, own_last),
+        row("proti ČR", outside, c("last.r"), c("s_last.r"), c("last.o"), c("s_last.o"), own_last, state_last),
+        row("vývoj proti ČR", outside, index(c("last.r"), c("first.r")), index(c("s_last.r"), c("s_first.r")),
+            F.when(os_index.isNotNull(), o_index), F.when(o_index.isNotNull(), os_index),
+            own_first, own_last, state_first, state_last),
+    ))
+    compared = packed.select(*key, "territory", F.inline(rows))
+    return territory_effect(compare(compared, [*key, "territory"], "zmena_trendu", c("subtype"), c("a"), c("b"), c("src"),
+                                    carried=["o_value", "o_reference"]))
 
 
 def territory_effect(found: DataFrame) -> DataFrame:
