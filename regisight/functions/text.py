@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -94,30 +94,34 @@ FIXED_ROLES = {
 RANK_WORDS = (("MISTOPREDSEDA", r"\bmistop"), ("PREDSEDA", r"\bpredsed|\bpreds\b|\bpred\b"), ("CLEN", r"\bclen|^$"))
 
 
-def role_code(organ_type: Column, organ_name: Column, function: Column, form: Column) -> Column:
-    """Role of a member from the organ and the free-text function; NULL when it cannot be told."""
-    organ, job = plain_words(organ_name), plain_words(function)
-    rank = F.coalesce(*[F.when(job.rlike(pattern), F.lit(code)) for code, pattern in RANK_WORDS])
+def with_role(df: DataFrame, organ_type: str, organ_name: str, function: str, form: str, name: str = "role_code") -> DataFrame:
+    """Adds the role of a member, read from the organ and the free-text function; NULL when it cannot be
+    told. The normalised texts and the rank are columns of their own steps, so each is computed once."""
+    worded = df.withColumns({"_organ": plain_words(F.col(organ_name)), "_job": plain_words(F.col(function))})
+    ranked_df = worded.withColumn(
+        "_rank", F.coalesce(*[F.when(F.col("_job").rlike(pattern), F.lit(code)) for code, pattern in RANK_WORDS]))
+    organ, job, rank, kind, legal = (F.col(x) for x in ("_organ", "_job", "_rank", organ_type, form))
 
     def ranked(suffix: str, *allowed: str) -> Column:
         named = F.concat(rank, F.lit("_" + suffix))
         return F.when(rank.isin(*allowed), named) if allowed else named
 
-    fixed = F.create_map(*[F.lit(x) for pair in FIXED_ROLES.items() for x in pair])
     either = lambda word: organ.contains(word) | job.contains(word)
+    fixed = F.create_map(*[F.lit(x) for pair in FIXED_ROLES.items() for x in pair])
     # statutory organ: the first branch that matches decides, also when it yields no role
     statutory = (
         F.when(organ.contains("komplementar"), F.lit("KOMPLEMENTAR"))
         .when(organ.contains("spolecnik"), F.lit("SPOLECNIK"))
         .when(either("statutarni reditel"), F.lit("STATUTARNI_REDITEL"))
         .when(organ.contains("spravni rada") | job.contains("spravni rad"), ranked("SPRAVNI_RADY", "PREDSEDA", "CLEN"))
-        .when(job.contains("jednatel") | ((form == "112") & (job == "")), F.lit("JEDNATEL"))
+        .when(job.contains("jednatel") | F.coalesce((legal == "112") & (job == ""), F.lit(False)), F.lit("JEDNATEL"))
         .when(job.contains("druzstv") & rank.isin("PREDSEDA", "MISTOPREDSEDA"), ranked("DRUZSTVA"))
-        .when(either("predstav") | F.coalesce(form.isin("121", "205"), F.lit(False)), ranked("PREDSTAVENSTVA"))
+        .when(either("predstav") | F.coalesce(legal.isin("121", "205"), F.lit(False)), ranked("PREDSTAVENSTVA"))
     )
-    return (
-        F.when(organ_type.isin(*FIXED_ROLES), fixed[organ_type])
-        .when(organ_type == "DOZORCI_RADA", ranked("DOZORCI_RADY"))
-        .when(organ_type == "KONTROLNI_KOMISE", ranked("KONTROLNI_KOMISE"))
-        .when(organ_type == "STATUTARNI_ORGAN", statutory)
+    role = (
+        F.when(kind.isin(*FIXED_ROLES), fixed[kind])
+        .when(kind == "DOZORCI_RADA", ranked("DOZORCI_RADY"))
+        .when(kind == "KONTROLNI_KOMISE", ranked("KONTROLNI_KOMISE"))
+        .when(kind == "STATUTARNI_ORGAN", statutory)
     )
+    return ranked_df.withColumn(name, role).drop("_organ", "_job", "_rank")
