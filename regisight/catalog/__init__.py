@@ -25,4 +25,4 @@ def registered(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> None:
-    from regisight.catalog import classification, economy, notable, protection, regional, scalars, snapshot, temporal  # noqa: F401
+    from regisight.catalog import classification, economy, feeds, notable, protection, regional, scalars, snapshot, temporal  # noqa: F401

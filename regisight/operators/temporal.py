@@ -47,7 +47,7 @@ def _blocks(start: Column, end: Column) -> Column:
 
 
 def as_of(points: DataFrame, intervals: DataFrame, keys: list[str], day: str = "day",
-          attributes: list[str] | None = None) -> DataFrame:
+          attributes: list[str] | None = None, carried: list[str] | None = None) -> DataFrame:
     """Value valid at each point: of the intervals covering it, the one with the latest start; on equal
     starts the smallest pos.
 
@@ -55,8 +55,10 @@ def as_of(points: DataFrame, intervals: DataFrame, keys: list[str], day: str = "
     of pairing every point with every interval of its key, an interval is cut into a few aligned day
     blocks, each block keeps only its best interval, and a point looks up the blocks it lies in. The
     work is linear in both inputs and keyed by (key, block), so a hot key spreads over many tasks.
-    Result: one row per distinct point with column value, or one column per attribute."""
+    Result: one row per distinct point with its carried columns and column value, or one column per
+    attribute."""
     names = attributes or ["value"]
+    point = [*keys, day, *(carried or [])]
     one = intervals if attributes else intervals.withColumn("attribute", F.lit("value"))
     closed_start = _day_number(F.col("start"))
     closed_end = F.coalesce(_day_number(F.col("end")), F.lit(_END))
@@ -71,11 +73,11 @@ def as_of(points: DataFrame, intervals: DataFrame, keys: list[str], day: str = "
     lookups = F.array(*[
         F.struct(F.lit(level).alias("level"), F.shiftright(number, 2 * level).alias("block")) for level in range(LEVELS + 1)
     ])
-    asked = points.select(*keys, day).distinct().select(*keys, day, F.inline(lookups))
-    found = asked.join(per_block, [*keys, "level", "block"], "left").groupBy(*keys, day).agg(
+    asked = points.select(*point).distinct().select(*point, F.inline(lookups))
+    found = asked.join(per_block, [*keys, "level", "block"], "left").groupBy(*point).agg(
         *[F.max(a).alias(a) for a in names]
     )
-    return found.select(*keys, day, *[F.col(a)["value"].alias(a) for a in names])
+    return found.select(*point, *[F.col(a)["value"].alias(a) for a in names])
 
 
 def version_slices(intervals: DataFrame, keys: list[str], attributes: list[str], lead_attribute: str,
@@ -92,7 +94,7 @@ def version_slices(intervals: DataFrame, keys: list[str], attributes: list[str],
     cuts = days.distinct().join(first, keys).filter(F.col("day") >= F.col("_first")).drop("_first")
     w = Window.partitionBy(*keys).orderBy("day")
     spans = cuts.withColumn("end", F.lead("day").over(w))
-    valued = spans.join(as_of(cuts, intervals, keys, "day", attributes), [*keys, "day"]).filter(
+    valued = as_of(spans, intervals, keys, "day", attributes, ["end"]).filter(
         F.col(lead_attribute).isNotNull()
     ).withColumnRenamed("day", "start")
     content = list(attributes)

@@ -12,6 +12,7 @@ from regisight.functions.numbers import money_amount, money_currency, percent, s
 from regisight.functions.text import plain_words, with_role
 from regisight.operators.rules import ID
 from regisight.operators.temporal import clip_overlaps, version_slices
+from regisight.session import materialise
 
 ADDRESS = ("kodAdresnihoMista bigint, nazevUlice string, cisloDomovni int, typCisloDomovni int, cisloOrientacni int, "
            "cisloOrientacniPismeno string, nazevObce string, nazevCastiObce string, psc string, pscTxt string, kodStatu string, "
@@ -72,6 +73,12 @@ def parse(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ok, parsed.filter(~good).select("base_json", F.lit("subject without a valid id").alias("reason"))
 
 
+def store(parsed: DataFrame) -> DataFrame:
+    """Typed copy of the parsed records in the shared folder. JSON is parsed once; each later step reads
+    only its nested columns from Parquet."""
+    return materialise(parsed, "registry")
+
+
 def _dated(subjects: DataFrame, field: str, attribute: str, value) -> DataFrame:
     """Intervals of one history list: (ico, attribute, start, end, value, pos), empty ones dropped."""
     x = subjects.select("ico", F.posexplode(F.col(f"hist.{field}")).alias("pos", "e"))
@@ -112,7 +119,9 @@ def versions(subjects: DataFrame) -> tuple[DataFrame, DataFrame]:
         c("base.dic").alias("tax_id"), F.array_sort(F.array_distinct("base.czNace")).alias("nace"), _day(c("base.datumAktualizace")).alias("updated"),
         F.coalesce(c("base.seznamRegistraci.stavZdrojeIr") == "AKTIVNI", F.lit(False)).alias("insolvent"))
     names = ["name", "form", "mark", "capital", "liquidation"]
-    sliced = version_slices(recorded.unionByName(fallback), ["ico"], names, "name", base.select("ico", "closed"))
+    # read three times below: cut days, first names, lookups
+    intervals = materialise(recorded.unionByName(fallback), "intervals")
+    sliced = version_slices(intervals, ["ico"], names, "name", base.select("ico", "closed"))
     j = sliced.join(base, "ico")
     is_open = c("end").isNull()
     unknown_start = c("no_history") & c("founded").isNull() & (c("start") == F.lit(BEGINNING).cast("date"))
@@ -275,7 +284,8 @@ def merge_registrations(rows: DataFrame) -> DataFrame:
 
 def map_subjects(raw: DataFrame) -> dict[str, DataFrame]:
     """All outputs of a batch of raw records: versions, seats, relations, notes, rejected."""
-    subjects, rejected = parse(raw)
+    parsed, rejected = parse(raw)
+    subjects = store(parsed)
     v, warnings = versions(subjects)
     a, notes = seats(subjects)
     order = F.struct(F.coalesce("start", F.lit(BEGINNING).cast("date")))
