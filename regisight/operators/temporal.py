@@ -51,33 +51,59 @@ def as_of(points: DataFrame, intervals: DataFrame, keys: list[str], day: str = "
     """Value valid at each point: of the intervals covering it, the one with the latest start; on equal
     starts the smallest pos.
 
-    points(keys, day); intervals(keys, start, end, value, pos[, attribute]); end NULL = open. Instead
-    of pairing every point with every interval of its key, an interval is cut into a few aligned day
-    blocks, each block keeps only its best interval, and a point looks up the blocks it lies in. The
-    work is linear in both inputs and keyed by (key, block), so a hot key spreads over many tasks.
+    points(keys, day[, carried]); intervals(keys, start, end, value, pos[, attribute]); end NULL = open.
     Result: one row per distinct point with its carried columns and column value, or one column per
-    attribute."""
+    attribute.
+
+    Starts and points of a key form one timeline of days. Along it, the last start either still holds
+    (the answer), or no earlier interval reaches the point (no value), or a longer one started before it;
+    only the points of the last kind go on to the block lookup. No point is ever paired with all
+    intervals of its key."""
     names = attributes or ["value"]
     point = [*keys, day, *(carried or [])]
     one = intervals if attributes else intervals.withColumn("attribute", F.lit("value"))
-    closed_start = _day_number(F.col("start"))
-    closed_end = F.coalesce(_day_number(F.col("end")), F.lit(_END))
-    cover = one.filter(F.col("start").isNotNull() & (F.col("end").isNull() | (F.col("end") > F.col("start")))).select(
+    proper = one.filter(F.col("start").isNotNull() & (F.col("end").isNull() | (F.col("end") > F.col("start"))))
+    forever = F.lit("9999-12-31").cast("date")
+    of = lambda a, x: F.max(F.when(F.col("attribute") == a, x))
+    starts = proper.groupBy(*keys, F.col("start").alias("_t")).agg(
+        *[of(a, F.struct((-F.col("pos")).alias("rank"), "value", "end")).alias(f"_b{i}") for i, a in enumerate(names)],
+        *[of(a, F.coalesce("end", forever)).alias(f"_e{i}") for i, a in enumerate(names)])
+    asked = points.select(*point).distinct().withColumn("_t", F.col(day)).withColumn("_p", F.lit(1))
+    line = asked.unionByName(starts.withColumn("_p", F.lit(0)), allowMissingColumns=True)
+    w = Window.partitionBy(*keys).orderBy("_t", "_p").rowsBetween(Window.unboundedPreceding, 0)
+    seen = line.select(
+        *point, "_p", *[F.last(f"_b{i}", ignorenulls=True).over(w).alias(f"_b{i}") for i in range(len(names))],
+        *[F.max(f"_e{i}").over(w).alias(f"_e{i}") for i in range(len(names))]).filter(F.col("_p") == 1)
+    holds = [F.col(f"_b{i}").isNotNull() & (F.col(f"_b{i}.end").isNull() | (F.col(f"_b{i}.end") > F.col(day))) for i in range(len(names))]
+    base = seen.select(
+        *point, *[F.when(h, F.col(f"_b{i}.value")).alias(a) for i, (a, h) in enumerate(zip(names, holds))],
+        *[F.coalesce(~h & (F.col(f"_e{i}") > F.col(day)), F.lit(False)).alias(f"_open{i}") for i, h in enumerate(holds)])
+    any_open = F.lit(False)
+    for i in range(len(names)):
+        any_open = any_open | F.col(f"_open{i}")
+    hard = base.filter(any_open).select(*keys, day)
+    deep = _by_blocks(hard, proper.join(hard.select(*keys).distinct(), keys, "left_semi"), keys, day, names)
+    deep = deep.select(*keys, day, *[F.col(a).alias(f"_d{i}") for i, a in enumerate(names)])
+    return base.join(deep, [*keys, day], "left").select(
+        *point, *[F.when(F.col(f"_open{i}"), F.col(f"_d{i}")).otherwise(F.col(a)).alias(a) for i, a in enumerate(names)])
+
+
+def _by_blocks(points: DataFrame, intervals: DataFrame, keys: list[str], day: str, names: list[str]) -> DataFrame:
+    """The same lookup for any nesting of intervals: an interval is cut into a few aligned day blocks, a
+    block keeps only its best interval, and a point reads the blocks it lies in. Linear in both inputs
+    and keyed by (key, block), so a hot key spreads over many tasks."""
+    end = F.coalesce(_day_number(F.col("end")), F.lit(_END))
+    cover = intervals.select(
         *keys, "attribute", F.struct("start", (-F.col("pos")).alias("rank"), "value").alias("best"),
-        F.inline(_blocks(closed_start, closed_end)),
-    )
+        F.inline(_blocks(_day_number(F.col("start")), end)))
     per_block = cover.groupBy(*keys, "level", "block").agg(
-        *[F.max(F.when(F.col("attribute") == a, F.col("best"))).alias(a) for a in names]
-    )
+        *[F.max(F.when(F.col("attribute") == a, F.col("best"))).alias(a) for a in names])
     number = _day_number(F.col(day))
     lookups = F.array(*[
-        F.struct(F.lit(level).alias("level"), F.shiftright(number, 2 * level).alias("block")) for level in range(LEVELS + 1)
-    ])
-    asked = points.select(*point).distinct().select(*point, F.inline(lookups))
-    found = asked.join(per_block, [*keys, "level", "block"], "left").groupBy(*point).agg(
-        *[F.max(a).alias(a) for a in names]
-    )
-    return found.select(*point, *[F.col(a)["value"].alias(a) for a in names])
+        F.struct(F.lit(level).alias("level"), F.shiftright(number, 2 * level).alias("block")) for level in range(LEVELS + 1)])
+    asked = points.select(*keys, day).distinct().select(*keys, day, F.inline(lookups))
+    found = asked.join(per_block, [*keys, "level", "block"]).groupBy(*keys, day).agg(*[F.max(a).alias(a) for a in names])
+    return found.select(*keys, day, *[F.col(a)["value"].alias(a) for a in names])
 
 
 def version_slices(intervals: DataFrame, keys: list[str], attributes: list[str], lead_attribute: str,
