@@ -37,8 +37,11 @@ def _long(df: DataFrame, tbl: str, row: Column, columns: dict[str, str], base: C
 
 def build(subjects: DataFrame, territories: DataFrame, population: DataFrame, industry: str, day: Column, first_year: int, last_year: int,
           threshold: int = X.MIN_CELL) -> Report:
-    """subjects(ico, district, region, <industry>, forma, katpo, founded, closed, zpzan). One report per
-    industry; its territories share the variables of the state, the regions and the districts."""
+    """subjects(ico, district, region, <industry>, forma, katpo, founded, closed, zpzan).
+
+    One overview report per industry (report_id = industry: state, regions, districts) and one detailed
+    report per industry x territory (report_id = industry@level:territory). Each report is protected and
+    audited by itself; differences between reports are not judged."""
     c = F.col
     living = subjects.filter(c("closed").isNull())
     by = [industry]
@@ -76,9 +79,13 @@ def build(subjects: DataFrame, territories: DataFrame, population: DataFrame, in
         "rank_count": "PORADI_POCET", "rank_density": "PORADI_HUSTOTA"}, var)
 
     # T05-T09: structure under the cascade
+    own_report = F.concat(c(industry), F.lit("@"), c("level"), F.lit(":"), c("territory"))
     details = materialise(D.cascade(
         cells.select(industry, "level", "territory", "parent", "n"), S.structure_cells(living, by, day), by, threshold
-    ).withColumnRenamed(industry, "report_id"), "structure")
+    ).withColumn("report_id", own_report), "structure")
+    own_total = safe.select(
+        F.concat("report_id", F.lit("@"), "level", F.lit(":"), "territory").alias("report_id"), var.alias("var"), c("n").alias("value"),
+        shown.alias("published"), F.lit(True).alias("protect"))
     place = F.concat_ws(":", "level", "territory")
     cell_var = F.concat_ws("/", place, "dim", "item")
     detail_vars = details.select("report_id", cell_var.alias("var"), c("n").alias("value"),
@@ -96,37 +103,65 @@ def build(subjects: DataFrame, territories: DataFrame, population: DataFrame, in
 
     # T18, T29, T30: closures and their rates
     flows = materialise(Y.stock_and_flow(Y.life_counts(subjects, by, day, first_year), by, first_year, last_year), "flows")
-    rated = Y.mode_visibility(Y.rate_visibility(flows, by, "now", last_year, threshold), last_year, threshold)
+    rated = materialise(Y.mode_visibility(Y.rate_visibility(flows, by, "now", last_year, threshold), last_year, threshold), "rated")
     rates = Y.closure_rates(flows, by, last_year)
     public = rated.select(industry, "level", "territory", "year", "show_stock", "show_closed", "show_period", "show_mode").join(
         rates, [*by, "level", "territory", "year"])
     keep = lambda value, *gates: F.when(_all(gates), c(value))
     t18_rows = public.select(
-        c(industry).alias("report_id"), "level", "territory", "year", keep("stock", "show_stock").alias("stock"), keep("closed", "show_closed").alias("closed"),
-        keep("rate", "show_stock", "show_closed").alias("rate"), keep("rate_period", "show_stock", "show_period").alias("rate_period"),
+        own_report.alias("report_id"), industry, "level", "territory", "year", keep("stock", "show_stock").alias("stock"),
+        keep("closed", "show_closed").alias("closed"), keep("rate", "show_stock", "show_closed").alias("rate"),
+        keep("rate_period", "show_stock", "show_period").alias("rate_period"),
         keep("rate_without_04", "show_stock", "show_mode").alias("rate_without_04"))
-    year_row = F.concat_ws(" ", "territory", c("year").cast("string"))
-    t18 = _long(t18_rows, "T18_mira_zaniku_po", year_row, {
+    flow_vars, flow_sums = rate_relations(rated.withColumn("report_id", own_report), last_year, threshold)
+    t18 = _long(t18_rows, "T18_mira_zaniku_po", F.concat_ws(" ", "territory", c("year").cast("string")), {
         "stock": "ZANIK_PO_STAV", "closed": "ZANIK_PO_RES", "rate": "MIRA_ZANIKU_PO", "rate_period": "MIRA_ZANIKU_PO_OBD",
         "rate_without_04": "MIRA_ZANIKU_PO_BEZ04"}, F.lit(None).cast("string"))
 
     # findings read published values only
     pairs = safe.filter(visible & (c("level") != T.STATE)).join(
         safe.filter(visible & (c("level") == T.STATE)).select("report_id", c("lq").alias("lq_state"), c("density").alias("density_state")), "report_id")
-    series = Y.rates_beside_others(flows, industry, last_year).withColumnRenamed(industry, "report_id").join(
-        t18_rows.filter(c("rate").isNotNull()).select("report_id", "level", "territory", "year"), ["report_id", "level", "territory", "year"])
+    shown_rates = t18_rows.filter(c("rate").isNotNull()).select(industry, "level", "territory", "year")
+    series = Y.rates_beside_others(flows, industry, last_year).join(shown_rates, [industry, "level", "territory", "year"]).withColumnRenamed(
+        industry, "report_id")
     findings = K.assemble([
         K.deviation_from_state(pairs, ["report_id", "territory"]),
         K.trend_changes(series.drop("level"), ["report_id"], "rate", "other_rate", "za rok"),
     ], ["report_id", "territory"])
 
-    scope = I.scope_check(counts.withColumn("section", c(industry)).withColumnRenamed(industry, "industry"))
+    scope = I.scope_check(cells.select(c(industry).alias("section"), c(industry).alias("industry"), "level", "territory", "parent", "n"))
     return Report(
-        place_vars.unionByName(other_vars).unionByName(detail_vars).unionByName(part_vars),
-        place_sums.unionByName(other_sums).unionByName(detail_sums).unionByName(part_sums),
+        place_vars.unionByName(other_vars).unionByName(own_total).unionByName(detail_vars).unionByName(part_vars).unionByName(flow_vars),
+        place_sums.unionByName(other_sums).unionByName(detail_sums).unionByName(part_sums).unionByName(flow_sums),
         t03.unionByName(t05).unionByName(t18), findings, scope.filter("refused"))
 
 
+def rate_relations(rated: DataFrame, last_year: int, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """Variables and relations behind the rates of one report: closures = period + rest of the year, and
+    stock(y + 1) = stock(y) - closures + births, the last stock being today's legal persons."""
+    c = F.col
+    place = F.concat_ws(":", "level", "territory")
+    y = c("year").cast("string")
+    name = lambda kind, year=y: F.concat_ws("/", place, F.lit(kind), year)
+    rest = c("closed") - c("period")
+    full = c("year") < last_year
+
+    def variable(kind: str, value: Column, published: Column, protect: Column) -> Column:
+        return F.struct(name(kind).alias("var"), value.cast("bigint").alias("value"), published.alias("published"), protect.alias("protect"))
+
+    yes, no = F.lit(True), F.lit(False)
+    cells = rated.select("report_id", F.inline(F.array_compact(F.array(
+        variable("stock", c("stock"), c("show_stock"), yes), variable("closed", c("closed"), c("show_closed"), yes),
+        variable("born", c("born"), no, c("born") < threshold),
+        F.when(full, variable("period", c("period"), c("show_period"), yes)), F.when(full, variable("rest", rest, no, rest < threshold))))))
+    following = F.when(full, name("stock", (c("year") + 1).cast("string"))).otherwise(F.concat_ws("/", place, F.lit("fopo"), F.lit("PO")))
+    term = lambda rel, var, coef: F.struct(F.concat_ws("/", place, F.lit(rel), y).alias("rel_id"), var.alias("var"), F.lit(coef).alias("coef"))
+    relations = rated.select("report_id", F.inline(F.array_compact(F.array(
+        term("move", following, 1), term("move", name("stock"), -1), term("move", name("closed"), 1), term("move", name("born"), -1),
+        F.when(full, term("year", name("closed"), 1)), F.when(full, term("year", name("period"), -1)), F.when(full, term("year", name("rest"), -1))))))
+    return cells, relations
+
+
 def _all(gates: tuple[str, ...]) -> Column:
     out = F.lit(True)
     for g in gates:
