@@ -75,19 +75,19 @@ LEFT JOIN w s ON s.geo = 'CZ' AND s.nace = ix.nace AND s.year = ix.year)
 """
 
 
-@registered(SQL_ACCOUNTS + "SELECT * FROM acc")
+@registered(SQL_ACCOUNTS + "SELECT * FROM acc", ints=("year",))
 def regional_accounts(spark: SparkSession, sf: str) -> DataFrame:
     return S.accounts_table(accounts(spark, sf))
 
 
-@registered(SQL_ACCOUNTS + "SELECT geo, nace, year, growth, volume_index FROM acc")
+@registered(SQL_ACCOUNTS + "SELECT geo, nace, year, growth, volume_index FROM acc", ints=("year",))
 def chained_index(spark: SparkSession, sf: str) -> DataFrame:
     return S.accounts_table(accounts(spark, sf)).select("geo", "nace", "year", "growth", "volume_index")
 
 
 @registered(SQL_ACCOUNTS + """SELECT w.geo, w.nace, w.year, round(w.coe, 0) AS compensation, round(w.cp, 0) AS gva, round(100 * w.coe / w.cp, 1) AS share,
 round(100 * t.coe / t.cp, 1) AS share_all FROM w LEFT JOIN w t ON t.geo = w.geo AND t.year = w.year AND t.nace = 'TOTAL'
-WHERE w.nace <> 'TOTAL' AND length(w.geo) = 2""")
+WHERE w.nace <> 'TOTAL' AND length(w.geo) = 2""", ints=("year",))
 def compensation_share(spark: SparkSession, sf: str) -> DataFrame:
     return S.compensation_table(accounts(spark, sf), 2)
 
@@ -125,12 +125,12 @@ CASE WHEN a.territory <> 'CZ' THEN round(100.0 * a.e / s.e, 2) END AS employees_
 round(a.w, 0) AS wage, CASE WHEN a.territory <> 'CZ' THEN round(100.0 * a.w / s.w, 1) END AS wage_index_state,
 round(100.0 * a.w / t.w, 1) AS wage_index_territory, a.preliminary
 FROM w a JOIN mx ON true LEFT JOIN w s ON s.territory = 'CZ' AND s.nace = a.nace AND s.year = a.year
-LEFT JOIN w t ON t.nace = '0' AND t.territory = a.territory AND t.year = a.year WHERE a.nace <> '0' AND a.year > y - 5""")
+LEFT JOIN w t ON t.nace = '0' AND t.territory = a.territory AND t.year = a.year WHERE a.nace <> '0' AND a.year > y - 5""", ints=("year",))
 def wage_indices(spark: SparkSession, sf: str) -> DataFrame:
     return S.wage_table(wages(spark, sf))
 
 
-@registered(SQL_WAGES + """SELECT territory, nace, year, round(e, 1) AS employees, round(w, 0) AS wage, preliminary FROM w WHERE nace = '0' AND year > 1999""")
+@registered(SQL_WAGES + """SELECT territory, nace, year, round(e, 1) AS employees, round(w, 0) AS wage, preliminary FROM w WHERE nace = '0' AND year > 1999""", ints=("year",))
 def newer_wages(spark: SparkSession, sf: str) -> DataFrame:
     w = wages(spark, sf)
     return S.newer_levels(w.filter(F.col("year") <= 1999), w.filter(F.col("nace") == "0"))
@@ -142,7 +142,7 @@ UNION ALL SELECT substr(c_mktsegment, 1, 1), year(o_orderdate), 'active' FROM or
 w AS (SELECT industry, year, count(*) FILTER (WHERE k = 'active') AS active, count(*) FILTER (WHERE k = 'born') AS born,
  count(*) FILTER (WHERE k = 'died') AS died FROM j GROUP BY 1, 2),
 c AS (SELECT *, row_number() OVER (PARTITION BY industry ORDER BY year DESC) AS rn FROM w WHERE active > 0 AND born > 0 AND died > 0)
-SELECT industry, year, active, born, died, round(100.0 * born / active, 2) AS birth_rate, round(100.0 * died / active, 2) AS death_rate FROM c WHERE rn <= 5""")
+SELECT industry, year, active, born, died, round(100.0 * born / active, 2) AS birth_rate, round(100.0 * died / active, 2) AS death_rate FROM c WHERE rn <= 5""", ints=("year",))
 def business_demography(spark: SparkSession, sf: str) -> DataFrame:
     s = subjects(spark, sf)
     events = s.select(F.col("section").alias("industry"), F.inline(F.array(
@@ -337,3 +337,11 @@ SELECT section, cls, round(ent, 0) AS enterprises, round(emp, 0) AS persons, rou
 hi AS per_enterprise_hi, round(100 * gos / tur, 1) AS margin FROM sv LEFT JOIN p USING (section, cls)""")
 def survey_facts(spark: SparkSession, sf: str) -> DataFrame:
     return E.survey_facts(survey(spark, sf, True), F.lit(RATE))
+
+
+@registered(SQL_ACCOUNTS + f""", b AS (SELECT year(founded) AS year, section AS nace FROM ({"WITH " + SQL_SUBJECTS + "SELECT * FROM subj"}) WHERE founded IS NOT NULL)
+SELECT nace, max(year) AS year FROM (SELECT DISTINCT nace, year FROM w WHERE nace <> 'TOTAL') JOIN (SELECT DISTINCT nace, year FROM b) USING (nace, year) GROUP BY 1""", ints=("year",))
+def latest_common_year(spark: SparkSession, sf: str) -> DataFrame:
+    """Latest year with accounts and with foundings, per section."""
+    founded = subjects(spark, sf).filter(F.col("founded").isNotNull()).select(F.col("section").alias("nace"), F.year("founded").alias("year"))
+    return S.latest_common_year(accounts(spark, sf).filter("nace <> 'TOTAL'"), founded, ["nace"])

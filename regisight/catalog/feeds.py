@@ -81,7 +81,7 @@ def published_long(spark: SparkSession, sf: str) -> DataFrame:
 
 @registered("""SELECT 'R' || n_regionkey || 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS geo, substr(c_mktsegment, 1, 1) AS nace, year(o_orderdate) AS year,
 CAST(sum(CAST(l_quantity AS DECIMAL(18,0))) AS DOUBLE) AS value, CASE WHEN year(o_orderdate) = 2001 THEN 'p' ELSE '' END AS status
-FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY ALL""")
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY ALL""", ints=("year",))
 def json_stat(spark: SparkSession, sf: str) -> DataFrame:
     """One JSON-stat document per region (districts x years x sections of the code lists), decoded again."""
     s = sales(spark, sf).select("region", "district", "section", "year", F.col("emp").cast("double").alias("v"))

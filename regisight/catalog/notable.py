@@ -208,7 +208,7 @@ JOIN ind s ON s.section = i.section AND s.level = 'CR' WHERE i.level <> 'CR'), r
 u AS ({_sql_found("odchylka_od_cr", "'LQ'", "lq", "lq_state", "pr")} UNION ALL {_sql_found("odchylka_od_cr", "'hustota'", "density", "density_state", "pr")}
   UNION ALL {_sql_found("divergence_poradi", "'kraj mezi kraji'", "p1", "p2", "rr", "abs(p1 - p2) / (n - 1)")})
 SELECT section, territory, kind, subtype, strength,
-  rank() OVER (PARTITION BY section ORDER BY strength DESC, CASE kind WHEN 'odchylka_od_cr' THEN 1 ELSE 5 END, subtype) AS place FROM u""")
+  rank() OVER (PARTITION BY section ORDER BY strength DESC, CASE kind WHEN 'odchylka_od_cr' THEN 1 ELSE 5 END, subtype) AS place FROM u""", ints=("place",))
 def findings_ranked(spark: SparkSession, sf: str) -> DataFrame:
     """All findings of a section in order of strength, kind and subtype; equals share a place."""
     from pyspark.sql import Window

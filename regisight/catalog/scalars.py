@@ -65,7 +65,7 @@ def dates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @registered("""SELECT p_partkey, substr(p_brand, 7) || CAST(p_size AS VARCHAR) AS code, p_size > 25 AS partial,
-CASE WHEN p_size <= 10 THEN 1 ELSE length(substr(p_brand, 7) || CAST(p_size AS VARCHAR)) END AS level FROM part""")
+CASE WHEN p_size <= 10 THEN 1 ELSE length(substr(p_brand, 7) || CAST(p_size AS VARCHAR)) END AS level FROM part""", ints=("level",))
 def code_normalise(spark: SparkSession, sf: str) -> DataFrame:
     raw = F.concat(F.substring("p_brand", 7, 9), F.lit(". "), F.col("p_size").cast("string"),
                    F.when(F.col("p_size") > 25, " (částečně)").otherwise(""))

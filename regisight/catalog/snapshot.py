@@ -106,7 +106,7 @@ def quality_exceeded(spark: SparkSession, sf: str) -> DataFrame:
 @registered(f"""WITH {SQL_SUBJECTS}, {SQL_TERRITORY}
 SELECT s.ico, s.closed IS NOT NULL AS is_closed, s.name, s.district, t.district_name, s.region, t.region_name,
        year(s.founded) AS founded_year, CASE WHEN s.forma IN ('101', '105', '424') THEN 'FO' ELSE 'PO' END AS person
-FROM subj s LEFT JOIN terr t ON t.district = s.district""")
+FROM subj s LEFT JOIN terr t ON t.district = s.district""", ints=("founded_year",))
 def labelled_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     places = territories(spark, sf).select(F.col("district").alias("_d"), "district_name", "region_name")
     return Q.label(subjects(spark, sf), [(places, "district", "_d")]).select(
@@ -187,7 +187,7 @@ def intersection_summary(spark: SparkSession, sf: str) -> DataFrame:
 c AS (SELECT 'celkem' AS breakdown, 0 AS o, CAST(NULL AS VARCHAR) AS code, count(*) AS n FROM p UNION ALL """
     + " UNION ALL ".join(f"SELECT '{d}', {o}, {e} AS code, count(*) FROM p GROUP BY {e}" for d, o, e in _DIMS)
     + """) SELECT row_number() OVER (ORDER BY o, CASE WHEN breakdown = 'rok_vzniku' THEN code END, n DESC, code) AS position,
-breakdown, code, n, n < 10 AS below_threshold FROM c""")
+breakdown, code, n, n < 10 AS below_threshold FROM c""", ints=("position",))
 def pilot_intersection(spark: SparkSession, sf: str) -> DataFrame:
     """Preset view of one section in one region, in reading order."""
     from pyspark.sql import Window
@@ -238,7 +238,7 @@ def age_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 @registered(f"""WITH {SQL_SUBJECTS}, {SQL_TERRITORY}
 SELECT section, year(closed) AS year, level, territory, count(*) AS n FROM subj JOIN bridge USING (district)
-WHERE year(closed) >= 1998 AND forma NOT IN ('101', '105', '424') GROUP BY ALL""")
+WHERE year(closed) >= 1998 AND forma NOT IN ('101', '105', '424') GROUP BY ALL""", ints=("year",))
 def closures_by_year(spark: SparkSession, sf: str) -> DataFrame:
     return S.closures_by_year(subjects(spark, sf), ["section"], FIRST)
 

@@ -363,3 +363,57 @@ count(*) FILTER (WHERE NOT region_agrees) AS region_differs,
 count(*) FILTER (WHERE in_snapshot AND region_agrees IS NULL) AS region_unknown FROM r""")
 def reconciliation_summary(spark: SparkSession, sf: str) -> DataFrame:
     return R.reconcile_summary(reconciled(spark, sf))
+
+
+# --- current state of the core ---------------------------------------------------------------------
+
+SQL_CORE = f"""WITH {SQL_SUBJECTS},
+cur AS (SELECT ico, name, forma, closed, district FROM subj WHERE founded <= DATE '2000-06-30' AND (closed IS NULL OR DATE '2000-06-30' < closed)),
+seat AS (SELECT lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS ico, o_orderpriority AS town FROM (SELECT *, lead(d) OVER (PARTITION BY o_custkey ORDER BY d) AS nxt FROM (
+   SELECT o_custkey, CAST(o_orderdate AS DATE) AS d, max_by(o_orderpriority, o_orderkey) AS o_orderpriority FROM orders GROUP BY 1, 2))
+   WHERE d <= DATE '2000-06-30' AND (nxt IS NULL OR DATE '2000-06-30' < nxt))
+"""
+
+
+def core_now(spark: SparkSession, sf: str) -> DataFrame:
+    """Subjects in force on one day, with form and seat; a seat holds from an order day to the next one."""
+    s = subjects(spark, sf)
+    null = lambda t: F.lit(None).cast(t)
+    meta = [F.lit(date(2002, 1, 1)).alias("recorded_from"), null("date").alias("recorded_to"), F.lit(1).alias("batch_id")]
+    versions = s.select("ico", "name", F.col("forma").alias("form_code"), F.col("founded").alias("start"), F.col("closed").alias("end"), *meta)
+    days = orders(spark, sf).select(subject_id(F.col("o_custkey")).alias("ico"), F.col("day").alias("start"), null("date").alias("end"),
+                                    F.col("o_orderpriority").alias("town"), F.col("o_orderkey").alias("pos"))
+    clipped = W.clip_overlaps(days, ["ico"], ["town"])
+    seats = clipped.select("ico", F.lit("SIDLO").alias("kind"), F.col("town").alias("address_id"), "start", "end", *meta)
+    addresses = clipped.select(F.col("town").alias("address_id"), "town", F.lit("0").alias("zip"), F.col("town").alias("original")).distinct()
+    forms = s.select(F.col("forma").alias("code"), F.concat(F.lit("form "), "forma").alias("name")).distinct()
+    return R.current_subjects(versions, seats, addresses, forms, F.lit(date(2000, 6, 30)))
+
+
+@registered(SQL_CORE + "SELECT ico, name, forma AS form_code, 'form ' || forma AS form_name, town FROM cur LEFT JOIN seat USING (ico)")
+def current_subjects(spark: SparkSession, sf: str) -> DataFrame:
+    return core_now(spark, sf).select("ico", "name", "form_code", "form_name", "town")
+
+
+@registered(SQL_CORE + """, rel AS (SELECT s.ico, CASE WHEN s.section = 'A' THEN 'OSOBA' WHEN s.section = 'B' THEN 'SUBJEKT' ELSE 'POJMENOVANY' END AS member_kind,
+  s.division, m.ico AS member_ico, s.section, s.region FROM subj s LEFT JOIN subj m ON m.ico = lpad(CAST(CAST(s.ico AS BIGINT) + 1 AS VARCHAR), 8, '0') WHERE s.founded <= DATE '2000-06-30')
+SELECT rel.ico, o.name AS subject_name, member_kind, CASE member_kind WHEN 'OSOBA' THEN 'Ing. ' || rel.division || ' ' || rel.region
+  WHEN 'SUBJEKT' THEN m.name ELSE 'Foreign ' || rel.division END AS member_display
+FROM rel LEFT JOIN cur o ON o.ico = rel.ico LEFT JOIN cur m ON m.ico = rel.member_ico""")
+def current_relations(spark: SparkSession, sf: str) -> DataFrame:
+    """Each subject has one member: a person, its neighbour by number, or a named foreign entity."""
+    s = subjects(spark, sf)
+    c = F.col
+    null = lambda t: F.lit(None).cast(t)
+    meta = [F.lit(date(2002, 1, 1)).alias("recorded_from"), null("date").alias("recorded_to"), F.lit(1).alias("batch_id")]
+    relations = s.select(
+        "ico", F.when(c("section") == "A", F.xxhash64("ico")).alias("member_person"),
+        F.when(c("section") == "B", subject_id(c("ico").cast("bigint") + 1)).alias("member_ico"),
+        F.when(~c("section").isin("A", "B"), F.concat(F.lit("Foreign "), "division")).alias("member_name"),
+        F.lit("R1").alias("role_code"), c("founded").alias("start"), null("date").alias("end"), *meta)
+    persons = s.filter(c("section") == "A").select(
+        F.xxhash64("ico").alias("person_id"), F.lit("Ing.").alias("title_before"), c("division").alias("first"), c("region").alias("last"),
+        null("string").alias("title_after"))
+    roles = s.select(F.lit("R1").alias("code"), F.lit("member").alias("name")).distinct()
+    return R.current_relations(relations, roles, core_now(spark, sf), persons, F.lit(date(2000, 6, 30))).select(
+        "ico", "subject_name", "member_kind", "member_display")

@@ -130,6 +130,14 @@ def validate_requests(requests: DataFrame, codes: DataFrame) -> tuple[DataFrame,
     return good.select("request_id", "code", "level", "section"), bad.select("request_id", "code", "reason")
 
 
+def complement_counts(subjects: DataFrame) -> DataFrame:
+    """Living, automatically linked subjects known only to a section, division or group, and those whose
+    industry is undetermined (pseudo-code 00), per code and territory."""
+    only = F.col("level_2025").between(1, 3) & ~F.col("pseudo")
+    kept = subjects.filter(F.col("auto_link") & (only | (F.col("code_2025") == X.UNDETERMINED)))
+    return T.count_by_territory(kept, ["code_2025"]).drop("parent")
+
+
 # --- coverage and change ---------------------------------------------------------------------------
 
 def coverage(snapshot: DataFrame, interface: DataFrame) -> DataFrame:
