@@ -106,31 +106,33 @@ def coded_parts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def code_items(spark: SparkSession, sf: str, version: str) -> DataFrame:
+def seen_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct code combinations of the parts, stored: the lists below read this small table, not the parts."""
+    return materialise(coded_parts(spark, sf).select("s08", "d08", "g08", "s25", "d25", "g25", "brand").distinct(), "codes")
+
+
+def code_items(seen: DataFrame, version: str) -> DataFrame:
     """(code, level, parent) of one version."""
-    p = coded_parts(spark, sf)
     s, d, g = (F.col(f"{k}{version}") for k in "sdg")
     rows = F.array(
         F.struct(s.alias("code"), F.lit(1).alias("level"), F.lit(None).cast("string").alias("parent")),
         F.struct(d.alias("code"), F.lit(2).alias("level"), s.alias("parent")),
         F.struct(g.alias("code"), F.lit(3).alias("level"), d.alias("parent")),
     )
-    return p.select(s, d, g).distinct().select(F.inline(rows)).distinct()
+    return seen.select(F.inline(rows)).distinct()
 
 
-def code_list(spark: SparkSession, sf: str, version: str) -> DataFrame:
-    return C.hierarchy(code_items(spark, sf, version).withColumn("pseudo", F.lit(False)))
+def code_list(seen: DataFrame, version: str) -> DataFrame:
+    return C.hierarchy(code_items(seen, version).withColumn("pseudo", F.lit(False)))
 
 
-def crosswalk_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    p = coded_parts(spark, sf).filter(F.col("brand") <= 19)
-
+def crosswalk_pairs(seen: DataFrame) -> DataFrame:
     def pair(level: int, old: str, new: str, keep: Column) -> Column:
         return F.when(keep, F.struct(F.lit(level).alias("level"), F.col(old).alias("code_2008"), F.col(new).alias("code_2025")))
 
     yes = F.lit(True)
     rows = F.array_compact(F.array(pair(1, "s08", "s25", yes), pair(2, "d08", "d25", yes), pair(3, "g08", "g25", F.col("brand") > 3)))
-    return p.select(F.inline(rows)).distinct()
+    return seen.filter(F.col("brand") <= 19).select(F.inline(rows)).distinct()
 
 
 def official_history(spark: SparkSession, sf: str) -> DataFrame:
@@ -161,9 +163,10 @@ class Lists:
 
 
 def lists(spark: SparkSession, sf: str) -> Lists:
+    seen = seen_codes(spark, sf)
     return Lists(
-        materialise(code_list(spark, sf, "08"), "codes-2008"), materialise(code_list(spark, sf, "25"), "codes-2025"),
-        materialise(C.link_types(crosswalk_pairs(spark, sf)), "crosswalk"),
+        materialise(code_list(seen, "08"), "codes-2008"), materialise(code_list(seen, "25"), "codes-2025"),
+        materialise(C.link_types(crosswalk_pairs(seen)), "crosswalk"),
     )
 
 
@@ -194,20 +197,21 @@ W = f"WITH {SQL_PARTS} "
 UNION ALL SELECT 'X', 1, NULL, 'X', NULL, NULL, NULL, true UNION ALL SELECT '04', 2, 'X', 'X', '04', NULL, NULL, true
 UNION ALL SELECT 'Y', 1, NULL, 'Y', NULL, NULL, NULL, true UNION ALL SELECT '00', 2, 'Y', 'Y', '00', NULL, NULL, true""")
 def hierarchy_closure(spark: SparkSession, sf: str) -> DataFrame:
-    return C.hierarchy(C.with_pseudo_codes(code_items(spark, sf, "25")))
+    return C.hierarchy(C.with_pseudo_codes(code_items(seen_codes(spark, sf), "25")))
 
 
 @registered(W + "SELECT level, code_2008, code_2025, link FROM links")
 def link_types(spark: SparkSession, sf: str) -> DataFrame:
-    return C.link_types(crosswalk_pairs(spark, sf))
+    return C.link_types(crosswalk_pairs(seen_codes(spark, sf)))
 
 
 @registered(W + """SELECT DISTINCT 2008 AS version, code_2008 AS code, level FROM pairs WHERE code_2008 NOT IN (SELECT code FROM c08 WHERE section <> 'M')
 UNION SELECT DISTINCT 2025, code_2025, level FROM pairs WHERE code_2025 NOT IN (SELECT code FROM c25 WHERE section <> 'D')""")
 def crosswalk_integrity(spark: SparkSession, sf: str) -> DataFrame:
     """Lists with a missing section: the codes of that section must be reported."""
-    return C.unknown_codes(crosswalk_pairs(spark, sf), code_list(spark, sf, "08").filter("section <> 'M'"),
-                           code_list(spark, sf, "25").filter("section <> 'D'"))
+    seen = seen_codes(spark, sf)
+    return C.unknown_codes(crosswalk_pairs(seen), code_list(seen, "08").filter("section <> 'M'"),
+                           code_list(seen, "25").filter("section <> 'D'"))
 
 
 @registered(W + "SELECT code_2008, level_2008, level, code_2025, count, base, round(count / base, 4) AS share FROM mx")
@@ -343,6 +347,7 @@ WHERE code IS NOT NULL AND NOT (version = 2025 AND code IN (SELECT code FROM c25
 AND NOT (version = 2008 AND code IN (SELECT code FROM c08)) GROUP BY 1, 2""")
 def codes_outside_list(spark: SparkSession, sf: str) -> DataFrame:
     """A list without division 61: its codes in use must be reported."""
-    new = code_list(spark, sf, "25").filter("division IS NULL OR division <> '61'").withColumn("version", F.lit(2025))
-    both = new.unionByName(code_list(spark, sf, "08").withColumn("version", F.lit(2008)))
+    k = lists(spark, sf)
+    new = k.new.filter("division IS NULL OR division <> '61'").withColumn("version", F.lit(2025))
+    both = new.unionByName(k.old.withColumn("version", F.lit(2008)))
     return N.codes_outside_list(official_history(spark, sf), both).select("version", "code", "n")
