@@ -13,6 +13,7 @@ from regisight.operators import estimates as E
 from regisight.operators import series as S
 from regisight.operators import territory as T
 from regisight.plans.proxy import SQL_SUBJECTS, district_code, region_code, subject_id, subjects, table
+from regisight.session import materialise
 
 # --- published series -------------------------------------------------------------------------------
 
@@ -47,7 +48,8 @@ def accounts(spark: SparkSession, sf: str) -> DataFrame:
         *[F.sum(m).alias(m) for m in measures])
     names = {"HPH_CP": "gva", "HPH_PYP": "pyp", "ZAM_EMP": "emp", "ZAM_SELF": "self", "NAHRADY": "coe"}
     rows = F.array(*[F.struct(F.lit(k).alias("indicator"), F.col(v).cast("double").alias("value")) for k, v in names.items()])
-    return both.select(F.col("territory").alias("geo"), "nace", "year", F.inline(rows)).filter(F.col("value").isNotNull())
+    long = both.select(F.col("territory").alias("geo"), "nace", "year", F.inline(rows)).filter(F.col("value").isNotNull())
+    return materialise(long, "accounts")  # a published series is a stored table, read by every ratio
 
 
 SQL_ACCOUNTS = """
@@ -100,8 +102,8 @@ def wages(spark: SparkSession, sf: str) -> DataFrame:
     cells = T.roll_up(base, ["section", "year"], ["n", "v"])
     both = cells.filter(F.col("level") != T.DISTRICT).withColumn("nace", F.explode(F.array("section", F.lit("0")))).groupBy(
         "territory", "nace", "year").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
-    return both.select("territory", "nace", "year", (F.col("n") / 1000.0).alias("employees"),
-                       (F.col("v").cast("double") / F.col("n")).alias("wage"), (F.col("year") >= 2001).alias("preliminary"))
+    return materialise(both.select("territory", "nace", "year", (F.col("n") / 1000.0).alias("employees"),
+                       (F.col("v").cast("double") / F.col("n")).alias("wage"), (F.col("year") >= 2001).alias("preliminary")), "wages")
 
 
 def subjects_place(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from regisight.catalog import registered
 from regisight.catalog import economy, regional, snapshot
-from regisight.functions import fixed as X
 from regisight.operators import dynamics as Y
 from regisight.operators import findings as K
 from regisight.operators import series as S
+from regisight.session import materialise
 
 SHOWN = ["section", "territory", "kind", "subtype", "value", "reference", "strength", "difference_pct", "direction"]
 
@@ -25,9 +25,12 @@ def _sql_found(kind: str, subtype: str, a: str, b: str, source: str, strength: s
             f"FROM {source} WHERE {a} IS NOT NULL AND {b} IS NOT NULL AND {b} <> 0 AND {s} >= 0.03")
 
 
-def indicator_pairs(spark: SparkSession, sf: str) -> DataFrame:
+def stored_indicators(spark: SparkSession, sf: str) -> DataFrame:
+    return materialise(regional.indicator_cells(spark, sf), "indicators")
+
+
+def indicator_pairs(cells: DataFrame) -> DataFrame:
     """Indicators of regions and districts beside those of the state."""
-    cells = regional.indicator_cells(spark, sf)
     state = cells.filter(F.col("level") == "CR").select(
         "section", F.col("lq").alias("lq_state"), F.col("density").alias("density_state"))
     return cells.filter(F.col("level") != "CR").join(state, "section")
@@ -40,7 +43,7 @@ JOIN ind s ON s.section = i.section AND s.level = 'CR' WHERE i.level <> 'CR')"""
 @registered(SQL_PAIRS + _sql_found("odchylka_od_cr", "'LQ'", "lq", "lq_state", "pr") + " UNION ALL "
             + _sql_found("odchylka_od_cr", "'hustota'", "density", "density_state", "pr"))
 def findings_deviation(spark: SparkSession, sf: str) -> DataFrame:
-    return K.deviation_from_state(indicator_pairs(spark, sf), ["section", "territory"]).select(*SHOWN)
+    return K.deviation_from_state(indicator_pairs(stored_indicators(spark, sf)), ["section", "territory"]).select(*SHOWN)
 
 
 @registered(snapshot.SQL_BENCH.replace("SELECT *, round(share - share_state, 1) AS difference FROM sh", "") + ", big AS (SELECT * FROM sh WHERE item <> '(other)' AND (share >= 5 OR share_state >= 5)) "
@@ -96,7 +99,7 @@ def findings_territory_effect(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def district_density(spark: SparkSession, sf: str) -> DataFrame:
-    cells = regional.indicator_cells(spark, sf).select("section", "level", "territory", "parent", "density")
+    cells = stored_indicators(spark, sf).select("section", "level", "territory", "parent", "density")
     region = cells.filter(F.col("level") == "KRAJ").select(
         "section", F.col("territory").alias("region"), F.col("density").alias("density_region"))
     state = cells.filter(F.col("level") == "CR").select("section", F.col("density").alias("density_state"))
@@ -115,7 +118,7 @@ ends AS (SELECT section, territory, max(density) AS hi, min(density) AS lo FROM
             + _sql_found("rozdily_uvnitr_uzemi", "'hustota okresu proti ČR'", "density", "ds", "dd") + " UNION ALL "
             + _sql_found("rozdily_uvnitr_uzemi", "'rozpětí hustoty mezi okresy'", "hi", "lo", "ends"))
 def findings_inside(spark: SparkSession, sf: str) -> DataFrame:
-    return K.inside_differences(district_density(spark, sf), ["section"]).select(*SHOWN)
+    return K.inside_differences(materialise(district_density(spark, sf), "density"), ["section"]).select(*SHOWN)
 
 
 def activity_pairs(spark: SparkSession, sf: str) -> DataFrame:
@@ -134,8 +137,8 @@ def findings_activity(spark: SparkSession, sf: str) -> DataFrame:
     return K.activity_deviation(activity_pairs(spark, sf), ["section", "territory"]).select(*SHOWN)
 
 
-def divergence(spark: SparkSession, sf: str) -> DataFrame:
-    cells = regional.indicator_cells(spark, sf).filter(F.col("level") != "CR")
+def divergence(indicators: DataFrame) -> DataFrame:
+    cells = indicators.filter(F.col("level") != "CR")
     peers = cells.groupBy("section", "level", "parent").agg(F.count(F.lit(1)).alias("peers"))
     r = cells.join(peers, ["section", "level", "parent"]).withColumn("place", F.col("territory"))
     regions = K.rank_divergence(r.filter(F.col("level") == "KRAJ"), ["section", "territory"], "kraj mezi kraji", True, "T03_kraje")
@@ -153,7 +156,7 @@ dr AS (SELECT section, parent AS territory, p1, p2, n FROM rk WHERE level = 'OKR
 @registered(SQL_RANK + _sql_found("divergence_poradi", "'kraj mezi kraji'", "p1", "p2", "rr", "abs(p1 - p2) / (n - 1)") + " UNION ALL "
             + _sql_found("divergence_poradi", "'okres mezi okresy kraje'", "p1", "p2", "dr", "abs(p1 - p2) / (n - 1)"))
 def findings_rank(spark: SparkSession, sf: str) -> DataFrame:
-    return divergence(spark, sf).select(*SHOWN)
+    return divergence(stored_indicators(spark, sf)).select(*SHOWN)
 
 
 WAGE_MEASURES = [("wage", "průměrná mzda v oboru proti ČR"), ("wage_index_territory", "mzda v oboru proti všem odvětvím území, kraj proti ČR"),
@@ -161,7 +164,7 @@ WAGE_MEASURES = [("wage", "průměrná mzda v oboru proti ČR"), ("wage_index_te
 
 
 def wage_findings(spark: SparkSession, sf: str) -> DataFrame:
-    w = S.wage_table(economy.wages(spark, sf)).withColumnRenamed("nace", "section")
+    w = materialise(S.wage_table(economy.wages(spark, sf)), "wage-table").withColumnRenamed("nace", "section")
     last = w.groupBy("section").agg(F.max("year").alias("year"))
     now = w.join(last, ["section", "year"])
     state = now.filter(F.col("territory") == "CZ").select("section", *[F.col(m).alias(f"{m}_state") for m, _ in WAGE_MEASURES])
@@ -185,7 +188,7 @@ ACCOUNT_MEASURES = [("productivity", "produktivita (HPH na zaměstnaného) proti
 
 
 def account_findings(spark: SparkSession, sf: str) -> DataFrame:
-    a = S.accounts_table(economy.accounts(spark, sf)).withColumnRenamed("nace", "section").withColumnRenamed("geo", "territory")
+    a = materialise(S.accounts_table(economy.accounts(spark, sf)), "account-table").withColumnRenamed("nace", "section").withColumnRenamed("geo", "territory")
     last = a.groupBy("section").agg(F.max("year").alias("year"))
     now = a.join(last, ["section", "year"]).filter(F.length("territory") == 2)
     state = now.filter(F.col("territory") == "CZ").select("section", *[F.col(m).alias(f"{m}_state") for m, _ in ACCOUNT_MEASURES])
@@ -213,8 +216,9 @@ def findings_ranked(spark: SparkSession, sf: str) -> DataFrame:
     """All findings of a section in order of strength, kind and subtype; equals share a place."""
     from pyspark.sql import Window
 
-    parts = [K.deviation_from_state(indicator_pairs(spark, sf), ["section", "territory"]),
-             divergence(spark, sf).filter(F.col("subtype") == "kraj mezi kraji")]
+    cells = stored_indicators(spark, sf)
+    parts = [K.deviation_from_state(indicator_pairs(cells), ["section", "territory"]),
+             divergence(cells).filter(F.col("subtype") == "kraj mezi kraji")]
     full = K.assemble(parts, ["section", "territory"])
     kind = F.array_position(F.array(*[F.lit(k) for k in K.KINDS]), F.col("kind"))
     order = Window.partitionBy("section").orderBy(F.desc("strength"), kind, "subtype")

@@ -67,8 +67,9 @@ UNION ALL SELECT section || '/' || parent, 'other', '''other'' below the thresho
 
 @registered(SQL_AUDIT)
 def threshold_audit(spark: SparkSession, sf: str) -> DataFrame:
-    districts = regional.section_cells(spark, sf).filter(F.col("level") == "OKRES")
+    districts = materialise(regional.section_cells(spark, sf), "cube").filter(F.col("level") == "OKRES")
     safe = D.suppress(districts, ["section", "parent"], "territory", "n").withColumn("report_id", F.concat_ws("/", "section", "parent"))
+    safe = materialise(safe, "safe")
     c = F.col
     public = c("status") == D.PUBLISHED
     row = lambda col, indicator, value: F.struct(
@@ -97,8 +98,8 @@ g AS (SELECT section, parent, CASE WHEN status = 'published' THEN territory ELSE
 SELECT section, parent, territory, n, members, round(100.0 * n / sum(n) OVER (PARTITION BY section, parent), 1) AS share FROM g
 QUALIFY count(*) FILTER (WHERE territory <> '(other)') OVER (PARTITION BY section, parent) > 0""")
 def published_breakdown(spark: SparkSession, sf: str) -> DataFrame:
-    districts = regional.section_cells(spark, sf).filter(F.col("level") == "OKRES")
-    safe = D.suppress(districts, ["section", "parent"], "territory", "n")
+    districts = materialise(regional.section_cells(spark, sf), "cube").filter(F.col("level") == "OKRES")
+    safe = materialise(D.suppress(districts, ["section", "parent"], "territory", "n"), "safe")
     return D.published_breakdown(safe, ["section", "parent"], "territory", "n")
 
 

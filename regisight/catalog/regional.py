@@ -9,7 +9,8 @@ from regisight.catalog import registered
 from regisight.operators import disclosure as D
 from regisight.operators import indicators as I
 from regisight.operators import territory as T
-from regisight.plans.proxy import SQL_SUBJECTS, SQL_TERRITORY, population, subjects, table, territories
+from regisight.plans.proxy import SQL_SUBJECTS, SQL_TERRITORY, population, subjects, territories
+from regisight.session import materialise
 
 BY = ["section"]
 
@@ -30,7 +31,8 @@ def population_cells(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def indicator_cells(spark: SparkSession, sf: str) -> DataFrame:
-    cells = section_cells(spark, sf)
+    # the cube is stored once; totals and indicators read it, not the subjects
+    cells = materialise(section_cells(spark, sf), "cube")
     everything = cells.groupBy("level", "territory").agg(F.sum("n").alias("n_all"))
     return I.basic_indicators(cells, everything, population_cells(spark, sf), BY)
 
@@ -103,7 +105,7 @@ SELECT section, parent, territory, n,
   (total >= 10 AND n >= 10 AND small > 0 AND small < 10 AND rn = 1) AS secondary
 FROM ord""")
 def suppress_cells(spark: SparkSession, sf: str) -> DataFrame:
-    districts = section_cells(spark, sf).filter(F.col("level") == "OKRES")
+    districts = materialise(section_cells(spark, sf), "cube").filter(F.col("level") == "OKRES")
     return D.suppress(districts, ["section", "parent"], "territory", "n").select(
         "section", "parent", "territory", "n", "status", "secondary"
     )
@@ -111,7 +113,7 @@ def suppress_cells(spark: SparkSession, sf: str) -> DataFrame:
 
 def published_table(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: indicators of every section in every district, small cells protected."""
-    cells = indicator_cells(spark, sf).filter(F.col("level") == "OKRES")
+    cells = materialise(indicator_cells(spark, sf), "indicators").filter(F.col("level") == "OKRES")
     safe = D.suppress(cells, ["section", "parent"], "territory", "n")
     shown = F.col("status") == D.PUBLISHED
     keep = ["n", "share_of_state", "share_of_territory", "lq", "density", "rank_count", "rank_density"]

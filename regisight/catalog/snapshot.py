@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regisight.catalog import registered
-from regisight.catalog.regional import SQL_CELLS, living, section_cells
+from regisight.catalog.regional import living
 from regisight.functions import fixed as X
 from regisight.functions.codes import person_type
 from regisight.operators import dynamics as Y
@@ -14,7 +14,8 @@ from regisight.operators import indicators as I
 from regisight.operators import quality as Q
 from regisight.operators import structure as S
 from regisight.operators import territory as T
-from regisight.plans.proxy import SNAPSHOT, SQL_SUBJECTS, SQL_TERRITORY, subjects, table, territories
+from regisight.plans.proxy import SNAPSHOT, SQL_SUBJECTS, SQL_TERRITORY, subject_id, subjects, table, territories
+from regisight.session import materialise
 
 
 
@@ -125,8 +126,6 @@ def published_counts(spark: SparkSession, sf: str) -> DataFrame:
     customers with a positive balance as registered and those above 5000 as active."""
     c = subjects(spark, sf).select("ico", "region", "section")
     bal = table(spark, sf, "customer")
-    from regisight.plans.proxy import subject_id
-
     rows = bal.select(subject_id(F.col("c_custkey")).alias("ico"), "c_acctbal").join(c, "ico")
     code = F.when(F.col("section") == "B", "05390001").otherwise(F.col("section"))
     cube = rows.withColumn("nace", code).filter(F.col("region") != "R4").cube("region", "nace").agg(
@@ -219,7 +218,8 @@ st AS (SELECT section, level, territory, dim, item, count(*) AS n FROM items JOI
 
 
 def structure(spark: SparkSession, sf: str) -> DataFrame:
-    return S.structure_cells(living(spark, sf), ["section"], day())
+    # read several times by shares, benchmarks and cascades
+    return materialise(S.structure_cells(living(spark, sf), ["section"], day()), "structure")
 
 
 @registered(SQL_STRUCTURE + """SELECT section, level, territory, dim, item, n,
@@ -488,5 +488,5 @@ FROM r""")
 def cascade_visibility(spark: SparkSession, sf: str) -> DataFrame:
     from regisight.operators.disclosure import cascade
 
-    cells = T.count_by_territory(living(spark, sf), ["section"])
+    cells = materialise(T.count_by_territory(living(spark, sf), ["section"]), "cube")
     return cascade(cells, structure(spark, sf), ["section"])

@@ -410,10 +410,10 @@ def current_relations(spark: SparkSession, sf: str) -> DataFrame:
         "ico", F.when(c("section") == "A", F.xxhash64("ico")).alias("member_person"),
         F.when(c("section") == "B", subject_id(c("ico").cast("bigint") + 1)).alias("member_ico"),
         F.when(~c("section").isin("A", "B"), F.concat(F.lit("Foreign "), "division")).alias("member_name"),
-        F.lit("R1").alias("role_code"), c("founded").alias("start"), null("date").alias("end"), *meta)
+        c("section").alias("role_code"), c("founded").alias("start"), null("date").alias("end"), *meta)
     persons = s.filter(c("section") == "A").select(
         F.xxhash64("ico").alias("person_id"), F.lit("Ing.").alias("title_before"), c("division").alias("first"), c("region").alias("last"),
         null("string").alias("title_after"))
-    roles = s.select(F.lit("R1").alias("code"), F.lit("member").alias("name")).distinct()
+    roles = s.select(c("section").alias("code"), F.lit("member").alias("name")).distinct()
     return R.current_relations(relations, roles, core_now(spark, sf), persons, F.lit(date(2000, 6, 30))).select(
         "ico", "subject_name", "member_kind", "member_display")

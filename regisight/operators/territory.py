@@ -43,13 +43,14 @@ def places(territories: DataFrame) -> DataFrame:
 
 
 def fill_zero(counts: DataFrame, place_list: DataFrame, by: list[str], measure: str = "n") -> DataFrame:
-    """Adds the missing (by, territory) cells with 0. The territories are a code list (state,
-    regions, districts) and are attached to each key as one array."""
+    """Adds the missing (by, territory) cells with 0. The cells of a key become one small map (a code list
+    of territories long) that is read for every listed territory; no join and no second pass."""
     listed = place_list.agg(F.collect_list(F.struct("level", "territory", "parent")).alias("p")).select("p").scalar()
-    keys = counts.select(*by).distinct()
-    grid = keys.select(*by, F.inline(listed))
-    joined = grid.join(counts.drop("parent"), [*by, "level", "territory"], "left")
-    return joined.withColumn(measure, F.coalesce(F.col(measure), F.lit(0)).cast("bigint"))
+    per_key = counts.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct(
+        F.concat_ws(":", "level", "territory").alias("k"), F.col(measure).alias("v")))).alias("_cells"))
+    found = F.col("_cells")[F.concat_ws(":", "level", "territory")]
+    return per_key.select(*by, "_cells", F.inline(listed)).select(
+        *by, "level", "territory", "parent", F.coalesce(found, F.lit(0)).cast("bigint").alias(measure))
 
 
 def resolve_requests(requests: DataFrame, territories: DataFrame) -> tuple[DataFrame, DataFrame]:
