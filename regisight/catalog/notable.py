@@ -206,6 +206,39 @@ def findings_economy(spark: SparkSession, sf: str) -> DataFrame:
     return account_findings(spark, sf).select(*SHOWN)
 
 
+GROWTH_MEASURES = [("wage", "vývoj: průměrná mzda proti ČR"), ("employees", "vývoj: počet zaměstnanců proti ČR")]
+SQL_GROWTH = economy.SQL_WAGES + """, t AS (SELECT territory, nace AS section, year, round(e, 1) AS employees, round(w, 0) AS wage FROM w JOIN mx ON year > y - 5 WHERE nace <> '0'),
+g AS (SELECT section, territory, min(year) AS y0, max(year) AS y1, arg_min(employees, year) AS e0, arg_max(employees, year) AS e1,
+  arg_min(wage, year) AS w0, arg_max(wage, year) AS w1 FROM t GROUP BY 1, 2),
+p AS (SELECT g.section, g.territory, CASE WHEN g.w0 <> 0 AND g.w1 <> 0 AND s.w0 <> 0 AND s.w1 <> 0 THEN round(g.w1 / g.w0, 2) END AS a1,
+  CASE WHEN g.w0 <> 0 AND g.w1 <> 0 AND s.w0 <> 0 AND s.w1 <> 0 THEN round(s.w1 / s.w0, 2) END AS b1,
+  CASE WHEN g.e0 <> 0 AND g.e1 <> 0 AND s.e0 <> 0 AND s.e1 <> 0 THEN round(g.e1 / g.e0, 2) END AS a2,
+  CASE WHEN g.e0 <> 0 AND g.e1 <> 0 AND s.e0 <> 0 AND s.e1 <> 0 THEN round(s.e1 / s.e0, 2) END AS b2
+  FROM g JOIN g s ON s.section = g.section AND s.territory = 'CZ' AND s.y0 = g.y0 AND s.y1 = g.y1 WHERE g.territory <> 'CZ' AND g.y0 < g.y1)"""
+
+
+@registered(SQL_GROWTH + " UNION ALL ".join(_sql_found("mzdy_zamestnanost", f"'{label}'", f"a{i}", f"b{i}", "p")
+                                           for i, (_, label) in enumerate(GROWTH_MEASURES, 1)))
+def findings_development(spark: SparkSession, sf: str) -> DataFrame:
+    w = materialise(S.wage_table(economy.wages(spark, sf)), "wage-table").withColumnRenamed("nace", "section")
+    return K.development(w, ["section"], "mzdy_zamestnanost", GROWTH_MEASURES, "T20_mzdy_obor").select(*SHOWN)
+
+
+COMPENSATION = [("share", "podíl náhrad zaměstnancům na HPH (region soudržnosti) proti ČR")]
+
+
+@registered(economy.SQL_ACCOUNTS + """, t AS (SELECT geo AS territory, nace AS section, round(100 * coe / cp, 1) AS share FROM w
+  JOIN (SELECT nace AS n2, max(year) AS y2 FROM w GROUP BY 1) ON nace = n2 AND year = y2 WHERE nace <> 'TOTAL' AND length(geo) = 2),
+p AS (SELECT t.*, s.share AS b FROM t JOIN t s ON s.section = t.section AND s.territory = 'CZ' WHERE t.territory <> 'CZ') """
+            + _sql_found("ekonomika", f"'{COMPENSATION[0][1]}'", "share", "b", "p"))
+def findings_compensation(spark: SparkSession, sf: str) -> DataFrame:
+    t = materialise(S.compensation_table(economy.accounts(spark, sf), 2), "compensation").withColumnsRenamed({"nace": "section", "geo": "territory"})
+    now = t.join(t.groupBy("section").agg(F.max("year").alias("year")), ["section", "year"])
+    state = now.filter(F.col("territory") == "CZ").select("section", F.col("share").alias("share_state"))
+    rows = now.filter(F.col("territory") != "CZ").join(state, "section")
+    return K.published_deviation(rows, ["section", "territory"], "ekonomika", COMPENSATION, "T23_nahrady").select(*SHOWN)
+
+
 @registered(SQL_RANK.replace(", rk AS", """, pr AS (SELECT i.*, s.lq AS lq_state, s.density AS density_state FROM ind i
 JOIN ind s ON s.section = i.section AND s.level = 'CR' WHERE i.level <> 'CR'), rk AS""") + f""",
 u AS ({_sql_found("odchylka_od_cr", "'LQ'", "lq", "lq_state", "pr")} UNION ALL {_sql_found("odchylka_od_cr", "'hustota'", "density", "density_state", "pr")}

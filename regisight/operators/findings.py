@@ -195,6 +195,28 @@ def published_deviation(rows: DataFrame, key: list[str], kind: str, measures: li
     return out
 
 
+def development(rows: DataFrame, key: list[str], kind: str, measures: list[tuple[str, str]], table: str) -> DataFrame:
+    """Development against the state: index of the last to the first year of a territory beside the
+    state's index of the same years. rows(key, territory, year, <m>); a series has one row per year."""
+    c = F.col
+    ends = rows.groupBy(*key, "territory").agg(
+        F.min("year").alias("y0"), F.max("year").alias("y1"),
+        *[F.min_by(m, "year").alias(f"{m}_0") for m, _ in measures], *[F.max_by(m, "year").alias(f"{m}_1") for m, _ in measures])
+    state = ends.filter(c("territory") == "CZ").select(
+        *key, "y0", "y1", *[c(f"{m}_{i}").alias(f"{m}_s{i}") for m, _ in measures for i in (0, 1)])
+    j = ends.filter((c("territory") != "CZ") & (c("y0") < c("y1"))).join(state, [*key, "y0", "y1"])
+    place = lambda t, y: F.concat_ws(" ", t, c(y).cast("string"))
+    out = None
+    for m, label in measures:
+        whole = (c(f"{m}_0") != 0) & (c(f"{m}_1") != 0) & (c(f"{m}_s0") != 0) & (c(f"{m}_s1") != 0)
+        own = F.when(whole, F.round(c(f"{m}_1") / c(f"{m}_0"), 2))
+        reference = F.when(whole, F.round(c(f"{m}_s1") / c(f"{m}_s0"), 2))
+        sources = refs(*[ref(table, place(t, y), m) for t in (c("territory"), F.lit("CZ")) for y in ("y0", "y1")])
+        one = compare(j, [*key, "territory"], kind, F.lit(label), own, reference, sources)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def assemble(parts: list[DataFrame], report: list[str]) -> DataFrame:
     """All findings of a report in order of strength, kind and subtype, with content-based ids."""
     common = [*report, "kind", "subtype", "value", "reference", "strength", "difference_pct", "direction", "sources"]
