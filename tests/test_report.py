@@ -146,7 +146,7 @@ def test_ids_depend_on_content_only(spark):
 # --- texts ------------------------------------------------------------------------------------------
 
 def test_banned_vocabulary(spark):
-    texts = ["Firmy a firemní data", "aktivní podniky rostou", "neaktivní subjekt", "AKTIVNI_PODIL_KRAJ, firemni_databaze", "subjekty", "Aktivní  subjekty", "aktivních podnikatelů"]
+    texts = ["Firmy a firemní data", "aktivní podniky rostou", "neaktivní subjekt", "AKTIVNI_PODIL_KRAJ, firemni_kod", "subjekty", "Aktivní  subjekty", "aktivních podnikatelů"]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
     got = {r.id: r.words for r in V.banned_vocabulary(df, "id", "text").collect()}
     assert got == {0: ["Firmy", "firemní"], 2: ["neaktivní"], 5: ["Aktivní"]}
