@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from regisight.catalog import registered
 from regisight.catalog.economy import sales
-from regisight.functions import fixed as X
 from regisight.plans.proxy import SQL_SUBJECTS, subjects, table
 from regisight.session import work_path
 from regisight.sources import jsonstat as J

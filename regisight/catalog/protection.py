@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regisight.catalog import registered, regional, snapshot
-from regisight.functions import fixed as X
 from regisight.operators import disclosure as D
 from regisight.operators import dynamics as Y
 from regisight.session import materialise

@@ -64,10 +64,6 @@ def age_band(founded: Column, day: Column) -> Column:
     return pick
 
 
-def state_of_closure(closed: Column) -> Column:
-    return closed.isNull()
-
-
 def quarter_end(period: Column) -> Column:
     """'YYYY-Qn' -> last day of the quarter."""
     year = F.substring(period, 1, 4).cast("int")

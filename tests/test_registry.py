@@ -3,7 +3,6 @@ import json
 from datetime import date
 from decimal import Decimal
 
-import pytest
 
 from regisight.sources import registry as R
 from regisight.sources import tables as B

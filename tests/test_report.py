@@ -1,8 +1,6 @@
-import json
 import os
 import random
 from collections import defaultdict
-from datetime import date
 
 import pytest
 from pyspark.sql import functions as F

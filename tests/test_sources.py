@@ -4,7 +4,6 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from regisight.functions import fixed as X
 from regisight.operators import quality as Q
 from regisight.sources import codelists as L
 from regisight.sources import jsonstat as J
