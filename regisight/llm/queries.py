@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from regisight.llm import bpe, decontaminate, quality, suffix, tokencount
+from regisight.llm import bpe, decontaminate, jaccard, linededup, quality, suffix, tokencount
 from regisight.llm.common import small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,17 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that repeat 100-byte strings, removed."""
     small_batches(spark)
     return suffix.remove_repeats(table(spark, sf_dir, "documents"), digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
+@query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without multi-line chunks that an earlier one has."""
+    small_batches(spark)
+    return linededup.line_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle counts and near-duplicate components of all documents."""
+    small_batches(spark)
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
