@@ -298,6 +298,21 @@ def decode_documents(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id"
     return encoded.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{ids_col}`").alias("ids")).mapInArrow(run, "doc_id long, text string")
 
 
+def encode_checked(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids array<int>, n_tokens, exact) of every row; exact: the ids decode to the text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = codec(vocabulary)
+        for b in batches:
+            batch = list(texts(b.column(1)))
+            c.learn(batch)
+            ids = [c.encode(t) for t in batch]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64()),
+                                              pa.array([c.decode(x) == t for x, t in zip(ids, batch, strict=True)], pa.bool_())], names=["doc_id", "ids", "n_tokens", "exact"])
+
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(run, "doc_id long, ids array<int>, n_tokens long, exact boolean")
+
+
 def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_tokens, ids_sha256, decoded_sha256 of encoding and decoding the whole text."""
 

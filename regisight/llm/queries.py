@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from regisight.llm import bpe, decontaminate, jaccard, linededup, quality, suffix, tokencount
+import corpus_pipeline
+from regisight.llm import bpe, chat, decontaminate, html, jaccard, linededup, pii, quality, suffix, tokencount
 from regisight.llm.common import small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +69,31 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingle counts and near-duplicate components of all documents."""
     small_batches(spark)
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    small_batches(spark)
+    return html.extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query
+def op5_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    found = pii.find_spans(table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda b: b["kind"] == k)).cast("long").alias(f"n_{pii.KINDS[k]}")
+    return found.select("doc_id", *(count(k) for k in range(4)), F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"),
+                        pii.joined(F.sort_array(F.concat("base", "added"))).alias("spans"))
+
+
+@query
+def op8_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages in reply order, without quotes."""
+    return chat.reply_order(table(spark, sf_dir, "conversations"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents."""
+    return corpus_pipeline.run(spark, sf_dir)
