@@ -4,7 +4,8 @@ A string of `length` bytes is a window. Among the GRAM-byte strings inside a win
 hash (leftmost if tied) is its anchor; equal windows have equal anchors at equal offsets. So:
 
 1. The anchors of all windows are hashed, and hashes that occur once in the corpus are dropped: their windows
-   can't repeat. Hashes only select candidates here; they decide nothing.
+   can't repeat. An equal window also shares GRAM bytes next to the anchor, left or right, so an occurrence with
+   neither side's hash in common with another one goes too. Hashes only select candidates; they decide nothing.
 2. The candidate stretches of a shard of documents are sorted into a suffix array, by Larsson-Sadakane
    refinement in numpy: groups of equal prefixes are split by the group numbers further on, doubling the depth.
    Kasai's rule (a common prefix shrinks by one at most when both suffixes lose their first byte) gives the
@@ -59,27 +60,34 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - have)], x[width - have :]) if have < width else x
 
 
-def anchors(buf: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first window, last window) of each run of windows with the same anchor, for texts that lie one
-    after another; no window crosses texts. Worked off in blocks, which changes nothing as an anchor depends
-    on its window alone (a run may come in two parts)."""
+def anchors(buf: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first window, last window, sides) of each run of windows with the same anchor hash, for texts that
+    lie one after another; no window crosses texts. Worked off in blocks, which changes nothing as an anchor
+    depends on its window alone (a run may come in two parts). sides: 15 and 16 bits of the hashes of the bytes left
+    and right of the anchor; 0 if the run has anchors at several places, as in a text that repeats itself."""
     n = len(buf) - length + 1
     cut = np.zeros(max(n, 0), dtype=bool)
     for edge in (offsets[:-1], np.maximum(offsets[1:] - length + 1, offsets[:-1])):
         cut[edge[edge < n]] = True
-    out: list[tuple[np.ndarray, ...]] = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    out = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
     for lo in range(0, max(0, n), BLOCK):
-        h = gram_hashes(buf[lo : lo + BLOCK + length - 1], gram)
-        key = (h & ~_LOW) | np.arange(len(h), dtype=np.uint64)
+        halo = min(lo, gram)
+        h = gram_hashes(buf[lo - halo : lo + BLOCK + length - 1 + gram], gram)
+        core = h[halo : halo + min(BLOCK, n - lo) + length - gram]
+        key = (core & ~_LOW) | np.arange(len(core), dtype=np.uint64)
         at = (sliding_min(key, length - gram + 1) & _LOW).astype(np.int64)
         new = cut[lo : lo + len(at)].copy()
         new[0] = True
-        new[1:] |= at[1:] != at[:-1]
+        new[1:] |= core[at[1:]] != core[at[:-1]]
         first = np.flatnonzero(new)
-        out.append((h[at[first]], first + lo, np.concatenate([first[1:], [len(at)]]) - 1 + lo))
-    h, first, last = (np.concatenate(x) for x in zip(*out, strict=True))
+        last = np.concatenate([first[1:], [len(at)]]) - 1
+        place = at[first] + halo
+        left, right = h[np.maximum(place - gram, 0)] >> np.uint64(49), h[np.minimum(place + gram, len(h) - 1)] >> np.uint64(48)
+        sides = np.maximum((left << np.uint64(16) | right).astype(np.int64), 1)
+        out.append((core[at[first]], first + lo, last + lo, np.where(at[first] == at[last], sides, 0)))
+    h, first, last, sides = (np.concatenate(x) for x in zip(*out, strict=True))
     inside = first + length <= offsets[np.searchsorted(offsets, first, "right")] if len(first) else np.zeros(0, dtype=bool)
-    return h[inside], first[inside], last[inside]
+    return h[inside], first[inside], last[inside], sides[inside]
 
 
 def suffix_groups(text: np.ndarray, depth: int) -> np.ndarray:
@@ -173,22 +181,27 @@ def ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 
 def _anchor_rows(length: int):
-    """at: the first window of a run of windows within its text, times 128, plus the number of further ones."""
+    """at: the first window of a run of windows within its text, times 2^20, plus the number of further ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             buf, at = utf8(b.column(2))
-            h, first, last = anchors(buf, at, length)
+            h, first, last, sides = anchors(buf, at, length)
             row = np.searchsorted(at, first, "right") - 1
             take = pa.array(row)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column(0).take(take), b.column(1).take(take), pa.array((first - at[row]) * 128 + last - first)],
-                                             names=["h", "iid", "tkey", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column(0).take(take), b.column(1).take(take), pa.array(((first - at[row]) << 20) + last - first), pa.array(sides)],
+                                             names=["h", "iid", "tkey", "at", "sides"])
 
     return run
 
 
-MARKS = "h long, iid long, tkey long, first array<int>, last array<int>, fragment binary"
-_MARKS = pa.schema([("h", pa.int64()), ("iid", pa.int64()), ("tkey", pa.int64()), ("first", pa.list_(pa.int32())), ("last", pa.list_(pa.int32())), ("fragment", pa.binary())])
+#: A fragment: anchor hash, document, first window and bytes; or (h null) marks: ranges of window starts in body.
+MARKS = "h long, iid long, tkey long, at long, body binary"
+_MARKS = pa.schema([("h", pa.int64()), ("iid", pa.int64()), ("tkey", pa.int64()), ("at", pa.int64()), ("body", pa.binary())])
+
+
+def packed(first: np.ndarray, last: np.ndarray) -> bytes:
+    return np.stack([first, last], 1).astype(np.int64).tobytes()
 
 
 def _shard_rows(length: int):
@@ -206,8 +219,8 @@ def _shard_rows(length: int):
         position, previous = 0, None
         for iid, tkey, buf, h, at in docs:
             by = np.argsort(at)
-            h, first = h[by], at[by] >> 7
-            last = first + (at[by] & 127)
+            h, first = h[by], at[by] >> 20
+            last = first + (at[by] & ((1 << 20) - 1))
             if (iid, tkey) != previous:
                 position += 0 if previous is None else before
             previous, before = (iid, tkey), len(buf)
@@ -233,13 +246,13 @@ def _shard_rows(length: int):
             done += len(p)
             lo, hi = runs(m, p)
             if len(lo):
-                add(None, iid, tkey, lo.tolist(), hi.tolist(), None)
+                add(None, iid, tkey, 0, packed(lo, hi))
             end = np.cumsum(last - first + 1)
             free = np.concatenate([[0], np.cumsum(~m)])
             n_free = free[end] - free[end - (last - first + 1)]
             for k in np.flatnonzero(n_free).tolist():
                 f, e = int(first[k]), int(last[k])
-                add(int(h[k]), iid, tkey, [f], [e], buf[f : e + length].tobytes())
+                add(int(h[k]), iid, tkey, f, buf[f : e + length].tobytes())
         return rows_of(out)
 
     def rows_of(out: list[list]) -> pa.RecordBatch:
@@ -269,8 +282,8 @@ def _merge_rows(length: int):
     def merge(rows: list[tuple]) -> pa.RecordBatch:
         out: list[list] = [[] for _ in _MARKS]
         rows.sort(key=lambda r: (r[1], r[2], r[3]))
-        def mark(row: tuple, lo: list[int], hi: list[int]) -> None:
-            for o, v in zip(out, (None, row[1], row[2], lo, hi, None), strict=True):
+        def mark(row: tuple, lo: np.ndarray, hi: np.ndarray) -> None:
+            for o, v in zip(out, (None, row[1], row[2], 0, packed(lo, hi)), strict=True):
                 o.append(v)
 
         # of fragments that are equal as a whole, only the first takes part; the others repeat it
@@ -278,7 +291,7 @@ def _merge_rows(length: int):
         for r in rows:
             q = seen.setdefault(r[4], r)
             if q[1:4] != r[1:4]:
-                mark(r, [r[3]], [r[3] + len(r[4]) - length])
+                mark(r, np.array([r[3]]), np.array([r[3] + len(r[4]) - length]))
         rows = list(seen.values())
         # rank: documents in order, positions within; equal (iid, tkey) are the same document
         span = max(r[3] + len(r[4]) for r in rows) + 1
@@ -292,7 +305,7 @@ def _merge_rows(length: int):
         end = np.cumsum(n)
         for k in np.unique(np.searchsorted(end, np.flatnonzero(marked), "right")).tolist():
             lo, hi = runs(marked[end[k] - n[k] : end[k]], np.arange(n[k]) + first[k])
-            mark(rows[k], lo.tolist(), hi.tolist())
+            mark(rows[k], lo, hi)
         return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(out, _MARKS, strict=True)], schema=_MARKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,11 +315,11 @@ def _merge_rows(length: int):
             if len(local):
                 yield local
             b = b.filter(pc.is_valid(b.column(0)))
-            for h, iid, tkey, first, fragment in zip(*(b.column(k).to_pylist() for k in (0, 1, 2, 3, 5)), strict=True):
+            for h, iid, tkey, first, fragment in zip(*(b.column(k).to_pylist() for k in range(5)), strict=True):
                 if size >= SHARD_BYTES and rows[-1][0] != h:
                     yield merge(rows)
                     rows, size = [], 0
-                rows.append((h, iid, tkey, first[0], fragment))
+                rows.append((h, iid, tkey, first, fragment))
                 size += len(fragment)
         if rows:
             yield merge(rows)
@@ -317,19 +330,23 @@ def _merge_rows(length: int):
 def marked_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """docs: keyed rows. (iid, tkey, first, last): ranges of window starts that repeat an earlier window."""
     text = docs.select("iid", "tkey", "text")
-    found = text.mapInArrow(_anchor_rows(length), "h long, iid long, tkey long, at long")
-    often = found.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("h"))).filter("n > 1")
+    found = text.mapInArrow(_anchor_rows(length), "h long, iid long, tkey long, at long, sides long").withColumn("sides", F.col("sides").cast("int"))
+    same = lambda *more: Window.partitionBy("h", *more)  # noqa: E731  all within the partitions by h
+    often = found.withColumn("n", F.count(F.lit(1)).over(same())).withColumn("single", F.min(F.col("sides") != 0).over(same())).filter("n > 1 or not single")
+    left, right = F.shiftright("sides", 16), F.col("sides").bitwiseAND(F.lit(0xFFFF))
+    sided = often.withColumn("l", left).withColumn("r", right).withColumn("nl", F.count(F.lit(1)).over(same("l"))).withColumn("nr", F.count(F.lit(1)).over(same("r")))
+    often = sided.filter("not single or nl > 1 or nr > 1")
     wanted = often.groupBy("iid", "tkey").agg(F.collect_list(F.struct("h", "at")).alias("wanted"))
     local = text.join(wanted, ["iid", "tkey"]).select("iid", "tkey", "text", "wanted").mapInArrow(_shard_rows(length), MARKS)
     # marks of shards (h null) pass through the merging tasks, spread by document
     dealt = local.withColumn("to", F.coalesce("h", F.xxhash64("iid", "tkey"))).repartition(F.col("to")).sortWithinPartitions("h").drop("to")
-    return dealt.mapInArrow(_merge_rows(length), MARKS).select("iid", "tkey", "first", "last")
+    return dealt.mapInArrow(_merge_rows(length), MARKS).select("iid", "tkey", "body")
 
 
-def _covered(first: list, last: list, length: int) -> tuple[list[tuple[int, int]], int]:
+def _covered(marks: list[bytes] | None, length: int) -> tuple[list[tuple[int, int]], int]:
     """Maximal removed runs [begin, end) and their bytes."""
     out: list[tuple[int, int]] = []
-    for a, b in sorted((a, b + length) for x, y in zip(first or (), last or (), strict=True) for a, b in zip(x, y, strict=True)):
+    for a, b in sorted((a, b + length) for a, b in np.frombuffer(b"".join(marks or ()), dtype=np.int64).reshape(-1, 2).tolist()):
         if out and a <= out[-1][1]:
             out[-1] = (out[-1][0], max(out[-1][1], b))
         else:
@@ -342,9 +359,9 @@ def _kept_rows(length: int, digest: bool):
         for b in batches:
             buf, at = utf8(b.column(2))
             n_bytes, n_removed, n_spans, kept = [], [], [], []
-            for k, (first, last) in enumerate(zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True)):
+            for k, marks in enumerate(b.column(3).to_pylist()):
                 whole = buf[at[k] : at[k + 1]].tobytes()
-                spans, removed = _covered(first, last, length)
+                spans, removed = _covered(marks, length)
                 edges = [0, *(x for s in spans for x in s), len(whole)]
                 rest = b"".join(whole[i:j] for i, j in zip(edges[::2], edges[1::2], strict=True))
                 n_bytes.append(len(whole))
@@ -360,7 +377,7 @@ def _kept_rows(length: int, digest: bool):
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, digest: bool = False) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans and kept, the remaining bytes (with digest: their SHA-256)."""
     rows = keyed(docs, id_col, text_col).select("iid", "tkey", "text")
-    marks = marked_windows(rows, length).groupBy("iid", "tkey").agg(F.collect_list("first").alias("first"), F.collect_list("last").alias("last"))
-    joined = rows.join(marks, ["iid", "tkey"], "left").select("iid", "tkey", "text", "first", "last")
+    marks = marked_windows(rows, length).groupBy("iid", "tkey").agg(F.collect_list("body").alias("marks"))
+    joined = rows.join(marks, ["iid", "tkey"], "left").select("iid", "tkey", "text", "marks")
     out = joined.mapInArrow(_kept_rows(length, digest), f"iid long, n_bytes long, n_removed long, n_spans long, kept {'string' if digest else 'binary'}")
     return out.select(F.nullif("iid", F.lit(MAX_ID)).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")
