@@ -5,6 +5,9 @@ then under any order of all shingles the first n - ceil(t n) + 1 of one and of t
 Each order puts frequent shingles last (a bounded list of heavy ones from a sketch of the whole corpus, which
 decides only the order) and the others by a hash of its own. The first order's prefixes are joined by Spark;
 each candidate pair must then also share prefix shingles under the other orders before its sets are compared.
+Prefixes are dealt in packed form to buckets of shingles; a bucket keeps the groups of documents that share one,
+each distinct group once. Frequent shingles skip the buckets and stay plain rows. Before any set is fetched, pairs
+must pass a parity bitmap: bits that differ are a lower bound of the shingles that differ, so no pair is lost.
 
 The join makes no pairs within a group of copies: equal sets are one node, and each shingle first links its
 documents with its smallest one only. Links are closed to components, after which only documents of different
@@ -28,11 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regisight.llm.common import MAX_ID, components, keyed, materialise, mix, utf8
+from regisight.plans.sizing import small_side
 
 WORDS, PERCENT = 5, 75
 ORDERS = (0x2545F4914F6CDD1D, 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-HEAVY_LOCAL, HEAVY_LIST, HEAVY_LEAST = 4096, 65536, 4
+HEAVY_LOCAL, HEAVY_LIST, HEAVY_LEAST, HEAVY_LEVEL = 4096, 65536, 4, 9
+BUCKET_TOKENS = 1_000_000
 PER_ROW = 4
+SMALL = 8 << 20
 
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
 _SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
@@ -103,34 +109,138 @@ def _blocks(b: pa.RecordBatch, column: int, words: int) -> Iterator[tuple[int, l
 
 
 def _heavy_rows(words: int):
+    """Shingles that are frequent within a batch; token null: number of shingles in the batch."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [s for _, part in _blocks(b, 0, words) for s in part]
             tokens, counts = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
             some = np.flatnonzero(counts >= HEAVY_LEAST)
             some = some[np.argsort(-counts[some], kind="stable")[:HEAVY_LOCAL]]
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[some].view(np.int64)), pa.array(counts[some].astype(np.int64))], names=["token", "c"])
+            yield pa.RecordBatch.from_arrays([pa.array([None, *tokens[some].view(np.int64).tolist()], pa.int64()), pa.array([int(counts.sum()), *counts[some].tolist()], pa.int64())],
+                                             names=["token", "c"])
 
     return run
 
 
-def _set_rows(words: int, percent: int, sent):
-    """n, a 128-bit signature of the set and its prefix under the first order."""
+def parity(s: np.ndarray) -> bytes:
+    """Bitmap of 2^k > 2n bits (64 at least): each the parity of the shingles that fall on it."""
+    size = max(64, 1 << (2 * len(s)).bit_length())
+    bits = np.bincount((mix(s ^ np.uint64(5)) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
+
+
+def may_link(a: bytes, b: bytes, na: int, nb: int, percent: int) -> bool:
+    """Whether two bitmaps allow the similarity; the larger one is folded, which keeps the bound. With similarity
+    t the sets differ in at most (1 - t) / (1 + t) of the sum of their sizes."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum()) * (100 + percent) <= (100 - percent) * (na + nb)
+
+
+def _set_rows(words: int):
+    """n, a 128-bit signature of the set and its bitmap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heavy, level = sent.value
         for b in batches:
-            n, sig, sig2, tokens = [], [], [], []
+            n, sig, sig2, bits = [], [], [], []
             for _, part in _blocks(b, 1, words):
                 for s in part:
                     n.append(len(s))
                     sig.append(int(np.bitwise_xor.reduce(mix(s ^ np.uint64(77))).view(np.int64)) if len(s) else 0)
                     sig2.append(int(np.add.reduce(mix(s ^ np.uint64(99))).view(np.int64)) if len(s) else 0)
-                    tokens.append(prefix(s, ORDERS[0], heavy, level, percent).view(np.int64) if len(s) else np.zeros(0, np.int64))
-            cut = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate(tokens) if tokens else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(sig2, pa.int64()), lists],
-                                             names=["iid", "n", "sig", "sig2", "tokens"])
+                    bits.append(parity(s))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(sig2, pa.int64()), pa.array(bits, pa.binary())],
+                                             names=["iid", "n", "sig", "sig2", "bits"])
+
+    return run
+
+
+def _prefix_rows(words: int, percent: int, sent, buckets: int):
+    """Prefixes of a batch's distinct sets, packed by bucket: 40 bits of each shingle and its document; frequent
+    shingles in whole, under a negative bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heavy, level = sent.value
+        hot = heavy[level >= HEAVY_LEVEL]
+        for b in batches:
+            ids = b.column(0).to_numpy()
+            tokens, owner, known = [], [], set()
+            for lo, part in _blocks(b, 1, words):
+                for k, s in enumerate(part):
+                    if len(s) and (whole := s.tobytes()) not in known:
+                        known.add(whole)
+                        p = prefix(s, ORDERS[0], heavy, level, percent)
+                        tokens.append(p)
+                        owner.append(np.full(len(p), ids[lo + k]))
+            if not tokens:
+                continue
+            tok, own = np.concatenate(tokens), np.concatenate(owner)
+            at = np.minimum(np.searchsorted(hot, tok), max(0, len(hot) - 1))
+            is_hot = hot[at] == tok if len(hot) else np.zeros(len(tok), dtype=bool)
+            out = [(-1 - int(ids[0] % 1_000_003), tok[is_hot].tobytes(), own[is_hot].tobytes())] if is_hot.any() else []
+            tok, own = tok[~is_hot], own[~is_hot]
+            bucket = ((tok & np.uint64(0xFFFFFF)) % np.uint64(buckets)).astype(np.int64)
+            by = np.argsort(bucket, kind="stable")
+            tok, own, bucket = tok[by], own[by], bucket[by]
+            edge = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]]) if len(bucket) else np.zeros(1, np.int64)
+            for a, e in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                short = np.ascontiguousarray(tok[a:e].astype(">u8").view(np.uint8).reshape(-1, 8)[:, :5])
+                out.append((int(bucket[a]), short.tobytes(), own[a:e].tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], names=["bucket", "tokens", "ids"])
+
+    return run
+
+
+def _group_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gid, iid) of the distinct groups of documents that share a shingle; rows come sorted by bucket."""
+
+    def out(gid: np.ndarray, iid: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(gid, pa.int64()), pa.array(iid, pa.int64())], names=["gid", "iid"])
+
+    def groups(bucket: int, tokens: list[bytes], ids: list[bytes]) -> pa.RecordBatch:
+        wide = np.zeros((sum(map(len, tokens)) // 5, 8), dtype=np.uint8)
+        wide[:, 3:] = np.frombuffer(b"".join(tokens), np.uint8).reshape(-1, 5)
+        tok, own = wide.view(">u8")[:, 0].astype(np.int64), np.frombuffer(b"".join(ids), np.int64)
+        by = np.lexsort((own, tok))
+        tok, own = tok[by], own[by]
+        edge = np.concatenate([[0], np.flatnonzero(tok[1:] != tok[:-1]) + 1, [len(tok)]])
+        several = np.flatnonzero(edge[1:] - edge[:-1] > 1)
+        known, keep = set(), []
+        for a, e in zip(edge[several].tolist(), edge[several + 1].tolist(), strict=True):
+            if (members := own[a:e].tobytes()) not in known:
+                known.add(members)
+                keep.append((a, e))
+        if not keep:
+            return out([], [])
+        size = np.array([e - a for a, e in keep])
+        return out(np.repeat((bucket << 32) + np.arange(len(keep)), size), np.concatenate([own[a:e] for a, e in keep]))
+
+    now, tokens, ids = None, [], []
+    for b in batches:
+        for bucket, t, i in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            if bucket < 0:
+                yield out(np.frombuffer(t, np.int64) | np.int64(-(1 << 63)), np.frombuffer(i, np.int64))
+                continue
+            if bucket != now and tokens:
+                yield groups(now, tokens, ids)
+                tokens, ids = [], []
+            now = bucket
+            tokens.append(t)
+            ids.append(i)
+    if tokens:
+        yield groups(now, tokens, ids)
+
+
+def _possible(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            a, c, na, nb, x, y = (b.column(k).to_pylist() for k in range(6))
+            take = pa.array([k for k in range(len(b)) if may_link(x[k], y[k], na[k], nb[k], percent)], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take)], names=["a", "b"])
 
     return run
 
@@ -167,57 +277,65 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Per row of docs: doc_id, n_shingles, component_id."""
     rows = keyed(docs, id_col, text_col)
     spark = docs.sparkSession
-    sketch = rows.select("text").mapInArrow(_heavy_rows(words), "token long, c long").groupBy("token").agg(F.sum("c").alias("c"))
-    heavy = sketch.orderBy(F.desc("c"), "token").limit(HEAVY_LIST).collect()  # a list of fixed length; it decides the order only
+    sketch = materialise(rows.select("text").mapInArrow(_heavy_rows(words), "token long, c long").groupBy("token").agg(F.sum("c").alias("c")), "sketch")
+    total = sketch.filter("token is null").agg(F.sum("c")).first()[0] or 0
+    heavy = sketch.filter("token is not null").orderBy(F.desc("c"), "token").limit(HEAVY_LIST).collect()  # a list of fixed length; it decides the order only
     heavy.sort(key=lambda r: r[0] % (1 << 64))
     token = np.array([r[0] for r in heavy], dtype=np.int64).view(np.uint64)
     level = np.array([min(60, r[1].bit_length()) for r in heavy], dtype=np.uint64)
     sent = spark.sparkContext.broadcast((token, level))
+    buckets = max(1, total * (100 - percent) // 100 // BUCKET_TOKENS)
 
-    sets = materialise(rows.select("iid", "text").mapInArrow(_set_rows(words, percent, sent), "iid long, n long, sig long, sig2 long, tokens array<long>"), "sets")
+    sets = materialise(rows.select("iid", "text").mapInArrow(_set_rows(words), "iid long, n long, sig long, sig2 long, bits binary"), "sets")
     same = ["sig", "sig2", "n"]
     node = materialise(sets.filter("n > 0").groupBy(*same).agg(F.min("iid").alias("node")), "nodes")
-    first = sets.filter("n > 0").select("iid", "n", "sig", "sig2", "tokens").join(node, same).filter("iid = node").dropDuplicates(["iid", *same])
-    token_rows = materialise(first.select(F.explode("tokens").alias("token"), F.col("node").alias("x"), "n"), "prefixes")
-    lead = token_rows.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("x", "n")).alias("lead")).filter("c > 1").drop("c")
-    shared = materialise(token_rows.join(lead, "token"), "shared")
+    of_id = sets.filter("n > 0").select("iid", *same).distinct().join(node, same).select("iid", "node", "n")
+    dealt = rows.select("iid", "text").mapInArrow(_prefix_rows(words, percent, sent, buckets), "bucket long, tokens binary, ids binary").repartition(F.col("bucket")).sortWithinPartitions("bucket")
+    grouped = materialise(dealt.mapInArrow(_group_rows, "gid long, iid long"), "groups")
+    members = grouped.join(of_id, "iid").select("gid", F.col("node").alias("x"), "n").distinct()
+    shared = materialise(members, "members")
+    bits = sets.filter("n > 0").select(F.col("iid").alias("x"), "n", "bits")
 
     def near_size(a: str, b: str):
         return F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
 
-    pairs = shared.filter((F.col("x") != F.col("lead.x")) & near_size("n", "lead.n")).select(F.col("lead.x").alias("a"), F.col("x").alias("b")).distinct()
-    wanted = shared.select(F.col("x").alias("iid")).distinct()
-    whole = materialise(rows.select("iid", "text").join(wanted, "iid", "left_semi").mapInArrow(_whole_sets(words), "iid long, tokens binary"), "whole").distinct()
-
     def linked(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, na, b, nb) that are similar."""
+        both = pairs.join(bits.select(F.col("x").alias("a"), F.col("n").alias("na"), F.col("bits").alias("s")), ["a", "na"]).join(
+            bits.select(F.col("x").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("t")), ["b", "nb"])
+        possible = materialise(both.select("a", "b", "na", "nb", "s", "t").mapInArrow(_possible(percent), "a long, b long").distinct(), "possible")
+        wanted = materialise(possible.select(F.col("a").alias("iid")).union(possible.select("b")).distinct(), "wanted")
+        chosen = rows.select("iid", "text").join(small_side(wanted, SMALL), "iid", "left_semi")
+        whole = materialise(chosen.mapInArrow(_whole_sets(words), "iid long, tokens binary"), "whole")
         a = whole.select(F.col("iid").alias("a"), F.col("tokens").alias("s"))
         b = whole.select(F.col("iid").alias("b"), F.col("tokens").alias("t"))
-        both = pairs.join(a, "a").join(b, "b").select("a", "b", "s", "t")
-        return materialise(both.mapInArrow(_compared(percent, sent), "a long, b long"), "links")
+        return materialise(possible.join(a, "a").join(b, "b").select("a", "b", "s", "t").mapInArrow(_compared(percent, sent), "a long, b long"), "links")
+
+    def star(members: DataFrame, centre: DataFrame) -> DataFrame:
+        both = members.join(centre, "gid").filter((F.col("x") != F.col("lead.x")) & near_size("n", "lead.n"))
+        return both.select(F.col("lead.x").alias("a"), F.col("lead.n").alias("na"), F.col("x").alias("b"), F.col("n").alias("nb")).distinct()
 
-    links = linked(pairs)
-    left = shared.filter(F.col("x") != F.col("lead.x")).select("token", "x", "n")
+    centre = materialise(shared.groupBy("gid").agg(F.min(F.struct("x", "n")).alias("lead"), F.count(F.lit(1)).alias("k")).filter("k > 1"), "centres")
+    links = linked(star(shared, centre))
+    left = shared.join(centre, "gid").filter("k > 2").filter(F.col("x") != F.col("lead.x")).select("gid", "x", "n")
     while True:
         label = components(links)
-        marked = materialise(left.join(label, left.x == label.node, "left").select("token", "x", "n", F.coalesce("component", "x").alias("c")), "marked")
-        per = marked.groupBy("token", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(F.sum("k").alias("m"), F.sum(F.col("k") * F.col("k")).alias("s"), F.count(F.lit(1)).alias("cs"))
-        open_ = per.filter("cs > 1")
+        marked = materialise(left.join(label, left.x == label.node, "left").select("gid", "x", "n", F.coalesce("component", "x").alias("c")), "marked")
+        per = marked.groupBy("gid", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("gid").agg(F.sum("k").alias("m"), F.sum(F.col("k") * F.col("k")).alias("s"), F.count(F.lit(1)).alias("cs"))
+        open_ = materialise(per.filter("cs > 1"), "open")
         todo, size = open_.agg(F.sum((F.col("m") * F.col("m") - F.col("s")) / 2), F.sum("m")).first()
         if not todo:
             break
-        left = materialise(marked.join(open_.select("token"), "token", "left_semi"), "left")
+        left = materialise(marked.join(open_.select("gid"), "gid", "left_semi"), "left")
         if todo <= PER_ROW * size:
-            a = left.select("token", F.col("x").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-            b = left.select("token", F.col("x").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-            pairs = a.join(b, "token").filter((F.col("ca") < F.col("cb")) & near_size("na", "nb")).select("a", "b").distinct()
-            links = materialise(links.unionByName(linked(pairs)), "links")
-            label = components(links)
+            a = left.select("gid", F.col("x").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
+            b = left.select("gid", F.col("x").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
+            pairs = a.join(b, "gid").filter((F.col("ca") < F.col("cb")) & near_size("na", "nb")).select("a", "na", "b", "nb").distinct()
+            label = components(links.unionByName(linked(pairs)))
             break
-        centre = left.groupBy("token").agg(F.min(F.struct("x", "n", "c")).alias("lead"))
-        both = left.join(centre, "token")
-        pairs = both.filter((F.col("c") != F.col("lead.c")) & near_size("n", "lead.n")).select(F.col("lead.x").alias("a"), F.col("x").alias("b")).distinct()
-        links = materialise(links.unionByName(linked(pairs)), "links")
-        left = both.filter(F.col("x") != F.col("lead.x")).select("token", "x", "n")
+        centre = left.groupBy("gid").agg(F.min(F.struct("x", "n", "c")).alias("lead"))
+        links = materialise(links.unionByName(linked(star(left, centre))), "links")
+        left = left.join(centre, "gid").filter(F.col("x") != F.col("lead.x")).select("gid", "x", "n")
     of = node.join(label, "node", "left").select(*same, F.coalesce("component", "node").alias("component"))
     out = sets.select("iid", "n", "sig", "sig2").join(of, same, "left")
     back = lambda c: F.nullif(c, F.lit(MAX_ID))
