@@ -10,10 +10,10 @@ each distinct group once. Frequent shingles skip the buckets and stay plain rows
 must pass a parity bitmap: bits that differ are a lower bound of the shingles that differ, so no pair is lost.
 
 The join makes no pairs within a group of copies: equal sets are one node, and each shingle first links its
-documents with its smallest one only. Links are closed to components, after which only documents of different
-components that share a prefix shingle remain to be compared; their exact number is counted, and as long as it is
-above a few per row, another round takes each shingle's next document as the centre. So every pair that could link
-two components is compared, none is capped, and copies in one component are never paired.
+documents with its smallest one only, then with the next smallest. Links are closed to components, after which only
+documents of different components that share a prefix shingle remain: these meet in cells of similar size, large
+groups in several blocks, where bitmaps are compared in numpy and only the pairs they allow come out. So every
+pair that could link two components is looked at, none is capped, and copies in one component make no pairs.
 
 Defined results: a null or empty text, or one without words, has an empty set, 0 shingles and is linked with
 nothing; fewer words than WORDS make one shingle of the whole sequence; rows that share an id are linked with
@@ -37,7 +37,7 @@ WORDS, PERCENT = 5, 75
 ORDERS = (0x2545F4914F6CDD1D, 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 HEAVY_LOCAL, HEAVY_LIST, HEAVY_LEAST, HEAVY_LEVEL = 4096, 65536, 4, 9
 BUCKET_TOKENS = 1_000_000
-PER_ROW = 4
+STARS, BLOCK = 1, 1024
 SMALL = 8 << 20
 
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
@@ -273,6 +273,59 @@ def _compared(percent: int, sent):
     return run
 
 
+def _cell_rows(percent: int):
+    """Pairs of different components in a cell that the bitmaps allow; rows come sorted by cell."""
+
+    def pairs(ids: list[int], n: list[int], c: list[int], bits: list[bytes]) -> pa.RecordBatch:
+        least = min(map(len, bits))
+        x = np.zeros((len(bits), least), dtype=np.uint8)
+        for k, b in enumerate(bits):
+            x[k] = np.bitwise_xor.reduce(np.frombuffer(b, np.uint8).reshape(-1, least), axis=0)
+        x = x.view(np.uint64)
+        ids_, n_, c_ = np.array(ids), np.array(n), np.array(c)
+        a, b = [], []
+        for k in range(len(ids) - 1):
+            apart = np.bitwise_count(x[k + 1 :] ^ x[k]).sum(axis=1, dtype=np.int64)
+            m = n_[k + 1 :]
+            ok = (c_[k + 1 :] != c_[k]) & (apart * (100 + percent) <= (100 - percent) * (m + n_[k])) & (100 * np.minimum(m, n_[k]) >= percent * np.maximum(m, n_[k]))
+            other = ids_[k + 1 :][ok]
+            a.append(np.minimum(other, ids[k]))
+            b.append(np.maximum(other, ids[k]))
+        e = np.zeros(0, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([e, *a])), pa.array(np.concatenate([e, *b]))], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rows = None, []
+        for batch in batches:
+            for cell, *row in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+                if cell != now and rows:
+                    yield pairs(*map(list, zip(*rows, strict=True)))
+                    rows = []
+                now = cell
+                rows.append(row)
+        if rows:
+            yield pairs(*map(list, zip(*rows, strict=True)))
+
+    return run
+
+
+def _cells(members: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of all pairs of members (gid, x, n, m, c) of one group and different components that the bitmaps allow.
+    A group is dealt to cells: similar sizes differ by less than one step of log(1 / t), and a large group is cut into
+    blocks of about BLOCK documents, each pair of blocks meeting in one cell. Documents whose whole group is in one
+    component are left out before."""
+    open_ = members.groupBy("gid").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("gid")
+    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("x"), blocks).cast("int")
+    cells = F.explode(F.flatten(F.transform(F.array(step, step - 1), lambda base: F.transform(
+        F.sequence(F.lit(0), blocks - 1), lambda other: F.struct(base.alias("base"), F.least(own, other).alias("i"), F.greatest(own, other).alias("j"))))))
+    placed = members.join(open_, "gid", "left_semi").select("x", "n", "c", "gid", cells.alias("cell")).withColumn("cell", F.xxhash64("gid", "cell.base", "cell.i", "cell.j"))
+    full = placed.join(placed.groupBy("cell").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("cell"), "cell", "left_semi")
+    described = full.join(bits, ["x", "n"]).select("cell", "x", "n", "c", "bits").distinct()
+    return described.repartition(F.col("cell")).sortWithinPartitions("cell").mapInArrow(_cell_rows(percent), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id."""
     rows = keyed(docs, id_col, text_col)
@@ -303,7 +356,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         """The pairs (a, na, b, nb) that are similar."""
         both = pairs.join(bits.select(F.col("x").alias("a"), F.col("n").alias("na"), F.col("bits").alias("s")), ["a", "na"]).join(
             bits.select(F.col("x").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("t")), ["b", "nb"])
-        possible = materialise(both.select("a", "b", "na", "nb", "s", "t").mapInArrow(_possible(percent), "a long, b long").distinct(), "possible")
+        return compared(both.select("a", "b", "na", "nb", "s", "t").mapInArrow(_possible(percent), "a long, b long"))
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        possible = materialise(pairs.distinct(), "possible")
         wanted = materialise(possible.select(F.col("a").alias("iid")).union(possible.select("b")).distinct(), "wanted")
         chosen = rows.select("iid", "text").join(small_side(wanted, SMALL), "iid", "left_semi")
         whole = materialise(chosen.mapInArrow(_whole_sets(words), "iid long, tokens binary"), "whole")
@@ -317,25 +373,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     centre = materialise(shared.groupBy("gid").agg(F.min(F.struct("x", "n")).alias("lead"), F.count(F.lit(1)).alias("k")).filter("k > 1"), "centres")
     links = linked(star(shared, centre))
-    left = shared.join(centre, "gid").filter("k > 2").filter(F.col("x") != F.col("lead.x")).select("gid", "x", "n")
-    while True:
+    left = shared.join(centre, "gid").filter("k > 2").filter(F.col("x") != F.col("lead.x")).select("gid", "x", "n", F.col("k").alias("m"))
+    for _ in range(STARS):
         label = components(links)
         marked = materialise(left.join(label, left.x == label.node, "left").select("gid", "x", "n", F.coalesce("component", "x").alias("c")), "marked")
-        per = marked.groupBy("gid", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("gid").agg(F.sum("k").alias("m"), F.sum(F.col("k") * F.col("k")).alias("s"), F.count(F.lit(1)).alias("cs"))
-        open_ = materialise(per.filter("cs > 1"), "open")
-        todo, size = open_.agg(F.sum((F.col("m") * F.col("m") - F.col("s")) / 2), F.sum("m")).first()
-        if not todo:
-            break
-        left = materialise(marked.join(open_.select("gid"), "gid", "left_semi"), "left")
-        if todo <= PER_ROW * size:
-            a = left.select("gid", F.col("x").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-            b = left.select("gid", F.col("x").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-            pairs = a.join(b, "gid").filter((F.col("ca") < F.col("cb")) & near_size("na", "nb")).select("a", "na", "b", "nb").distinct()
-            label = components(links.unionByName(linked(pairs)))
-            break
-        centre = left.groupBy("gid").agg(F.min(F.struct("x", "n", "c")).alias("lead"))
-        links = materialise(links.unionByName(linked(star(left, centre))), "links")
-        left = left.join(centre, "gid").filter(F.col("x") != F.col("lead.x")).select("gid", "x", "n")
+        open_ = materialise(marked.groupBy("gid").agg(F.min(F.struct("x", "n", "c")).alias("lead"), F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m")).filter("lo < hi"), "open")
+        left = marked.join(open_, "gid")
+        links = materialise(links.unionByName(linked(star(left.filter("c <> lead.c").select("gid", "x", "n"), open_.select("gid", "lead")))), "links")
+        left = materialise(left.filter("x <> lead.x").select("gid", "x", "n", "m"), "left")
+    label = components(links)
+    marked = left.join(label, left.x == label.node, "left").select("gid", "x", "n", "m", F.coalesce("component", "x").alias("c"))
+    links = links.unionByName(compared(_cells(marked, bits, percent)))
+    label = components(links)
     of = node.join(label, "node", "left").select(*same, F.coalesce("component", "node").alias("component"))
     out = sets.select("iid", "n", "sig", "sig2").join(of, same, "left")
     back = lambda c: F.nullif(c, F.lit(MAX_ID))
