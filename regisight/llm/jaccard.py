@@ -10,7 +10,7 @@ each distinct group once. Frequent shingles skip the buckets and stay plain rows
 must pass a parity bitmap: bits that differ are a lower bound of the shingles that differ, so no pair is lost.
 
 The join makes no pairs within a group of copies: equal sets are one node, and each shingle first links its
-documents with its smallest one only, then with the next smallest. Links are closed to components, after which only
+documents with its smallest one only, then in a few rounds with the next smallest. Links are closed to components, after which only
 documents of different components that share a prefix shingle remain: these meet in cells of similar size, large
 groups in several blocks, where bitmaps are compared in numpy and only the pairs they allow come out. So every
 pair that could link two components is looked at, none is capped, and copies in one component make no pairs.
@@ -37,7 +37,7 @@ WORDS, PERCENT = 5, 75
 ORDERS = (0x2545F4914F6CDD1D, 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 HEAVY_LOCAL, HEAVY_LIST, HEAVY_LEAST, HEAVY_LEVEL = 4096, 65536, 4, 9
 BUCKET_TOKENS = 1_000_000
-STARS, BLOCK = 1, 1024
+STARS, BLOCK = 3, 1024
 SMALL = 8 << 20
 
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
@@ -345,8 +345,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of_id = sets.filter("n > 0").select("iid", *same).distinct().join(node, same).select("iid", "node", "n")
     dealt = rows.select("iid", "text").mapInArrow(_prefix_rows(words, percent, sent, buckets), "bucket long, tokens binary, ids binary").repartition(F.col("bucket")).sortWithinPartitions("bucket")
     grouped = materialise(dealt.mapInArrow(_group_rows, "gid long, iid long"), "groups")
-    members = grouped.join(of_id, "iid").select("gid", F.col("node").alias("x"), "n").distinct()
-    shared = materialise(members, "members")
+    members = materialise(grouped.join(of_id, "iid").select("gid", F.col("node").alias("x"), "n").distinct(), "members")
+    # buckets may hold the same group: of groups with the same members one stays
+    print_ = members.groupBy("gid").agg(F.bit_xor(F.xxhash64("x")).alias("h"), F.bit_xor(F.xxhash64("x", F.lit(1))).alias("h2"), F.count(F.lit(1)).alias("m")).filter("m > 1")
+    shared = materialise(members.join(print_.groupBy("h", "h2", "m").agg(F.min("gid").alias("gid")).select("gid"), "gid", "left_semi"), "groups")
     bits = sets.filter("n > 0").select(F.col("iid").alias("x"), "n", "bits")
 
     def near_size(a: str, b: str):

@@ -1,7 +1,7 @@
 """Removal of repeated multi-line chunks with content-defined boundaries.
 
-A hash over the hashes of the last ROLL lines decides after each line whether a chunk ends there, so
-boundaries depend on nearby lines only and find their place again after insertions and deletions. Chunks of
+A chunk ends after a line where the hash over the hashes of the last ROLL lines is a local minimum, so boundaries
+depend on nearby lines only and find their place again after insertions and deletions. Chunks of
 at least MIN_LINES lines are compared over the whole corpus: their hashes are counted, the bytes of chunks whose
 128-bit hash repeats are fetched and compared, and every occurrence but the first (by id, then line) is
 removed. A chunk whose bytes differ from others of the same hash is never removed.
@@ -26,24 +26,23 @@ from pyspark.sql import functions as F
 
 from regisight.llm.common import keyed, materialise, texts
 
-ROLL, DIVISOR, MIN_LINES = 2, 2, 2
+ROLL, MIN_LINES = 2, 2
 _MASK = (1 << 64) - 1
 
 
-def chunks(lines: list[bytes], roll: int = ROLL, divisor: int = DIVISOR, least: int = MIN_LINES) -> list[tuple[int, int]]:
-    """[begin, end) line ranges of a text."""
-    out, begin = [], 0
+def chunks(lines: list[bytes], roll: int = ROLL) -> list[tuple[int, int]]:
+    """[begin, end) line ranges of a text: a chunk ends after a line whose rolling hash is smaller than that of the
+    line before and not larger than that of the line after, which spaces ends by two lines at least."""
     hashes = [xxhash.xxh64_intdigest(x) for x in lines]
+    rolled = []
     for i in range(len(lines)):
-        rolled = 0
+        r = 0
         for h in hashes[max(0, i - roll + 1) : i + 1]:
-            rolled = (rolled * 0x9E3779B97F4A7C15 + h) & _MASK
-        if i + 1 - begin >= least and (rolled >> 17) % divisor == 0:
-            out.append((begin, i + 1))
-            begin = i + 1
-    if begin < len(lines):
-        out.append((begin, len(lines)))
-    return out
+            r = (r * 0x9E3779B97F4A7C15 + h) & _MASK
+        rolled.append(r ^ r >> 29)
+    ends = [i + 1 for i in range(1, len(lines) - 1) if rolled[i] < rolled[i - 1] and rolled[i] <= rolled[i + 1]]
+    edges = [0, *ends, len(lines)]
+    return list(zip(edges, edges[1:]))
 
 
 def _signed(h: int) -> int:
@@ -58,7 +57,7 @@ def _chunk_rows(least: int):
                 lines = text.encode("utf-8", "surrogatepass").split(b"\n")
                 if len(lines) < least:
                     continue
-                for begin, end in chunks(lines, least=least):
+                for begin, end in chunks(lines):
                     body = b"\n".join(lines[begin:end])
                     if end - begin >= least and body.strip():
                         h = xxhash.xxh3_128_intdigest(body)
