@@ -125,7 +125,7 @@ def sum_relations(parts: DataFrame, group: list[str], whole: str, part: str) ->
     return up.unionByName(down)
 
 
-def derivable_by_substitution(cells: DataFrame, relations: DataFrame, max_rounds: int = 50) -> DataFrame:
+def derivable_by_substitution(cells: DataFrame, relations: DataFrame) -> DataFrame:
     """Hidden cells that follow from relations with a single unknown, repeated to the fixpoint.
 
     Each round is one aggregation per relation with map-side combine; a relation of any size needs
@@ -134,7 +134,7 @@ def derivable_by_substitution(cells: DataFrame, relations: DataFrame, max_rounds
     known = cells.filter(F.col("published")).select("report_id", "var")
     unknown = links.select("report_id", "var").distinct().join(known, ["report_id", "var"], "left_anti")
     derived = None
-    for _ in range(max_rounds):
+    while True:  # ends: each round but the last takes at least one cell from the unknown ones
         open_links = links.join(unknown, ["report_id", "var"], "left_semi")
         new = (
             open_links.groupBy("report_id", "rel_id").agg(F.count(F.lit(1)).alias("open"), F.min("var").alias("var"))
@@ -145,8 +145,6 @@ def derivable_by_substitution(cells: DataFrame, relations: DataFrame, max_rounds
             break
         derived = new if derived is None else derived.unionByName(new)
         unknown = cut_lineage(unknown.join(new, ["report_id", "var"], "left_anti"))
-    else:
-        raise RuntimeError("substitution did not reach a fixpoint")
     found = derived if derived is not None else links.select("report_id", "var").limit(0)
     return found.join(cells.filter(F.col("protect")), ["report_id", "var"], "left_semi")
 

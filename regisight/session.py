@@ -27,7 +27,7 @@ def local_session(app: str = "regisight", cores: str = "*", shuffle: int = 8) ->
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see. The cluster names it in spark.checkpoint.dir;
-    only where nothing is set (tests, local runs) a temporary one is made."""
+    only in local mode, where nothing is set (tests), a temporary one is made."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         if not spark.sparkContext.getCheckpointDir():
@@ -36,6 +36,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors see")
     made = tempfile.mkdtemp(prefix="regisight-")
     spark.sparkContext.setCheckpointDir(made)
     return spark.sparkContext.getCheckpointDir()

@@ -72,7 +72,7 @@ def load_snapshot(spark: SparkSession, contract: FileContract, path: str, metada
     raw = read_snapshot(spark, contract, path)
     facts = raw.agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("DATPLAT").alias("days"), F.min("DATPLAT").alias("day"),
-        F.coalesce(F.sum(F.xxhash64(*raw.columns).cast("decimal(38,0)")), F.lit(0)).cast("string").alias("hash")).first()
+        F.coalesce(F.sum(B.content_hash(raw)), F.lit(0)).cast("string").alias("hash")).first()
     if facts.days != 1:
         raise LoadRefused(f"{contract.name}: {facts.days} validity days in one file")
     mark = f"{facts.rows}:{facts.hash}"

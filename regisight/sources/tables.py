@@ -9,7 +9,7 @@ import uuid
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MANIFEST = "table_name string, version string, rows bigint, fingerprint string, batch_id string, at timestamp"
@@ -41,9 +41,13 @@ def manifest(spark: SparkSession, root: str) -> DataFrame:
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """Order-independent content fingerprint: rows and the sum of row hashes; one row."""
-    return df.agg(F.count(F.lit(1)).alias("rows"),
-                  F.coalesce(F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")), F.lit(0)).alias("hash"))
+    """Order-independent content fingerprint: rows and the sum of row hashes; one row. The row's JSON form
+    marks NULLs, so a value that moves between two empty columns changes the hash."""
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(content_hash(df)), F.lit(0)).alias("hash"))
+
+
+def content_hash(df: DataFrame) -> Column:
+    return F.xxhash64(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)), {"ignoreNullFields": "false"})).cast("decimal(38,0)")
 
 
 @contextmanager
@@ -61,7 +65,7 @@ def batch(spark: SparkSession, root: str, source: str, note: str = ""):
     try:
         yield b
     except Exception as e:
-        _append(spark, path, (b.batch_id, source, f"{type(e).__name__}: {e}"[:500], "error", None, _now()), BATCHES)
+        _append(spark, path, (b.batch_id, source, f"{type(e).__name__}: {e}", "error", None, _now()), BATCHES)
         raise
     _append(spark, path, (b.batch_id, source, note, "OK", b.rows, _now()), BATCHES)
 
