@@ -32,7 +32,7 @@ from regisight.llm.common import texts
 #: Fixed value: the pretoken pattern of byte-level BPE.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPACE_BEFORE_SPACE = regex.compile(r"[^\S ] ").search
-CACHE = 800_000
+CACHE = 300_000
 NONE = 1 << 62
 LOCKSTEP = 64
 _SHIFT = 32
@@ -306,9 +306,14 @@ def encode_checked(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
         for b in batches:
             batch = list(texts(b.column(1)))
             c.learn(batch)
-            ids = [c.encode(t) for t in batch]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64()),
-                                              pa.array([c.decode(x) == t for x, t in zip(ids, batch, strict=True)], pa.bool_())], names=["doc_id", "ids", "n_tokens", "exact"])
+            ids, exact = [], []
+            for t in batch:
+                decimals = joined.split(",") if (joined := c.encode_joined(t)) else []
+                ids.append(np.array(decimals, dtype=np.int32))
+                exact.append(b"".join(map(c.piece_of_decimal.__getitem__, decimals)).decode("utf-8", "replace") == t)
+            n = np.array([len(x) for x in ids], dtype=np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
+            yield pa.RecordBatch.from_arrays([b.column(0), lists, pa.array(n), pa.array(exact, pa.bool_())], names=["doc_id", "ids", "n_tokens", "exact"])
 
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(run, "doc_id long, ids array<int>, n_tokens long, exact boolean")
 
