@@ -29,7 +29,7 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """Only (iid, tkey, doc_id, text): a null id sorts after all others, a null text is empty. tkey tells
     rows apart that share an id with different texts. Other columns are left out, so their names can't clash."""
     id_, text = F.col(f"`{id_col}`").cast("long"), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    return docs.select(F.coalesce(id_, F.lit(MAX_ID)).alias("iid"), F.xxhash64(text).alias("tkey"), id_.alias("doc_id"), text.alias("text"))
+    return docs.select(F.coalesce(id_, F.lit(MAX_ID)).alias("iid"), F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF)).alias("tkey"), id_.alias("doc_id"), text.alias("text"))
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -112,7 +112,7 @@ def _cleaned(docs: DataFrame, id_col: str, text_col: str, rest: list[str], least
     drop = marks.groupBy("iid", "tkey").agg(F.collect_list(F.struct("begin", "end")).alias("drop"))
     own, id_ = F.coalesce(F.col(f"`{text_col}`"), F.lit("")), F.col(f"`{id_col}`").cast("long")
     row = F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in rest))
-    left = docs.select(F.coalesce(id_, F.lit(9223372036854775807)).alias("iid"), F.xxhash64(own).alias("tkey"), row.alias("row"), F.col(f"`{text_col}`").alias("text"))
+    left = docs.select(F.coalesce(id_, F.lit(9223372036854775807)).alias("iid"), F.xxhash64(own).bitwiseAND(F.lit(0xFFFFFFFF)).alias("tkey"), row.alias("row"), F.col(f"`{text_col}`").alias("text"))
     joined = left.join(drop, ["iid", "tkey"], "left").select("row", "text", "drop")
     return joined.mapInArrow(_rest, f"row {joined.schema['row'].dataType.simpleString()}, text string, n_lines long, n_removed_lines long")
 

@@ -63,7 +63,7 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 def anchors(buf: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash, first window, last window, sides) of each run of windows with the same anchor hash, for texts that
     lie one after another; no window crosses texts. Worked off in blocks, which changes nothing as an anchor
-    depends on its window alone (a run may come in two parts). sides: 15 and 16 bits of the hashes of the bytes left
+    depends on its window alone (a run may come in two parts). sides: 8 bits each of the hashes of the bytes left
     and right of the anchor; 0 if the run has anchors at several places, as in a text that repeats itself."""
     n = len(buf) - length + 1
     cut = np.zeros(max(n, 0), dtype=bool)
@@ -82,8 +82,8 @@ def anchors(buf: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: in
         first = np.flatnonzero(new)
         last = np.concatenate([first[1:], [len(at)]]) - 1
         place = at[first] + halo
-        left, right = h[np.maximum(place - gram, 0)] >> np.uint64(49), h[np.minimum(place + gram, len(h) - 1)] >> np.uint64(48)
-        sides = np.maximum((left << np.uint64(16) | right).astype(np.int64), 1)
+        left, right = h[np.maximum(place - gram, 0)] >> np.uint64(56), h[np.minimum(place + gram, len(h) - 1)] >> np.uint64(56)
+        sides = np.maximum((left << np.uint64(8) | right).astype(np.int64), 1)
         out.append((core[at[first]], first + lo, last + lo, np.where(at[first] == at[last], sides, 0)))
     h, first, last, sides = (np.concatenate(x) for x in zip(*out, strict=True))
     inside = first + length <= offsets[np.searchsorted(offsets, first, "right")] if len(first) else np.zeros(0, dtype=bool)
@@ -333,7 +333,7 @@ def marked_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     found = text.mapInArrow(_anchor_rows(length), "h long, iid long, tkey long, at long, sides long").withColumn("sides", F.col("sides").cast("int"))
     same = lambda *more: Window.partitionBy("h", *more)  # noqa: E731  all within the partitions by h
     often = found.withColumn("n", F.count(F.lit(1)).over(same())).withColumn("single", F.min(F.col("sides") != 0).over(same())).filter("n > 1 or not single")
-    left, right = F.shiftright("sides", 16), F.col("sides").bitwiseAND(F.lit(0xFFFF))
+    left, right = F.shiftright("sides", 8), F.col("sides").bitwiseAND(F.lit(0xFF))
     sided = often.withColumn("l", left).withColumn("r", right).withColumn("nl", F.count(F.lit(1)).over(same("l"))).withColumn("nr", F.count(F.lit(1)).over(same("r")))
     often = sided.filter("not single or nl > 1 or nr > 1")
     wanted = often.groupBy("iid", "tkey").agg(F.collect_list(F.struct("h", "at")).alias("wanted"))
