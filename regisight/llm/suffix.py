@@ -38,6 +38,7 @@ from regisight.llm.common import MAX_ID, keyed, mix, utf8
 LENGTH, GRAM = 100, 32
 BLOCK = 1 << 16
 SHARD_BYTES = 4 << 20
+LANES, SURE = 4096, 1 << 16
 _LOW = np.uint64((1 << 20) - 1)
 
 
@@ -180,8 +181,21 @@ def ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(n) else first
 
 
+def first_seen(h: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each (h, value) is the first such pair, and whether it comes more than once."""
+    by = np.lexsort((value, h))
+    new = np.ones(len(by) + 1, dtype=bool)
+    new[1:-1] = (h[by[1:]] != h[by[:-1]]) | (value[by[1:]] != value[by[:-1]])
+    first, several = np.empty(len(by), dtype=bool), np.empty(len(by), dtype=bool)
+    first[by], several[by] = new[:-1], ~(new[:-1] & new[1:])
+    return first, several
+
+
 def _anchor_rows(length: int):
-    """at: the first window of a run of windows within its text, times 2^20, plus the number of further ones."""
+    """at: the first window of a run of windows within its text, times 2^20, plus the number of further ones.
+    Rows whose hash and side repeat within the batch are sure candidates (SURE set in sides); those that bring no new
+    side of their hash stand for nothing that another row doesn't, and get a lane of their own: so a hash in any share
+    of all documents comes to one lane as often as there are batches and sides, not documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -189,8 +203,12 @@ def _anchor_rows(length: int):
             h, first, last, sides = anchors(buf, at, length)
             row = np.searchsorted(at, first, "right") - 1
             take = pa.array(row)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column(0).take(take), b.column(1).take(take), pa.array(((first - at[row]) << 20) + last - first), pa.array(sides)],
-                                             names=["h", "iid", "tkey", "at", "sides"])
+            vague = np.where(sides == 0, 256, 0)
+            (new_l, more_l), (new_r, more_r) = (first_seen(h, side + vague) for side in (sides >> 8, sides & 255))
+            lane = np.where(new_l | new_r, 0, 1 + row % LANES)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column(0).take(take), b.column(1).take(take), pa.array(((first - at[row]) << 20) + last - first),
+                                              pa.array((sides | np.where(more_l | more_r, SURE, 0)).astype(np.int32)), pa.array(lane.astype(np.int32))],
+                                             names=["h", "iid", "tkey", "at", "sides", "lane"])
 
     return run
 
@@ -330,12 +348,13 @@ def _merge_rows(length: int):
 def marked_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """docs: keyed rows. (iid, tkey, first, last): ranges of window starts that repeat an earlier window."""
     text = docs.select("iid", "tkey", "text")
-    found = text.mapInArrow(_anchor_rows(length), "h long, iid long, tkey long, at long, sides long").withColumn("sides", F.col("sides").cast("int"))
-    same = lambda *more: Window.partitionBy("h", *more)  # noqa: E731  all within the partitions by h
-    often = found.withColumn("n", F.count(F.lit(1)).over(same())).withColumn("single", F.min(F.col("sides") != 0).over(same())).filter("n > 1 or not single")
-    left, right = F.shiftright("sides", 8), F.col("sides").bitwiseAND(F.lit(0xFF))
+    found = text.mapInArrow(_anchor_rows(length), "h long, iid long, tkey long, at long, sides int, lane int")
+    same = lambda *more: Window.partitionBy("h", "lane", *more)  # noqa: E731  all within the partitions by h and lane
+    sure, both = F.col("sides") >= SURE, F.col("sides").bitwiseAND(F.lit(SURE - 1))
+    often = found.withColumn("n", F.count(F.lit(1)).over(same())).withColumn("single", F.min(both != 0).over(same())).filter(sure | (F.col("n") > 1) | ~F.col("single"))
+    left, right = F.shiftright(both, 8), F.col("sides").bitwiseAND(F.lit(0xFF))
     sided = often.withColumn("l", left).withColumn("r", right).withColumn("nl", F.count(F.lit(1)).over(same("l"))).withColumn("nr", F.count(F.lit(1)).over(same("r")))
-    often = sided.filter("not single or nl > 1 or nr > 1")
+    often = sided.filter(sure | ~F.col("single") | (F.col("nl") > 1) | (F.col("nr") > 1))
     wanted = often.groupBy("iid", "tkey").agg(F.collect_list(F.struct("h", "at")).alias("wanted"))
     local = text.join(wanted, ["iid", "tkey"]).select("iid", "tkey", "text", "wanted").mapInArrow(_shard_rows(length), MARKS)
     # marks of shards (h null) pass through the merging tasks, spread by document
