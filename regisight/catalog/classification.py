@@ -327,10 +327,10 @@ def reclassification_effect(spark: SparkSession, sf: str) -> DataFrame:
 
 @registered("WITH " + SQL_INTERFACE + """SELECT code_2025, lv.level, CASE lv.level WHEN 'CR' THEN 'CZ' WHEN 'KRAJ' THEN 'R' || band ELSE 'D' || p_size END AS territory,
 count(*) AS n FROM iface JOIN pt USING (ico) CROSS JOIN (VALUES ('CR'), ('KRAJ'), ('OKRES')) lv(level)
-WHERE auto_link AND level_2025 BETWEEN 1 AND 2 GROUP BY ALL""")
+WHERE auto_link AND (level_2025 BETWEEN 1 AND 3 OR code_2025 = '00') GROUP BY ALL""")
 def complement_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Subjects known only to a section or division (groups are the deepest level here)."""
-    return N.complement_counts(placed(spark, sf).filter("level_2025 < 3"))
+    """Subjects known only to a section, division or group (groups are the deepest level of these lists)."""
+    return N.complement_counts(placed(spark, sf))
 
 
 @registered("WITH " + SQL_INTERFACE + """SELECT CASE WHEN auto_link AND (section = 'A' OR division IN ('63', '66')) THEN 'industry'

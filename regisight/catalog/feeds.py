@@ -44,15 +44,14 @@ def snapshot_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
         "ico", "okreslau", "ddatvzn", "ddatzan", "zpzan", "forma", "katpo", "firma", "datplat")
 
 
-@registered("""SELECT l_orderkey AS ico_key, CAST(l_linenumber AS VARCHAR) AS zdrud, '80004' AS kodcis, l_returnflag AS hodn, max(CAST(l_shipdate AS DATE)) AS ddatpakt
-FROM lineitem GROUP BY 1, 2, 4""")
+@registered("""SELECT l_orderkey AS ico_key, CAST(l_linenumber AS VARCHAR) AS zdrud, '80004' AS kodcis, l_returnflag AS hodn, CAST(l_shipdate AS DATE) AS ddatpakt
+FROM lineitem""")
 def activity_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Activity file: several rows per subject, no quoted text, so its files split."""
     root = work_path(spark, "activities")
-    li = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber", "l_returnflag").agg(F.max(F.to_date("l_shipdate")).alias("d"))
-    rows = li.select(
+    rows = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("ICO"), F.col("l_linenumber").cast("string").alias("ZDRUD"), F.lit("80004").alias("KODCIS"),
-        F.col("l_returnflag").alias("HODN"), F.lit("2001-08-01").alias("DATPLAT"), F.col("d").cast("string").alias("DDATPAKT"),
+        F.col("l_returnflag").alias("HODN"), F.lit("2001-08-01").alias("DATPLAT"), F.to_date("l_shipdate").cast("string").alias("DDATPAKT"),
         F.lit(None).cast("string").alias("PRIZNAK"))
     rows.write.option("header", True).csv(root)
     t = S.typed(S.read_snapshot(spark, S.ACTIVITIES, root), S.ACTIVITIES)
@@ -82,26 +81,25 @@ def published_long(spark: SparkSession, sf: str) -> DataFrame:
 CAST(sum(CAST(l_quantity AS DECIMAL(18,0))) AS DOUBLE) AS value, CASE WHEN year(o_orderdate) = 2001 THEN 'p' ELSE '' END AS status
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY ALL""", ints=("year",))
 def json_stat(spark: SparkSession, sf: str) -> DataFrame:
-    """One JSON-stat document per region (districts x years x sections of the code lists), decoded again."""
+    """One JSON-stat document per region (its districts x years x sections), decoded again."""
     s = sales(spark, sf).select("region", "district", "section", "year", F.col("emp").cast("double").alias("v"))
-    sections, first, years = ["A", "B", "F", "H", "M"], 1995, 7
-    geo = s.select("region", "district").distinct().groupBy("region").agg(F.array_sort(F.collect_list("district")).alias("geos"))
+    lists = {"geos": "district", "years": "year", "sections": "section"}
+    geo = s.groupBy("region").agg(*[F.array_sort(F.collect_set(c)).alias(a) for a, c in lists.items()])
     j = s.join(geo, "region")
-    g = F.array_position("geos", F.col("district")) - 1
-    k = F.array_position(F.array(*[F.lit(x) for x in sections]), F.col("section")) - 1
-    index = ((g * years + (F.col("year") - first)) * len(sections) + k).cast("string")
-    docs = j.groupBy("region", "geos").agg(
+    g, y, k = (F.array_position(a, F.col(c)) - 1 for a, c in lists.items())
+    index = ((g * F.size("years") + y) * F.size("sections") + k).cast("string")
+    docs = j.groupBy("region", *lists).agg(
         F.map_from_entries(F.collect_list(F.struct(index.alias("i"), F.col("v").alias("v")))).alias("value"),
         F.map_from_entries(F.array_compact(F.collect_list(F.when(F.col("year") == 2001, F.struct(index.alias("i"), F.lit("p").alias("f")))))).alias("status"))
 
     def dimension(names):
         return F.struct(F.struct(F.map_from_arrays(names, F.transform(names, lambda x, i: i)).alias("index")).alias("category"))
 
-    year_list = F.array(*[F.lit(str(first + i)) for i in range(years)])
+    year_list = F.transform("years", lambda y: y.cast("string"))
     text = docs.select(F.to_json(F.struct(
         F.array(F.lit("geo"), F.lit("time"), F.lit("nace_r2")).alias("id"),
         F.struct(dimension(F.col("geos")).alias("geo"), dimension(year_list).alias("time"),
-                 dimension(F.array(*[F.lit(x) for x in sections])).alias("nace_r2")).alias("dimension"),
+                 dimension(F.col("sections")).alias("nace_r2")).alias("dimension"),
         "value", "status", F.lit("2026-01-01").alias("updated"))).alias("value"))
     root = work_path(spark, "jsonstat")
     text.write.text(root)
@@ -111,12 +109,14 @@ def json_stat(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- registry records: each order is a subject, its line items are its history ----------------------
 
+LINE = ("l_linenumber", "d", "q", "l_linestatus", "l_partkey", "l_suppkey")
+
+
 def order_records(spark: SparkSession, sf: str) -> DataFrame:
-    """Base and history record of each order as JSON. One line is kept per line number and return flag, so
-    a record stays small however many lines an order has."""
-    li = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber", "l_returnflag").agg(F.min(F.struct(
-        F.to_date("l_shipdate").alias("d"), F.col("l_quantity").cast("int").alias("q"), "l_linestatus", "l_partkey", "l_suppkey")).alias("line")
-    ).select("l_orderkey", "l_linenumber", "l_returnflag", "line.*")
+    """Base and history record of each order as JSON, with all its lines in the order of LINE."""
+    li = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", F.to_date("l_shipdate").alias("d"), F.col("l_quantity").cast("int").alias("q"),
+        "l_linestatus", "l_partkey", "l_suppkey")
     c = F.col
     text = lambda day: day.cast("string")
     valued = F.struct(text(c("d")).alias("datumZapisu"), text(F.date_add("d", c("q") * 10)).alias("datumVymazu"),
@@ -131,12 +131,12 @@ def order_records(spark: SparkSession, sf: str) -> DataFrame:
                  F.lit("1970-05-05").alias("datumNarozeni")).alias("fyzickaOsoba"))
 
     def listed(flag: str, what):
-        return F.array_sort(F.collect_list(F.when(c("l_returnflag") == flag, F.struct(c("l_linenumber").alias("n"), what.alias("e")))))
+        return F.array_sort(F.collect_list(F.when(c("l_returnflag") == flag, F.struct(*LINE, what.alias("e")))))
 
     g = li.groupBy("l_orderkey").agg(
         F.transform(listed("A", valued), lambda x: x["e"]).alias("names"), F.transform(listed("R", valued), lambda x: x["e"]).alias("forms"),
         F.transform(listed("N", mark), lambda x: x["e"]).alias("marks"),
-        F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", member.alias("e")))), lambda x: x["e"]).alias("members"))
+        F.transform(F.array_sort(F.collect_list(F.struct(*LINE, member.alias("e")))), lambda x: x["e"]).alias("members"))
     ico = F.lpad(c("l_orderkey").cast("string"), 8, "0")
     base = F.to_json(F.struct(ico.alias("ico"), F.lit("Base name").alias("obchodniJmeno"), F.lit("112").alias("pravniForma"),
                               F.lit("1990-01-01").alias("datumVzniku"), F.lit("CZ12345678").alias("dic")))
@@ -148,11 +148,11 @@ def order_records(spark: SparkSession, sf: str) -> DataFrame:
 
 _ATTR = ("name", "form", "mark")
 SQL_LINES = """
-WITH lines AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_returnflag
-  ORDER BY CAST(l_shipdate AS DATE), CAST(l_quantity AS INTEGER), l_linestatus, l_partkey, l_suppkey) AS rn FROM lineitem) WHERE rn = 1)"""
+WITH lines AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey
+  ORDER BY l_linenumber, CAST(l_shipdate AS DATE), CAST(l_quantity AS INTEGER), l_linestatus, l_partkey, l_suppkey) AS pos FROM lineitem)"""
 
 SQL_RECORDS = SQL_LINES + """,
-iv AS (SELECT l_orderkey AS k, l_linenumber AS pos, CASE l_returnflag WHEN 'A' THEN 'name' WHEN 'R' THEN 'form' ELSE 'mark' END AS attribute,
+iv AS (SELECT l_orderkey AS k, pos, CASE l_returnflag WHEN 'A' THEN 'name' WHEN 'R' THEN 'form' ELSE 'mark' END AS attribute,
    CAST(l_shipdate AS DATE) AS s, CAST(l_shipdate AS DATE) + CAST(l_quantity AS INTEGER) * 10 AS e,
    CASE WHEN l_returnflag = 'N' THEN l_linestatus || ' ' || l_linenumber || '/KS' ELSE l_linestatus || l_linenumber END AS value FROM lines
  WHERE CAST(l_quantity AS INTEGER) > 0),

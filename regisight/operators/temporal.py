@@ -11,16 +11,22 @@ from pyspark.sql import functions as F
 
 from regisight.functions.codes import valid_at
 
-# Days are numbered from 0001-01-01; blocks of 4^level days, level 0..LEVELS, cover about 2,870 years.
-LEVELS = 10
+# Days are numbered from 0001-01-01; the one block of 4^LEVELS days holds every day the date type has (to 9999-12-31),
+# and the number after it stands for "never", which no day reaches.
+LEVELS = 11
 _SHIFT = 719162
-_END = 4 ** LEVELS
+_NEVER = 4 ** LEVELS
 
 
 def _day_number(day: Column) -> Column:
     return F.unix_date(day).cast("bigint") + _SHIFT
 
 
+def _end_number(end: Column | str) -> Column:
+    """Day number of an exclusive end; an open one (NULL) is after every day."""
+    return F.coalesce(_day_number(F.col(end)), F.lit(_NEVER).cast("bigint"))
+
+
 def _blocks(start: Column, end: Column) -> Column:
     """Aligned blocks of 4^level days that cover [start, end) exactly, at most six per level."""
 
@@ -63,11 +69,10 @@ def as_of(points: DataFrame, intervals: DataFrame, keys: list[str], day: str = "
     point = [*keys, day, *(carried or [])]
     one = intervals if attributes else intervals.withColumn("attribute", F.lit("value"))
     proper = one.filter(F.col("start").isNotNull() & (F.col("end").isNull() | (F.col("end") > F.col("start"))))
-    forever = F.lit("9999-12-31").cast("date")
     of = lambda a, x: F.max(F.when(F.col("attribute") == a, x))
     starts = proper.groupBy(*keys, F.col("start").alias("_t")).agg(
         *[of(a, F.struct((-F.col("pos")).alias("rank"), "value", "end")).alias(f"_b{i}") for i, a in enumerate(names)],
-        *[of(a, F.coalesce("end", forever)).alias(f"_e{i}") for i, a in enumerate(names)])
+        *[of(a, _end_number("end")).alias(f"_e{i}") for i, a in enumerate(names)])
     asked = points.select(*point).distinct().withColumn("_t", F.col(day)).withColumn("_p", F.lit(1))
     line = asked.unionByName(starts.withColumn("_p", F.lit(0)), allowMissingColumns=True)
     w = Window.partitionBy(*keys).orderBy("_t", "_p").rowsBetween(Window.unboundedPreceding, 0)
@@ -77,7 +82,7 @@ def as_of(points: DataFrame, intervals: DataFrame, keys: list[str], day: str = "
     holds = [F.col(f"_b{i}").isNotNull() & (F.col(f"_b{i}.end").isNull() | (F.col(f"_b{i}.end") > F.col(day))) for i in range(len(names))]
     base = seen.select(
         *point, *[F.when(h, F.col(f"_b{i}.value")).alias(a) for i, (a, h) in enumerate(zip(names, holds))],
-        *[F.coalesce(~h & (F.col(f"_e{i}") > F.col(day)), F.lit(False)).alias(f"_open{i}") for i, h in enumerate(holds)])
+        *[F.coalesce(~h & (F.col(f"_e{i}") > _day_number(F.col(day))), F.lit(False)).alias(f"_open{i}") for i, h in enumerate(holds)])
     any_open = F.lit(False)
     for i in range(len(names)):
         any_open = any_open | F.col(f"_open{i}")
@@ -92,10 +97,9 @@ def _by_blocks(points: DataFrame, intervals: DataFrame, keys: list[str], day: st
     """The same lookup for any nesting of intervals: an interval is cut into a few aligned day blocks, a
     block keeps only its best interval, and a point reads the blocks it lies in. Linear in both inputs
     and keyed by (key, block), so a hot key spreads over many tasks."""
-    end = F.coalesce(_day_number(F.col("end")), F.lit(_END))
     cover = intervals.select(
         *keys, "attribute", F.struct("start", (-F.col("pos")).alias("rank"), "value").alias("best"),
-        F.inline(_blocks(_day_number(F.col("start")), end)))
+        F.inline(_blocks(_day_number(F.col("start")), _end_number("end"))))
     per_block = cover.groupBy(*keys, "level", "block").agg(
         *[F.max(F.when(F.col("attribute") == a, F.col("best"))).alias(a) for a in names])
     number = _day_number(F.col(day))
@@ -167,11 +171,11 @@ def overlap_violations(intervals: DataFrame, keys: list[str]) -> DataFrame:
     open_end = F.lit("9999-12-31").cast("date")
     proper = intervals.filter(F.col("end").isNull() | F.col("start").isNull() | (F.col("end") > F.col("start")))
     daily = proper.groupBy(*keys, F.coalesce("start", F.lit("0001-01-01").cast("date")).alias("start")).agg(
-        F.max(F.coalesce("end", open_end)).alias("end"), F.count(F.lit(1)).alias("rows")
+        F.max(F.coalesce("end", open_end)).alias("end"), F.max(_end_number("end")).alias("_e"), F.count(F.lit(1)).alias("rows")
     )
     before = Window.partitionBy(*keys).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    reach = daily.withColumn("overlaps_until", F.max("end").over(before))
-    return reach.filter((F.col("overlaps_until") > F.col("start")) | (F.col("rows") > 1))
+    reach = daily.withColumn("overlaps_until", F.max("end").over(before)).withColumn("_reach", F.max("_e").over(before))
+    return reach.filter((F.col("_reach") > _day_number(F.col("start"))) | (F.col("rows") > 1)).drop("_e", "_reach")
 
 
 def at_time(versions: DataFrame, valid: Column, recorded: Column) -> DataFrame:
