@@ -53,10 +53,10 @@ def findings_structure(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SQL_RT = snapshot.SQL_FLOW + """,
-rt AS (SELECT section, territory, year, CASE WHEN year < 2001 THEN round(100.0 * closed / nullif(stock, 0), 2) END AS rate FROM flow WHERE level <> 'OKRES'),
-tt AS (SELECT territory, year, sum(stock) AS s, sum(closed) AS c FROM flow WHERE level <> 'OKRES' GROUP BY 1, 2),
+rt AS (SELECT section, territory, year, CASE WHEN year < 2001 THEN round(100.0 * closed / nullif(stock, 0), 2) END AS rate FROM flow),
+tt AS (SELECT territory, year, sum(stock) AS s, sum(closed) AS c FROM flow GROUP BY 1, 2),
 ot AS (SELECT section, territory, year, CASE WHEN year < 2001 THEN round(100.0 * (c - closed) / nullif(s - stock, 0), 2) END AS o
-  FROM flow JOIN tt USING (territory, year) WHERE level <> 'OKRES'),
+  FROM flow JOIN tt USING (territory, year)),
 r2 AS (SELECT *, max(year) OVER p AS ly, min(year) OVER p AS fy, count(*) OVER p AS n FROM rt WHERE rate IS NOT NULL WINDOW p AS (PARTITION BY section, territory)),
 r3 AS (SELECT r2.*, ot.o FROM r2 LEFT JOIN ot USING (section, territory, year)),
 ow AS (SELECT section, territory, max(ly) AS ly, min(fy) AS fy, max(n) AS n, max(rate) FILTER (WHERE year = ly) AS a, max(rate) FILTER (WHERE year = fy) AS f,
@@ -80,8 +80,7 @@ tr AS (SELECT *, coalesce(r * ro > 0 AND abs(ro) >= 0.03 AND abs(ro) >= 0.5 * ab
 
 
 def trend_findings(spark: SparkSession, sf: str) -> DataFrame:
-    flows = snapshot.flows(spark, sf).filter(F.col("level") != "OKRES")
-    series = Y.rates_beside_others(flows, "section", snapshot.LAST)
+    series = Y.rates_beside_others(snapshot.flows(spark, sf), "section", snapshot.LAST)
     return K.trend_changes(series, ["section"], "rate", "other_rate", "za rok")
 
 

@@ -120,7 +120,7 @@ def trend_changes(series: DataFrame, key: list[str], rate: str, other: str, labe
         row("poslední rok proti předchozím", many, c("last.r"), mean("r"), c("last.o"),
             F.when(c("last.o").isNotNull(), mean("o")), own_first, own_last),
         row("proti ČR", outside, c("last.r"), c("s_last.r"), c("last.o"), c("s_last.o"), own_last, state_last),
-        row("vývoj proti ČR", outside, index(c("last.r"), c("first.r")), index(c("s_last.r"), c("s_first.r")),
+        row("vývoj proti ČR", outside, F.when(many & (c("first.r") != 0), F.round(c("last.r") / c("first.r"), 2)), index(c("s_last.r"), c("s_first.r")),
             F.when(os_index.isNotNull(), o_index), F.when(o_index.isNotNull(), os_index),
             own_first, own_last, state_first, state_last),
     ))

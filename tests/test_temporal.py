@@ -39,6 +39,18 @@ def test_as_of_with_nested_intervals(spark):
     assert got == want
 
 
+def test_as_of_over_the_whole_calendar(spark):
+    """An open interval holds to the last day, also under nested ones far in the future."""
+    iv = spark.createDataFrame([
+        ("k", date(2000, 1, 1), None, "open", 0), ("k", date(2500, 1, 1), date(2600, 1, 1), "nested", 1), ("k", date(1, 1, 1), date(1990, 1, 1), "old", 2),
+        ("k", date(9000, 1, 1), date(9999, 12, 31), "late", 3)], "k string, start date, end date, value string, pos bigint")
+    want = {date(1, 1, 1): "old", date(1995, 1, 1): None, date(2550, 1, 1): "nested", date(2700, 1, 1): "open", date(2900, 1, 1): "open",
+            date(9500, 1, 1): "late", date(9999, 12, 31): "open"}
+    got = W.as_of(spark.createDataFrame([("k", x) for x in want], "k string, day date"), iv, ["k"])
+    assert {r.day: r.value for r in got.collect()} == want
+    assert {r.start for r in W.overlap_violations(iv, ["k"]).collect()} == {date(2500, 1, 1), date(9000, 1, 1)}
+
+
 def test_as_of_of_a_hot_key(spark):
     """A third of all intervals belongs to one key; every point still gets exactly its value."""
     hot = spark.range(20000).select(F.lit(0).cast("bigint").alias("k"), (F.col("id") % 3000).cast("int").alias("s"), "id")
