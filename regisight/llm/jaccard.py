@@ -67,7 +67,7 @@ def shingle_sets(buf: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> li
     first = np.searchsorted(at, offsets)
     k = np.uint64(0x9E3779B97F4A7C15)
     s = np.zeros(len(w), dtype=np.uint64)
-    for i in range(words):
+    for i in range(min(words, len(w))):
         s[: len(w) - i] = s[: len(w) - i] * k + w[i:]
     s = mix(s)
     out = []
