@@ -1,22 +1,29 @@
-"""Removal of repeated multi-line chunks with content-defined boundaries.
+"""Removal of repeated multi-line passages.
 
-A chunk ends after a line where the hash over the hashes of the last ROLL lines is a local minimum, so boundaries
-depend on nearby lines only and find their place again after insertions and deletions. Chunks of
-at least MIN_LINES lines are compared over the whole corpus: their hashes are counted, the bytes of chunks whose
-128-bit hash repeats are fetched and compared, and every occurrence but the first (by id, then line) is
-removed. A chunk whose bytes differ from others of the same hash is never removed.
+A passage is a run of MIN_LINES lines that are not blank, with the blank lines between them. Every such run is
+compared over the whole corpus, so a repeat of any length is found whole, wherever it begins or ends in either
+document: a longer repeat is the union of its runs. Besides, texts are cut into chunks that end after a line where
+the hash over the hashes of the last ROLL lines is a local minimum, so boundaries find their place again after
+insertions and deletions; chunks of MIN_LINES lines with fewer that are not blank are compared as well. Hashes are
+counted, the bytes of those whose 128-bit hash repeats are fetched and compared, and every occurrence
+but the first (by id, then line) is removed, unless it overlaps the first. Bytes that differ from others of
+the same hash are never removed. Blank lines go with the lines on both sides of them (or the end of the text).
 
-A chunk in a third of all documents is one row of a partial aggregation in each task; joins on the chunk hash are
+The first occurrence of every line stays in the corpus; where a document's own lines stand between
+repeats of two others, each repeat is judged by itself. Single lines are no passages, however long.
+
+A passage in a third of all documents is one row of a partial aggregation in each task; joins on the hash are
 plain equi-joins that may be split by the hash's rows.
 
 Defined results: a null text is empty and stays as it is; chunks of white space only are kept; a line is what
-lies between two \\n, and a removed chunk takes its line ends with it; rows that repeat an id are ordered by a
+lies between two \\n, and a removed passage takes its line ends with it; rows that repeat an id are ordered by a
 hash of their text, full repeats of a row are the same position and are treated alike; a null id comes after all
 others; an empty table gives an empty table; other columns are kept.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,6 +34,7 @@ from pyspark.sql import functions as F
 from regisight.llm.common import keyed, materialise, texts
 
 ROLL, MIN_LINES = 2, 2
+BLANK = " \t\n\r\x0b\x0c"  # what bytes.strip() takes away
 _MASK = (1 << 64) - 1
 
 
@@ -45,11 +53,19 @@ def chunks(lines: list[bytes], roll: int = ROLL) -> list[tuple[int, int]]:
     return list(zip(edges, edges[1:]))
 
 
+def passages(lines: list[bytes], least: int = MIN_LINES) -> list[tuple[int, int]]:
+    """[begin, end) line ranges that are compared: runs of so many lines that are not blank, and chunks with fewer."""
+    full = [i for i, x in enumerate(lines) if x.strip()]
+    runs = [(a, b + 1) for a, b in zip(full, full[least - 1 :])]
+    before = [0, *itertools.accumulate(1 if x.strip() else 0 for x in lines)]
+    return runs + [(a, b) for a, b in chunks(lines) if b - a >= least and 0 < before[b] - before[a] < least]
+
+
 def _signed(h: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def _chunk_rows(least: int):
+def _passage_rows(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[list] = [[] for _ in range(6)]
@@ -57,12 +73,10 @@ def _chunk_rows(least: int):
                 lines = text.encode("utf-8", "surrogatepass").split(b"\n")
                 if len(lines) < least:
                     continue
-                for begin, end in chunks(lines):
-                    body = b"\n".join(lines[begin:end])
-                    if end - begin >= least and body.strip():
-                        h = xxhash.xxh3_128_intdigest(body)
-                        for o, v in zip(out, (_signed(h >> 64), _signed(h & _MASK), iid, tkey, begin, end), strict=True):
-                            o.append(v)
+                for begin, end in passages(lines, least):
+                    h = xxhash.xxh3_128_intdigest(b"\n".join(lines[begin:end]))
+                    for o, v in zip(out, (_signed(h >> 64), _signed(h & _MASK), iid, tkey, begin, end), strict=True):
+                        o.append(v)
             types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, types, strict=True)], names=["h", "h2", "iid", "tkey", "begin", "end"])
 
@@ -82,16 +96,30 @@ def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_chunks(rows: DataFrame, least: int = MIN_LINES) -> DataFrame:
-    """rows: keyed documents. (iid, tkey, begin, end) of every chunk occurrence that repeats an earlier one."""
+    """rows: keyed documents. (iid, tkey, begin, end) of every passage that repeats an earlier one."""
     text = rows.select("iid", "tkey", "text")
-    found = materialise(text.mapInArrow(_chunk_rows(least), "h long, h2 long, iid long, tkey long, begin int, end int"), "chunks")
+    found = materialise(text.mapInArrow(_passage_rows(least), "h long, h2 long, iid long, tkey long, begin int, end int"), "chunks")
     place = F.struct("iid", "tkey", "begin")
     often = found.groupBy("h", "h2").agg(F.count(F.lit(1)).alias("c"), F.min(place).alias("first")).filter("c > 1").drop("c")
     again = materialise(found.join(often, ["h", "h2"]), "repeats")
     wanted = again.groupBy("iid", "tkey").agg(F.collect_list(F.struct("h", "h2", "begin", "end")).alias("wanted"))
     bodies = text.join(wanted, ["iid", "tkey"]).select("text", "wanted").mapInArrow(_bodies, "h long, h2 long, body binary")
-    same = bodies.groupBy("h", "h2").agg(F.min("body").alias("lo"), F.max("body").alias("hi")).filter("lo = hi").select("h", "h2")
-    return again.join(same, ["h", "h2"]).filter(place > F.col("first")).select("iid", "tkey", "begin", "end")
+    same = bodies.distinct().groupBy("h", "h2").agg(F.count(F.lit(1)).alias("c")).filter("c = 1").select("h", "h2")
+    own = (F.col("iid") == F.col("first.iid")) & (F.col("tkey") == F.col("first.tkey")) & (F.col("begin") < F.col("first.begin") + F.col("end") - F.col("begin"))
+    return again.join(same, ["h", "h2"]).filter((place > F.col("first")) & ~own).select("iid", "tkey", "begin", "end")
+
+
+def _with_blanks(lines: list[str], gone: set[int]) -> set[int]:
+    """gone and the blank lines that have removed lines, or an end of the text, on both sides."""
+    if not gone:
+        return gone
+    stay = [-1, *(i for i, x in enumerate(lines) if i not in gone and x.strip(BLANK)), len(lines)]
+    out = set(gone)
+    for a, b in zip(stay, stay[1:]):
+        inside = [i for i in range(a + 1, b) if i in gone]
+        if inside:
+            out.update(range(0 if a < 0 else inside[0], len(lines) if b == len(lines) else inside[-1] + 1))
+    return out
 
 
 def _rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +127,7 @@ def _rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, n_lines, n_removed = [], [], []
         for text, drop in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
             lines = (text or "").split("\n")
-            gone = {k for d in drop or () for k in range(d["begin"], d["end"])}
+            gone = _with_blanks(lines, {k for d in drop or () for k in range(d["begin"], d["end"])})
             out.append(text if not gone else "\n".join(x for k, x in enumerate(lines) if k not in gone))
             n_lines.append(len(lines))
             n_removed.append(len(gone))

@@ -2,7 +2,9 @@
 
 import collections
 
-from regisight.llm import jaccard
+import numpy as np
+
+from regisight.llm import jaccard, linededup
 
 SCHEMA = "doc_id long, text string"
 
@@ -13,6 +15,38 @@ def test_jaccard_of_few_words_alone(spark):
     rows = [(1, "a b"), (2, long), (3, "c d e"), (4, long + " end"), (5, "A  B")]
     got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_duplicates(spark.createDataFrame(rows, SCHEMA).coalesce(1)).collect())
     assert got == collections.Counter([(1, 1, 1), (2, 199_996, 2), (3, 1, 3), (4, 199_997, 2), (5, 1, 1)])
-    for text in ("a b", "c d e"):
-        alone = jaccard.near_duplicates(spark.createDataFrame([(7, text)], SCHEMA).coalesce(1)).collect()
-        assert [tuple(r) for r in alone] == [(7, 1, 7)]
+    for text in (b"a b", b"c d e"):
+        assert [len(x) for x in jaccard.shingle_sets(np.frombuffer(text, np.uint8), np.array([0, len(text)]))] == [1]
+
+
+def without_repeats(rows):
+    """Brute force of line dedup for distinct ids: lines of a pair that an earlier place has, pairs skip blank lines."""
+    first, out = {}, {}
+    for i, text in sorted(rows):
+        lines = text.split("\n")
+        full = [k for k, x in enumerate(lines) if x.strip()]
+        gone = set()
+        for a, b in zip(full, full[1:]):
+            place = first.setdefault("\n".join(lines[a : b + 1]), (i, a, b))
+            if place != (i, a, b) and not (place[0] == i and a <= place[2]):
+                gone |= set(range(a, b + 1))
+        for k in range(len(lines)):
+            if not lines[k].strip() and gone:
+                above, below = [x for x in full if x < k], [x for x in full if x > k]
+                if (not above or above[-1] in gone) and (not below or below[0] in gone):
+                    gone.add(k)
+        out[i] = (len(gone), "\n".join(x for k, x in enumerate(lines) if k not in gone))
+    return out
+
+
+def test_line_dedup_finds_every_repeated_run(spark):
+    own = lambda k, n: [f"own line {k} {j} of this document" for j in range(n)]
+    source = [f"passage line {j} of the source" for j in range(30)]
+    rows = [(0, "\n".join(source))]
+    for k, (a, n) in enumerate([(0, 2), (3, 2), (5, 3), (9, 2), (12, 4), (17, 2), (20, 3), (28, 2), (11, 1), (0, 30), (0, 29)], 1):
+        rows.append((k, "\n".join(own(k, k % 4) + source[a : a + n] + own(-k, (k + 1) % 3))))
+    rows += [(20, "a\nb\na\nb\na"), (21, "z\nz\nz\nz\nz"), (22, "p\n\nq\n\n\nr"), (23, "x\np\n\nq\n"), (24, "\np\n\nq\n\n\nr\n \n"), (25, ""), (26, "\n\n"), (27, "\n\n"), (12, rows[0][1])]
+    want = without_repeats(rows)
+    assert [want[k][0] for k in (1, 2, 3, 8, 9, 10, 11)] == [2, 2, 3, 2, 0, 30, 29] and want[12] == (30, "")
+    got = {r.doc_id: (r.n_removed_lines, r.text) for r in linededup.line_counts(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    assert got == want
