@@ -1,10 +1,13 @@
 """Cases in which an operator did less than its whole job."""
 
 import collections
+import itertools
+import random
+import re
 
 import numpy as np
 
-from regisight.llm import jaccard, linededup
+from regisight.llm import chat, jaccard, linededup
 
 SCHEMA = "doc_id long, text string"
 
@@ -50,3 +53,58 @@ def test_line_dedup_finds_every_repeated_run(spark):
     assert [want[k][0] for k in (1, 2, 3, 8, 9, 10, 11)] == [2, 2, 3, 2, 0, 30, 29] and want[12] == (30, "")
     got = {r.doc_id: (r.n_removed_lines, r.text) for r in linededup.line_counts(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
     assert got == want
+
+
+def parents(rows):
+    """Brute force of quotation linking: (conv_id, turn) -> parent, one text per turn."""
+    def lines_of(text):
+        cut = [re.match(r"^\s*(?:>\s?)+", x) for x in text.split("\n")]
+        levels = [m[0].count(">") if m else 0 for m in cut]
+        bodies = [" ".join(x[m.end() if m else 0 :].lower().split()) for x, m in zip(text.split("\n"), cut)]
+        for lev, run in itertools.groupby(zip(levels, bodies), key=lambda x: x[0]):
+            run = [b for _, b in run]
+            whole = " ".join(b for b in run if b)
+            for full, part in itertools.groupby(run, key=bool):
+                part = list(part)
+                if full:
+                    for b in part:
+                        yield lev, b, {b, " ".join(part), whole}
+
+    out = {}
+    for c, t, text in rows:
+        mine = collections.defaultdict(set)
+        for lev, b, keys in lines_of(text):
+            if lev:
+                mine[lev, b] |= keys
+        votes = []
+        for c2, p, other in rows:
+            if c2 == c and p < t:
+                held = set().union(*(k for lev, _, k in lines_of(other) if not lev))
+                hit = [lev for (lev, _), k in mine.items() if k & held]
+                if hit:
+                    votes.append((hit.count(1), len(hit), p))
+        out[c, t] = max(votes)[2] if votes else None
+    return out
+
+
+def test_quotations_by_most_lines(spark):
+    rows = [(1, 0, "text\nRegards\nBob"), (1, 1, "other\nRegards\nBob"), (1, 2, "> text\n> Regards\n> Bob\nfine"),
+            (2, 0, "a long line that the mail client\nwraps\n\nnext"), (2, 1, "wraps\nnext to it"), (2, 2, "> a long line that\n> the mail client wraps\nyes"), (2, 3, "> Regards\nno")]
+    pick = random.Random(5)
+    said = [f"s{k}" for k in range(12)] + ["Regards", "Bob", "a b", "b", "a"]
+    for c in range(3, 9):
+        texts = []
+        for t in range(9):
+            quote = []
+            for other in pick.sample(texts, min(len(texts), pick.randint(0, 2))):
+                flat = " ".join(other).split() if pick.random() < 0.3 else other
+                at = pick.randint(0, max(0, len(flat) - 1))
+                quote += ["> " * (1 + pick.randint(0, 1)) + x if x else ">" for x in flat[at : at + pick.randint(1, 6)]]
+            own = [pick.choice([*said, ""]) for _ in range(pick.randint(1, 4))] + ["Regards", "Bob"]
+            texts.append(own)
+            rows.append((c, t, "\n".join(quote + own)))
+    want = parents(rows)
+    assert want[1, 2] == 0 and want[2, 2] == 0 and want[2, 3] is None and sum(p is not None for p in want.values()) > 30
+    talk = spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): r.parent_turn for r in chat.reply_order(talk).select("conv_id", "turn", "parent_turn").collect()}
+    assert got == want
