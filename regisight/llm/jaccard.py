@@ -18,7 +18,7 @@ pair that could link two components is looked at, none is capped, and copies in
 Defined results: a null or empty text, or one without words, has an empty set, 0 shingles and is linked with
 nothing; fewer words than WORDS make one shingle of the whole sequence; rows that share an id are linked with
 each other; a null id is one document that comes after all others, its component being null if it is alone; an
-empty table gives an empty table; other columns are kept by keep_representatives.
+empty table gives an empty table. keep_representatives links rows by their texts alone and keeps other columns.
 """
 
 from __future__ import annotations
@@ -393,7 +393,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(back(F.col("iid")).alias("doc_id"), F.col("n").alias("n_shingles"), back(F.coalesce("component", "iid")).alias("component_id"))
 
 
+def _row_keys(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """docs with __id, __null, __words (whether the text has any) and __key, and (__key, __id, __null, c) of every distinct pair
+    of id and text that has words. __key is a 64-bit hash of both under the first seed that gives no two pairs (told apart by 128 bits) the same."""
+    text, id_ = F.coalesce(F.col(f"`{text_col}`"), F.lit("")), F.col(f"`{id_col}`").cast("long")
+    own = [id_.isNull(), F.coalesce(id_, F.lit(0)), text]
+    seed = 0
+    while True:
+        marked = docs.select("*", F.coalesce(id_, F.lit(MAX_ID)).alias("__id"), id_.isNull().alias("__null"), F.rlike(text, F.lit("[^\\x09-\\x0d\\x20]")).alias("__words"),
+                             F.xxhash64(F.lit(seed), *own).alias("__key"), F.xxhash64(F.lit(-1 - seed), *own).alias("__second"))
+        keys = materialise(marked.filter("__words").groupBy("__key", "__id", "__null").agg(F.count(F.lit(1)).alias("c"), F.min("__second").alias("lo"), F.max("__second").alias("hi")), "keys")
+        if keys.filter("lo <> hi").isEmpty() and keys.groupBy("__key").count().filter("count > 1").isEmpty():
+            return marked.drop("__second"), keys.drop("lo", "hi")
+        seed += 1
+
+
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The document with the smallest id of each component, with all columns; documents without words stay."""
-    c = near_duplicates(docs, id_col, text_col, words, percent).filter("n_shingles > 0 and not (doc_id <=> component_id)").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(c, docs[id_col].cast("long").eqNullSafe(F.col("__gone")), "left_anti")
+    """The document with the smallest id of each component, with all columns; documents without words stay. Rows are
+    linked by their texts alone: a shared or null id links nothing. Null ids come last, equal ids are ordered
+    by a hash of the row's id and text; of rows with the same id and text one stays."""
+    marked, keys = _row_keys(docs, id_col, text_col)
+    own = ["__id", "__null", "__words", "__key"]
+    several = keys.filter("c > 1").select("__key")
+    if not several.isEmpty():
+        again = several.withColumn("__words", F.lit(True))
+        once = marked.join(again, ["__key", "__words"], "left_semi").dropDuplicates(["__key"])
+        marked = materialise(marked.join(again, ["__key", "__words"], "left_anti").unionByName(once), "once")
+    near = near_duplicates(marked.filter("__words").select("__key", F.col(f"`{text_col}`").alias("__text")), "__key", "__text", words, percent)
+    full = lambda c: F.coalesce(c, F.lit(MAX_ID))
+    linked = materialise(near.select(full("doc_id").alias("__key"), full("component_id").alias("c")).filter("__key <> c"), "linked")
+    member = materialise(linked.unionByName(linked.select(F.col("c").alias("__key"), "c").distinct()), "linked")
+    best = member.join(keys.drop("c"), "__key").groupBy("c").agg(F.min(F.struct("__null", "__id", "__key")).alias("best"))
+    gone = member.select("__key").join(best.select(F.col("best.__key").alias("__key")), "__key", "left_anti").withColumn("__words", F.lit(True))
+    return marked.join(gone, ["__key", "__words"], "left_anti").drop(*own)

@@ -108,3 +108,14 @@ def test_quotations_by_most_lines(spark):
     talk = spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
     got = {(r.conv_id, r.turn): r.parent_turn for r in chat.reply_order(talk).select("conv_id", "turn", "parent_turn").collect()}
     assert got == want
+
+
+def test_representatives_by_row(spark):
+    words = [f"w{i}" for i in range(60)]
+    near = " ".join([*words[:58], "x", "y"])
+    rows = [(1, " ".join(words), "a"), (None, near, "b"), (None, "an unrelated text of its own", "c"), (None, "another one that nobody else has", "d"), (5, "first text of a shared id", "e"),
+            (5, "and the second text of it", "f"), (7, "in full the same row here", "g"), (7, "in full the same row here", "g"), (None, "a copy under two null ids", "h"), (None, "a copy under two null ids", "h"),
+            (9, "IN FULL the same row here", "i"), (None, None, "j"), (None, "", "k"), (3, " ", "l"), (3, " ", "l")]
+    docs = spark.createDataFrame(rows, SCHEMA + ", source string").repartition(3)
+    kept = jaccard.keep_representatives(docs)
+    assert kept.columns == docs.columns and sorted(r.source for r in kept.collect()) == list("acdefghjkll")
