@@ -1,10 +1,11 @@
 """A training corpus from raw documents, stage by stage.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, written as Parquet and read again as the next
-one's docs. Quality rules drop bad documents, line dedup removes repeated multi-line chunks from the texts,
+one's docs. Quality rules drop bad documents, line dedup removes repeated multi-line passages from the
+texts and drops documents of which nothing remains (copies of what earlier ones hold),
 the n-gram Jaccard join keeps the smallest id of each group of near duplicates, decontamination drops documents with
 benchmark passages, and BPE turns the rest into token ids. Null and empty texts fail the quality rules; repeated rows
-pass or fall together; an empty table stays empty; columns beyond those of documents pass through.
+pass or fall together until the join, which keeps one of those with the same id and text; an empty table stays empty; columns beyond those of documents pass through.
 """
 
 from __future__ import annotations
@@ -23,9 +24,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated chunks; n_chars follows the text."""
+    """Texts without repeated passages, without the documents that were repeats as a whole; n_chars follows the text."""
     small_batches(spark)
-    out = linededup.remove_repeated_lines(docs)
+    out = linededup.remove_repeated_lines(docs, drop_whole=True)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 

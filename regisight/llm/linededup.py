@@ -150,7 +150,8 @@ def line_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return _cleaned(docs, id_col, text_col, [id_col], least).select(F.col("row")[id_col].alias("doc_id"), "n_lines", "n_removed_lines", "text")
 
 
-def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = MIN_LINES) -> DataFrame:
-    """docs with the text that remains; all rows and columns stay."""
+def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = MIN_LINES, drop_whole: bool = False) -> DataFrame:
+    """docs with the text that remains; all rows and columns stay, but for drop_whole rows whose lines are all removed."""
     out = _cleaned(docs, id_col, text_col, [c for c in docs.columns if c != text_col], least)
+    out = out.filter("n_removed_lines < n_lines") if drop_whole else out
     return out.select(*(F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns))

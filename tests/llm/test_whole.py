@@ -119,3 +119,12 @@ def test_representatives_by_row(spark):
     docs = spark.createDataFrame(rows, SCHEMA + ", source string").repartition(3)
     kept = jaccard.keep_representatives(docs)
     assert kept.columns == docs.columns and sorted(r.source for r in kept.collect()) == list("acdefghjkll")
+
+
+def test_pipeline_drops_whole_repeats(spark):
+    import corpus_pipeline
+
+    text = "\n".join(f"line {k} of a text that is copied" for k in range(6))
+    docs = spark.createDataFrame([(1, text, 5), (2, text, 5), (3, "own\n" + text, 5), (4, "one line", 5), (5, None, 5), (6, "", 5)], SCHEMA + ", n_chars long")
+    out = {(r.doc_id, r.text, r.n_chars) for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
+    assert out == {(1, text, len(text)), (3, "own", 3), (4, "one line", 8), (5, None, None), (6, "", 0)}
