@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regisight.catalog import registered
+from regisight.catalog import ORACLE, registered
 from regisight.catalog import economy, regional, snapshot
 from regisight.operators import dynamics as Y
 from regisight.operators import findings as K
@@ -245,7 +245,8 @@ u AS ({_sql_found("odchylka_od_cr", "'LQ'", "lq", "lq_state", "pr")} UNION ALL {
 SELECT section, territory, kind, subtype, strength,
   rank() OVER (PARTITION BY section ORDER BY strength DESC, CASE kind WHEN 'odchylka_od_cr' THEN 1 ELSE 5 END, subtype) AS place FROM u""", ints=("place",))
 def findings_ranked(spark: SparkSession, sf: str) -> DataFrame:
-    """All findings of a section in order of strength, kind and subtype; equals share a place."""
+    """Deviations from the state and divergent ranks of regions by section, in order of strength, kind and subtype; equals
+    share a place. findings_all_ranked has all seven kinds."""
     from pyspark.sql import Window
 
     cells = stored_indicators(spark, sf)
@@ -255,3 +256,24 @@ def findings_ranked(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.array_position(F.array(*[F.lit(k) for k in K.KINDS]), F.col("kind"))
     order = Window.partitionBy("section").orderBy(F.desc("strength"), kind, "subtype")
     return full.select("section", "territory", "kind", "subtype", "strength", F.rank().over(order).alias("place"))
+
+
+TREND = "zmena_trendu"
+ALL_FINDINGS = (findings_deviation, findings_structure, findings_inside, findings_activity, findings_rank, findings_wages, findings_development,
+                findings_economy, findings_compensation)
+SQL_ALL = " UNION ALL ".join([f"SELECT section, territory, kind, subtype, strength FROM ({ORACLE[f.__name__]})" for f in ALL_FINDINGS]
+                             + [f"SELECT section, territory, '{TREND}', subtype, strength FROM ({ORACLE['findings_territory_effect']})"])
+
+
+@registered(f"""SELECT section, territory, kind, subtype, strength, rank() OVER (PARTITION BY section ORDER BY strength DESC,
+CASE kind {" ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(K.KINDS))} END, subtype) AS place FROM ({SQL_ALL})""", ints=("place",))
+def findings_all_ranked(spark: SparkSession, sf: str) -> DataFrame:
+    """All seven kinds of findings of a section in order of strength, kind and subtype; equals share a place."""
+    from pyspark.sql import Window
+
+    shown = ["section", "territory", "kind", "subtype", "strength"]
+    full = findings_territory_effect(spark, sf).withColumn("kind", F.lit(TREND)).select(*shown)
+    for f in ALL_FINDINGS:
+        full = full.unionByName(f(spark, sf).select(*shown))
+    kind = F.array_position(F.array(*[F.lit(k) for k in K.KINDS]), F.col("kind"))
+    return full.withColumn("place", F.rank().over(Window.partitionBy("section").orderBy(F.desc("strength"), kind, "subtype")))

@@ -1,4 +1,5 @@
-"""The report of every industry in every territory in one run: tables, protection, findings, audit, sink."""
+"""The report of every industry in every territory in one run: tables T03 to T09 and T18, their protection, findings of two
+kinds (deviations from the state and trends of rates), audit, sink. The other five kinds are queries of the catalog."""
 
 from __future__ import annotations
 
