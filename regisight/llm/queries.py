@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from regisight.llm import bpe, chat, decontaminate, html, jaccard, linededup, pii, quality, suffix, tokencount
+from regisight.llm import bpe, chat, covertree, decontaminate, html, jaccard, lexical, linededup, pii, quality, suffix, tokencount, topk
 from regisight.llm.common import small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,6 +87,89 @@ def op5_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.joined(F.sort_array(F.concat("base", "added"))).alias("spans"))
 
 
+@query
+def op11_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 documents that score highest for each benchmark item."""
+    small_batches(spark)
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op11_ranked_lexical_search"] = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+counts AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY 1, 2),
+lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM counts GROUP BY 1),
+corpus AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM lengths),
+asked AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark) GROUP BY 1, 2),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM counts WHERE term IN (SELECT term FROM asked) GROUP BY 1), corpus),
+scores AS (
+  SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN counts USING (term) JOIN lengths USING (doc_id), corpus GROUP BY 1, 2),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM scores WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query
+def op12_exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 vectors with the highest integer inner product for every vector whose id is divisible by 20."""
+    small_batches(spark)
+    return topk.top_inner_products(table(spark, sf_dir, "embeddings"), F.pmod("vid", F.lit(20)) == 0)
+
+
+_KEPT = """kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)"""
+
+ORACLE["op12_exact_topk_search"] = f"""
+WITH {_KEPT.format(scale=64)},
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score FROM kept q JOIN kept c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM scores)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query
+def op13_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector, and the digest of the codebooks."""
+    small_batches(spark)
+    coded, codebooks = covertree.compress(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(covertree.digest(codebooks)).alias("codebooks_sha256"))
+
+
+def _lloyd_sql(rounds: int) -> str:
+    parts = """parts AS (
+  SELECT vec_id, label, p, list_transform(v[4 * p + 1 : 4 * p + 4], lambda x: x::BIGINT) AS x FROM kept, range(16) r(p))"""
+    start = """book0 AS (
+  SELECT p, e, x FROM parts JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT 64) USING (vec_id))"""
+    steps = [f"WITH {_KEPT.format(scale=256)}", parts, start]
+    for i in range(rounds + 1):
+        steps.append(f"""near{i} AS (
+  SELECT vec_id, any_value(label) AS label, p, any_value(a.x) AS x, arg_min(e, (list_distance(a.x::DOUBLE[], b.x::DOUBLE[]) ** 2).round()::BIGINT * 64 + e) AS e,
+         min((list_distance(a.x::DOUBLE[], b.x::DOUBLE[]) ** 2).round()::BIGINT) AS d
+  FROM parts a JOIN book{i} b USING (p) GROUP BY vec_id, p)""")
+        if i < rounds:
+            mean = ", ".join(f"floor(sum(x[{j}])::DOUBLE / count(*))::BIGINT" for j in range(1, 5))
+            steps.append(f"""book{i + 1} AS (
+  SELECT p, e, coalesce(m.x, b.x) AS x FROM book{i} b LEFT JOIN (SELECT p, e, [{mean}] AS x FROM near{i} GROUP BY p, e) m USING (p, e))""")
+    return ",\n".join(steps) + f""",
+codes AS (SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM near{rounds} GROUP BY vec_id)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+FROM codes
+"""
+
+
+ORACLE["op13_vector_code_compression"] = _lloyd_sql(2)
+
+
 @query
 def op8_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All messages in reply order, without quotes."""
