@@ -92,7 +92,7 @@ def findings_trend(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @registered(SQL_RT + """SELECT section, territory, subtype, territory_effect, round(abs(100 * ro), 1) AS others_difference_pct,
-CASE WHEN territory_effect THEN round(least(round(abs(r), 4), abs((1 + r) / (1 + ro) - 1)), 4) ELSE round(abs(r), 4) END AS strength FROM tr""")
+CASE WHEN territory_effect AND 1 + ro <> 0 THEN round(least(round(abs(r), 4), abs((1 + r) / (1 + ro) - 1)), 4) ELSE round(abs(r), 4) END AS strength FROM tr""")
 def findings_territory_effect(spark: SparkSession, sf: str) -> DataFrame:
     return trend_findings(spark, sf).select("section", "territory", "subtype", "territory_effect", "others_difference_pct", "strength")
 

@@ -132,12 +132,13 @@ def trend_changes(series: DataFrame, key: list[str], rate: str, other: str, labe
 def territory_effect(found: DataFrame) -> DataFrame:
     """Whole-territory rule: when all other industries made the same change (same sign, at least the
     minimum, at least half of the industry's), it is an effect of the territory; the strength is
-    lowered to the industry's own part, never raised."""
+    lowered to the industry's own part, never raised. Where the others fell to nothing no own part can be
+    told, and the strength stays."""
     c = F.col
     r, ro = relative(c("value"), c("reference")), relative(c("o_value"), c("o_reference"))
     effect = F.coalesce(
         (r * ro > 0) & (F.abs(ro) >= X.FINDING_MIN) & (F.abs(ro) >= X.TERRITORY_EFFECT_SHARE * F.abs(r)), F.lit(False))
-    lowered = F.round(F.least(c("strength"), F.abs((1 + r) / (1 + ro) - 1)), 4)
+    lowered = F.round(F.least(c("strength"), F.abs(F.try_divide(1 + r, 1 + ro) - 1)), 4)  # least() passes over NULL
     return found.withColumn("others_difference_pct", F.round(F.abs(100 * ro), 1)).withColumn("territory_effect", effect).withColumn(
         "original_strength", F.when(effect, c("strength"))).withColumn("strength", F.when(effect, lowered).otherwise(c("strength")))
 
