@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 from regisight.catalog import registered
 from regisight.functions import fixed as X
+from regisight.functions.text import address_fingerprint
 from regisight.operators import history as H
 from regisight.operators import reconcile as R
 from regisight.operators import temporal as W
+from regisight.plans.core import address_key
 from regisight.plans.proxy import SQL_SUBJECTS, subject_id, subjects, table
+from regisight.session import work_path
+from regisight.sources import buckets as T
 
 SPLIT = date(2024, 1, 20)
 
@@ -156,7 +160,13 @@ syn AS (SELECT o.user_id, o.event_type, o.start, o."end", DATE '2024-01-20' AS r
 
 @registered(SQL_SYNC + "SELECT * FROM syn")
 def history_sync(spark: SparkSession, sf: str) -> DataFrame:
-    return synced(spark, sf)
+    """Both batches through a stored table in buckets; what each version underwent is read from the table."""
+    root, content = work_path(spark, "history"), ["event_type", "start", "end"]
+    for day, until, batch in ((SPLIT, SPLIT, "1"), (date(2024, 2, 1), None, "2")):
+        T.synchronise(spark, root, "versions", "user_id", content, event_versions(spark, sf, until), F.lit(day), batch, buckets=4)
+    action = F.when(F.col("recorded_to").isNotNull(), H.CLOSE).when(F.col("batch_id") == "2", H.INSERT).otherwise(H.KEEP)
+    return T.versions(spark, root, "versions").select(
+        "user_id", *content, "recorded_from", "recorded_to", F.col("batch_id").cast("int").alias("batch_id"), action.alias("action"))
 
 
 @registered(SQL_SYNC + """SELECT user_id, event_type, start, "end" FROM syn WHERE recorded_from <= DATE '2024-01-25'
@@ -318,6 +328,62 @@ def latest_person(spark: SparkSession, sf: str) -> DataFrame:
     return H.latest_person(o, ["o_totalprice"])
 
 
+# --- identities in stored tables: half of the rows come first, all of them after that ----------------
+
+@registered("""SELECT lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS ico,
+CASE WHEN bool_or(CAST(o_orderdate AS DATE) < DATE '1995-06-01') THEN 'first' ELSE 'second' END AS batch FROM orders WHERE o_custkey IS NOT NULL GROUP BY 1""")
+def identity_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Subjects get an identity with the first batch that names them."""
+    root, o = work_path(spark, "identities"), orders(spark, sf)
+    named = o.select(subject_id(F.col("o_custkey")).alias("ico"), "day")
+    for batch, rows in (("first", named.filter(F.col("day") < F.lit(HALF))), ("second", named), ("second", named)):
+        T.insert_new(spark, root, "subjects", "ico", rows.select("ico", F.lit(batch).alias("batch")), batch, buckets=4)
+    return T.read_part(spark, root, "subjects", T.ROWS)
+
+
+HALF = date(1995, 6, 1)
+SQL_ADDRESS = f"""WITH {SQL_SUBJECTS},
+a AS (SELECT CASE WHEN katpo = '110' THEN 'R' || CAST(CAST(ico AS BIGINT) % 100 AS VARCHAR) ELSE 'H' || md5('|||||' || lower(district) || '||CZ|' || lower(forma)) END AS address_key,
+  closed IS NOT NULL AS early FROM subj)
+"""
+
+
+@registered(SQL_ADDRESS + """SELECT address_key, md5(address_key) AS address_id, CASE WHEN bool_or(early) THEN 'first' ELSE 'second' END AS batch FROM a GROUP BY 1""")
+def address_resolution(spark: SparkSession, sf: str) -> DataFrame:
+    """Addresses by registry code where there is one, else by content: each is stored once, with the first batch that has it."""
+    none, c = F.lit(None).cast("string"), F.col
+    s = subjects(spark, sf).select(
+        F.when(c("katpo") == "110", c("ico").cast("bigint") % 100).alias("ruian"), c("closed").isNotNull().alias("early"),
+        address_fingerprint(none, none, none, none, none, c("district"), none, F.lit("cz"), c("forma")).alias("fingerprint"))
+    root, keyed = work_path(spark, "addresses"), s.withColumn("address_key", address_key()).withColumn("address_id", H.identity("address_key"))
+    for batch, rows in (("first", keyed.filter("early")), ("second", keyed)):
+        T.insert_new(spark, root, "addresses", "address_id", rows.select("address_key", "address_id", F.lit(batch).alias("batch")), batch, buckets=4)
+    return T.read_part(spark, root, "addresses", T.ROWS)
+
+
+SQL_PERSON_VERSIONS = """WITH o AS (SELECT lower(o_orderpriority) || '|' || lower(o_orderstatus) || '|' || CAST(date_trunc('month', o_orderdate) AS DATE) AS person_key, o_custkey, o_orderkey,
+  DATE '1900-01-01' + CAST(o_custkey % 50 AS INTEGER) AS registered, CAST(o_orderdate AS DATE) < DATE '1995-06-01' AS early FROM orders),
+b AS (SELECT 1 AS batch, person_key, arg_min(o_custkey, CAST(50 - o_custkey % 50 AS HUGEINT) * 100000000000 + o_orderkey) AS member FROM o WHERE early GROUP BY 2
+  UNION ALL SELECT 2, person_key, arg_min(o_custkey, CAST(50 - o_custkey % 50 AS HUGEINT) * 100000000000 + o_orderkey) FROM o GROUP BY 2)
+SELECT md5(x.person_key) AS person_id, x.member, x.batch, x.batch = 1 AND EXISTS (SELECT 1 FROM b y WHERE y.batch = 2 AND y.person_key = x.person_key AND y.member <> x.member) AS closed
+FROM b x WHERE x.batch = 1 OR NOT EXISTS (SELECT 1 FROM b y WHERE y.batch = 1 AND y.person_key = x.person_key AND y.member = x.member)"""
+
+
+@registered(SQL_PERSON_VERSIONS, ints=("batch",))
+def person_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Persons by their pairing key; the occurrence registered last gives a person's data, the first in source order on
+    ties, and a later batch with other data closes the version before."""
+    occurrences = table(spark, sf, "orders").select(
+        F.col("o_orderpriority").alias("first"), F.col("o_orderstatus").alias("last"), F.trunc(F.to_date("o_orderdate"), "month").alias("born"),
+        F.date_add(F.lit(date(1900, 1, 1)), (F.col("o_custkey") % 50).cast("int")).alias("registered"), F.struct("o_orderkey").alias("pos"),
+        F.col("o_custkey").alias("member"), (F.to_date("o_orderdate") < F.lit(HALF)).alias("early"))
+    root = work_path(spark, "persons")
+    for batch, rows, day in (("1", occurrences.filter("early"), HALF), ("2", occurrences, date(2000, 1, 1))):
+        persons = H.latest_person(rows, ["member"]).withColumn("person_id", H.identity("person_key"))
+        T.synchronise(spark, root, "persons", "person_id", ["member"], persons, F.lit(day), batch, buckets=4)
+    return T.versions(spark, root, "persons").select("person_id", "member", F.col("batch_id").cast("int").alias("batch"), F.col("recorded_to").isNotNull().alias("closed"))
+
+
 SQL_RECON = f"""WITH {SQL_SUBJECTS},
 codes AS (SELECT lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS ico, list(DISTINCT substr(o_orderpriority, 1, 1) || o_orderstatus) AS k
           FROM orders WHERE o_orderdate < DATE '1998-01-01' GROUP BY 1),

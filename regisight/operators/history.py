@@ -50,18 +50,21 @@ def resolve_addresses(addresses: DataFrame, known: DataFrame) -> DataFrame:
     addresses(ruian, fingerprint, ...); known(address_key)."""
     key = F.coalesce(F.concat(F.lit("R"), F.col("ruian").cast("string")), F.concat(F.lit("H"), F.col("fingerprint")))
     keyed = addresses.withColumn("address_key", key).dropDuplicates(["address_key"])
-    return keyed.join(known.select("address_key"), "address_key", "left_anti").withColumn(
-        "address_id", F.xxhash64("address_key")
-    )
+    return keyed.join(known.select("address_key"), "address_key", "left_anti").withColumn("address_id", identity("address_key"))
+
+
+def identity(key: str) -> Column:
+    """128-bit id of a natural key: the same in every batch, without a counter and, at any size, without collisions."""
+    return F.md5(F.col(key))
 
 
 def latest_person(occurrences: DataFrame, attributes: list[str]) -> DataFrame:
-    """Attributes of each person from the latest registered occurrence; the first one on ties.
-    occurrences(first, last, born, registered, pos, attributes...)."""
+    """Attributes of each person from the latest registered occurrence; the first one in source order on ties.
+    occurrences(first, last, born, registered, pos, attributes...); pos is any type that sorts in source order."""
     key = person_key(F.col("first"), F.col("last"), F.col("born"))
-    order = F.struct(F.coalesce("registered", F.lit("0001-01-01").cast("date")), -F.col("pos"))
+    latest_first = F.struct(-F.unix_date(F.coalesce("registered", F.lit("0001-01-01").cast("date"))), F.col("pos"))
     return occurrences.groupBy(key.alias("person_key")).agg(
-        F.max_by(F.struct(*attributes), order).alias("a")
+        F.min_by(F.struct(*attributes), latest_first).alias("a")
     ).select("person_key", "a.*")
 
 

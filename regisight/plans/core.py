@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regisight.functions.text import address_fingerprint, person_key
@@ -12,6 +12,7 @@ from regisight.operators import history as H
 from regisight.operators import rules as R
 from regisight.operators import temporal as W
 from regisight.session import materialise
+from regisight.sources import buckets as T
 from regisight.sources import registry as G
 from regisight.sources import tables as B
 
@@ -23,61 +24,38 @@ RELATION_CONTENT = ["member_person", "member_ico", "member_name", "member_state"
 PERSON = ["first", "last", "title_before", "title_after", "born", "citizenship"]
 
 
-def _stored(spark: SparkSession, root: str, name: str, like: DataFrame) -> DataFrame:
-    """Current version of a table, or an empty one of the same shape before the first load."""
-    try:
-        return B.current(spark, root, name)
-    except B.LoadRefused:
-        return like.limit(0)
+def address_key() -> Column:
+    return F.coalesce(F.concat(F.lit("R"), F.col("ruian").cast("string")), F.concat(F.lit("H"), F.col("fingerprint")))
 
 
-def _sync(spark: SparkSession, root: str, name: str, key: str, content: list[str], rows: DataFrame, keys: DataFrame, batch) -> None:
-    """Next version of one table: closed rows stay as they are, open rows meet the new ones, and nothing
-    else may differ when the audit compares both versions."""
-    now, number = F.lit(datetime.now(timezone.utc).replace(tzinfo=None)), F.lit(batch.batch_id)
-    shape = rows.select(key, *content, now.alias("recorded_from"), F.lit(None).cast("timestamp").alias("recorded_to"), number.alias("batch_id"))
-    before = _stored(spark, root, name, shape).select(*shape.columns)
-    is_open = F.col("recorded_to").isNull()
-    nxt = H.synchronise(before.filter(is_open).drop("recorded_to"), rows, key, content, now, number, keys)
-    after = materialise(before.filter(~is_open).unionByName(nxt.select(*shape.columns)), name)
-    row_id = F.md5(F.to_json(F.struct(key, *content, "recorded_from"), {"ignoreNullFields": "false"}))
-    problems = H.audit_versions(before.withColumn("_id", row_id), after.withColumn("_id", row_id), "_id", content)
-    if not problems.isEmpty():
-        raise B.LoadRefused(f"{name}: {problems.take(3)}")
-    B.publish(after, root, name, batch.batch_id)
-
-
-def import_records(spark: SparkSession, root: str, raw: DataFrame) -> dict[str, DataFrame]:
+def import_records(spark: SparkSession, root: str, raw: DataFrame, batch_id: str | None = None, buckets: int = 64) -> dict[str, DataFrame]:
     """raw(base_json, history_json): maps, checks and stores a batch of records. Running it again with the
-    same records closes and inserts nothing. Returns the side outputs: notes, rejected, overlaps."""
-    with B.batch(spark, root, "registry") as b:
-        raw.write.mode("append").parquet(f"{root}/raw/batch={b.batch_id}")  # kept even if mapping fails
-        out = G.map_subjects(raw)
-        versions, broken = R.split_valid(
+    same records closes and inserts nothing; running it again with the same batch_id stores nothing at all, also
+    when the first run was lost half way. Each table reads and replaces only the buckets of the batch's keys.
+    Returns the side outputs: notes, rejected, overlaps."""
+    c = F.col
+    with B.batch(spark, root, "registry", batch_id=batch_id) as b:
+        raw.write.mode("overwrite").parquet(f"{root}/raw/batch={b.batch_id}")  # kept even if mapping fails
+        now = F.lit(datetime.now(timezone.utc).replace(tzinfo=None))
+        out = G.map_subjects(spark.read.schema(raw.schema).parquet(f"{root}/raw/batch={b.batch_id}"))
+        found, broken = R.split_valid(
             materialise(out["versions"], "versions"),
-            {"id": F.col("ico").rlike(R.ID), **R.period_rules(), "tax_id": F.col("tax_id").rlike("^CZ[0-9]{8,10}$")})
-        overlaps = W.overlap_violations(versions, ["ico"])
-        subjects = versions.select("ico").distinct()
-        seats = materialise(out["seats"], "seats")
-        c = F.col
-        seats = seats.withColumn("state", F.coalesce("state", F.lit("CZ"))).withColumn("fingerprint", address_fingerprint(
-            c("street"), c("house"), c("registration"), c("orientation"), c("town"), c("town_part"), c("zip"), c("state"), c("original")))
-        known = _stored(spark, root, "addresses", seats.select(F.lit("").alias("address_key")))
-        new_addresses = H.resolve_addresses(seats.drop("ico", "kind", "start", "end"), known)
-        addresses = B.publish(known.unionByName(new_addresses, allowMissingColumns=True), root, "addresses", b.batch_id, ["address_key"])
-        key = F.coalesce(F.concat(F.lit("R"), c("ruian").cast("string")), F.concat(F.lit("H"), c("fingerprint")))
-        placed = seats.withColumn("address_key", key).join(addresses.select("address_key", "address_id"), "address_key")
-        relations = materialise(out["relations"], "relations").withColumn("member_person", F.when(
-            c("member_kind") == "OSOBA", F.xxhash64(person_key(c("first"), c("last"), c("born")))))
-        members = relations.filter(c("member_person").isNotNull())
-        persons = H.latest_person(members.withColumn("pos", F.xxhash64("ico", "member_key", "role_code")), PERSON).select(
-            F.xxhash64("person_key").alias("member_person"), *PERSON)
-        _sync(spark, root, "subject_versions", "ico", VERSION_CONTENT, versions, subjects, b)
-        _sync(spark, root, "subject_seats", "ico", SEAT_CONTENT, placed, subjects, b)
-        _sync(spark, root, "relations", "ico", RELATION_CONTENT, relations, subjects, b)
-        _sync(spark, root, "person_versions", "member_person", PERSON, persons, persons.select("member_person"), b)
+            {"id": c("ico").rlike(R.ID), **R.period_rules(), "tax_id": c("tax_id").rlike("^CZ[0-9]{8,10}$")})
+        overlaps = W.overlap_violations(found, ["ico"])
+        subjects = found.select("ico").distinct()
+        seats = materialise(out["seats"], "seats").withColumn("state", F.coalesce("state", F.lit("CZ"))).withColumn("fingerprint", address_fingerprint(
+            c("street"), c("house"), c("registration"), c("orientation"), c("town"), c("town_part"), c("zip"), c("state"), c("original"))
+        ).withColumn("address_key", address_key()).withColumn("address_id", H.identity("address_key"))
+        relations = materialise(out["relations"], "relations").withColumn("person_key", F.when(
+            c("member_kind") == "OSOBA", person_key(c("first"), c("last"), c("born")))).withColumn("member_person", H.identity("person_key"))
+        persons = H.latest_person(relations.filter(c("person_key").isNotNull()).withColumn("pos", F.struct("ico", "pos")), PERSON).withColumn(
+            "member_person", H.identity("person_key"))
         identities = subjects.unionByName(relations.select(c("member_ico").alias("ico")))
-        stored = _stored(spark, root, "subjects", identities)
-        B.publish(stored.unionByName(H.new_identities(stored, identities, "ico")), root, "subjects", b.batch_id, ["ico"])
-        b.rows = versions.count()
+        T.insert_new(spark, root, "addresses", "address_id", seats.drop("ico", "kind", "start", "end"), b.batch_id, buckets)
+        T.insert_new(spark, root, "subjects", "ico", identities, b.batch_id, buckets)
+        for name, key, content, rows, keys in (
+                ("subject_versions", "ico", VERSION_CONTENT, found, subjects), ("subject_seats", "ico", SEAT_CONTENT, seats, subjects),
+                ("relations", "ico", RELATION_CONTENT, relations, subjects), ("person_versions", "member_person", PERSON, persons, persons)):
+            T.synchronise(spark, root, name, key, content, rows, now, b.batch_id, keys, buckets)
+        b.rows = found.count()
     return {"notes": out["notes"], "rejected": out["rejected"], "broken": broken, "overlaps": overlaps}

@@ -270,7 +270,7 @@ def merge_registrations(rows: DataFrame) -> DataFrame:
     latest = F.struct(F.coalesce("registered", F.lit(BEGINNING).cast("date")).alias("d"), source_order.alias("o"))
     once = rows.groupBy(*identity, "start").agg(
         open_or_last("end"), F.min("registered").alias("registered"), open_or_last("deleted"),
-        F.max_by("member", latest).alias("member"), F.min_by("organ", "pos").alias("organ"))
+        F.max_by("member", latest).alias("member"), F.min_by("organ", "pos").alias("organ"), F.min("pos").alias("pos"))
     w = Window.partitionBy(*identity).orderBy("start")
     joins = F.coalesce(F.lag("end").over(w) == c("start"), F.lit(False))
     runs = once.withColumn("_n", F.when(joins, 0).otherwise(1)).withColumn(
@@ -279,7 +279,8 @@ def merge_registrations(rows: DataFrame) -> DataFrame:
     return runs.groupBy(*identity, "_run").agg(
         F.min("start").alias("start"), F.max_by(F.struct("end"), order)["end"].alias("end"),
         F.min_by(F.struct("registered"), order)["registered"].alias("registered"), F.max_by(F.struct("deleted"), order)["deleted"].alias("deleted"),
-        F.max_by("member", order).alias("member"), F.min_by(F.struct("organ"), order)["organ"].alias("organ")).drop("_run").select("*", "member.*").drop("member")
+        F.max_by("member", order).alias("member"), F.min_by(F.struct("organ"), order)["organ"].alias("organ"), F.min("pos").alias("pos")).drop("_run").select(
+            "*", "member.*").drop("member")
 
 
 def map_subjects(raw: DataFrame) -> dict[str, DataFrame]:

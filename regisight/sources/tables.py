@@ -24,8 +24,9 @@ def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def _append(spark: SparkSession, path: str, row: tuple, schema: str) -> None:
-    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
+def _append(spark: SparkSession, path: str, rows: tuple | list[tuple], schema: str) -> None:
+    """One file: its rows appear together or not at all."""
+    spark.createDataFrame(rows if isinstance(rows, list) else [rows], schema).coalesce(1).write.mode("append").parquet(path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -51,15 +52,15 @@ def content_hash(df: DataFrame) -> Column:
 
 
 @contextmanager
-def batch(spark: SparkSession, root: str, source: str, note: str = ""):
+def batch(spark: SparkSession, root: str, source: str, note: str = "", batch_id: str | None = None):
     """One load = one batch: a running row at its start, an OK or error row at its end. Yields an object
-    with batch_id; set .rows before leaving."""
+    with batch_id, a new one or the one given; set .rows before leaving."""
 
     class Batch:
-        batch_id = uuid.uuid4().hex
         rows = 0
 
     b = Batch()
+    b.batch_id = batch_id or uuid.uuid4().hex
     path = f"{root}/_batches"
     _append(spark, path, (b.batch_id, source, note, "running", None, _now()), BATCHES)
     try:

@@ -5,6 +5,7 @@ from decimal import Decimal
 
 
 from regisight.sources import registry as R
+from regisight.sources import buckets as T
 from regisight.sources import tables as B
 
 BASE = {"ico": "12345678", "obchodniJmeno": "Nová s.r.o.", "pravniForma": "112", "datumVzniku": "2010-01-01", "datumAktualizace": "2026-01-02",
@@ -128,12 +129,12 @@ def test_import_twice_changes_nothing(spark, folder):
     side = import_records(spark, folder, raw(BASE))
     assert side["rejected"].count() == 1 and side["broken"].count() == 0 and side["overlaps"].count() == 0
     names = ("subject_versions", "subject_seats", "relations", "person_versions")
-    first = {n: sorted(map(str, B.current(spark, folder, n).collect())) for n in names}
+    first = {n: sorted(map(str, T.versions(spark, folder, n).collect())) for n in names}
     import_records(spark, folder, raw(BASE))
-    assert {n: sorted(map(str, B.current(spark, folder, n).collect())) for n in names} == first
-    assert B.current(spark, folder, "addresses").count() == 1 and B.current(spark, folder, "subjects").count() == 1
+    assert {n: sorted(map(str, T.versions(spark, folder, n).collect())) for n in names} == first
+    assert T.read_part(spark, folder, "addresses", T.ROWS).count() == 1 and T.read_part(spark, folder, "subjects", T.ROWS).count() == 1
     import_records(spark, folder, raw({**BASE, "dic": "CZ87654321"}))
-    v = B.current(spark, folder, "subject_versions")
+    v = T.versions(spark, folder, "subject_versions")
     assert v.count() == 2 and v.filter("recorded_to IS NULL").first().tax_id == "CZ87654321"
     assert {r.state for r in B.batches(spark, folder).collect()} == {"OK"}
 
@@ -147,4 +148,4 @@ def test_feed_imports_arrivals_once(spark, folder):
     import_arrivals(spark, incoming, root, mark)
     import_arrivals(spark, incoming, root, mark)
     assert B.batches(spark, root).count() == 1
-    assert B.current(spark, root, "subject_versions").count() == 1
+    assert T.versions(spark, root, "subject_versions").count() == 1
