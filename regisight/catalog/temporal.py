@@ -15,7 +15,7 @@ from regisight.operators import reconcile as R
 from regisight.operators import temporal as W
 from regisight.plans.core import address_key
 from regisight.plans.proxy import SQL_SUBJECTS, subject_id, subjects, table
-from regisight.session import work_path
+from regisight.session import materialise, work_path
 from regisight.sources import buckets as T
 
 SPLIT = date(2024, 1, 20)
@@ -50,7 +50,10 @@ j AS (SELECT p.o_custkey, p.day, s.o_orderkey,
 SELECT o_custkey, day, o_orderkey AS value FROM j WHERE rn = 1""")
 def as_of_versions(spark: SparkSession, sf: str) -> DataFrame:
     """For each order day of a customer: the order being shipped that day, the latest started one."""
-    return W.as_of(orders(spark, sf).select("o_custkey", "day"), shipping_intervals(spark, sf), ["o_custkey"])
+    spans = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.min(F.to_date("l_shipdate")).alias("start"), F.max(F.to_date("l_shipdate")).alias("end"))
+    both = materialise(orders(spark, sf).select("o_custkey", "o_orderkey", "day").join(spans, "o_orderkey", "left"), "shipped")
+    return W.as_of(both.select("o_custkey", "day"), both.withColumn("value", F.col("o_orderkey")).withColumn("pos", F.col("o_orderkey")), ["o_custkey"])
 
 
 @registered(f"""WITH {SQL_SHIP}, d AS (SELECT o_custkey, s AS start, max(e) AS "end", count(*) AS rows FROM ship WHERE e > s GROUP BY 1, 2),

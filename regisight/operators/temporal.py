@@ -6,16 +6,17 @@ more rows than the calendar has days, however many source rows that key owns."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regisight.functions.codes import valid_at
 
-# Days are numbered from 0001-01-01; the one block of 4^LEVELS days holds every day the date type has (to 9999-12-31),
-# and the number after it stands for "never", which no day reaches.
-LEVELS = 11
+# Days are numbered from 0001-01-01; the number after every day the date type has (to 9999-12-31) stands for "never".
 _SHIFT = 719162
-_NEVER = 4 ** LEVELS
+_NEVER = 4 ** 11
 
 
 def _day_number(day: Column) -> Column:
@@ -27,87 +28,88 @@ def _end_number(end: Column | str) -> Column:
     return F.coalesce(_day_number(F.col(end)), F.lit(_NEVER).cast("bigint"))
 
 
-def _blocks(start: Column, end: Column) -> Column:
-    """Aligned blocks of 4^level days that cover [start, end) exactly, at most six per level."""
-
-    def at_level(level: int) -> Column:
-        size, bits = 4 ** level, 2 * level
-        first = F.shiftright(start + (size - 1), bits)
-        last = F.shiftright(end, bits)  # exclusive
-        if level == LEVELS:
-            left_end, right_start = last, last
-        else:
-            up_first = F.shiftright(start + (4 * size - 1), bits + 2) * 4
-            up_last = F.shiftright(end, bits + 2) * 4
-            bigger = up_first < up_last  # a larger block covers the middle
-            left_end = F.when(bigger, up_first).otherwise(last)
-            right_start = F.when(bigger, up_last).otherwise(last)
-
-        def run(a: Column, b: Column) -> Column:
-            blocks = F.when(a < b, F.sequence(a, b - 1)).otherwise(F.array().cast("array<bigint>"))
-            return F.transform(blocks, lambda x: F.struct(F.lit(level).alias("level"), x.alias("block")))
-
-        return F.concat(run(first, left_end), run(right_start, last))
-
-    return F.concat(*[at_level(level) for level in range(LEVELS + 1)])
-
-
 def as_of(points: DataFrame, intervals: DataFrame, keys: list[str], day: str = "day",
-          attributes: list[str] | None = None, carried: list[str] | None = None) -> DataFrame:
+          attributes: list[str] | None = None, carried: list[str] | None = None, following: str | None = None) -> DataFrame:
     """Value valid at each point: of the intervals covering it, the one with the latest start; on equal
     starts the smallest pos.
 
     points(keys, day[, carried]); intervals(keys, start, end, value, pos[, attribute]); end NULL = open.
     Result: one row per distinct point with its carried columns and column value, or one column per
-    attribute.
+    attribute; `following` names a column for the next point of the key.
 
-    Starts and points of a key form one timeline of days. Along it, the last start either still holds
-    (the answer), or no earlier interval reaches the point (no value), or a longer one started before it;
-    only the points of the last kind go on to the block lookup. No point is ever paired with all
-    intervals of its key."""
+    Starts and points of a key form one timeline, which one pass reads in order. It carries a stack of the
+    open intervals of each attribute: a start drops those below it that end no later, a point drops those that
+    have ended, and the top holds. Every interval enters and leaves once, and no point meets more than the top. Rows are
+    first reduced to one per key and point, and per key, attribute, start and end, with map-side combine, so the
+    rows of a very common key are bounded by the calendar, and so is its stack."""
     names = attributes or ["value"]
-    point = [*keys, day, *(carried or [])]
     one = intervals if attributes else intervals.withColumn("attribute", F.lit("value"))
     proper = one.filter(F.col("start").isNotNull() & (F.col("end").isNull() | (F.col("end") > F.col("start"))))
-    of = lambda a, x: F.max(F.when(F.col("attribute") == a, x))
-    starts = proper.groupBy(*keys, F.col("start").alias("_t")).agg(
-        *[of(a, F.struct((-F.col("pos")).alias("rank"), "value", "end")).alias(f"_b{i}") for i, a in enumerate(names)],
-        *[of(a, _end_number("end")).alias(f"_e{i}") for i, a in enumerate(names)])
-    asked = points.select(*point).distinct().withColumn("_t", F.col(day)).withColumn("_p", F.lit(1))
-    line = asked.unionByName(starts.withColumn("_p", F.lit(0)), allowMissingColumns=True)
-    w = Window.partitionBy(*keys).orderBy("_t", "_p").rowsBetween(Window.unboundedPreceding, 0)
-    seen = line.select(
-        *point, "_p", *[F.last(f"_b{i}", ignorenulls=True).over(w).alias(f"_b{i}") for i in range(len(names))],
-        *[F.max(f"_e{i}").over(w).alias(f"_e{i}") for i in range(len(names))]).filter(F.col("_p") == 1)
-    holds = [F.col(f"_b{i}").isNotNull() & (F.col(f"_b{i}.end").isNull() | (F.col(f"_b{i}.end") > F.col(day))) for i in range(len(names))]
-    base = seen.select(
-        *point, *[F.when(h, F.col(f"_b{i}.value")).alias(a) for i, (a, h) in enumerate(zip(names, holds))],
-        *[F.coalesce(~h & (F.col(f"_e{i}") > _day_number(F.col(day))), F.lit(False)).alias(f"_open{i}") for i, h in enumerate(holds)])
-    any_open = F.lit(False)
-    for i in range(len(names)):
-        any_open = any_open | F.col(f"_open{i}")
-    hard = base.filter(any_open).select(*keys, day)
-    deep = _by_blocks(hard, proper.join(hard.select(*keys).distinct(), keys, "left_semi"), keys, day, names)
-    deep = deep.select(*keys, day, *[F.col(a).alias(f"_d{i}") for i, a in enumerate(names)])
-    return base.join(deep, [*keys, day], "left").select(
-        *point, *[F.when(F.col(f"_open{i}"), F.col(f"_d{i}")).otherwise(F.col(a)).alias(a) for i, a in enumerate(names)])
-
-
-def _by_blocks(points: DataFrame, intervals: DataFrame, keys: list[str], day: str, names: list[str]) -> DataFrame:
-    """The same lookup for any nesting of intervals: an interval is cut into a few aligned day blocks, a
-    block keeps only its best interval, and a point reads the blocks it lies in. Linear in both inputs
-    and keyed by (key, block), so a hot key spreads over many tasks."""
-    cover = intervals.select(
-        *keys, "attribute", F.struct("start", (-F.col("pos")).alias("rank"), "value").alias("best"),
-        F.inline(_blocks(_day_number(F.col("start")), _end_number("end"))))
-    per_block = cover.groupBy(*keys, "level", "block").agg(
-        *[F.max(F.when(F.col("attribute") == a, F.col("best"))).alias(a) for a in names])
-    number = _day_number(F.col(day))
-    lookups = F.array(*[
-        F.struct(F.lit(level).alias("level"), F.shiftright(number, 2 * level).alias("block")) for level in range(LEVELS + 1)])
-    asked = points.select(*keys, day).distinct().select(*keys, day, F.inline(lookups))
-    found = asked.join(per_block, [*keys, "level", "block"]).groupBy(*keys, day).agg(*[F.max(a).alias(a) for a in names])
-    return found.select(*keys, day, *[F.col(a)["value"].alias(a) for a in names])
+    shown = [day, *(carried or [])]
+    asked = points.select(*keys, F.struct(*shown).alias("_point"), _day_number(F.col(day)).alias("_t"), F.lit(1).alias("_p"))
+    index = F.array_position(F.array(*[F.lit(a) for a in names]), F.col("attribute")).cast("int") - 1
+    starts = proper.filter(index >= 0).select(*keys, _day_number(F.col("start")).alias("_t"), F.lit(0).alias("_p"), index.alias("_a"), _end_number("end").alias("_e"), "pos", "value")
+    reduced = asked.unionByName(starts, allowMissingColumns=True).groupBy(*keys, "_t", "_p", "_a", "_e", "_point").agg(
+        F.max(F.struct((-F.col("pos")).alias("rank"), "value")).alias("_best"))
+    line = reduced.select(*keys, "_t", "_p", "_a", "_e", F.col("_best.rank").alias("_r"), F.col("_best.value").alias("_v"), "_point")
+    ordered = line.repartition(*keys).sortWithinPartitions(*keys, "_t", "_p", "_r")
+    kinds = {f.name: f.dataType.simpleString() for f in line.schema.fields}
+    schema = ", ".join([f"`{k}` {kinds[k]}" for k in keys] + [f"_point {kinds['_point']}"] + [f"_v{i} {kinds['_v']}" for i in range(len(names))] + ["_next bigint"])
+    passed = ordered.mapInArrow(_held_values(len(keys), len(names)), schema)
+    out = [*keys, *[F.col("_point")[c].alias(c) for c in shown], *[F.col(f"_v{i}").alias(a) for i, a in enumerate(names)]]
+    return passed.select(*out, *([F.date_from_unix_date((F.col("_next") - _SHIFT).cast("int")).alias(following)] if following else []))
+
+
+def _held_values(n_keys: int, n_names: int):
+    """The ordered pass over batches of (keys, t, p, attribute, end, rank, value, point), sorted by key and time, starts
+    before points and the best of equal starts last. A point learns of the next one of its key only later, so the last
+    row of a batch is held back."""
+
+    def rows_of(b: pa.RecordBatch, at: list[int], held: list[list], following: list[int | None]) -> pa.RecordBatch:
+        own = [b.column(i).take(pa.array(at, pa.int64())) for i in (*range(n_keys), n_keys + 6)]
+        kind = b.schema.field(n_keys + 5).type
+        values = [pa.array([h[i] for h in held], kind) for i in range(n_names)]
+        names = [*b.schema.names[:n_keys], "_point", *[f"_v{i}" for i in range(n_names)], "_next"]
+        return pa.RecordBatch.from_arrays([*own, *values, pa.array(following, pa.int64())], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, stacks, point_before = None, [], False
+        waiting: tuple[pa.RecordBatch, int, list] | None = None
+        for b in batches:
+            columns = [b.column(i).to_pylist() for i in range(n_keys + 6)]
+            times, points, attributes, ends, _, values = columns[n_keys:]
+            at, held, following, after_waiting = [], [], [], None
+            for i, k in enumerate(zip(*columns[:n_keys], strict=True)):
+                t = times[i]
+                if k != key or not stacks:
+                    key, stacks, point_before = k, [[] for _ in range(n_names)], False
+                if not points[i]:
+                    stack = stacks[attributes[i]]
+                    while stack and stack[-1][0] <= ends[i]:
+                        stack.pop()
+                    stack.append((ends[i], values[i]))
+                    continue
+                if point_before and following:
+                    following[-1] = t
+                elif point_before:
+                    after_waiting = t
+                for stack in stacks:
+                    while stack and stack[-1][0] <= t:
+                        stack.pop()
+                at.append(i)
+                held.append([stack[-1][1] if stack else None for stack in stacks])
+                following.append(None)
+                point_before = True
+            if at:
+                if waiting:
+                    yield rows_of(waiting[0], [waiting[1]], [waiting[2]], [after_waiting])
+                if len(at) > 1:
+                    yield rows_of(b, at[:-1], held[:-1], following[:-1])
+                waiting = b, at[-1], held[-1]
+        if waiting:
+            yield rows_of(waiting[0], [waiting[1]], [waiting[2]], [None])
+
+    return run
 
 
 def version_slices(intervals: DataFrame, keys: list[str], attributes: list[str], lead_attribute: str,
@@ -115,16 +117,12 @@ def version_slices(intervals: DataFrame, keys: list[str], attributes: list[str],
     """Cuts the life of each key at every start and end of its attributes (and at its closing day);
     each slice carries the values valid at its start.
 
-    Slices before the first start of lead_attribute or without a value of it are left out; equal
+    Slices without a value of lead_attribute, as all before its first start, are left out; equal
     neighbours are merged. Result: keys, start, end, attributes[, gone]."""
     days = intervals.select(*keys, F.explode(F.array_compact(F.array("start", "end"))).alias("day"))
     if closing is not None:
         days = days.unionByName(closing.filter(F.col("closed").isNotNull()).select(*keys, F.col("closed").alias("day")))
-    first = intervals.filter(F.col("attribute") == lead_attribute).groupBy(*keys).agg(F.min("start").alias("_first"))
-    cuts = days.distinct().join(first, keys).filter(F.col("day") >= F.col("_first")).drop("_first")
-    w = Window.partitionBy(*keys).orderBy("day")
-    spans = cuts.withColumn("end", F.lead("day").over(w))
-    valued = as_of(spans, intervals, keys, "day", attributes, ["end"]).filter(
+    valued = as_of(days, intervals, keys, "day", attributes, following="end").filter(
         F.col(lead_attribute).isNotNull()
     ).withColumnRenamed("day", "start")
     content = list(attributes)

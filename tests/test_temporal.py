@@ -63,15 +63,32 @@ def test_as_of_of_a_hot_key(spark):
     assert got.filter(F.date_diff("day", F.lit(DAY0)).cast("string") != F.col("value")).count() == 0
 
 
-def test_blocks_cover_exactly(spark):
-    rng = random.Random(5)
-    spans = [(a, a + rng.randint(1, 3000)) for a in (rng.randint(0, 100000) for _ in range(300))]
-    df = spark.createDataFrame(spans, "a bigint, b bigint")
-    cut = df.select("a", "b", F.inline(W._blocks(F.col("a"), F.col("b")))).groupBy("a", "b").agg(
-        F.sum(F.pow(F.lit(4), F.col("level"))).alias("days"), F.min(F.col("block") * F.pow(F.lit(4), F.col("level"))).alias("lo"),
-        F.max((F.col("block") + 1) * F.pow(F.lit(4), F.col("level"))).alias("hi"), F.count(F.lit(1)).alias("n"))
-    for r in cut.collect():
-        assert (r.days, r.lo, r.hi) == (r.b - r.a, r.a, r.b) and r.n <= 66
+def test_as_of_over_small_batches(spark):
+    """Keys and points that go on from one batch of the pass to the next; several attributes, NULL keys and days."""
+    rng = random.Random(12)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([1, 2]), rng.choice("xy"), d(s := rng.randint(0, 40)), None if rng.random() < 0.2 else d(s + rng.randint(0, 20)), f"v{p}", p)
+            for p in range(150)]
+    points = [(k, m, d(n)) for k in ("a", "b", None, "without") for m in (1, 2) for n in range(-2, 70, 3)] + [("a", 1, None)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = W.as_of(spark.createDataFrame(points * 2, "k string, m int, day date"), spark.createDataFrame(rows, "k string, m int, attribute string, start date, end date, value string, pos int"),
+                      ["k", "m"], attributes=["x", "y"], following="next").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == len(points)
+    n = lambda day: None if day is None else (day - DAY0).days
+    for r in got:
+        for a in "xy":
+            mine = [(n(s), n(e), v, p) for k, m, at, s, e, v, p in rows if (k, m, at) == (r.k, r.m, a) and (e is None or e > s)]
+            assert r[a] == (lookup(mine, n(r.day)) if r.day else None)
+        later = [p[2] for p in points if p[:2] == (r.k, r.m) and p[2] and (r.day is None or p[2] > r.day)]
+        assert r.next == min(later, default=None)
+
+
+def test_as_of_plan_is_one_pass(spark):
+    iv = spark.createDataFrame([("a", d(0), d(9), "v", 0)], "k string, start date, end date, value string, pos bigint")
+    plan = W.as_of(iv.select("k", F.col("start").alias("day")), iv, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2 and "Join" not in plan and "Window" not in plan
 
 
 def test_slices_of_a_renamed_subject(spark):
