@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from regisight.functions import fixed as X
 from regisight.functions.codes import closure_mode, comparable_period, person_type
 from regisight.functions.numbers import ratio
+from regisight.functions.poisson import with_poisson_quantiles
 from regisight.operators import territory as T
 
 MODES = ("04", "01", "jiny")
@@ -149,18 +150,18 @@ def yearly_sums(quarters: DataFrame, by: list[str]) -> DataFrame:
     return out.withColumn("ok", F.col("total") == F.coalesce("FO", F.lit(0)) + F.coalesce("PO", F.lit(0)))
 
 
+#: Ends of the 95 % and 99.9 % intervals.
+INTERVALS = {"low95": 0.025, "high95": 0.975, "low999": 0.0005, "high999": 0.9995}
+
+
 def fluctuation(flows: DataFrame, by: list[str]) -> DataFrame:
     """Closures of a territory against the count expected at the state's rate of the same year, with the
     95 % and 99.9 % intervals of ordinary variation."""
-    from regisight.functions.poisson import poisson_quantile
-
     c = F.col
     state = flows.filter(c("level") == T.STATE).select(
         *by, "year", c("closed").alias("_cs"), c("stock").alias("_ss"))
     j = flows.filter((c("level") != T.STATE) & (c("stock") > 0)).join(state, [*by, "year"])
     expected = j.filter(c("_ss") > 0).withColumn("expected", F.round(c("stock") * c("_cs").cast("double") / c("_ss"), 6))
-    out = expected.filter(c("expected") > 0)
-    for name, p in (("low95", 0.025), ("high95", 0.975), ("low999", 0.0005), ("high999", 0.9995)):
-        out = out.withColumn(name, poisson_quantile(c("expected"), p))
+    out = with_poisson_quantiles(expected.filter(c("expected") > 0).select(*by, "level", "territory", "year", "closed", "expected"), "expected", INTERVALS)
     return out.select(*by, "level", "territory", "year", "closed", "expected", "low95", "high95", "low999", "high999",
                       (~c("closed").between(c("low999"), c("high999"))).alias("beyond"))

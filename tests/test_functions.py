@@ -1,4 +1,6 @@
 import hashlib
+import math
+import random
 from datetime import date
 from decimal import Decimal
 
@@ -119,9 +121,29 @@ def test_bounds(spark):
     assert one(spark, N.verbal(F.lit(90.0), F.lit(100.0))) == "nižší"
 
 
+def poisson_by_summing(mean, p):
+    """Smallest k with P(X <= k) >= p, summed from far below the mean."""
+    k = max(0, int(mean - 12 * math.sqrt(mean) - 12))
+    term = math.exp(k * math.log(mean) - mean - math.lgamma(k + 1)) if mean > 0 else 1.0
+    total = term
+    while total < p:
+        k += 1
+        term *= mean / k
+        total += term
+    return k
+
+
 def test_poisson_matches_the_documented_interval(spark):
-    from regisight.functions.poisson import poisson_quantile
+    from regisight.functions.poisson import with_poisson_quantiles
+    from regisight.operators.dynamics import INTERVALS
+
+    rng = random.Random(3)
+    means = [43.1, 45.6, 0.0, 1e-9, 0.025, 0.7, 1.0, 7.6, 4095.9, 4096.0, 9000.5] + [rng.uniform(0, 10 ** rng.uniform(-2, 4)) for _ in range(300)]
+    df = spark.createDataFrame([(i, m, "x") for i, m in enumerate(means)] + [(1000, None, "x"), (1001, -2.0, "x")], "i int, m double, bin string")
+    out = with_poisson_quantiles(df, "m", INTERVALS)
+    assert out.columns == ["i", "m", "bin", *INTERVALS] and "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.i: tuple(r[n] for n in INTERVALS) for r in out.collect()}
+    assert got[0] == (31, 56, 23, 66) and got[1] == (33, 59, 25, 69) and got[1000] == got[1001] == (None,) * 4
+    assert {i: tuple(poisson_by_summing(m, p) for p in INTERVALS.values()) for i, m in enumerate(means)} == {i: got[i] for i in range(len(means))}
+    assert with_poisson_quantiles(df.filter("i = 1000"), "m", INTERVALS).first().low95 is None and with_poisson_quantiles(df.limit(0), "m", INTERVALS).isEmpty()
 
-    df = spark.createDataFrame([(43.1,), (45.6,)], "m double")
-    got = [tuple(r) for r in df.select(*[poisson_quantile(F.col("m"), p) for p in (0.025, 0.975, 0.0005, 0.9995)]).collect()]
-    assert got == [(31, 56, 23, 66), (33, 59, 25, 69)]
