@@ -47,15 +47,17 @@ def snapshot_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 @registered("""SELECT l_orderkey AS ico_key, CAST(l_linenumber AS VARCHAR) AS zdrud, '80004' AS kodcis, l_returnflag AS hodn, CAST(l_shipdate AS DATE) AS ddatpakt
 FROM lineitem""")
 def activity_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Activity file: several rows per subject, no quoted text, so its files split."""
+    """Activity file: several rows per subject, no quoted text, so its files split; loaded through the contract, the
+    reconciliation and the manifest."""
     root = work_path(spark, "activities")
     rows = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("ICO"), F.col("l_linenumber").cast("string").alias("ZDRUD"), F.lit("80004").alias("KODCIS"),
         F.col("l_returnflag").alias("HODN"), F.lit("2001-08-01").alias("DATPLAT"), F.to_date("l_shipdate").cast("string").alias("DDATPAKT"),
         F.lit(None).cast("string").alias("PRIZNAK"))
-    rows.write.option("header", True).csv(root)
-    t = S.typed(S.read_snapshot(spark, S.ACTIVITIES, root), S.ACTIVITIES)
-    return t.select(F.col("ico").cast("bigint").alias("ico_key"), "zdrud", "kodcis", "hodn", "ddatpakt")
+    rows.write.option("header", True).csv(f"{root}/csv")
+    write_metadata(spark, S.ACTIVITIES, f"{root}/meta")
+    S.load_snapshot(spark, S.ACTIVITIES, f"{root}/csv", f"{root}/meta", f"{root}/tables", "b1")
+    return S.snapshots(spark, S.ACTIVITIES, f"{root}/tables").select(F.col("ico").cast("bigint").alias("ico_key"), "zdrud", "kodcis", "hodn", "ddatpakt")
 
 
 @registered("""SELECT 'V1' AS selection, 'SUM' AS indicator, 'R' || n_regionkey AS territory, substr(c_mktsegment, 1, 1) AS nace,

@@ -12,7 +12,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MANIFEST = "table_name string, version string, rows bigint, fingerprint string, batch_id string, at timestamp"
+MANIFEST = "table_name string, version string, rows bigint, fingerprint string, batch_id string, at timestamp, load string"
 BATCHES = "batch_id string, source string, note string, state string, rows bigint, at timestamp"
 
 
@@ -42,13 +42,19 @@ def manifest(spark: SparkSession, root: str) -> DataFrame:
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """Order-independent content fingerprint: rows and the sum of row hashes; one row. The row's JSON form
-    marks NULLs, so a value that moves between two empty columns changes the hash."""
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(content_hash(df)), F.lit(0)).alias("hash"))
+    """Order-independent content fingerprint: rows and two sums of row hashes under different seeds; one row."""
+    return df.agg(*fingerprint_columns(df.columns))
 
 
-def content_hash(df: DataFrame) -> Column:
-    return F.xxhash64(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)), {"ignoreNullFields": "false"})).cast("decimal(38,0)")
+def fingerprint_columns(columns: list[str]) -> list[Column]:
+    """rows, hash, hash2: aggregates, so they can be observed while the rows are written."""
+    return [F.count(F.lit(1)).alias("rows"), *[F.coalesce(F.sum(content_hash(columns, seed)), F.lit(0)).cast("string").alias(name) for name, seed in (("hash", 1), ("hash2", 2))]]
+
+
+def content_hash(columns: list[str], seed: int = 1) -> Column:
+    """Each column goes in with a mark of whether it is NULL, so a value that moves between two empty columns changes it."""
+    marked = [x for c in columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    return F.xxhash64(F.lit(seed), *marked).cast("decimal(38,0)")
 
 
 @contextmanager
@@ -89,7 +95,7 @@ def publish(df: DataFrame, root: str, name: str, batch_id: str, unique: list[str
     stored = spark.read.parquet(path)
     if unique and not stored.groupBy(*unique).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
         raise LoadRefused(f"{name}: duplicates of {unique}")
-    _append(spark, f"{root}/_manifest", (name, version, stored.count(), None, batch_id, _now()), MANIFEST)
+    _append(spark, f"{root}/_manifest", (name, version, stored.count(), None, batch_id, _now(), None), MANIFEST)
     return stored
 
 

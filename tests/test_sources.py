@@ -49,18 +49,51 @@ def test_awkward_csv(spark, folder):
 
 def test_load_skip_refuse(spark, folder):
     path, meta, root = subject_csv(folder, ROWS), metadata(folder, S.SUBJECTS), os.path.join(folder, "t")
-    assert S.load_snapshot(spark, S.SUBJECTS, path, meta, root, "b") == ("2026-09-15", 3, True)
+    assert S.load_snapshot(spark, S.SUBJECTS, path, meta, root, "a") == ("2026-09-15", 3, True)
     assert S.load_snapshot(spark, S.SUBJECTS, path, meta, root, "b") == ("2026-09-15", 3, False)
+    lf = write(folder, "lf.csv", open(path, encoding="utf-8", newline="").read().replace("řádky", "řádkY").replace("2026-09-15", "2026-08-15").replace("\r\n", "\n"))
+    assert S.load_snapshot(spark, S.SUBJECTS, lf, meta, root, "lf") == ("2026-08-15", 3, True)
+    assert {r.firma for r in S.snapshots(spark, S.SUBJECTS, root).filter("snapshot = date'2026-08-15'").collect()} == {'A, "B" s.r.o.', "dva\nřádkY", None}
     changed = subject_csv(folder, [{**ROWS[0], "FORMA": "101"}, *ROWS[1:]], name="c.csv")
     with pytest.raises(B.LoadRefused, match="other content"):
         S.load_snapshot(spark, S.SUBJECTS, changed, meta, root, "b")
     two_days = subject_csv(folder, [ROWS[0], {**ROWS[1], "DATPLAT": "2026-10-15"}], name="d.csv")
     with pytest.raises(B.LoadRefused, match="validity days"):
         S.load_snapshot(spark, S.SUBJECTS, two_days, meta, root, "b")
+    undated = subject_csv(folder, [ROWS[0], {"ICO": "00000009"}], name="u.csv")
+    with pytest.raises(B.LoadRefused, match="validity day"):
+        S.load_snapshot(spark, S.SUBJECTS, undated, meta, root, "b")
+    with pytest.raises(B.LoadRefused, match="validity day"):
+        S.load_snapshot(spark, S.SUBJECTS, subject_csv(folder, [], name="n.csv"), meta, root, "b")
+    short = write(folder, "short.csv", open(path, encoding="utf-8", newline="").read() + "00000004,only,three\r\n")
+    with pytest.raises(B.LoadRefused, match="1 rows without the columns"):
+        S.load_snapshot(spark, S.SUBJECTS, short, meta, root, "b")
+    with pytest.raises(B.LoadRefused, match="1 rows with malformed dates"):
+        S.load_snapshot(spark, S.SUBJECTS, subject_csv(folder, [{**ROWS[0], "DDATVZN": "soon"}], name="m.csv"), meta, root, "b")
     assert B.latest_snapshot(spark, root, "res_data") == "2026-09-15"
     assert S.snapshots(spark, S.SUBJECTS, root).filter("snapshot = date'2026-09-15'").count() == 3
 
 
+def test_a_snapshot_is_parsed_once_and_pruned_by_day(spark, folder):
+    meta, root = metadata(folder, S.SUBJECTS), os.path.join(folder, "t")
+    for k, day in enumerate(("2026-07-15", "2026-08-15")):
+        S.load_snapshot(spark, S.SUBJECTS, subject_csv(folder, [{**r, "DATPLAT": day} for r in ROWS], name=f"{k}.csv"), meta, root, f"b{k}")
+    one = S.snapshots(spark, S.SUBJECTS, root).filter("snapshot = date'2026-08-15'")
+    assert [os.path.basename(os.path.dirname(f)) for f in one.select("ico").inputFiles()] and one.count() == 3
+    scan = [x for x in one._jdf.queryExecution().executedPlan().toString().split("\n") if "PartitionFilters" in x]
+    assert scan and all("load" in x.split("PartitionFilters")[1] for x in scan)
+
+
+def test_fingerprint_sees_a_value_that_moves(spark, folder):
+    meta, root = metadata(folder, S.SUBJECTS), os.path.join(folder, "t")
+    S.load_snapshot(spark, S.SUBJECTS, subject_csv(folder, [{"ICO": "1", "DATPLAT": "2026-09-15", "NACE": "41"}]), meta, root, "a")
+    with pytest.raises(B.LoadRefused, match="other content"):
+        S.load_snapshot(spark, S.SUBJECTS, subject_csv(folder, [{"ICO": "1", "DATPLAT": "2026-09-15", "NACE2025": "41"}], name="m.csv"), meta, root, "b")
+    df = spark.createDataFrame([("a", None), (None, "a")], "x string, y string")
+    prints = {(r.hash, r.hash2) for r in (B.fingerprint(df.filter("x = 'a'")).first(), B.fingerprint(df.filter("y = 'a'")).first())}
+    assert len(prints) == 2 and all(a != b for a, b in prints)
+
+
 def test_contract_refusals(spark, folder):
     path = subject_csv(folder, ROWS)
     with pytest.raises(B.LoadRefused, match="other columns"):
