@@ -53,6 +53,30 @@ def recompute_exact(spark: SparkSession, sf: str) -> DataFrame:
     return D.derivable_exactly(cells, relations).select("report_id", "var")
 
 
+# Two reports on the same numbers: one shows large parts of their parent, the other one the places whose count is divisible
+# by three; what one hides leaks where the other shows it, or where both together leave one unknown in a sum.
+SQL_JOINT = SQL_SCREEN[: SQL_SCREEN.index("k0 AS")] + """b AS (SELECT section AS report_id, level || ':' || territory AS var FROM cells WHERE n % 3 = 0),
+k0 AS (SELECT report_id, var FROM v WHERE pub UNION SELECT * FROM b),""" + SQL_SCREEN[SQL_SCREEN.index("\nd1 AS"): SQL_SCREEN.rindex("SELECT report_id, var FROM d1")] + """,
+dd AS (SELECT * FROM d1 UNION SELECT * FROM d2 UNION SELECT * FROM d3),
+hid AS (SELECT 'large ' || report_id AS report, report_id, var FROM v WHERE NOT pub
+  UNION ALL SELECT 'thirds ' || report_id, report_id, var FROM v WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.report_id = v.report_id AND b.var = v.var))
+SELECT report AS report_id, var, 'published elsewhere' AS leak FROM hid JOIN k0 USING (report_id, var)
+UNION ALL SELECT report, var, 'derivable' FROM hid JOIN dd USING (report_id, var)"""
+
+
+@registered(SQL_JOINT)
+def report_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Leaks between reports that no single one of them shows."""
+    c = F.col
+    cells, relations = cells_and_relations(spark, sf)
+    as_report = lambda kind: F.concat(F.lit(kind), c("report_id"))
+    thirds = cells.withColumn("published", c("value") % 3 == 0)
+    two = [df.withColumn("report_id", as_report(kind)) for kind, df in (("large ", cells), ("thirds ", thirds))]
+    same = cells.select(F.explode(F.array(as_report("large "), as_report("thirds "))).alias("report_id"), "var", F.concat_ws("|", "report_id", "var").alias("name"))
+    both = two[0].unionByName(two[1])
+    return D.derivable_jointly(both, relations.withColumn("report_id", as_report("large ")), same)
+
+
 # Suppressed districts of each region, checked like a finished report; two faults are injected on purpose.
 SQL_AUDIT = regional.SQL_SUPPRESS + """,
 st AS (SELECT *, CASE WHEN n <= 0 THEN 'zero' WHEN total < 10 THEN 'hidden' WHEN n < 10 THEN 'other'

@@ -153,6 +153,7 @@ def _determined(rows: list[dict[str, Fraction]], wanted: list[str]) -> list[str]
     """Unknowns fixed by a homogeneous-free linear system: after full reduction, the pivots
     whose row holds nothing else."""
     pivots: dict[str, dict[str, Fraction]] = {}
+    held_by: dict[str, set[str]] = {}  # unknown -> pivots in whose row it stands
     for row in rows:
         row = dict(row)
         for p in [v for v in row if v in pivots]:
@@ -166,13 +167,20 @@ def _determined(rows: list[dict[str, Fraction]], wanted: list[str]) -> list[str]
         lead = next(iter(row))
         scale = row[lead]
         row = {v: c / scale for v, c in row.items()}
-        for p, other in pivots.items():
-            k = other.get(lead)
-            if k:
-                for v, c in row.items():
-                    other[v] = other.get(v, Fraction(0)) - k * c
-                pivots[p] = {v: c for v, c in other.items() if c}
+        for p in list(held_by.get(lead, ())):
+            other = pivots[p]
+            k = other[lead]
+            for v, c in row.items():
+                left = other.get(v, Fraction(0)) - k * c
+                if left:
+                    other[v] = left
+                    held_by.setdefault(v, set()).add(p)
+                elif v in other:
+                    del other[v]
+                    held_by[v].discard(p)
         pivots[lead] = row
+        for v in row:
+            held_by.setdefault(v, set()).add(lead)
     return [v for v in wanted if v in pivots and len(pivots[v]) == 1]
 
 
@@ -208,6 +216,39 @@ def derivable_exactly(cells: DataFrame, relations: DataFrame) -> DataFrame:
     return work.groupBy("report_id", "block").applyInPandas(solve, schema)
 
 
+ELSEWHERE, DERIVABLE = "published elsewhere", "derivable"
+
+
+def derivable_jointly(cells: DataFrame, relations: DataFrame, same: DataFrame, across: DataFrame | None = None) -> DataFrame:
+    """Hidden protected cells that all reports together give away: (report_id, var, leak).
+
+    same(report_id, var, name) gives variables of several reports their common name; what it does not list
+    is a variable of its report alone. across(rel_id, var, coef) relates names of different reports, such as the sum
+    over all industries; an unpublished variable that stands in no report may close it. A cell hidden in one
+    report leaks when another one publishes it, or when it follows from the relations of all of them: reports
+    that share unknowns fall into one block, the others stay apart. A block is bounded by the code lists (industries x
+    territories x items), whatever the number of subjects."""
+    c = F.col
+    own = F.concat_ws("#", c("report_id").cast("string"), c("var"))
+    name = F.coalesce(c("name"), own)
+    named = cut_lineage(cells.join(same, ["report_id", "var"], "left").withColumn("name", name))
+    together = named.groupBy("name").agg(F.max("published").alias("published"), F.max("protect").alias("protect"))
+    everywhere = together.select(F.lit("*").alias("report_id"), c("name").alias("var"), "published", "protect")
+    rel_id = F.concat_ws("#", c("report_id").cast("string"), c("rel_id"))
+    inner = relations.join(same, ["report_id", "var"], "left").select(F.lit("*").alias("report_id"), rel_id.alias("rel_id"), name.alias("var"), "coef")
+    unique = inner if across is None else inner.unionByName(across.select(F.lit("*").alias("report_id"), F.concat(F.lit("#"), c("rel_id")).alias("rel_id"), "var", "coef"))
+    found = derivable_exactly(everywhere, unique).select(c("var").alias("name"), F.lit(DERIVABLE).alias("leak"))
+    shown = together.filter("published").select("name", F.lit(ELSEWHERE).alias("leak"))
+    hidden = named.filter(c("protect") & ~c("published")).select("report_id", "var", "name")
+    return hidden.join(found.unionByName(shown), "name").select("report_id", "var", "leak").distinct()
+
+
+def joint_conflicts(cells: DataFrame, same: DataFrame) -> DataFrame:
+    """Common names that have different values in different reports."""
+    named = cells.join(same, ["report_id", "var"]).select(F.lit("*").alias("report_id"), F.col("name").alias("var"), "value")
+    return value_conflicts(named).select(F.col("var").alias("name"), "low", "high")
+
+
 def _components(links: DataFrame) -> DataFrame:
     """(report_id, rel_id) -> block: smallest relation id reachable over shared unknowns."""
     label = links.groupBy("report_id", "rel_id").agg(F.first("rel_id").alias("block"))

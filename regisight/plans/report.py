@@ -19,6 +19,11 @@ from regisight.session import materialise
 from regisight.sources.report_sink import write_report
 
 
+COUNTS = ("REG_POCET", "STRUKTURA_POCET", "ZANIK_PO_STAV", "ZANIK_PO_RES")
+INDICATORS = COUNTS + ("REG_PODIL_CR", "REG_PODIL_OBOR", "LQ", "HUSTOTA", "PORADI_POCET", "PORADI_HUSTOTA", "MIRA_ZANIKU_PO", "MIRA_ZANIKU_PO_OBD",
+                       "MIRA_ZANIKU_PO_BEZ04")
+
+
 @dataclass
 class Report:
     cells: DataFrame        # report_id, var, value, published, protect
@@ -26,14 +31,18 @@ class Report:
     tables: DataFrame       # report_id, tbl, row, col, value, indicator, base_var
     findings: DataFrame
     refused: DataFrame      # cells below the minimum scope with their broader options
+    same: DataFrame         # report_id, var, name: variables that several reports share
+    across: DataFrame       # rel_id, var, coef: relations between reports
+    others: DataFrame       # report_id, var, members: what is shown merged
 
 
-def _long(df: DataFrame, tbl: str, row: Column, columns: dict[str, str], base: Column) -> DataFrame:
-    """Wide published rows to long report cells; hidden values are NULL and drop out."""
+def _long(df: DataFrame, tbl: str, row: Column, columns: dict[str, str], base: Column | dict[str, Column]) -> DataFrame:
+    """Wide published rows to long report cells; hidden values are NULL and drop out. base: the variable a cell shows or
+    rests on, one for all columns or one for each."""
+    of = lambda c: base[c] if isinstance(base, dict) else base
     cells = F.array(*[
-        F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("value"), F.lit(i).alias("indicator")) for c, i in columns.items()])
-    return df.select("report_id", F.lit(tbl).alias("tbl"), row.alias("row"), base.alias("base_var"), F.inline(cells)).filter(
-        F.col("value").isNotNull())
+        F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("value"), F.lit(i).alias("indicator"), of(c).alias("base_var")) for c, i in columns.items()])
+    return df.select("report_id", F.lit(tbl).alias("tbl"), row.alias("row"), F.inline(cells)).filter(F.col("value").isNotNull())
 
 
 def build(subjects: DataFrame, territories: DataFrame, population: DataFrame, industry: str, day: Column, first_year: int, last_year: int,
@@ -115,15 +124,17 @@ def build(subjects: DataFrame, territories: DataFrame, population: DataFrame, in
         keep("rate_period", "show_stock", "show_period").alias("rate_period"),
         keep("rate_without_04", "show_stock", "show_mode").alias("rate_without_04"))
     flow_vars, flow_sums = rate_relations(rated.withColumn("report_id", own_report), last_year, threshold)
+    of_year = lambda kind: F.concat_ws("/", place, F.lit(kind), c("year").cast("string"))
     t18 = _long(t18_rows, "T18_mira_zaniku_po", F.concat_ws(" ", "territory", c("year").cast("string")), {
         "stock": "ZANIK_PO_STAV", "closed": "ZANIK_PO_RES", "rate": "MIRA_ZANIKU_PO", "rate_period": "MIRA_ZANIKU_PO_OBD",
-        "rate_without_04": "MIRA_ZANIKU_PO_BEZ04"}, F.lit(None).cast("string"))
+        "rate_without_04": "MIRA_ZANIKU_PO_BEZ04"}, {"stock": of_year("stock"), "closed": of_year("closed"), "rate": of_year("closed"),
+                                                     "rate_period": of_year("period"), "rate_without_04": of_year("stock")})
 
     # findings read published values only
     pairs = safe.filter(visible & (c("level") != T.STATE)).join(
         safe.filter(visible & (c("level") == T.STATE)).select("report_id", c("lq").alias("lq_state"), c("density").alias("density_state")), "report_id")
     shown_rates = t18_rows.filter(c("rate").isNotNull()).select(industry, "level", "territory", "year")
-    series = Y.rates_beside_others(flows, industry, last_year).join(shown_rates, [industry, "level", "territory", "year"]).withColumnRenamed(
+    series = Y.rates_beside_others(flows, industry, last_year, threshold).join(shown_rates, [industry, "level", "territory", "year"]).withColumnRenamed(
         industry, "report_id")
     findings = K.assemble([
         K.deviation_from_state(pairs, ["report_id", "territory"]),
@@ -131,10 +142,20 @@ def build(subjects: DataFrame, territories: DataFrame, population: DataFrame, in
     ], ["report_id", "territory"])
 
     scope = I.scope_check(cells.select(c(industry).alias("section"), c(industry).alias("industry"), "level", "territory", "parent", "n"))
+    # what reports share: the total of an industry in a territory; over all industries these add up to a public total
+    # with the subjects that have no industry, whose number is not shown
+    total = F.concat(F.lit("@"), c("level"), F.lit(":"), c("territory"))
+    in_all = safe.filter(c("report_id").isNotNull()).select(
+        F.concat_ws("|", "report_id", var).alias("name"), c("report_id").alias("overview"), F.concat("report_id", total).alias("detail"), var.alias("var"), total.alias("total"))
+    same = in_all.select("name", "var", F.explode(F.array("overview", "detail")).alias("report_id")).select("report_id", "var", "name")
+    places = safe.select(total.alias("total")).distinct()
+    term = lambda rows, name, k: rows.select(c("total").alias("rel_id"), name.alias("var"), F.lit(k).alias("coef"))
+    across = term(in_all, c("name"), 1).unionByName(term(places, F.concat(F.lit("bez oboru"), c("total")), 1))
+    members = lambda rows: rows.groupBy("report_id", c("whole").alias("var")).agg(F.count(F.lit(1)).alias("members"))
     return Report(
         place_vars.unionByName(other_vars).unionByName(own_total).unionByName(detail_vars).unionByName(part_vars).unionByName(flow_vars),
         place_sums.unionByName(other_sums).unionByName(detail_sums).unionByName(part_sums).unionByName(flow_sums),
-        t03.unionByName(t05).unionByName(t18), findings, scope.filter("refused"))
+        t03.unionByName(t05).unionByName(t18), findings, scope.filter("refused"), same, across, members(merged).unionByName(members(parts)))
 
 
 def rate_relations(rated: DataFrame, last_year: int, threshold: int) -> tuple[DataFrame, DataFrame]:
@@ -171,9 +192,31 @@ def _all(gates: tuple[str, ...]) -> Column:
 
 
 def audit(report: Report) -> DataFrame:
-    """Hidden protected cells that published numbers give away; must be empty."""
-    return D.derivable_exactly(report.cells, report.relations)
+    """Hidden protected cells that the published numbers of all reports together give away; must be empty.
+    The public total over all industries drops out of its sum as any published number does."""
+    return D.derivable_jointly(report.cells, report.relations, report.same, report.across)
+
+
+def violations(report: Report, threshold: int = X.MIN_CELL) -> DataFrame:
+    """(report_id, place, violation): everything that forbids a release; empty when it may go out."""
+    c = F.col
+    spark = report.cells.sparkSession
+    catalogue = spark.createDataFrame([(i, X.COUNT_TYPE if i in COUNTS else X.DERIVED_TYPES[0]) for i in INDICATORS], "indicator string, kind string")
+    row = lambda df, place, what: df.select(c("report_id").cast("string").alias("report_id"), place.alias("place"), what.alias("violation"))
+    ids = K.duplicate_ids(report.findings, ["report_id", "territory"])
+    out = row(audit(report), c("var"), F.concat(F.lit("hidden cell: "), c("leak")))
+    out = out.unionByName(row(D.threshold_audit(report.tables, report.cells, catalogue, report.others, threshold), c("place"), c("violation")))
+    out = out.unionByName(row(D.value_conflicts(report.cells), c("var"), F.lit("two values of one variable")))
+    out = out.unionByName(row(D.joint_conflicts(report.cells, report.same).withColumn("report_id", F.lit("*")), c("name"), F.lit("two values in two reports")))
+    return out.unionByName(row(ids, c("finding_id"), F.lit("two findings with one id")))
+
+
+class ReleaseRefused(ValueError):
+    """The report breaks a rule of release."""
 
 
 def save(report: Report, public: str, internal: str) -> None:
+    """Writes the report after its whole audit; one violation refuses all of it."""
+    if found := violations(report).take(5):
+        raise ReleaseRefused("; ".join(f"{r.report_id} {r.place}: {r.violation}" for r in found))
     write_report(report.tables, report.findings, report.cells, report.relations, public, internal)

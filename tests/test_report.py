@@ -45,6 +45,50 @@ def test_an_injected_leak_is_found(spark, built):
     assert (hidden.report_id, hidden["var"]) in found
 
 
+def test_a_leak_between_two_reports_is_found(spark, built):
+    """A number that one report hides and another one shows, and one that follows from both only."""
+    hidden = built.cells.join(built.same, ["report_id", "var"]).filter(~F.col("published") & F.col("protect") & (F.col("value") > 0)).orderBy("name", F.length("report_id"))
+    one = hidden.filter("report_id NOT LIKE '%@%'").first()
+    at = lambda r: (F.col("report_id") == r[0]) & (F.col("var") == r[1])
+    detail = hidden.filter((F.col("name") == one.name) & (F.col("report_id") != one.report_id)).first()
+    leaking = built.cells.withColumn("published", F.col("published") | at(detail))
+    found = {(r.report_id, r["var"], r.leak) for r in D.derivable_jointly(leaking, built.relations, built.same, built.across).collect()}
+    assert (one.report_id, one["var"], D.ELSEWHERE) in found
+    assert (one.report_id, one["var"]) not in {(r.report_id, r["var"]) for r in D.derivable_exactly(leaking, built.relations).collect()}  # no single report tells
+    from dataclasses import replace
+
+    with pytest.raises(P.ReleaseRefused):
+        P.save(replace(built, cells=leaking), "/tmp/not-written/public", "/tmp/not-written/internal")
+
+
+def test_relations_across_reports(spark):
+    cells = spark.createDataFrame([("a", "x", 3, False, True), ("a", "y", 9, True, True), ("a", "t", 12, False, False), ("b", "x", 4, True, True), ("b", "t", 12, True, False),
+                                   ("c", "z", 5, False, True)], "report_id string, var string, value int, published boolean, protect boolean")
+    relations = spark.createDataFrame([("a", "sum", "x", 1), ("a", "sum", "y", 1), ("a", "sum", "t", -1)], "report_id string, rel_id string, var string, coef int")
+    same = spark.createDataFrame([("a", "t", "T"), ("b", "t", "T"), ("c", "z", "Z")], "report_id string, var string, name string")
+    leaks = lambda across=None: sorted(map(tuple, D.derivable_jointly(cells, relations, same, across).collect()))
+    assert leaks() == [("a", "x", D.DERIVABLE)]  # b shows the total that a hides
+    across = spark.createDataFrame([("r", "Z", 1), ("r", "T", -1), ("r", "a#y", 1)], "rel_id string, var string, coef int")
+    assert leaks(across) == [("a", "x", D.DERIVABLE), ("c", "z", D.DERIVABLE)]
+    assert leaks(across.unionByName(spark.createDataFrame([("r", "unknown rest", 1)], across.schema))) == [("a", "x", D.DERIVABLE)]
+    assert D.joint_conflicts(cells, same).isEmpty() and D.joint_conflicts(cells.withColumn("value", F.when(F.col("report_id") == "b", 13).otherwise(F.col("value"))), same).count() == 1
+
+
+def test_elimination_against_matrix_rank():
+    from fractions import Fraction
+
+    import numpy as np
+
+    rng = random.Random(9)
+    for _ in range(200):
+        n, m = rng.randint(1, 7), rng.randint(1, 6)
+        a = [[rng.choice([0, 0, 1, 1, -1, 2]) for _ in range(n)] for _ in range(m)]
+        rows = [{f"v{j}": Fraction(x) for j, x in enumerate(r) if x} for r in a]
+        rank = np.linalg.matrix_rank(np.array(a))
+        want = [f"v{j}" for j in range(n) if np.linalg.matrix_rank(np.array([*a, [int(j == k) for k in range(n)]])) == rank]
+        assert D._determined(rows, [f"v{j}" for j in range(n)]) == want
+
+
 def test_outputs_keep_internal_variables_apart(spark, built, folder):
     with pytest.raises(ValueError):
         P.save(built, folder, f"{folder}/internal")
