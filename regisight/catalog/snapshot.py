@@ -270,6 +270,43 @@ def structure_benchmark(spark: SparkSession, sf: str) -> DataFrame:
     return S.benchmark(structure(spark, sf), ["section"])
 
 
+CHOSEN = ["R1", "R3"]
+SQL_REGIONAL = SQL_STRUCTURE + """,
+o0 AS (SELECT *, sum(n) OVER w AS total, coalesce(sum(n) FILTER (WHERE n < 10) OVER w, 0) AS small,
+  row_number() OVER (PARTITION BY section, territory, dim ORDER BY CASE WHEN n >= 10 THEN 0 ELSE 1 END, n, item) AS rn
+  FROM st WHERE level <> 'CR' WINDOW w AS (PARTITION BY section, territory, dim)),
+own AS (SELECT *, n >= 10 AND NOT (small > 0 AND small < 10 AND rn = 1) AS pub FROM o0 WHERE total >= 10),
+tot AS (SELECT section, territory, dim, level, max(total) AS total, coalesce(sum(n) FILTER (WHERE NOT pub), 0) AS other FROM own GROUP BY 1, 2, 3, 4),
+cnt AS (SELECT region AS parent, count(*) AS districts FROM terr GROUP BY 1),
+refs AS (SELECT p.level, p.territory, r.reference FROM places p, (VALUES ('CZ'), ('R1'), ('R3')) AS r(reference) LEFT JOIN cnt ON cnt.parent = p.parent
+  WHERE p.level <> 'CR' AND r.reference <> p.territory AND NOT (p.level = 'OKRES' AND p.parent = r.reference AND cnt.districts = 1)),
+beside AS (SELECT t.*, r.reference FROM tot t JOIN refs r USING (level, territory)),
+there AS (SELECT section, territory AS reference, dim, item, n AS nt FROM st WHERE level = 'CR' OR level = 'KRAJ' AND territory IN ('R1', 'R3')),
+whole AS (SELECT section, reference, dim, sum(nt) AS total_there FROM there GROUP BY 1, 2, 3),
+its AS (SELECT b.section, b.territory, b.reference, b.dim, o.item, o.n, coalesce(t.nt, 0) AS nt FROM own o JOIN beside b USING (section, territory, dim)
+  LEFT JOIN there t ON t.section = b.section AND t.reference = b.reference AND t.dim = b.dim AND t.item = o.item WHERE o.pub),
+al AS (SELECT * FROM its UNION ALL SELECT b.section, b.territory, b.reference, b.dim, '(rest)', NULL, w.total_there - coalesce((SELECT sum(i.nt) FROM its i
+    WHERE i.section = b.section AND i.territory = b.territory AND i.reference = b.reference AND i.dim = b.dim), 0) AS nt
+  FROM beside b JOIN whole w USING (section, reference, dim)),
+ch AS (SELECT *, sum(nt) OVER w AS tt, coalesce(sum(nt) FILTER (WHERE nt < 10) OVER w, 0) AS sm,
+  row_number() OVER (PARTITION BY section, territory, reference, dim ORDER BY CASE WHEN nt >= 10 THEN 0 ELSE 1 END, nt, item) AS rn
+  FROM al WHERE nt > 0 OR item <> '(rest)' WINDOW w AS (PARTITION BY section, territory, reference, dim)),
+st2 AS (SELECT *, CASE WHEN nt <= 0 THEN 'zero' WHEN tt < 10 THEN 'hidden' WHEN item = '(rest)' OR nt < 10 OR (sm > 0 AND sm < 10 AND rn = 1) THEN 'other' ELSE 'published' END AS s FROM ch),
+ot AS (SELECT section, territory, reference, dim, sum(nt) AS other_there FROM st2 WHERE s = 'other' GROUP BY 1, 2, 3, 4),
+fin AS (SELECT section, territory, reference, dim, item, n, CASE WHEN s = 'published' THEN nt END AS nt, total, total_there FROM st2
+    JOIN beside USING (section, territory, reference, dim) LEFT JOIN whole USING (section, reference, dim) WHERE item <> '(rest)'
+  UNION ALL SELECT section, territory, reference, dim, '(other)', nullif(other, 0), other_there, total, total_there FROM beside
+    LEFT JOIN whole USING (section, reference, dim) LEFT JOIN ot USING (section, territory, reference, dim) WHERE other > 0 OR other_there > 0)
+SELECT section, territory, reference, dim, item, round(100.0 * n / total, 1) AS share, round(100.0 * nt / total_there, 1) AS share_reference,
+  round(round(100.0 * n / total, 1) - round(100.0 * nt / total_there, 1), 1) AS difference FROM fin"""
+
+
+@registered(SQL_REGIONAL)
+def regional_benchmark(spark: SparkSession, sf: str) -> DataFrame:
+    """Structure of every region and district beside the state and two chosen regions."""
+    return S.benchmark_regions(structure(spark, sf), ["section"], T.places(territories(spark, sf)), CHOSEN)[0]
+
+
 # --- dynamics --------------------------------------------------------------------------------------
 
 SQL_FLOW = f"""

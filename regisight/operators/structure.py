@@ -96,3 +96,52 @@ def benchmark(cells: DataFrame, key: list[str], level: str = T.REGION, threshold
     state_share = F.when((F.col("status") == D.PUBLISHED) & ~is_other, pct(F.col("n_state"), F.col("total_state"), 1))
     return j.select(*group, F.col("label").alias("item"), share.alias("share"), state_share.alias("share_state"),
                     F.round(share - state_share, 1).alias("difference"))
+
+
+def references(places: DataFrame, chosen: list[str]) -> DataFrame:
+    """(level, territory, reference): what each region and district is put beside, the state and the chosen regions, but not
+    itself, and no region whose only district it is, for the region would then tell the district's hidden cells."""
+    c = F.col
+    districts = places.filter(c("level") == T.DISTRICT).groupBy("parent").agg(F.count_distinct("territory").alias("districts"))
+    asked = places.filter(c("level") != T.STATE).select("level", "territory", "parent", F.explode(F.array(F.lit(T.STATE_CODE), *[F.lit(x) for x in chosen])).alias("reference"))
+    alone = (c("level") == T.DISTRICT) & (c("parent") == c("reference")) & (c("districts") == 1)
+    return asked.join(districts, "parent", "left").filter((c("reference") != c("territory")) & ~F.coalesce(alone, F.lit(False))).select("level", "territory", "reference")
+
+
+REST, OTHER_ITEM = "(rest)", "(other)"
+
+
+def benchmark_regions(cells: DataFrame, key: list[str], places: DataFrame, chosen: list[str], threshold: int = X.MIN_CELL) -> tuple[DataFrame, DataFrame]:
+    """(shares, reference cells): item shares of each territory beside those of the state and of chosen regions.
+
+    The territory's own suppression decides the items. In a reference whatever the territory does not publish is merged
+    beforehand and stays in "(other)" there; the reference then gets a suppression of its own over these items, which
+    may move more of them to "(other)". A breakdown that is hidden in the territory or too small in the reference has
+    no shares there; the difference is taken from rounded shares. The reference cells (key, territory, reference, dim, item,
+    n, status) are the variables an audit needs."""
+    c = F.col
+    place = [*key, "territory", "dim"]
+    group = [*key, "territory", "reference", "dim"]
+    own = D.suppress(cells.filter(c("level") != T.STATE), place, "item", "n", None, threshold).select("level", *place, "item", "n", "status")
+    totals = own.groupBy("level", *place).agg(
+        F.sum("n").alias("total"), F.coalesce(F.sum(F.when(c("status") == D.OTHER, c("n"))), F.lit(0)).alias("other")).filter(c("total") >= threshold)
+    beside = totals.join(references(places, chosen), ["level", "territory"]).drop("level")
+    there = cells.filter((c("level") == T.STATE) | c("territory").isin(chosen) & (c("level") == T.REGION)).select(
+        *key, c("territory").alias("reference"), "dim", "item", c("n").alias("n_there"))
+    shown = own.filter(c("status") == D.PUBLISHED).select(*place, "item", "n")
+    items = shown.join(beside.select(*group), place).join(there, [*key, "reference", "dim", "item"], "left").withColumn("n_there", F.coalesce("n_there", F.lit(0)))
+    whole = there.groupBy(*key, "reference", "dim").agg(F.sum("n_there").alias("total_there"))
+    listed = items.groupBy(*group).agg(F.sum("n_there").alias("listed"))
+    rest = beside.select(*group).join(whole, [*key, "reference", "dim"]).join(listed, group, "left").select(
+        *group, F.lit(REST).alias("item"), F.lit(None).cast("bigint").alias("n"), (c("total_there") - F.coalesce("listed", F.lit(0))).alias("n_there"))
+    checked = D.suppress(items.select(*group, "item", "n", "n_there").unionByName(rest.filter(c("n_there") > 0)), group, "item", "n_there", None, threshold)
+    checked = checked.withColumn("status", F.when((c("item") == REST) & (c("status") == D.PUBLISHED), D.OTHER).otherwise(c("status")))
+    other_there = checked.filter(c("status") == D.OTHER).groupBy(*group).agg(F.sum("n_there").alias("other_there"))
+    facts = beside.join(whole, [*key, "reference", "dim"], "left").join(other_there, group, "left")
+    one = checked.filter(c("item") != REST).select(*group, "item", "n", F.when(c("status") == D.PUBLISHED, c("n_there")).alias("n_there")).join(
+        facts.select(*group, "total", "total_there"), group)
+    merged = facts.filter((c("other") > 0) | (c("other_there") > 0)).select(
+        *group, F.lit(OTHER_ITEM).alias("item"), F.nullif("other", F.lit(0)).alias("n"), c("other_there").alias("n_there"), "total", "total_there")
+    share, beyond = pct(c("n"), c("total"), 1), pct(c("n_there"), c("total_there"), 1)
+    shares = one.unionByName(merged).select(*group, "item", share.alias("share"), beyond.alias("share_reference"), F.round(share - beyond, 1).alias("difference"))
+    return shares, checked.select(*group, "item", c("n_there").alias("n"), "status")
