@@ -27,4 +27,4 @@ def registered(sql: str | None = None, ints: tuple[str, ...] = ()) -> Callable[[
 
 
 def load_all() -> None:
-    from regisight.catalog import classification, economy, feeds, notable, protection, regional, scalars, snapshot, temporal  # noqa: F401
+    from regisight.catalog import classification, economy, feeds, notable, protection, regional, scalars, snapshot, stored, temporal  # noqa: F401

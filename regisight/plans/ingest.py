@@ -30,7 +30,7 @@ def ingest_snapshot(spark: SparkSession, root: str, files: dict[str, tuple[str,
         b.rows = (n if new else 0) + (m if new2 else 0)
         snap = S.snapshots(spark, S.SUBJECTS, root).filter(F.col("snapshot") == F.lit(day).cast("date"))  # prunes to one partition
         metrics = Q.quality_metrics(quality_view(snap), lists["nace"], lists["districts"], lists["sizes"], lists["forms"])
-        B.replace_by_key(metrics, f"{root}/quality", ["snapshot"])
-    stored = spark.read.parquet(f"{root}/quality").filter(F.col("snapshot") == F.lit(day).cast("date"))
+        B.replace_by_key(metrics, root, "quality", ["snapshot"], b.batch_id)
+    stored = B.read_keyed(spark, root, "quality").filter(F.col("snapshot") == F.lit(day).cast("date"))
     Q.quality_gate(stored, limit)
     return stored

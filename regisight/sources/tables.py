@@ -107,9 +107,32 @@ def current(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}/v={last.v}")
 
 
-def replace_by_key(df: DataFrame, path: str, keys: list[str]) -> None:
-    """Replaces the partitions (selection, data set, year) that occur in df and leaves the others."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+KEYED = "at timestamp, batch_id string, part string, path string, rows bigint"
+
+
+def replace_by_key(df: DataFrame, root: str, name: str, keys: list[str], batch_id: str) -> int:
+    """Replaces what the table holds for the key values (selection, data set, year) that occur in df and leaves the others; how many
+    values were replaced. Each value's rows are written under a folder of this attempt, files sized by Spark also where one
+    value has most rows; one log file then points all values to their new folders at once."""
+    spark = df.sparkSession
+    path = f"{root}/{name}/data/{batch_id}-{uuid.uuid4().hex[:8]}"
+    part = F.md5(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}))
+    df.withColumn("_part", part).hint("rebalance", F.col("_part")).write.partitionBy("_part").parquet(path)
+    if df.isEmpty():
+        return 0
+    at = _now()
+    new = [(at, batch_id, r["_part"], f"{path}/_part={r['_part']}", r["count"]) for r in spark.read.parquet(path).groupBy("_part").count().collect()]
+    _append(spark, f"{root}/{name}/_log", new, KEYED)
+    return len(new)
+
+
+def read_keyed(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The rows last stored for every key value."""
+    path = f"{root}/{name}/_log"
+    if not _exists(spark, path):
+        raise LoadRefused(f"{name}: nothing is stored")
+    now = spark.read.schema(KEYED).parquet(path).groupBy("part").agg(F.max_by("path", "at").alias("path")).collect()  # one row a key value
+    return spark.read.parquet(*sorted(r.path for r in now))
 
 
 def latest_snapshot(spark: SparkSession, root: str, name: str) -> str | None:

@@ -186,8 +186,11 @@ def test_tables(spark, folder):
     assert B.current(spark, folder, "x").count() == 2     # the refused version never became current
     a, b = (B.fingerprint(x).first() for x in (df, df.orderBy(F.desc("k"))))
     assert (a.rows, a.hash) == (b.rows, b.hash)
-    path = f"{folder}/years"
-    years = spark.createDataFrame([(2023, 1), (2024, 2)], "year int, v int")
-    B.replace_by_key(years, path, ["year"])
-    B.replace_by_key(spark.createDataFrame([(2024, 5)], "year int, v int"), path, ["year"])
-    assert {(r.year, r.v) for r in spark.read.parquet(path).collect()} == {(2023, 1), (2024, 5)}
+    years = lambda *r: spark.createDataFrame(list(r), "year int, v int")
+    assert B.replace_by_key(years((2023, 1), (2024, 2), (None, 3)), folder, "years", ["year"], "b1") == 3
+    held = B.read_keyed(spark, folder, "years")
+    assert B.replace_by_key(years((2024, 5), (2024, 6)), folder, "years", ["year"], "b2") == 1 and B.replace_by_key(years((1, 1)).limit(0), folder, "years", ["year"], "b3") == 0
+    assert {(r.year, r.v) for r in B.read_keyed(spark, folder, "years").collect()} == {(2023, 1), (2024, 5), (2024, 6), (None, 3)}
+    assert {(r.year, r.v) for r in held.collect()} == {(2023, 1), (2024, 2), (None, 3)}  # a reader that began before sees what was there
+    with pytest.raises(B.LoadRefused):
+        B.read_keyed(spark, folder, "nothing")
