@@ -218,3 +218,28 @@ def industry_requests(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_custkey").alias("request_id"), code.alias("code"))
     good, bad = validate_requests(asked, codes)
     return good.select("request_id", "code", F.lit(None).cast("string").alias("reason")).unionByName(bad.select("request_id", "code", "reason"))
+
+
+# --- memberships of all kinds and the role each has ----------------------------------------------
+ROLE_CASES = (
+    ("PROKURA", None, "prokurista", "112", "PROKURISTA"), ("LIKVIDATOR", "Likvidátor", None, "121", "LIKVIDATOR"), ("KOMPLEMENTAR", None, None, "118", "KOMPLEMENTAR"),
+    ("SPOLECNIK", "Společníci", "", "112", "SPOLECNIK"), ("KOMANDITISTA", None, None, "118", "KOMANDITISTA"), ("AKCIONAR", None, None, "121", "JEDINY_AKCIONAR"),
+    ("DOZORCI_RADA", "Dozorčí rada", "předseda dozorčí rady", "121", "PREDSEDA_DOZORCI_RADY"), ("DOZORCI_RADA", "Dozorčí rada", "Místopředseda", "121", "MISTOPREDSEDA_DOZORCI_RADY"),
+    ("DOZORCI_RADA", "Dozorčí rada", None, "121", "CLEN_DOZORCI_RADY"), ("DOZORCI_RADA", "Dozorčí rada", "tajemník", "121", None),
+    ("KONTROLNI_KOMISE", None, "člen kontrolní komise", "205", "CLEN_KONTROLNI_KOMISE"), ("STATUTARNI_ORGAN", "Komplementáři", "jednatel", "118", "KOMPLEMENTAR"),
+    ("STATUTARNI_ORGAN", "Statutární orgán - společníci", None, "111", "SPOLECNIK"), ("STATUTARNI_ORGAN", "Statutární orgán", "statutární ředitel", "121", "STATUTARNI_REDITEL"),
+    ("STATUTARNI_ORGAN", "Správní rada", "předseda správní rady", "121", "PREDSEDA_SPRAVNI_RADY"), ("STATUTARNI_ORGAN", "Správní rada", "místopředseda správní rady", "121", None),
+    ("STATUTARNI_ORGAN", "Statutární orgán", "jednatel", "112", "JEDNATEL"), ("STATUTARNI_ORGAN", "Statutární orgán", None, "112", "JEDNATEL"),
+    ("STATUTARNI_ORGAN", "Statutární orgán", "předseda družstva", "205", "PREDSEDA_DRUZSTVA"), ("STATUTARNI_ORGAN", "Představenstvo", "člen družstva", "205", "CLEN_PREDSTAVENSTVA"),
+    ("STATUTARNI_ORGAN", "Představenstvo", "místopředseda představenstva", "121", "MISTOPREDSEDA_PREDSTAVENSTVA"), ("STATUTARNI_ORGAN", "Statutární orgán", "generální ředitel", "121", None),
+    ("STATUTARNI_ORGAN", "Statutární orgán", "člen", "101", None), ("JINY_ORGAN", "Správní rada", "předseda", "121", None),
+)
+_SQL_ROLES = ", ".join(f"({i}, {'NULL' if r is None else repr(r)})" for i, (*_, r) in enumerate(ROLE_CASES))
+
+
+@registered(f"""SELECT role, l_returnflag, count(*) AS n FROM lineitem JOIN (VALUES {_SQL_ROLES}) AS v(i, role) ON i = (l_orderkey + 7 * l_linenumber) % {len(ROLE_CASES)} GROUP BY 1, 2""")
+def member_roles(spark: SparkSession, sf: str) -> DataFrame:
+    """Roles of members of all organ types, by organ, function and legal form; those that cannot be told have none."""
+    cases = F.array(*[F.struct(*[F.lit(x).cast("string").alias(n) for n, x in zip(("kind", "organ", "job", "form"), case, strict=False)]) for case in ROLE_CASES])
+    picked = table(spark, sf, "lineitem").select("l_returnflag", cases[((F.col("l_orderkey") + 7 * F.col("l_linenumber")) % len(ROLE_CASES)).cast("int")].alias("m")).select("l_returnflag", "m.*")
+    return X.with_role(picked, "kind", "organ", "job", "form", "role").groupBy("role", "l_returnflag").agg(F.count(F.lit(1)).alias("n"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,43 +86,67 @@ def finding_id(prefix: Column, key: Column) -> Column:
     return F.concat(F.lit("Z"), prefix, F.lit("-"), *letters)
 
 
-# --- fixed values: roles of fixed organ types --------------------------------
-FIXED_ROLES = {
-    "PROKURA": "PROKURISTA", "LIKVIDATOR": "LIKVIDATOR", "KOMPLEMENTAR": "KOMPLEMENTAR", "SPOLECNIK": "SPOLECNIK",
-    "KOMANDITISTA": "KOMANDITISTA", "AKCIONAR": "JEDINY_AKCIONAR",
-}
 # --- fixed values: rank words of a function text, first match wins ------------
 RANK_WORDS = (("MISTOPREDSEDA", r"\bmistop"), ("PREDSEDA", r"\bpredsed|\bpreds\b|\bpred\b"), ("CLEN", r"\bclen|^$"))
+RANKS = tuple(code for code, _ in RANK_WORDS)
+
+
+@dataclass(frozen=True)
+class Body:
+    """A body of the role code list: the organ types it is registered under and what else tells it. Any one of its marks is
+    enough, none means the organ type alone. With ranks a role reads rank_code, without them the code is the role."""
+
+    code: str
+    organ_type: str
+    in_organ: str = ""
+    in_function: str = ""
+    forms: tuple[str, ...] = ()
+    only_without_function: bool = False  # the legal form tells it only where no function is named
+    ranks: tuple[str, ...] = ()
+    needs_rank: bool = False  # without one of its ranks it is another body
+
+
+_STATUTORY = "STATUTARNI_ORGAN"
+# --- fixed values: bodies and their marks, of several that are told the first one ----
+BODIES = (
+    Body("PROKURISTA", "PROKURA"),
+    Body("LIKVIDATOR", "LIKVIDATOR"),
+    Body("KOMPLEMENTAR", "KOMPLEMENTAR"),
+    Body("SPOLECNIK", "SPOLECNIK"),
+    Body("KOMANDITISTA", "KOMANDITISTA"),
+    Body("JEDINY_AKCIONAR", "AKCIONAR"),
+    Body("DOZORCI_RADY", "DOZORCI_RADA", ranks=RANKS),
+    Body("KONTROLNI_KOMISE", "KONTROLNI_KOMISE", ranks=RANKS),
+    Body("KOMPLEMENTAR", _STATUTORY, in_organ="komplementar"),
+    Body("SPOLECNIK", _STATUTORY, in_organ="spolecnik"),
+    Body("STATUTARNI_REDITEL", _STATUTORY, in_organ="statutarni reditel", in_function="statutarni reditel"),
+    Body("SPRAVNI_RADY", _STATUTORY, in_organ="spravni rada", in_function="spravni rad", ranks=("PREDSEDA", "CLEN")),
+    Body("JEDNATEL", _STATUTORY, in_function="jednatel", forms=("112",), only_without_function=True),
+    Body("DRUZSTVA", _STATUTORY, in_function="druzstv", ranks=("PREDSEDA", "MISTOPREDSEDA"), needs_rank=True),
+    Body("PREDSTAVENSTVA", _STATUTORY, in_organ="predstav", in_function="predstav", forms=("121", "205"), ranks=RANKS),
+)
 
 
 def with_role(df: DataFrame, organ_type: str, organ_name: str, function: str, form: str, name: str = "role_code") -> DataFrame:
     """Adds the role of a member, read from the organ and the free-text function; NULL when it cannot be
-    told. The normalised texts and the rank are columns of their own steps, so each is computed once."""
-    worded = df.withColumns({"_organ": plain_words(F.col(organ_name)), "_job": plain_words(F.col(function))})
-    ranked_df = worded.withColumn(
-        "_rank", F.coalesce(*[F.when(F.col("_job").rlike(pattern), F.lit(code)) for code, pattern in RANK_WORDS]))
-    organ, job, rank, kind, legal = (F.col(x) for x in ("_organ", "_job", "_rank", organ_type, form))
-
-    def ranked(suffix: str, *allowed: str) -> Column:
-        named = F.concat(rank, F.lit("_" + suffix))
-        return F.when(rank.isin(*allowed), named) if allowed else named
-
-    either = lambda word: organ.contains(word) | job.contains(word)
-    fixed = F.create_map(*[F.lit(x) for pair in FIXED_ROLES.items() for x in pair])
-    # statutory organ: the first branch that matches decides, also when it yields no role
-    statutory = (
-        F.when(organ.contains("komplementar"), F.lit("KOMPLEMENTAR"))
-        .when(organ.contains("spolecnik"), F.lit("SPOLECNIK"))
-        .when(either("statutarni reditel"), F.lit("STATUTARNI_REDITEL"))
-        .when(organ.contains("spravni rada") | job.contains("spravni rad"), ranked("SPRAVNI_RADY", "PREDSEDA", "CLEN"))
-        .when(job.contains("jednatel") | F.coalesce((legal == "112") & (job == ""), F.lit(False)), F.lit("JEDNATEL"))
-        .when(job.contains("druzstv") & rank.isin("PREDSEDA", "MISTOPREDSEDA"), ranked("DRUZSTVA"))
-        .when(either("predstav") | F.coalesce(legal.isin("121", "205"), F.lit(False)), ranked("PREDSTAVENSTVA"))
-    )
-    role = (
-        F.when(kind.isin(*FIXED_ROLES), fixed[kind])
-        .when(kind == "DOZORCI_RADA", ranked("DOZORCI_RADY"))
-        .when(kind == "KONTROLNI_KOMISE", ranked("KONTROLNI_KOMISE"))
-        .when(kind == "STATUTARNI_ORGAN", statutory)
-    )
-    return ranked_df.withColumn(name, role).drop("_organ", "_job", "_rank")
+    told. Every body that is told is a candidate with its place in the table; the smallest place gives the role, or none
+    where the member's rank is not one of the body's. Normalised texts and the rank are columns of their own steps, so
+    each is computed once."""
+    c = F.col
+    worded = df.withColumns({"_organ": plain_words(c(organ_name)), "_job": plain_words(c(function))})
+    ranked = worded.withColumn("_rank", F.coalesce(*[F.when(c("_job").rlike(pattern), F.lit(code)) for code, pattern in RANK_WORDS]))
+
+    def told(b: Body) -> Column:
+        marks = [c(text).contains(word) for text, word in (("_organ", b.in_organ), ("_job", b.in_function)) if word]
+        if b.forms:
+            marks.append(c(form).isin(*b.forms) & (c("_job") == "" if b.only_without_function else F.lit(True)))
+        needed = [c(organ_type) == b.organ_type, F.exists(F.array(*marks), lambda m: m) if marks else F.lit(True)]
+        if b.needs_rank:
+            needed.append(c("_rank").isin(*b.ranks))
+        return F.forall(F.array(*needed), lambda n: F.coalesce(n, F.lit(False)))
+
+    def role(b: Body) -> Column:
+        return F.when(c("_rank").isin(*b.ranks), F.concat(c("_rank"), F.lit(f"_{b.code}"))) if b.ranks else F.lit(b.code)
+
+    candidates = F.array(*[F.when(told(b), F.struct(F.lit(place).alias("place"), role(b).alias("role"))) for place, b in enumerate(BODIES)])
+    return ranked.withColumn(name, F.array_min(F.array_compact(candidates))["role"]).drop("_organ", "_job", "_rank")
