@@ -227,7 +227,7 @@ ROLE_CASES = (
     ("DOZORCI_RADA", "Dozorčí rada", "předseda dozorčí rady", "121", "PREDSEDA_DOZORCI_RADY"), ("DOZORCI_RADA", "Dozorčí rada", "Místopředseda", "121", "MISTOPREDSEDA_DOZORCI_RADY"),
     ("DOZORCI_RADA", "Dozorčí rada", None, "121", "CLEN_DOZORCI_RADY"), ("DOZORCI_RADA", "Dozorčí rada", "tajemník", "121", None),
     ("KONTROLNI_KOMISE", None, "člen kontrolní komise", "205", "CLEN_KONTROLNI_KOMISE"), ("STATUTARNI_ORGAN", "Komplementáři", "jednatel", "118", "KOMPLEMENTAR"),
-    ("STATUTARNI_ORGAN", "Statutární orgán - společníci", None, "111", "SPOLECNIK"), ("STATUTARNI_ORGAN", "Statutární orgán", "statutární ředitel", "121", "STATUTARNI_REDITEL"),
+    ("STATUTARNI_ORGAN", "Statutární orgán - společník", None, "111", "SPOLECNIK"), ("STATUTARNI_ORGAN", "Statutární orgán", "statutární ředitel", "121", "STATUTARNI_REDITEL"),
     ("STATUTARNI_ORGAN", "Správní rada", "předseda správní rady", "121", "PREDSEDA_SPRAVNI_RADY"), ("STATUTARNI_ORGAN", "Správní rada", "místopředseda správní rady", "121", None),
     ("STATUTARNI_ORGAN", "Statutární orgán", "jednatel", "112", "JEDNATEL"), ("STATUTARNI_ORGAN", "Statutární orgán", None, "112", "JEDNATEL"),
     ("STATUTARNI_ORGAN", "Statutární orgán", "předseda družstva", "205", "PREDSEDA_DRUZSTVA"), ("STATUTARNI_ORGAN", "Představenstvo", "člen družstva", "205", "CLEN_PREDSTAVENSTVA"),
