@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regisight.operators import history as H
+from regisight.session import materialise
 from regisight.sources.tables import LoadRefused, _append, _now
 
 LOG = "seq bigint, batch_id string, at timestamp, part string, bucket int, replaces boolean, path string, rows bigint"
@@ -133,6 +134,7 @@ def synchronise(spark: SparkSession, root: str, name: str, key: str, content: li
     st = state(spark, root, name, buckets, batch_id)
     if st.known:
         return {"buckets": 0, "kept": 0, "closed": 0, "opened": 0}
+    rows = materialise(rows.select(key, *content), "batch")  # read for its counts and again for its versions
     keys = keys if keys is not None else rows
     shape = rows.select(key, *content, now.alias("recorded_from"), F.lit(None).cast(_type(now, rows)).alias("recorded_to"), F.lit(batch_id).alias("batch_id"))
     touched = _counts(rows, keys, key, st.buckets)
@@ -173,7 +175,7 @@ def insert_new(spark: SparkSession, root: str, name: str, key: str, rows: DataFr
     st = state(spark, root, name, buckets, batch_id)
     if st.known:
         return 0
-    wanted = rows.filter(F.col(f"`{key}`").isNotNull()).dropDuplicates([key])
+    wanted = materialise(rows.filter(F.col(f"`{key}`").isNotNull()).dropDuplicates([key]), "batch")
     touched = _counts(wanted, wanted, key, st.buckets)
     stored = read_part(spark, root, name, ROWS, list(touched), st, rows.select(key))
     known = stored.join(wanted.select(key), key, "left_semi").distinct()
