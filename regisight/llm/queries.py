@@ -28,6 +28,28 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "n_stop_words")
 
 
+_STOP = ", ".join("'" + w + "'" for w in sorted({*quality.STOP_WORDS, *(w.capitalize() for w in quality.STOP_WORDS)}))
+_RATIOS = {"mean_word_length": "word_chars / greatest(n_words, 1)::DOUBLE", "symbol_ratio": "n_symbols / greatest(n_words, 1)::DOUBLE",
+           "stop_word_ratio": "n_stop_words / greatest(n_words, 1)::DOUBLE", "duplicate_line_ratio": "n_dup_lines / greatest(n_lines, 1)::DOUBLE"}
+_HOLDS = " AND ".join(f"{_RATIOS[r.measure]} {sign} {limit}" for r in quality.RULES for sign, limit in ((">=", r.least), ("<=", r.most)) if limit is not None)
+
+ORACLE["op9_quality_rules"] = rf"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM documents),
+windows AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM w, unnest(range(1, len(ws) - 1)) AS u(i)),
+repeated AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM repeated, unnest([0, 1, 2]) AS t(k) GROUP BY 1),
+m AS (
+  SELECT doc_id, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
+         coalesce(n, 0) AS n_repeat_words, len(ls) AS n_lines, len(list_filter(ws, lambda x: x IN ({_STOP}))) AS n_stop_words
+  FROM w LEFT JOIN covered USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT *, NOT base_failed AND {_HOLDS} AS kept FROM b
+"""
+
+
 @query
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
@@ -36,6 +58,22 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+ORACLE["op10_benchmark_decontamination"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+items AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+patterns AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS k, array_to_string(ws[i : i + 9], ' ') AS g FROM items, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS u(i) WHERE len(ws) > 0),
+placed AS (
+  SELECT doc_id, i, k, array_to_string(ws[i : i + k - 1], ' ') AS g
+  FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM patterns))),
+hits AS (SELECT doc_id, i, k, item_id FROM placed JOIN patterns USING (k, g)),
+words AS (SELECT doc_id, count(DISTINCT i + j) AS n_hit FROM (SELECT doc_id, i, unnest(range(k)) AS j FROM hits) GROUP BY 1),
+found AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256 FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY 1)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
 @query
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encoding and decoding of every document."""
