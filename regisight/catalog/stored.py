@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regisight.catalog import ORACLE, classification, feeds, notable, protection, registered
+from regisight.catalog import ORACLE, classification, feeds, notable, protection, registered, temporal
+from regisight.functions import numbers as N
 from regisight.operators import crosswalk as C
 from regisight.operators import findings as K
 from regisight.operators import history as H
+from regisight.operators import reconcile
+from regisight.operators import rules as V
 from regisight.plans.proxy import SQL_SUBJECTS, subject_id, subjects, table
 from regisight.session import work_path
 from regisight.sources import codelists as L
@@ -239,3 +242,88 @@ def address_parts(spark: SparkSession, sf: str) -> DataFrame:
              "textovaAdresa": none}
     a = table(spark, sf, "customer").select("c_custkey", F.struct(*[v.alias(n) for n, v in parts.items()]).alias("a"))
     return a.select("c_custkey", *R.address_columns(F.col("a"))).select("c_custkey", "ruian", "house", "registration", "orientation", "zip", "town")
+
+
+# --- rules, audits and bounds of stored rows -------------------------------------------------------
+
+SQL_RULES = """WITH r AS (SELECT lpad(CAST(l_orderkey AS VARCHAR), 8, '0') AS ico, CASE WHEN l_linenumber % 4 IN (0, 1) THEN lpad(CAST(l_suppkey AS VARCHAR), 8, '0') END AS firm,
+  CASE WHEN l_linenumber % 4 IN (1, 2) THEN 'name' END AS named, CASE WHEN l_linenumber % 4 = 2 THEN CASE WHEN l_quantity > 40 THEN 'cz' ELSE 'CZ' END END AS state,
+  l_quantity * 3 AS share, l_linenumber, l_quantity, CAST(l_shipdate AS DATE) AS day FROM lineitem)
+SELECT 'relation' AS tbl, 'one_member' AS rule, count(*) FILTER (WHERE (firm IS NOT NULL)::INT + (named IS NOT NULL)::INT <> 1) AS violations FROM r
+UNION ALL SELECT 'relation', 'name_with_state', count(*) FILTER (WHERE (named IS NULL) <> (state IS NULL)) FROM r
+UNION ALL SELECT 'relation', 'state', count(*) FILTER (WHERE state = 'cz') FROM r
+UNION ALL SELECT 'relation', 'currency', 0 FROM (SELECT 1) UNION ALL SELECT 'relation', 'registered_order', count(*) FILTER (WHERE l_quantity < 3) FROM r
+UNION ALL SELECT 'relation', 'share', count(*) FILTER (WHERE share > 100) FROM r UNION ALL SELECT 'relation', 'paid', count(*) FILTER (WHERE l_quantity > 45) FROM r
+UNION ALL SELECT 'relation', 'not_itself', count(*) FILTER (WHERE firm = ico) FROM r UNION ALL SELECT 'relation', 'from_not_after_to', 0 FROM (SELECT 1)
+UNION ALL SELECT 'code', 'version', count(*) FILTER (WHERE l_linenumber = 3) FROM r UNION ALL SELECT 'code', 'level', count(*) FILTER (WHERE l_linenumber > 5) FROM r
+UNION ALL SELECT 'code', 'certainty', count(*) FILTER (WHERE l_quantity > 40) FROM r UNION ALL SELECT 'code', 'code_or_flag', count(*) FILTER (WHERE l_linenumber = 2 AND l_quantity <= 20) FROM r
+UNION ALL SELECT 'code', 'from_not_after_to', count(*) FILTER (WHERE l_quantity < 3) FROM r
+UNION ALL SELECT 'address', 'state', count(*) FILTER (WHERE state = 'cz') FROM r UNION ALL SELECT 'address', 'one_number', count(*) FILTER (WHERE firm IS NOT NULL AND named IS NOT NULL) FROM r
+UNION ALL SELECT 'version', 'id', count(*) FILTER (WHERE l_linenumber = 7) FROM r UNION ALL SELECT 'version', 'from_not_after_to', count(*) FILTER (WHERE l_quantity < 3) FROM r
+UNION ALL SELECT 'version', 'recorded_order', 0 FROM (SELECT 1) UNION ALL SELECT 'version', 'closed_after_founded', count(*) FILTER (WHERE l_quantity < 3) FROM r
+UNION ALL SELECT 'version', 'tax_id', count(*) FILTER (WHERE l_linenumber = 4) FROM r UNION ALL SELECT 'version', 'currency', count(*) FILTER (WHERE l_linenumber = 5) FROM r"""
+
+
+@registered(SQL_RULES)
+def table_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Violations of the rules of relations, codes, addresses and versions over rows with faults of every kind; NULL holds."""
+    li, c = table(spark, sf, "lineitem"), F.col
+    line, n, day, none = c("l_linenumber"), c("l_quantity"), F.to_date("l_shipdate"), F.lit(None).cast("string")
+    state = F.when(line % 4 == 2, F.when(n > 40, "cz").otherwise("CZ"))
+    firm, named = F.when((line % 4).isin(0, 1), subject_id(c("l_suppkey"))), F.when((line % 4).isin(1, 2), "name")
+    before = F.when(n < 3, F.date_sub(day, 1)).otherwise(day)
+    period = {"start": day, "end": before}
+    kinds = {
+        "relation": (V.relation_rules(), {"ico": subject_id(c("l_orderkey")), "member_person": none, "member_ico": firm, "member_name": named, "member_state": state, "deposit_currency": none,
+                                          "registered": day, "deleted": before, "share_percent": n * 3, "paid_percent": n + 55, "start": day, "end": F.lit(None).cast("date")}),
+        "code": (V.code_rules(), {"version": F.when(line == 3, 2000).otherwise(2008), "level": line, "certainty": n / 40, "code": F.when(line != 2, "01"), "flag": F.when(n > 20, "flag"), **period}),
+        "address": (V.address_rules(), {"state": state, "house": firm, "registration": named}),
+        "version": (V.version_rules(), {"ico": F.when(line == 7, "1").otherwise(subject_id(c("l_orderkey"))), "recorded_from": day, "recorded_to": day, "founded": day, "closed": before,
+                                        "tax_id": F.when(line == 4, "SK1").otherwise("CZ12345678"), "currency": F.when(line == 5, "Kč").otherwise("CZK"), **period})}
+    out = None
+    for name, (rules, columns) in kinds.items():
+        one = V.violation_counts(li.select(*[v.alias(k) for k, v in columns.items()]), rules).select(F.lit(name).alias("tbl"), "rule", "violations")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@registered("""SELECT lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS ico, o_orderpriority AS code, CASE WHEN o_orderpriority = '5-LOW' THEN 'deleted' ELSE 'changed' END AS violation
+FROM orders WHERE o_orderdate < DATE '2000-01-01' AND o_orderpriority IN ('3-MEDIUM', '4-NOT SPECIFIED', '5-LOW') GROUP BY 1, 2""")
+def code_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """A next code history that deletes, changes levels and moves starts; closing a code and adding a reason is allowed."""
+    before, code = temporal.code_history_before(spark, sf), F.col("code")
+    after = before.filter(code != "5-LOW").withColumn("level", F.when(code == "4-NOT SPECIFIED", F.col("level") + 1).otherwise(F.col("level"))).withColumn(
+        "start", F.when(code == "3-MEDIUM", F.date_add("start", 1)).otherwise(F.col("start"))).withColumn(
+        "end", F.when(code == "2-HIGH", F.lit("2002-01-01").cast("date")).otherwise(F.col("end"))).withColumn("close_reason", F.when(code == "1-URGENT", "reason"))
+    return H.audit_codes(before, after, ["ico", "code"])
+
+
+@registered("""SELECT o_custkey, count(*) FILTER (WHERE o_orderstatus = 'F') AS n, count(*) AS stock,
+CASE WHEN count(*) FILTER (WHERE o_orderstatus = 'F') < 10 THEN ceil(10000 / count(*)) / 10.0 END AS bound FROM orders GROUP BY 1""")
+def rate_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Upper bounds of rates whose count is too small to be shown."""
+    n = table(spark, sf, "orders").groupBy("o_custkey").agg(F.count_if(F.col("o_orderstatus") == "F").alias("n"), F.count(F.lit(1)).alias("stock"))
+    return n.withColumn("bound", N.rate_upper_bound(F.col("n"), F.col("stock"), 10))
+
+
+@registered("""SELECT o_orderkey AS person_id, o_orderpriority AS last FROM orders WHERE o_orderstatus <> 'F' AND CAST(o_orderdate AS DATE) <= DATE '2000-06-30'
+AND DATE '2000-06-30' < CAST(o_orderdate AS DATE) + 1000""")
+def current_persons(spark: SparkSession, sf: str) -> DataFrame:
+    """Persons by their version in force on a day, closed records left out."""
+    day = F.to_date("o_orderdate")
+    versions = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("person_id"), F.col("o_orderpriority").alias("last"), day.alias("start"), F.date_add(day, 1000).alias("end"), F.lit("2002-01-01").cast("date").alias("recorded_from"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("2002-02-01").cast("date")).alias("recorded_to"), F.lit(1).alias("batch_id"))
+    return reconcile.current_persons(versions, F.lit("2000-06-30").cast("date"))
+
+
+@registered(f"""WITH {SQL_COUNTED} SELECT nace AS industry, o_orderstatus AS form, year, 'AKTIVNI' AS indicator, CAST(count(*) AS DOUBLE) AS value, year = 2001 AS preliminary
+FROM n GROUP BY ALL""", ints=("year",))
+def published_demography(spark: SparkSession, sf: str) -> DataFrame:
+    """Enterprise demography by industry, form and year in long form; a status marks preliminary values, blank values drop out."""
+    root = work_path(spark, "demography")
+    n = counted(spark, sf).groupBy("nace", "o_orderstatus", "year").agg(F.count(F.lit(1)).alias("n"))
+    rows = n.select(F.lit("Aktivní").alias("Ukazatel"), F.col("nace").alias("CZNACERES.Polozka"), F.col("o_orderstatus").alias("FORMA.Polozka"), F.col("year").cast("string").alias("CasR.Polozka"),
+                    F.explode(F.array(F.col("n").cast("string"), F.lit(""))).alias("Hodnota"), F.when(F.col("year") == 2001, "p").otherwise("").alias("OBS_STATUS"))
+    rows.write.option("header", True).csv(root)
+    return P.demography(P.read_long(spark, root), {"Aktivní": "AKTIVNI"})
