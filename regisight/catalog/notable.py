@@ -91,6 +91,20 @@ def findings_trend(spark: SparkSession, sf: str) -> DataFrame:
                     F.coalesce("original_strength", "strength").alias("original"), "difference_pct")
 
 
+PERIOD = "za období do 1. 8."
+SQL_RT_PERIOD = SQL_RT.replace("CASE WHEN year < 2001 THEN round(100.0 * closed / nullif(stock, 0), 2) END AS rate", "round(100.0 * period / nullif(stock, 0), 2) AS rate").replace(
+    "sum(closed) AS c", "sum(period) AS c").replace("CASE WHEN year < 2001 THEN round(100.0 * (c - closed) / nullif(s - stock, 0), 2) END AS o", "round(100.0 * (c - period) / nullif(s - stock, 0), 2) AS o").replace(
+    "míra zániku PO za rok: ", f"míra zániku PO {PERIOD}: ")
+
+
+@registered(SQL_RT_PERIOD + """SELECT section, territory, subtype, value, reference, round(abs(r), 4) AS original, round(abs(100 * r), 1) AS difference_pct, territory_effect FROM tr""")
+def findings_trend_period(spark: SparkSession, sf: str) -> DataFrame:
+    """The same trend over the part of each year that the last one has too."""
+    series = Y.rates_beside_others(snapshot.flows(spark, sf), "section", snapshot.LAST, measure="period")
+    return K.trend_changes(series, ["section"], "rate", "other_rate", PERIOD).select(
+        "section", "territory", "subtype", "value", "reference", F.coalesce("original_strength", "strength").alias("original"), "difference_pct", "territory_effect")
+
+
 @registered(SQL_RT + """SELECT section, territory, subtype, territory_effect, round(abs(100 * ro), 1) AS others_difference_pct,
 CASE WHEN territory_effect AND 1 + ro <> 0 THEN round(least(round(abs(r), 4), abs((1 + r) / (1 + ro) - 1)), 4) ELSE round(abs(r), 4) END AS strength FROM tr""")
 def findings_territory_effect(spark: SparkSession, sf: str) -> DataFrame:

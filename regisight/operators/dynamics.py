@@ -67,15 +67,16 @@ def others(flows: DataFrame, by: str, measures: list[str]) -> DataFrame:
                         *[(F.sum(m).over(w) - F.col(m)).alias(m) for m in measures])
 
 
-def rates_beside_others(flows: DataFrame, by: str, last_year: int, threshold: int = 0) -> DataFrame:
-    """Closure rate of an industry and of all other industries of the territory, in one pass. The others' rate is there
-    only where their stock and closures may be shown themselves: `threshold` at least, or no closure at all."""
+def rates_beside_others(flows: DataFrame, by: str, last_year: int, threshold: int = 0, measure: str = "closed") -> DataFrame:
+    """Closure rate of an industry and of all other industries of the territory, in one pass: of whole years (closed) or of
+    the comparable period of each year (period), which the last year has too. The others' rate is there only where
+    their stock and closures may be shown themselves: `threshold` at least, or no closure at all."""
     w = Window.partitionBy("level", "territory", "year")  # one row per industry code
     c = F.col
     rest = lambda m: F.sum(m).over(w) - c(m)
-    f = flows.withColumn("_oc", rest("closed")).withColumn("_os", rest("stock"))
-    full = c("year") < last_year
-    return f.select(by, "level", "territory", "year", F.when(full, ratio(c("closed"), c("stock"), 2, 100)).alias("rate"),
+    f = flows.withColumn("_oc", rest(measure)).withColumn("_os", rest("stock"))
+    full = (c("year") < last_year) | F.lit(measure == "period")
+    return f.select(by, "level", "territory", "year", F.when(full, ratio(c(measure), c("stock"), 2, 100)).alias("rate"),
                     F.when(full & (c("_os") >= threshold) & ((c("_oc") >= threshold) | (c("_oc") == 0)), ratio(c("_oc"), c("_os"), 2, 100)).alias("other_rate"))
 
 

@@ -136,9 +136,13 @@ def build(subjects: DataFrame, territories: DataFrame, population: DataFrame, in
     shown_rates = t18_rows.filter(c("rate").isNotNull()).select(industry, "level", "territory", "year")
     series = Y.rates_beside_others(flows, industry, last_year, threshold).join(shown_rates, [industry, "level", "territory", "year"]).withColumnRenamed(
         industry, "report_id")
+    shown_period = t18_rows.filter(c("rate_period").isNotNull()).select(industry, "level", "territory", "year")
+    period = Y.rates_beside_others(flows, industry, last_year, threshold, "period").join(shown_period, [industry, "level", "territory", "year"]).withColumnRenamed(
+        industry, "report_id")
     findings = K.assemble([
         K.deviation_from_state(pairs, ["report_id", "territory"]),
         K.trend_changes(series.drop("level"), ["report_id"], "rate", "other_rate", "za rok"),
+        K.trend_changes(period.drop("level"), ["report_id"], "rate", "other_rate", "za období"),
     ], ["report_id", "territory"])
 
     scope = I.scope_check(cells.select(c(industry).alias("section"), c(industry).alias("industry"), "level", "territory", "parent", "n"))
