@@ -17,6 +17,7 @@ each by itself; an empty table gives an empty table; other columns are kept by e
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 from collections.abc import Iterator
@@ -32,7 +33,8 @@ from regisight.llm.common import texts
 #: Fixed value: the pretoken pattern of byte-level BPE.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPACE_BEFORE_SPACE = regex.compile(r"[^\S ] ").search
-CACHE = 300_000
+SINGLE_MARKS = frozenset(",.;:!?")
+CACHE, PIECE = 150_000, 4_000_000
 NONE = 1 << 62
 LOCKSTEP = 64
 _SHIFT = 32
@@ -181,50 +183,79 @@ class Codec:
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.pretokens = regex.compile(PRETOKEN).findall
         self.table, self.byte_ids = PairTable(self.pairs), np.array(self.byte_id, dtype=np.int64)
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.segments = _Segments(self)
-
-    def word(self, w: str) -> tuple[int, ...]:
-        ids = self.words.get(w)
-        if ids is None:
-            ids = tuple(merge_all([self.byte_id[b] for b in w.encode("utf-8", "surrogatepass")], self.pairs))
-            if len(w) <= LOCKSTEP and len(self.words) < CACHE:
-                self.words[w] = ids
-        return ids
+        self.decimal = {i: str(i) for i in self.piece}
+        self.bare, self.after_space = _Segments(self, ""), _Segments(self, " ")
+
+    def merged(self, word: str) -> str:
+        """Comma-joined ids of one pretoken."""
+        return ",".join([self.decimal[i] for i in merge_all([self.byte_id[b] for b in word.encode("utf-8", "surrogatepass")], self.pairs)])
+
+    def cut(self, segment: str) -> list[str]:
+        """The pretokens of a segment; a plain word, also with one mark behind it, needs no pattern."""
+        if segment.isascii():
+            word = segment[1:] if segment[:1] == " " else segment
+            if word.isalpha():
+                return [segment]
+            if word[-1:] in SINGLE_MARKS and word[:-1].isalpha():
+                return [segment[:-1], segment[-1]]
+        return self.pretokens(segment)
+
+    def home(self, word: str) -> tuple[_Segments, str]:
+        """The cache and the key of a pretoken, which is a segment as well."""
+        return (self.after_space, word[1:]) if word[0] == " " and len(word) > 1 and not word[1].isspace() else (self.bare, word)
+
+    def word(self, word: str) -> str:
+        cache, key = self.home(word)
+        return cache[key]
 
     def learn(self, batch: list[str]) -> None:
-        """Puts the new pretokens of some texts into the cache, merged together."""
-        segments: set[str] = set()
+        """Puts the new segments of some texts into the caches, their pretokens merged together."""
+        first: set[str] = set()
+        rest: set[str] = set()
         for t in batch:
-            segments.update(t.split(" "))
-        known = self.segments
-        cut = {x: self.pretokens(x) for x in (" " + s for s in segments if len(s) < LOCKSTEP) if x not in known}
-        new = set().union(*cut.values()) - self.words.keys()
-        if len(self.words) + len(new) > CACHE:
-            self.words.clear()
-        by_size: dict[int, list[str]] = {}
-        for x in new:
-            if (n := len(x.encode("utf-8", "surrogatepass"))) <= LOCKSTEP:
-                by_size.setdefault(max(8, 1 << (n - 1).bit_length()), []).append(x)
-        for size, words in by_size.items():
+            parts = t.split(" ")
+            first.add(parts[0])
+            rest.update(parts[1:])
+        missing: list[tuple[_Segments, str, list[str]]] = []
+        new: set[str] = set()
+        for cache, keys in ((self.bare, first), (self.after_space, rest)):
+            cache.turn()
+            for key in keys:
+                if key and len(key) < LOCKSTEP and not cache.recalled(key):
+                    missing.append((cache, key, self.cut(cache.before + key)))
+        for cache, key, words in missing:
+            if len(words) == 1:
+                new.add(words[0])
+            else:
+                for w in words:
+                    own, k = self.home(w)
+                    if w not in new and not own.recalled(k):
+                        new.add(w)
+        by_size: dict[int, tuple[list[str], list[bytes]]] = {}
+        for w in new:
+            if (n := len(raw := w.encode("utf-8", "surrogatepass"))) <= LOCKSTEP:
+                words, raws = by_size.setdefault(max(8, 1 << (n - 1).bit_length()), ([], []))
+                words.append(w)
+                raws.append(raw)
+        decimal = self.decimal.__getitem__
+        for size, (words, raws) in by_size.items():
             for lo in range(0, len(words), 4096):
-                part = words[lo : lo + 4096]
-                self.words.update(zip(part, merge_lockstep([x.encode("utf-8", "surrogatepass") for x in part], self.byte_ids, self.table, size), strict=True))
-
-        if len(known) + len(cut) > CACHE:
-            known.clear()
-        for x, pretokens in cut.items():
-            known[x] = ",".join([str(i) for w in pretokens for i in self.word(w)])
+                for w, ids in zip(words[lo : lo + 4096], merge_lockstep(raws[lo : lo + 4096], self.byte_ids, self.table, size), strict=True):
+                    own, k = self.home(w)
+                    own[k] = ",".join(map(decimal, ids))
+        for cache, key, words in missing:
+            if len(words) > 1:
+                cache[key] = ",".join(map(self.word, words))
 
     def encode_plain(self, text: str) -> list[str]:
         """Comma-joined ids of the segments of a text without special tokens; a segment begins at a space
         that follows a non-space, where a pretoken always begins."""
+        if "  " in text or text.endswith(" ") or SPACE_BEFORE_SPACE(text):
+            return list(map(self.word, self.pretokens(text)))
         parts = text.split(" ")
-        first, rest = parts[0], parts[1:]
-        if "" not in rest and not SPACE_BEFORE_SPACE(text):
-            get = self.segments.__getitem__
-            return [s for s in (get(first), *map(get, [" " + p for p in rest])) if s]
-        return [",".join(map(str, self.word(w))) for w in self.pretokens(text)]
+        first = self.bare[parts[0]] if parts[0] else ""
+        out = list(map(self.after_space.__getitem__, parts[1:]))
+        return [first, *out] if first else out
 
     def encode_joined(self, text: str) -> str:
         """Decimal ids joined by commas."""
@@ -251,19 +282,52 @@ class Codec:
 
 
 class _Segments(dict):
-    """Comma-joined ids of a segment, remembered while the cache has room; long segments aren't kept."""
+    """Comma-joined ids of segments, all of which begin with `before`, in two generations: what is used moves to the
+    young one, and when that is full it becomes the old one, whose unused entries go. Long segments aren't kept."""
 
-    def __init__(self, codec: Codec):
+    def __init__(self, codec: Codec, before: str):
         super().__init__()
-        self.codec = codec
-
-    def __missing__(self, segment: str) -> str:
-        joined = ",".join(str(i) for w in self.codec.pretokens(segment) for i in self.codec.word(w))
-        if len(segment) <= LOCKSTEP and len(self) < CACHE:
-            self[segment] = joined
+        self.codec, self.before, self.old = codec, before, {}
+
+    def turn(self) -> None:
+        if len(self) >= CACHE:
+            self.old = dict(self)
+            self.clear()
+
+    def recalled(self, key: str) -> bool:
+        """Whether the segment is known; it is young then."""
+        if key in self:
+            return True
+        joined = self.old.get(key)
+        if joined is None:
+            return False
+        self[key] = joined
+        return True
+
+    def __missing__(self, key: str) -> str:
+        joined = self.old.get(key)
+        if joined is None:
+            words = self.codec.cut(self.before + key)
+            joined = self.codec.merged(words[0]) if len(words) == 1 else ",".join(map(self.codec.word, words))
+            if len(key) >= LOCKSTEP:
+                return joined
+            self.turn()
+        self[key] = joined
         return joined
 
 
+def pieces(batch: list[str]) -> Iterator[list[str]]:
+    """Texts of a batch in pieces of about PIECE characters, so that what they bring to the caches is bounded."""
+    lo = size = 0
+    for hi, t in enumerate(batch):
+        size += len(t)
+        if size >= PIECE:
+            yield batch[lo : hi + 1]
+            lo, size = hi + 1, 0
+    if lo < len(batch):
+        yield batch[lo:]
+
+
 _CODECS: dict[str, Codec] = {}
 
 
@@ -274,15 +338,25 @@ def codec(path: str) -> Codec:
     return _CODECS[path]
 
 
+def _learned(c: Codec, column: pa.Array) -> Iterator[str]:
+    """The texts of a column, each after its segments were learnt."""
+    for piece in pieces(list(texts(column))):
+        gc.disable()  # learning makes many short lists and no cycles, which the collector would walk again and again
+        try:
+            c.learn(piece)
+        finally:
+            gc.enable()
+        yield from piece
+
+
 def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocabulary)
         for b in batches:
-            batch = list(texts(b.column(1)))
-            c.learn(batch)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([c.encode(t) for t in batch], pa.list_(pa.int32()))], names=["doc_id", "ids"])
+            ids = [c.encode(t) for t in _learned(c, b.column(1))]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -304,10 +378,8 @@ def encode_checked(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocabulary)
         for b in batches:
-            batch = list(texts(b.column(1)))
-            c.learn(batch)
             ids, exact = [], []
-            for t in batch:
+            for t in _learned(c, b.column(1)):
                 decimals = joined.split(",") if (joined := c.encode_joined(t)) else []
                 ids.append(np.array(decimals, dtype=np.int32))
                 exact.append(b"".join(map(c.piece_of_decimal.__getitem__, decimals)).decode("utf-8", "replace") == t)
@@ -326,9 +398,7 @@ def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
         piece = c.piece_of_decimal.__getitem__
         for b in batches:
             n, ids_sha, text_sha = [], [], []
-            batch = list(texts(b.column(1)))
-            c.learn(batch)
-            for t in batch:
+            for t in _learned(c, b.column(1)):
                 joined = c.encode_joined(t)
                 ids = joined.split(",") if joined else []
                 n.append(len(ids))
