@@ -4,7 +4,7 @@ A document's set are its distinct shingles of WORDS words (64-bit hashes). If tw
 then under any order of all shingles the first n - ceil(t n) + 1 of one and of the other have one in common.
 Each order puts frequent shingles last (a bounded list of heavy ones from a sketch of the whole corpus, which
 decides only the order) and the others by a hash of its own. The first order's prefixes are joined by Spark;
-each candidate pair must then also share prefix shingles under the other orders before its sets are compared.
+the pairs are then intersected with the other orders' prefixes, and only for those that meet under all are sets fetched.
 Prefixes are dealt in packed form to buckets of shingles; a bucket keeps the groups of documents that share one,
 each distinct group once. Frequent shingles skip the buckets and stay plain rows. Before any set is fetched, pairs
 must pass a parity bitmap: bits that differ are a lower bound of the shingles that differ, so no pair is lost.
@@ -12,13 +12,14 @@ must pass a parity bitmap: bits that differ are a lower bound of the shingles th
 The join makes no pairs within a group of copies: equal sets are one node, and each shingle first links its
 documents with its smallest one only, then in a few rounds with the next smallest. Links are closed to components, after which only
 documents of different components that share a prefix shingle remain: these meet in cells of similar size, large
-groups in several blocks, where bitmaps are compared in numpy and only the pairs they allow come out. So every
+groups in several blocks, where bitmaps are compared in numpy and only the pairs they allow come out, each
+from one of its cells. So every
 pair that could link two components is looked at, none is capped, and copies in one component make no pairs.
 
 Defined results: a null or empty text, or one without words, has an empty set, 0 shingles and is linked with
-nothing; fewer words than WORDS make one shingle of the whole sequence; rows that share an id are linked with
-each other; a null id is one document that comes after all others, its component being null if it is alone; an
-empty table gives an empty table. keep_representatives links rows by their texts alone and keeps other columns.
+nothing; fewer words than WORDS make one shingle of the whole sequence; a shared or null
+id links nothing, such rows are told apart by their texts; null ids come after all others, so a component is null only
+where no member has an id; an empty table gives an empty table. keep_representatives links rows by their texts alone and keeps other columns.
 """
 
 from __future__ import annotations
@@ -35,9 +36,10 @@ from regisight.plans.sizing import small_side
 
 WORDS, PERCENT = 5, 75
 ORDERS = (0x2545F4914F6CDD1D, 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+FRONTS = [f"front{q}" for q in range(1, len(ORDERS))]
 HEAVY_LOCAL, HEAVY_LIST, HEAVY_LEAST, HEAVY_LEVEL = 4096, 65536, 4, 9
 BUCKET_TOKENS = 1_000_000
-STARS, BLOCK = 3, 1024
+STARS, BLOCK, FIRST = 3, 1024, 16
 SMALL = 8 << 20
 
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
@@ -245,28 +247,43 @@ def _possible(percent: int):
     return run
 
 
-def _whole_sets(words: int):
+def _whole_sets(words: int, percent: int, sent):
+    """Sets and, cut to 32 bits, their prefixes under the other orders."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heavy, level = sent.value
         for b in batches:
-            sets = [s.tobytes() for _, part in _blocks(b, 1, words) for s in part]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["iid", "tokens"])
+            sets = [s for _, part in _blocks(b, 1, words) for s in part]
+            fronts = [[np.unique(prefix(s, o, heavy, level, percent).astype(np.uint32)).tobytes() for s in sets] for o in ORDERS[1:]]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), *(pa.array(f, pa.binary()) for f in fronts)],
+                                             names=["iid", "tokens", *FRONTS])
 
     return run
 
 
-def _compared(percent: int, sent):
-    """Pairs that pass the filters of the other orders and then the exact comparison."""
+def _common(x: pa.Scalar, y: pa.Scalar, kind: type) -> int:
+    """How many values two sorted lists of distinct values share."""
+    return len(np.intersect1d(np.frombuffer(x.as_buffer(), kind), np.frombuffer(y.as_buffer(), kind), True))
+
+
+def _shared_fronts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose prefixes meet under every other order as well."""
+    for b in batches:
+        take = pa.array([k for k, fronts in enumerate(zip(*(b.column(q) for q in range(2, 2 + 2 * len(FRONTS))), strict=True))
+                         if all(_common(fronts[q], fronts[q + len(FRONTS)], np.uint32) for q in range(len(FRONTS)))], pa.int64())
+        yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take)], names=["a", "b"])
+
+
+def _compared(percent: int):
+    """Pairs that pass the exact comparison."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heavy, level = sent.value
         for b in batches:
             good = []
             for k, (x, y) in enumerate(zip(b.column(2), b.column(3), strict=True)):
-                s, t = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if all(len(np.intersect1d(prefix(s, o, heavy, level, percent), prefix(t, o, heavy, level, percent), True)) for o in ORDERS[1:]):
-                    both = len(np.intersect1d(s, t, True))
-                    if 100 * both >= percent * (len(s) + len(t) - both):
-                        good.append(k)
+                both = _common(x, y, np.uint64)
+                if 100 * both >= percent * ((len(x.as_buffer()) + len(y.as_buffer())) // 8 - both):
+                    good.append(k)
             take = pa.array(good, pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take)], names=["a", "b"])
 
@@ -274,37 +291,47 @@ def _compared(percent: int, sent):
 
 
 def _cell_rows(percent: int):
-    """Pairs of different components in a cell that the bitmaps allow; rows come sorted by cell."""
-
-    def pairs(ids: list[int], n: list[int], c: list[int], bits: list[bytes]) -> pa.RecordBatch:
+    """Pairs of different components in a cell that the bitmaps allow; rows come sorted by cell. Pairs that meet in
+    several cells come out of one: of two sizes' steps the lower, of a block with itself the diagonal, and of
+    all groups that hold both the smallest. A group is passed over if the lists of both documents' smallest groups hold
+    a smaller one in common, so the smallest of all is never passed over, however long the lists are."""
+
+    def pairs(cell: tuple, rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        ids, n, c, step, own, bits, first = zip(*rows, strict=True)
+        gid, base, i, j = cell
         least = min(map(len, bits))
         x = np.zeros((len(bits), least), dtype=np.uint8)
         for k, b in enumerate(bits):
             x[k] = np.bitwise_xor.reduce(np.frombuffer(b, np.uint8).reshape(-1, least), axis=0)
         x = x.view(np.uint64)
-        ids_, n_, c_ = np.array(ids), np.array(n), np.array(c)
-        a, b = [], []
+        ids_, n_, c_, step_, own_ = (np.array(v) for v in (ids, n, c, step, own))
+        lists = [frozenset(f) for f in first]
+        out_a, out_b = [], []
         for k in range(len(ids) - 1):
-            apart = np.bitwise_count(x[k + 1 :] ^ x[k]).sum(axis=1, dtype=np.int64)
             m = n_[k + 1 :]
-            ok = (c_[k + 1 :] != c_[k]) & (apart * (100 + percent) <= (100 - percent) * (m + n_[k])) & (100 * np.minimum(m, n_[k]) >= percent * np.maximum(m, n_[k]))
-            other = ids_[k + 1 :][ok]
-            a.append(np.minimum(other, ids[k]))
-            b.append(np.maximum(other, ids[k]))
-        e = np.zeros(0, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([e, *a])), pa.array(np.concatenate([e, *b]))], names=["a", "b"])
+            ok = (c_[k + 1 :] != c_[k]) & (np.minimum(step_[k + 1 :], step_[k]) == base) & (100 * np.minimum(m, n_[k]) >= percent * np.maximum(m, n_[k]))
+            if i != j:
+                ok &= own_[k + 1 :] != own_[k]
+            some = np.flatnonzero(ok)
+            apart = np.bitwise_count(x[k + 1 + some] ^ x[k]).sum(axis=1, dtype=np.int64)
+            for q in some[apart * (100 + percent) <= (100 - percent) * (m[some] + n_[k])].tolist():
+                common = lists[k] & lists[k + 1 + q]
+                if not common or min(common) >= gid:
+                    out_a.append(min(ids[k], ids[k + 1 + q]))
+                    out_b.append(max(ids[k], ids[k + 1 + q]))
+        return np.array(out_a, np.int64), np.array(out_b, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
         for batch in batches:
-            for cell, *row in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
-                if cell != now and rows:
-                    yield pairs(*map(list, zip(*rows, strict=True)))
+            for gid, base, i, j, *row in zip(*(batch.column(k).to_pylist() for k in range(11)), strict=True):
+                if (cell := (gid, base, i, j)) != now and rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(v) for v in pairs(now, rows)], names=["a", "b"])
                     rows = []
                 now = cell
                 rows.append(row)
         if rows:
-            yield pairs(*map(list, zip(*rows, strict=True)))
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in pairs(now, rows)], names=["a", "b"])
 
     return run
 
@@ -317,17 +344,20 @@ def _cells(members: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     open_ = members.groupBy("gid").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("gid")
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("x"), blocks).cast("int")
-    cells = F.explode(F.flatten(F.transform(F.array(step, step - 1), lambda base: F.transform(
-        F.sequence(F.lit(0), blocks - 1), lambda other: F.struct(base.alias("base"), F.least(own, other).alias("i"), F.greatest(own, other).alias("j"))))))
-    placed = members.join(open_, "gid", "left_semi").select("x", "n", "c", "gid", cells.alias("cell")).withColumn("cell", F.xxhash64("gid", "cell.base", "cell.i", "cell.j"))
-    full = placed.join(placed.groupBy("cell").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("cell"), "cell", "left_semi")
-    described = full.join(bits, ["x", "n"]).select("cell", "x", "n", "c", "bits").distinct()
-    return described.repartition(F.col("cell")).sortWithinPartitions("cell").mapInArrow(_cell_rows(percent), "a long, b long")
-
-
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Per row of docs: doc_id, n_shingles, component_id."""
+    cells = F.explode(F.flatten(F.transform(F.array(F.col("step"), F.col("step") - 1), lambda base: F.transform(
+        F.sequence(F.lit(0), blocks - 1), lambda other: F.struct(base.alias("base"), F.least("own", other).alias("i"), F.greatest("own", other).alias("j"))))))
+    sized = members.join(open_, "gid", "left_semi").withColumns({"step": step, "own": F.pmod(F.xxhash64("x"), blocks).cast("int")})
+    cell = ["gid", "base", "i", "j"]
+    placed = sized.select("x", "n", "c", "step", "own", "gid", cells.alias("cell")).select("x", "n", "c", "step", "own", "gid", "cell.base", "cell.i", "cell.j")
+    full = placed.join(placed.groupBy(*cell).agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select(*cell), cell, "left_semi")
+    first = members.groupBy("x").agg(F.slice(F.array_sort(F.collect_set("gid")), 1, FIRST).alias("first"))  # a document's groups: as many as its prefix is long
+    about = bits.join(first, "x").groupBy("x", "n").agg(F.first("bits").alias("bits"), F.first("first").alias("first"))
+    described = full.join(about, ["x", "n"]).select(*cell, "x", "n", "c", "step", "own", "bits", "first")
+    return described.repartition(*map(F.col, cell)).sortWithinPartitions(*cell).mapInArrow(_cell_rows(percent), "a long, b long")
+
+
+def _linked_ids(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    """near_duplicates of rows whose ids, if they are equal, stand for equal texts."""
     rows = keyed(docs, id_col, text_col)
     spark = docs.sparkSession
     sketch = materialise(rows.select("text").mapInArrow(_heavy_rows(words), "token long, c long").groupBy("token").agg(F.sum("c").alias("c")), "sketch")
@@ -364,10 +394,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         possible = materialise(pairs.distinct(), "possible")
         wanted = materialise(possible.select(F.col("a").alias("iid")).union(possible.select("b")).distinct(), "wanted")
         chosen = rows.select("iid", "text").join(small_side(wanted, SMALL), "iid", "left_semi")
-        whole = materialise(chosen.mapInArrow(_whole_sets(words), "iid long, tokens binary"), "whole")
-        a = whole.select(F.col("iid").alias("a"), F.col("tokens").alias("s"))
-        b = whole.select(F.col("iid").alias("b"), F.col("tokens").alias("t"))
-        return materialise(possible.join(a, "a").join(b, "b").select("a", "b", "s", "t").mapInArrow(_compared(percent, sent), "a long, b long"), "links")
+        whole = materialise(chosen.mapInArrow(_whole_sets(words, percent, sent), "iid long, tokens binary, " + ", ".join(f"{f} binary" for f in FRONTS)), "whole")
+
+        def side(name: str, columns: list[str]) -> DataFrame:
+            return whole.select(F.col("iid").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in columns))
+
+        def both(pairs: DataFrame, columns: list[str]) -> DataFrame:
+            return pairs.join(side("a", columns), "a").join(side("b", columns), "b").select("a", "b", *(f"{q}_{c}" for q in "ab" for c in columns))
+
+        filtered = materialise(both(possible, FRONTS).mapInArrow(_shared_fronts, "a long, b long"), "filtered")
+        return materialise(both(filtered, ["tokens"]).mapInArrow(_compared(percent), "a long, b long"), "links")
 
     def star(members: DataFrame, centre: DataFrame) -> DataFrame:
         both = members.join(centre, "gid").filter((F.col("x") != F.col("lead.x")) & near_size("n", "lead.n"))
@@ -408,6 +444,28 @@ def _row_keys(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, D
         seed += 1
 
 
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """Per row of docs: doc_id, n_shingles, component_id. Null or repeated ids are told apart by their texts."""
+    id_ = F.col(f"`{id_col}`").cast("long")
+    if docs.groupBy(id_.alias("id")).agg(F.count(F.lit(1)).alias("c")).filter("c > 1 or id is null").isEmpty():
+        return _linked_ids(docs, id_col, text_col, words, percent)
+    marked, keys = _row_keys(docs, id_col, text_col)
+    near = _near_keys(marked, text_col, words, percent).dropDuplicates(["__key"])
+    best = near.join(keys.drop("c"), "__key").groupBy("c").agg(F.min(F.struct("__null", "__id")).alias("best"))
+    known = near.join(best, "c").select("__key", F.lit(True).alias("__words"), F.col("n"), "best")
+    own = F.when(~F.col("__null"), F.col("__id"))
+    component = F.when(F.col("best").isNull(), own).when(~F.col("best.__null"), F.col("best.__id"))
+    return marked.select("__key", "__words", "__id", "__null").join(known, ["__key", "__words"], "left").select(
+        own.alias("doc_id"), F.coalesce("n", F.lit(0)).alias("n_shingles"), component.alias("component_id"))
+
+
+def _near_keys(marked: DataFrame, text_col: str, words: int, percent: int) -> DataFrame:
+    """(__key, n, c) of the marked rows with words: c is the component's smallest key."""
+    near = _linked_ids(marked.filter("__words").select("__key", F.col(f"`{text_col}`").alias("__text")), "__key", "__text", words, percent)
+    full = lambda c: F.coalesce(c, F.lit(MAX_ID))
+    return near.select(full("doc_id").alias("__key"), F.col("n_shingles").alias("n"), full("component_id").alias("c"))
+
+
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The document with the smallest id of each component, with all columns; documents without words stay. Rows are
     linked by their texts alone: a shared or null id links nothing. Null ids come last, equal ids are ordered
@@ -419,9 +477,7 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
         again = several.withColumn("__words", F.lit(True))
         once = marked.join(again, ["__key", "__words"], "left_semi").dropDuplicates(["__key"])
         marked = materialise(marked.join(again, ["__key", "__words"], "left_anti").unionByName(once), "once")
-    near = near_duplicates(marked.filter("__words").select("__key", F.col(f"`{text_col}`").alias("__text")), "__key", "__text", words, percent)
-    full = lambda c: F.coalesce(c, F.lit(MAX_ID))
-    linked = materialise(near.select(full("doc_id").alias("__key"), full("component_id").alias("c")).filter("__key <> c"), "linked")
+    linked = materialise(_near_keys(marked, text_col, words, percent).select("__key", "c").filter("__key <> c"), "linked")
     member = materialise(linked.unionByName(linked.select(F.col("c").alias("__key"), "c").distinct()), "linked")
     best = member.join(keys.drop("c"), "__key").groupBy("c").agg(F.min(F.struct("__null", "__id", "__key")).alias("best"))
     gone = member.select("__key").join(best.select(F.col("best.__key").alias("__key")), "__key", "left_anti").withColumn("__words", F.lit(True))

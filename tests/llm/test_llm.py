@@ -98,14 +98,14 @@ def test_jaccard(spark, docs, empty):
         return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
 
     rows = [(r.doc_id if r.doc_id is not None else 1 << 62, shingles(r.text)) for r in docs.collect()]
-    least = {i: i for i, _ in rows}
+    least = [i for i, _ in rows]  # by row: a shared or null id links nothing
     for _ in rows:
-        for (a, s), (b, t) in itertools.combinations(rows, 2):
+        for (x, (_, s)), (y, (_, t)) in itertools.combinations(enumerate(rows), 2):
             if s and t and 100 * len(s & t) >= 75 * len(s | t):
-                least[a] = least[b] = min(least[a], least[b])
+                least[x] = least[y] = min(least[x], least[y])
     got = by_id(jaccard.near_duplicates(docs), "n_shingles", "component_id")
     back = lambda i: None if i == 1 << 62 else i
-    assert got == collections.Counter((back(i), len(s), back(least[i] if s else i)) for i, s in rows)
+    assert got == collections.Counter((back(i), len(s), back(c)) for (i, s), c in zip(rows, least, strict=True))
     assert jaccard.near_duplicates(empty).isEmpty()
     assert jaccard.keep_representatives(docs).columns == docs.columns
 

@@ -12,6 +12,23 @@ from regisight.llm import chat, jaccard, linededup
 SCHEMA = "doc_id long, text string"
 
 
+def test_jaccard_null_and_shared_ids_link_nothing(spark):
+    a, b, c = (" ".join(f"{k}{i}" for i in range(12)) for k in "abc")
+    rows = [(1, a), (2, b), (None, a + " more"), (None, b), (3, a), (3, c), (None, "alone with no id at all"), (4, " "), (4, None)]
+    got = collections.Counter((r.doc_id, r.component_id) for r in jaccard.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == collections.Counter([(1, 1), (2, 2), (None, 1), (None, 2), (3, 1), (3, 3), (None, None), (4, 4), (4, 4)])
+
+
+def test_jaccard_pairs_leave_one_of_their_cells(spark):
+    """Members of two components that share 60 groups, in several blocks, with lists shorter than the groups: each pair once."""
+    same = jaccard.parity(np.arange(1, 101, dtype=np.uint64))
+    members = [(g, x, 100 + x % 7, 3000, x % 2) for g in range(60) for x in range(24) if g != x]
+    m = spark.createDataFrame(members, "gid long, x long, n long, m long, c long")
+    bits = spark.createDataFrame([(x, 100 + x % 7, same) for x in range(24)], "x long, n long, bits binary")
+    got = [(r.a, r.b) for r in jaccard._cells(m, bits, 75).collect()]
+    assert sorted(got) == [(a, b) for a in range(24) for b in range(a + 1, 24) if a % 2 != b % 2]
+
+
 def test_jaccard_of_few_words_alone(spark):
     long = " ".join(f"w{i}" for i in range(200_000))
     assert len(long) > 1 << 20
