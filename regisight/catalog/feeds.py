@@ -111,34 +111,39 @@ def json_stat(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- registry records: each order is a subject, its line items are its history ----------------------
 
-LINE = ("l_linenumber", "d", "q", "l_linestatus", "l_partkey", "l_suppkey")
-
-
 def order_records(spark: SparkSession, sf: str) -> DataFrame:
-    """Base and history record of each order as JSON, with all its lines in the order of LINE."""
-    li = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_returnflag", F.to_date("l_shipdate").alias("d"), F.col("l_quantity").cast("int").alias("q"),
-        "l_linestatus", "l_partkey", "l_suppkey")
+    """Base and history record of each order as JSON, with all its lines in the order of number, day, quantity, status, part and supplier."""
     c = F.col
+    # of lines equal in all these the roles come in the order of their texts
+    place = F.when(c("l_returnflag") == "R", 0).when(c("l_returnflag") == "A", 1).otherwise(2)
+    li = table(spark, sf, "lineitem").select(
+        "l_orderkey", F.struct("l_linenumber", F.to_date("l_shipdate").alias("d"), c("l_quantity").cast("int").alias("q"), "l_linestatus", "l_partkey", "l_suppkey",
+                               place.alias("place"), "l_returnflag").alias("line"))
     text = lambda day: day.cast("string")
-    valued = F.struct(text(c("d")).alias("datumZapisu"), text(F.date_add("d", c("q") * 10)).alias("datumVymazu"),
-                      F.concat("l_linestatus", c("l_linenumber").cast("string")).alias("hodnota"))
-    mark = F.struct(text(c("d")).alias("datumZapisu"), text(F.date_add("d", c("q") * 10)).alias("datumVymazu"), c("l_linestatus").alias("oddil"),
-                    c("l_linenumber").cast("string").alias("vlozka"), F.lit("KS").alias("soud"))
-    member = F.struct(
-        text(c("d")).alias("datumZapisu"), F.when(c("q") > 25, text(F.date_add("d", 100))).alias("datumVymazu"),
-        F.struct(F.struct(F.when(c("l_returnflag") == "A", "jednatel").when(c("l_returnflag") == "R", "Místopředseda představenstva")
-                          .otherwise("zástupce").alias("nazev")).alias("funkce")).alias("clenstvi"),
-        F.struct(F.concat(F.lit("Žofie"), c("l_partkey").cast("string")).alias("jmeno"), F.concat(F.lit("Dvořák "), c("l_suppkey").cast("string")).alias("prijmeni"),
-                 F.lit("1970-05-05").alias("datumNarozeni")).alias("fyzickaOsoba"))
+
+    def dates(x, until):
+        return text(x["d"]).alias("datumZapisu"), text(until).alias("datumVymazu")
+
+    def valued(x):
+        return F.struct(*dates(x, F.date_add(x["d"], x["q"] * 10)), F.concat(x["l_linestatus"], x["l_linenumber"].cast("string")).alias("hodnota"))
+
+    def mark(x):
+        return F.struct(*dates(x, F.date_add(x["d"], x["q"] * 10)), x["l_linestatus"].alias("oddil"), x["l_linenumber"].cast("string").alias("vlozka"), F.lit("KS").alias("soud"))
+
+    def member(x):
+        function = F.when(x["place"] == 1, "jednatel").when(x["place"] == 0, "Místopředseda představenstva").otherwise("zástupce")
+        return F.struct(
+            *dates(x, F.when(x["q"] > 25, F.date_add(x["d"], 100))), F.struct(F.struct(function.alias("nazev")).alias("funkce")).alias("clenstvi"),
+            F.struct(F.concat(F.lit("Žofie"), x["l_partkey"].cast("string")).alias("jmeno"), F.concat(F.lit("Dvořák "), x["l_suppkey"].cast("string")).alias("prijmeni"),
+                     F.lit("1970-05-05").alias("datumNarozeni")).alias("fyzickaOsoba"))
 
     def listed(flag: str, what):
-        return F.array_sort(F.collect_list(F.when(c("l_returnflag") == flag, F.struct(*LINE, what.alias("e")))))
+        return F.transform(F.filter("lines", lambda x: x["l_returnflag"] == flag), what)
 
-    g = li.groupBy("l_orderkey").agg(
-        F.transform(listed("A", valued), lambda x: x["e"]).alias("names"), F.transform(listed("R", valued), lambda x: x["e"]).alias("forms"),
-        F.transform(listed("N", mark), lambda x: x["e"]).alias("marks"),
-        F.transform(F.array_sort(F.collect_list(F.struct(*LINE, member.alias("e")))), lambda x: x["e"]).alias("members"))
+    # each line is shuffled and sorted once; the lists are cut from the sorted lines
+    g = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list("line")).alias("lines")).select(
+        "l_orderkey", listed("A", valued).alias("names"), listed("R", valued).alias("forms"), listed("N", mark).alias("marks"),
+        F.transform("lines", member).alias("members"))
     ico = F.lpad(c("l_orderkey").cast("string"), 8, "0")
     base = F.to_json(F.struct(ico.alias("ico"), F.lit("Base name").alias("obchodniJmeno"), F.lit("112").alias("pravniForma"),
                               F.lit("1990-01-01").alias("datumVzniku"), F.lit("CZ12345678").alias("dic")))

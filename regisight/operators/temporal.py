@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,60 +46,113 @@ def as_of(points: DataFrame, intervals: DataFrame, keys: list[str], day: str = "
     rows of a very common key are bounded by the calendar, and so is its stack."""
     names = attributes or ["value"]
     one = intervals if attributes else intervals.withColumn("attribute", F.lit("value"))
-    proper = one.filter(F.col("start").isNotNull() & (F.col("end").isNull() | (F.col("end") > F.col("start"))))
     shown = [day, *(carried or [])]
     asked = points.select(*keys, F.struct(*shown).alias("_point"), _day_number(F.col(day)).alias("_t"), F.lit(1).alias("_p"))
-    index = F.array_position(F.array(*[F.lit(a) for a in names]), F.col("attribute")).cast("int") - 1
-    starts = proper.filter(index >= 0).select(*keys, _day_number(F.col("start")).alias("_t"), F.lit(0).alias("_p"), index.alias("_a"), _end_number("end").alias("_e"), "pos", "value")
-    reduced = asked.unionByName(starts, allowMissingColumns=True).groupBy(*keys, "_t", "_p", "_a", "_e", "_point").agg(
+    proper, start = _start_columns(names)
+    starts = one.filter(proper).select(*keys, *start)
+    return _held(asked.unionByName(starts, allowMissingColumns=True), keys, names, following).select(
+        *keys, *[F.col("_point")[c].alias(c) for c in shown], *names, *([following] if following else []))
+
+
+def _start_columns(names: list[str]) -> tuple[Column, list[Column]]:
+    """Whether an interval can hold at all, and what the timeline takes of it."""
+    c = F.col
+    index = F.array_position(F.array(*[F.lit(a) for a in names]), c("attribute")).cast("int") - 1
+    proper = c("start").isNotNull() & (c("end").isNull() | (c("end") > c("start"))) & (index >= 0)
+    return proper, [_day_number(c("start")).alias("_t"), F.lit(0).alias("_p"), index.alias("_a"), _end_number("end").alias("_e"), c("pos"), c("value")]
+
+
+def _held(line: DataFrame, keys: list[str], names: list[str], following: str | None) -> DataFrame:
+    """Points of a timeline (keys, _t, _p, _a, _e, pos, value[, _point]) with the value of each attribute; without _point the
+    point is its day number _t."""
+    shown = "_point" if "_point" in line.columns else "_t"
+    reduced = line.groupBy(*keys, "_t", "_p", "_a", "_e", *(["_point"] if shown == "_point" else [])).agg(
         F.max(F.struct((-F.col("pos")).alias("rank"), "value")).alias("_best"))
-    line = reduced.select(*keys, "_t", "_p", "_a", "_e", F.col("_best.rank").alias("_r"), F.col("_best.value").alias("_v"), "_point")
-    ordered = line.repartition(*keys).sortWithinPartitions(*keys, "_t", "_p", "_r")
-    kinds = {f.name: f.dataType.simpleString() for f in line.schema.fields}
-    schema = ", ".join([f"`{k}` {kinds[k]}" for k in keys] + [f"_point {kinds['_point']}"] + [f"_v{i} {kinds['_v']}" for i in range(len(names))] + ["_next bigint"])
-    passed = ordered.mapInArrow(_held_values(len(keys), len(names)), schema)
-    out = [*keys, *[F.col("_point")[c].alias(c) for c in shown], *[F.col(f"_v{i}").alias(a) for i, a in enumerate(names)]]
+    flat = reduced.select(*keys, "_t", "_p", "_a", "_e", F.col("_best.value").alias("_v"), F.col("_best.rank").alias("_r"), *(["_point"] if shown == "_point" else []))
+    ordered = flat.repartition(*keys).sortWithinPartitions(*keys, "_t", "_p", "_r").drop("_r")
+    kinds = {f.name: f.dataType.simpleString() for f in flat.schema.fields}
+    schema = ", ".join([f"`{k}` {kinds[k]}" for k in keys] + [f"{shown} {kinds[shown]}"] + [f"_v{i} {kinds['_v']}" for i in range(len(names))] + ["_next bigint"])
+    passed = ordered.mapInArrow(_held_values(len(keys), len(names), shown), schema)
+    out = [*keys, shown, *[F.col(f"_v{i}").alias(a) for i, a in enumerate(names)]]
     return passed.select(*out, *([F.date_from_unix_date((F.col("_next") - _SHIFT).cast("int")).alias(following)] if following else []))
 
 
-def _held_values(n_keys: int, n_names: int):
-    """The ordered pass over batches of (keys, t, p, attribute, end, rank, value, point), sorted by key and time, starts
-    before points and the best of equal starts last. A point learns of the next one of its key only later, so the last
-    row of a batch is held back."""
+def _new_keys(columns: list[pa.Array]) -> list[bool]:
+    """Whether the key of each row but the first differs from the one before; nulls are equal."""
+    new = np.zeros(max(0, len(columns[0]) - 1), dtype=bool)
+    for c in columns:
+        a, b = c[:-1], c[1:]
+        if pa.types.is_nested(c.type):
+            new |= np.array([x != y for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], dtype=bool)
+        else:
+            new |= pc.fill_null(pc.not_equal(a, b), False).to_numpy(zero_copy_only=False)
+            new |= a.is_null().to_numpy(zero_copy_only=False) != b.is_null().to_numpy(zero_copy_only=False)
+    return new.tolist()
 
-    def rows_of(b: pa.RecordBatch, at: list[int], held: list[list], following: list[int | None]) -> pa.RecordBatch:
-        own = [b.column(i).take(pa.array(at, pa.int64())) for i in (*range(n_keys), n_keys + 6)]
-        kind = b.schema.field(n_keys + 5).type
-        values = [pa.array([h[i] for h in held], kind) for i in range(n_names)]
-        names = [*b.schema.names[:n_keys], "_point", *[f"_v{i}" for i in range(n_names)], "_next"]
+
+def _held_values(n_keys: int, n_names: int, shown: str):
+    """The ordered pass over batches of (keys, t, p, attribute, end, value[, point]), sorted by key and time, starts
+    before points and the best of equal starts last. A point learns of the next one of its key only later, so the last
+    row of a batch is held back. Numbers come out of the batch as a whole; a point looks at the stacks only where the
+    end of a held value is reached."""
+
+    def rows_of(b: pa.RecordBatch, at: list[int], held: list[tuple], following: list[int | None]) -> pa.RecordBatch:
+        places = pa.array(at, pa.int64())
+        own = [c.take(places) for c in (*b.columns[:n_keys], b.column(shown))]
+        kind = b.schema.field(n_keys + 4).type
+        values = [pa.array(v, kind) for v in zip(*held, strict=True)]
+        names = [*b.schema.names[:n_keys], shown, *[f"_v{i}" for i in range(n_names)], "_next"]
         return pa.RecordBatch.from_arrays([*own, *values, pa.array(following, pa.int64())], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, stacks, point_before = None, [], False
-        waiting: tuple[pa.RecordBatch, int, list] | None = None
+        key, point_before = None, False
+        ends: list[list[int]] = [[] for _ in range(n_names)]
+        stacks: list[list] = [[] for _ in range(n_names)]
+        top, soonest = [None] * n_names, _NEVER + 1
+        waiting: tuple[pa.RecordBatch, int, tuple] | None = None
         for b in batches:
-            columns = [b.column(i).to_pylist() for i in range(n_keys + 6)]
-            times, points, attributes, ends, _, values = columns[n_keys:]
+            if not len(b):
+                continue
+            keys = b.columns[:n_keys]
+            times, points, attributes, until = (c.fill_null(-1).to_numpy().tolist() for c in b.columns[n_keys : n_keys + 4])
+            values = b.column(n_keys + 4).to_pylist()
+            first = tuple(c[0].as_py() for c in keys)
+            new = [first != key, *_new_keys(keys)]
+            key = tuple(c[-1].as_py() for c in keys)
             at, held, following, after_waiting = [], [], [], None
-            for i, k in enumerate(zip(*columns[:n_keys], strict=True)):
-                t = times[i]
-                if k != key or not stacks:
-                    key, stacks, point_before = k, [[] for _ in range(n_names)], False
+            for i, t in enumerate(times):
+                if new[i]:
+                    ends, stacks, top, soonest, point_before = [[] for _ in range(n_names)], [[] for _ in range(n_names)], [None] * n_names, _NEVER + 1, False
                 if not points[i]:
-                    stack = stacks[attributes[i]]
-                    while stack and stack[-1][0] <= ends[i]:
-                        stack.pop()
-                    stack.append((ends[i], values[i]))
+                    k, e = attributes[i], until[i]
+                    own = ends[k]
+                    while own and own[-1] <= e:
+                        own.pop()
+                        stacks[k].pop()
+                    own.append(e)
+                    stacks[k].append(values[i])
+                    top[k] = values[i]
+                    soonest = min(soonest, e)
                     continue
-                if point_before and following:
-                    following[-1] = t
-                elif point_before:
-                    after_waiting = t
-                for stack in stacks:
-                    while stack and stack[-1][0] <= t:
-                        stack.pop()
+                if point_before:
+                    after = t if t >= 0 else None
+                    if following:
+                        following[-1] = after
+                    else:
+                        after_waiting = after
+                if soonest <= t:
+                    soonest = _NEVER + 1
+                    for k, own in enumerate(ends):
+                        while own and own[-1] <= t:
+                            own.pop()
+                            stacks[k].pop()
+                        if own:
+                            top[k] = stacks[k][-1]
+                            soonest = min(soonest, own[-1])
+                        else:
+                            top[k] = None
                 at.append(i)
-                held.append([stack[-1][1] if stack else None for stack in stacks])
+                held.append(tuple(top))
                 following.append(None)
                 point_before = True
             if at:
@@ -119,15 +174,24 @@ def version_slices(intervals: DataFrame, keys: list[str], attributes: list[str],
 
     Slices without a value of lead_attribute, as all before its first start, are left out; equal
     neighbours are merged. Result: keys, start, end, attributes[, gone]."""
-    days = intervals.select(*keys, F.explode(F.array_compact(F.array("start", "end"))).alias("day"))
+    proper, start = _start_columns(attributes)
+    kinds = {f.name: f.dataType for f in intervals.schema.fields}
+    none = {"_a": F.lit(None).cast("int"), "_e": F.lit(None).cast("bigint"), **{c: F.lit(None).cast(kinds[c]) for c in ("pos", "value")}}
+
+    def point(day: str) -> Column:
+        return F.struct(_day_number(F.col(day)).alias("_t"), F.lit(1).alias("_p"), *[v.alias(c) for c, v in none.items()])
+
+    # an interval gives its start and its two days in one go, so what it comes from is computed once
+    line = intervals.select(*keys, F.explode(F.array(
+        F.when(proper, F.struct(*start)), F.when(F.col("start").isNotNull(), point("start")), F.when(F.col("end").isNotNull(), point("end")))).alias("_row")
+    ).filter(F.col("_row").isNotNull()).select(*keys, "_row.*")
     if closing is not None:
-        days = days.unionByName(closing.filter(F.col("closed").isNotNull()).select(*keys, F.col("closed").alias("day")))
-    valued = as_of(days, intervals, keys, "day", attributes, following="end").filter(
-        F.col(lead_attribute).isNotNull()
-    ).withColumnRenamed("day", "start")
+        line = line.unionByName(closing.filter(F.col("closed").isNotNull()).select(*keys, point("closed").alias("_row")).select(*keys, "_row.*"))
+    day = F.date_from_unix_date((F.col("_t") - _SHIFT).cast("int"))
+    valued = _held(line, keys, attributes, "end").filter(F.col(lead_attribute).isNotNull()).select(*keys, day.alias("start"), *attributes, "end")
     content = list(attributes)
     if closing is not None:
-        valued = valued.join(closing.select(*keys, "closed"), keys, "left").withColumn(
+        valued = valued.join(closing.select(*keys, "closed").hint("merge"), keys, "left").withColumn(
             "gone", F.coalesce(F.col("start") >= F.col("closed"), F.lit(False))
         ).drop("closed")
         content.append("gone")

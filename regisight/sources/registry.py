@@ -66,7 +66,8 @@ def _day(text: Column) -> Column:
 
 def parse(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """raw(base_json, history_json) -> (subjects(ico, base, hist), rejected(base_json, reason))."""
-    parsed = raw.select("base_json", F.from_json("base_json", BASE).alias("base"), F.from_json("history_json", HISTORY).alias("h"))
+    # each text is parsed once: nothing is pushed below or drawn into a generated row
+    parsed = raw.select("base_json", F.inline(F.array(F.struct(F.from_json("base_json", BASE).alias("base"), F.from_json("history_json", HISTORY).alias("h")))))
     good = F.coalesce(F.col("base.ico").rlike(ID), F.lit(False))
     history = F.when(F.col("h.kod").isNull(), primary(F.col("h.zaznamy")))
     ok = parsed.filter(good).select(F.col("base.ico").alias("ico"), "base", history.alias("hist"))
@@ -108,21 +109,21 @@ def versions(subjects: DataFrame) -> tuple[DataFrame, DataFrame]:
         recorded_names.unionByName(_dated(subjects, "pravniForma", "form", lambda e: e["hodnota"]))
         .unionByName(_dated(subjects, "spisovaZnacka", "mark", mark)).unionByName(_dated(subjects, "zakladniKapital", "capital", capital))
         .unionByName(_liquidations(subjects)))
-    nameless = subjects.join(recorded_names.select("ico").distinct(), "ico", "left_anti")
+    # tables of the register's size meet below: none is broadcast, whatever their files seem to weigh
     start = F.coalesce(_day(c("base.datumVzniku")), F.lit(BEGINNING).cast("date"))
-    fallback = nameless.select("ico", start.alias("start"), F.lit(None).cast("date").alias("end"), F.lit(0).cast("bigint").alias("pos"), F.inline(F.array(
-        F.struct(F.lit("name").alias("attribute"), c("base.obchodniJmeno").alias("value")),
-        F.struct(F.lit("form").alias("attribute"), F.when(c("hist").isNull(), c("base.pravniForma")).alias("value"))))).filter(c("value").isNotNull())
-    warnings = nameless.filter(c("hist").isNotNull()).select("ico", F.lit("register extract without a name, base record used").alias("warning"))
+    own = subjects.select("ico", start.alias("start"), c("base.obchodniJmeno").alias("own_name"), c("base.pravniForma").alias("own_form"), c("hist").isNull().alias("no_history"))
+    nameless = own.join(recorded_names.select("ico").distinct().hint("merge"), "ico", "left_anti")
+    fallback = nameless.select("ico", "start", F.lit(None).cast("date").alias("end"), F.lit(0).cast("bigint").alias("pos"), F.inline(F.array(
+        F.struct(F.lit("name").alias("attribute"), c("own_name").alias("value")),
+        F.struct(F.lit("form").alias("attribute"), F.when(c("no_history"), c("own_form")).alias("value"))))).filter(c("value").isNotNull())
+    warnings = nameless.filter(~c("no_history")).select("ico", F.lit("register extract without a name, base record used").alias("warning"))
     base = subjects.select(
         "ico", c("hist").isNull().alias("no_history"), _day(c("base.datumVzniku")).alias("founded"), _day(c("base.datumZaniku")).alias("closed"),
         c("base.dic").alias("tax_id"), F.array_sort(F.array_distinct("base.czNace")).alias("nace"), _day(c("base.datumAktualizace")).alias("updated"),
         F.coalesce(c("base.seznamRegistraci.stavZdrojeIr") == "AKTIVNI", F.lit(False)).alias("insolvent"))
     names = ["name", "form", "mark", "capital", "liquidation"]
-    # read three times below: cut days, first names, lookups
-    intervals = materialise(recorded.unionByName(fallback), "intervals")
-    sliced = version_slices(intervals, ["ico"], names, "name", base.select("ico", "closed"))
-    j = sliced.join(base, "ico")
+    sliced = version_slices(recorded.unionByName(fallback), ["ico"], names, "name", base.select("ico", "closed"))
+    j = sliced.join(base.hint("merge"), "ico")
     is_open = c("end").isNull()
     unknown_start = c("no_history") & c("founded").isNull() & (c("start") == F.lit(BEGINNING).cast("date"))
     return j.select(
@@ -192,23 +193,25 @@ def relations(subjects: DataFrame, form_of: DataFrame) -> tuple[DataFrame, DataF
     c = F.col
     none = F.lit(None)
     organs = F.flatten(F.array_compact(F.array("hist.statutarniOrgany", "hist.ostatniOrgany", "hist.akcionari")))
-    members = subjects.select("ico", F.posexplode(organs).alias("p1", "o")).select(
-        "ico", "p1", c("o.typOrganu").alias("organ_type"), c("o.nazevOrganu").alias("organ_name"), c("o.datumVymazu").alias("organ_end"),
+    # subjects meet their forms before they are unfolded to members; both sides grow with the register, so neither is broadcast
+    formed = subjects.join(form_of.hint("merge"), "ico", "left")
+    members = formed.select("ico", "form_code", F.posexplode(organs).alias("p1", "o")).select(
+        "ico", "form_code", "p1", c("o.typOrganu").alias("organ_type"), c("o.nazevOrganu").alias("organ_name"), c("o.datumVymazu").alias("organ_end"),
         F.posexplode("o.clenoveOrganu").alias("p2", "m")).select(
-        "ico", F.lit(0).alias("g"), "p1", "p2", F.lit(0).alias("p3"), "organ_type", "organ_name", "organ_end", "m", c("m.clenstvi.funkce.nazev").alias("function"),
+        "ico", "form_code", F.lit(0).alias("g"), "p1", "p2", F.lit(0).alias("p3"), "organ_type", "organ_name", "organ_end", "m", c("m.clenstvi.funkce.nazev").alias("function"),
         none.cast(_SHARE).alias("share"))
-    owner_rows = subjects.select("ico", F.posexplode("hist.spolecnici").alias("p1", "o"))
-    coop = owner_rows.filter(c("o.typOrganu") == "VKLAD_CLEN_DRUZSTVA_SEKCE").select(
+    coop = subjects.select("ico", F.explode("hist.spolecnici").alias("o")).filter(c("o.typOrganu") == "VKLAD_CLEN_DRUZSTVA_SEKCE").select(
         "ico", F.concat(F.lit("out of scope, cooperative members: "), F.size("o.spolecnik").cast("string")).alias("note"))
+    owner_rows = formed.select("ico", "form_code", F.posexplode("hist.spolecnici").alias("p1", "o"))
     owners = owner_rows.filter(~F.coalesce(c("o.typOrganu") == "VKLAD_CLEN_DRUZSTVA_SEKCE", F.lit(False))).select(
-        "ico", "p1", c("o.typOrganu").alias("organ_type"), c("o.nazevOrganu").alias("organ_name"), c("o.datumVymazu").alias("organ_end"),
+        "ico", "form_code", "p1", c("o.typOrganu").alias("organ_type"), c("o.nazevOrganu").alias("organ_name"), c("o.datumVymazu").alias("organ_end"),
         F.posexplode("o.spolecnik").alias("p2", "s"))
     person = F.col("s.osoba")
     m = F.when(person.isNotNull(), person.withField("datumZapisu", F.coalesce(person["datumZapisu"], c("s.datumZapisu"))).withField(
         "datumVymazu", F.coalesce(person["datumVymazu"], c("s.datumVymazu"))))
-    owned = owners.select("ico", F.lit(1).alias("g"), "p1", "p2", "organ_type", "organ_name", "organ_end", m.alias("m"), none.cast("string").alias("function"),
+    owned = owners.select("ico", "form_code", F.lit(1).alias("g"), "p1", "p2", "organ_type", "organ_name", "organ_end", m.alias("m"), none.cast("string").alias("function"),
                           F.posexplode_outer("s.podil").alias("p3", "share"))
-    every = members.unionByName(owned.withColumn("p3", F.coalesce("p3", F.lit(0)))).join(form_of, "ico", "left")
+    every = members.unionByName(owned.withColumn("p3", F.coalesce("p3", F.lit(0))))
     raw = with_role(every, "organ_type", "organ_name", "function", "form_code").withColumn(
         "d", F.struct(*_member_dates(c("m"), c("organ_end"))))
     person, firm = c("m.fyzickaOsoba"), c("m.pravnickaOsoba")
