@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import unicodedata
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -129,24 +131,26 @@ BODIES = (
 
 def with_role(df: DataFrame, organ_type: str, organ_name: str, function: str, form: str, name: str = "role_code") -> DataFrame:
     """Adds the role of a member, read from the organ and the free-text function; NULL when it cannot be
-    told. Every body that is told is a candidate with its place in the table; the smallest place gives the role, or none
+    told. Of the bodies that are told the first one in the table gives the role, or none
     where the member's rank is not one of the body's. Normalised texts and the rank are columns of their own steps, so
     each is computed once."""
     c = F.col
-    worded = df.withColumns({"_organ": plain_words(c(organ_name)), "_job": plain_words(c(function))})
+    # generated rows: a filter on the role is not pushed below them, which would repeat the texts in each place that reads them
+    worded = df.select("*", F.inline(F.array(F.struct(plain_words(c(organ_name)).alias("_organ"), plain_words(c(function)).alias("_job")))))
     ranked = worded.withColumn("_rank", F.coalesce(*[F.when(c("_job").rlike(pattern), F.lit(code)) for code, pattern in RANK_WORDS]))
 
     def told(b: Body) -> Column:
         marks = [c(text).contains(word) for text, word in (("_organ", b.in_organ), ("_job", b.in_function)) if word]
         if b.forms:
             marks.append(c(form).isin(*b.forms) & (c("_job") == "" if b.only_without_function else F.lit(True)))
-        needed = [c(organ_type) == b.organ_type, F.exists(F.array(*marks), lambda m: m) if marks else F.lit(True)]
+        needed = [c(organ_type) == b.organ_type, *([reduce(or_, marks)] if marks else [])]
         if b.needs_rank:
             needed.append(c("_rank").isin(*b.ranks))
-        return F.forall(F.array(*needed), lambda n: F.coalesce(n, F.lit(False)))
+        return reduce(and_, needed)
 
     def role(b: Body) -> Column:
         return F.when(c("_rank").isin(*b.ranks), F.concat(c("_rank"), F.lit(f"_{b.code}"))) if b.ranks else F.lit(b.code)
 
-    candidates = F.array(*[F.when(told(b), F.struct(F.lit(place).alias("place"), role(b).alias("role"))) for place, b in enumerate(BODIES)])
-    return ranked.withColumn(name, F.array_min(F.array_compact(candidates))["role"]).drop("_organ", "_job", "_rank")
+    (first, *others) = BODIES
+    chosen = reduce(lambda chain, b: chain.when(told(b), role(b)), others, F.when(told(first), role(first)))
+    return ranked.select("*", F.inline(F.array(F.struct(chosen.alias(name))))).drop("_organ", "_job", "_rank")

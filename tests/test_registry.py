@@ -3,7 +3,9 @@ import json
 from datetime import date
 from decimal import Decimal
 
+from pyspark.sql import functions as F
 
+from regisight.functions.text import with_role
 from regisight.sources import registry as R
 from regisight.sources import buckets as T
 from regisight.sources import tables as B
@@ -149,3 +151,25 @@ def test_feed_imports_arrivals_once(spark, folder):
     import_arrivals(spark, incoming, root, mark)
     assert B.batches(spark, root).count() == 1
     assert T.versions(spark, root, "subject_versions").count() == 1
+
+
+def test_filter_on_a_role_repeats_no_text(spark):
+    df = spark.createDataFrame([("STATUTARNI_ORGAN", "Orgán", "jednatel", "112")], "t string, o string, j string, f string")
+    plan = with_role(df, "t", "o", "j", "f").filter("role_code is null")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(") == 2  # one for the organ, one for the function
+
+
+def test_each_record_is_parsed_once(spark):
+    raw = spark.createDataFrame([(json.dumps(BASE), json.dumps(history()), 1)], "b string, h string, k int")
+    joined = raw.groupBy("k").agg(F.max("b").alias("base_json"), F.max("h").alias("history_json"))
+    good, _ = R.parse(joined)
+    assert good._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 2
+
+
+def test_subjects_are_never_broadcast(spark):
+    raw = spark.createDataFrame([(json.dumps(BASE), json.dumps(history()))], "base_json string, history_json string")
+    subjects = R.store(R.parse(raw)[0])
+    v, _ = R.versions(subjects)
+    r, skipped = R.relations(subjects, subjects.select("ico", F.lit("112").alias("form_code")))
+    for df in (v, r, skipped):
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
