@@ -38,7 +38,7 @@ from regisight.llm.common import MAX_ID, keyed, mix, utf8
 LENGTH, GRAM = 100, 32
 BLOCK = 1 << 16
 SHARD_BYTES = 4 << 20
-LANES, SURE = 4096, 1 << 16
+LANES, SURE, LANE_BIT = 4096, 1 << 16, 40
 _LOW = np.uint64((1 << 20) - 1)
 
 
@@ -194,7 +194,8 @@ def first_seen(h: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def _anchor_rows(length: int):
     """at: the first window of a run of windows within its text, times 2^20, plus the number of further ones.
     Rows whose hash and side repeat within the batch are sure candidates (SURE set in sides); those that bring no new
-    side of their hash stand for nothing that another row doesn't, and get a lane of their own: so a hash in any share
+    side of their hash stand for nothing that another row doesn't, and get a lane of their own (in sides above SURE, and
+    in the hash, so that rows of one hash and lane are those of one h): so a hash in any share
     of all documents comes to one lane as often as there are batches and sides, not documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,9 +207,9 @@ def _anchor_rows(length: int):
             vague = np.where(sides == 0, 256, 0)
             (new_l, more_l), (new_r, more_r) = (first_seen(h, side + vague) for side in (sides >> 8, sides & 255))
             lane = np.where(new_l | new_r, 0, 1 + row % LANES)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column(0).take(take), b.column(1).take(take), pa.array(((first - at[row]) << 20) + last - first),
-                                              pa.array((sides | np.where(more_l | more_r, SURE, 0)).astype(np.int32)), pa.array(lane.astype(np.int32))],
-                                             names=["h", "iid", "tkey", "at", "sides", "lane"])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64) ^ (lane << LANE_BIT)), b.column(0).take(take), b.column(1).take(take),
+                                              pa.array(((first - at[row]) << 20) + last - first), pa.array((sides | np.where(more_l | more_r, SURE, 0) | lane << 17).astype(np.int32))],
+                                             names=["h", "iid", "tkey", "at", "sides"])
 
     return run
 
@@ -348,14 +349,15 @@ def _merge_rows(length: int):
 def marked_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """docs: keyed rows. (iid, tkey, first, last): ranges of window starts that repeat an earlier window."""
     text = docs.select("iid", "tkey", "text")
-    found = text.mapInArrow(_anchor_rows(length), "h long, iid long, tkey long, at long, sides int, lane int")
-    same = lambda *more: Window.partitionBy("h", "lane", *more)  # noqa: E731  all within the partitions by h and lane
-    sure, both = F.col("sides") >= SURE, F.col("sides").bitwiseAND(F.lit(SURE - 1))
+    found = text.mapInArrow(_anchor_rows(length), "h long, iid long, tkey long, at long, sides int")
+    same = lambda *more: Window.partitionBy("h", *more)  # noqa: E731  all within the partitions by h, which holds the lane
+    sure, both = F.col("sides").bitwiseAND(F.lit(SURE)) != 0, F.col("sides").bitwiseAND(F.lit(SURE - 1))
+    lane = F.shiftright("sides", 17).cast("long")
     often = found.withColumn("n", F.count(F.lit(1)).over(same())).withColumn("single", F.min(both != 0).over(same())).filter(sure | (F.col("n") > 1) | ~F.col("single"))
     left, right = F.shiftright(both, 8), F.col("sides").bitwiseAND(F.lit(0xFF))
     sided = often.withColumn("l", left).withColumn("r", right).withColumn("nl", F.count(F.lit(1)).over(same("l"))).withColumn("nr", F.count(F.lit(1)).over(same("r")))
     often = sided.filter(sure | ~F.col("single") | (F.col("nl") > 1) | (F.col("nr") > 1))
-    wanted = often.groupBy("iid", "tkey").agg(F.collect_list(F.struct("h", "at")).alias("wanted"))
+    wanted = often.groupBy("iid", "tkey").agg(F.collect_list(F.struct(F.col("h").bitwiseXOR(F.shiftleft(lane, LANE_BIT)).alias("h"), "at")).alias("wanted"))
     local = text.join(wanted, ["iid", "tkey"]).select("iid", "tkey", "text", "wanted").mapInArrow(_shard_rows(length), MARKS)
     # marks of shards (h null) pass through the merging tasks, spread by document
     dealt = local.withColumn("to", F.coalesce("h", F.xxhash64("iid", "tkey"))).repartition(F.col("to")).sortWithinPartitions("h").drop("to")
@@ -396,6 +398,9 @@ def _kept_rows(length: int, digest: bool):
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, digest: bool = False) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans and kept, the remaining bytes (with digest: their SHA-256)."""
     rows = keyed(docs, id_col, text_col).select("iid", "tkey", "text")
+    if rows.groupBy("iid").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").isEmpty():
+        # ids tell all rows apart and the key, which only orders rows of one id, need not be moved; 0, but no constant that would change how keys are dealt
+        rows = rows.withColumn("tkey", F.col("iid").bitwiseAND(F.lit(0).cast("long")))
     marks = marked_windows(rows, length).groupBy("iid", "tkey").agg(F.collect_list("body").alias("marks"))
     joined = rows.join(marks, ["iid", "tkey"], "left").select("iid", "tkey", "text", "marks")
     out = joined.mapInArrow(_kept_rows(length, digest), f"iid long, n_bytes long, n_removed long, n_spans long, kept {'string' if digest else 'binary'}")

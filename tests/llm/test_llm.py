@@ -240,3 +240,12 @@ def test_pipeline(spark):
     for _, stage in corpus_pipeline.STAGES:
         d = stage(spark, d, sf)
         assert d.isEmpty()
+
+
+def test_suffix_moves_no_text_key_where_ids_are_unique(spark):
+    passage = "abcdefghij" * 12
+    for rows, unique in ([(1, passage), (2, "x " + passage)], True), ([(1, passage), (1, "x " + passage)], False):
+        out = suffix.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert ("xxhash64(coalesce(text" in plan) != unique and "lane#" not in plan
+        assert sum(r.n_removed > 0 for r in out.collect()) == 2
