@@ -6,7 +6,8 @@ Each order puts frequent shingles last (a bounded list of heavy ones from a sket
 decides only the order) and the others by a hash of its own. The first order's prefixes are joined by Spark;
 the pairs are then intersected with the other orders' prefixes, and only for those that meet under all are sets fetched.
 Prefixes are dealt in packed form to buckets of shingles; a bucket keeps the groups of documents that share one,
-each distinct group once. Frequent shingles skip the buckets and stay plain rows. Before any set is fetched, pairs
+each distinct group once. Frequent shingles skip the buckets. Equal groups of different buckets are one before their
+members become rows, and groups with the same smallest document are united where that makes few more pairs. Before any set is fetched, pairs
 must pass a parity bitmap: bits that differ are a lower bound of the shingles that differ, so no pair is lost.
 
 The join makes no pairs within a group of copies: equal sets are one node, and each shingle first links its
@@ -24,6 +25,7 @@ where no member has an id; an empty table gives an empty table. keep_representat
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +42,7 @@ FRONTS = [f"front{q}" for q in range(1, len(ORDERS))]
 HEAVY_LOCAL, HEAVY_LIST, HEAVY_LEAST, HEAVY_LEVEL = 4096, 65536, 4, 9
 BUCKET_TOKENS = 1_000_000
 STARS, BLOCK, FIRST = 3, 1024, 16
+SPARE = 1.8
 SMALL = 8 << 20
 
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
@@ -125,9 +128,12 @@ def _heavy_rows(words: int):
     return run
 
 
-def parity(s: np.ndarray) -> bytes:
-    """Bitmap of 2^k > 2n bits (64 at least): each the parity of the shingles that fall on it."""
-    size = max(64, 1 << (2 * len(s)).bit_length())
+def parity(s: np.ndarray, percent: int = PERCENT) -> bytes:
+    """Bitmap of 2^k bits (64 at least): each the parity of the shingles that fall on it. The width follows the lower end
+    of the set's step of sizes, so that folding to the lowest of a cell leaves unrelated sets SPARE times as many bits apart as similar ones can be."""
+    ratio = 100 / min(percent, 99)
+    low = ratio ** math.floor(math.log(max(1, len(s))) / math.log(ratio))
+    size = max(64, 1 << math.ceil(math.log2(2 * SPARE * ratio * (ratio - 1) * low)))
     bits = np.bincount((mix(s ^ np.uint64(5)) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
 
@@ -143,7 +149,7 @@ def may_link(a: bytes, b: bytes, na: int, nb: int, percent: int) -> bool:
     return int(np.bitwise_count(x ^ y).sum()) * (100 + percent) <= (100 - percent) * (na + nb)
 
 
-def _set_rows(words: int):
+def _set_rows(words: int, percent: int):
     """n, a 128-bit signature of the set and its bitmap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +160,7 @@ def _set_rows(words: int):
                     n.append(len(s))
                     sig.append(int(np.bitwise_xor.reduce(mix(s ^ np.uint64(77))).view(np.int64)) if len(s) else 0)
                     sig2.append(int(np.add.reduce(mix(s ^ np.uint64(99))).view(np.int64)) if len(s) else 0)
-                    bits.append(parity(s))
+                    bits.append(parity(s, percent))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(sig2, pa.int64()), pa.array(bits, pa.binary())],
                                              names=["iid", "n", "sig", "sig2", "bits"])
 
@@ -198,10 +204,17 @@ def _prefix_rows(words: int, percent: int, sent, buckets: int):
 
 
 def _group_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gid, iid) of the distinct groups of documents that share a shingle; rows come sorted by bucket."""
+    """(gid, ids) of the distinct groups of documents that share a shingle, ids sorted; rows come sorted by bucket.
+    Frequent shingles have a negative gid and a row for each batch that holds them."""
 
-    def out(gid: np.ndarray, iid: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(gid, pa.int64()), pa.array(iid, pa.int64())], names=["gid", "iid"])
+    def out(gid: np.ndarray, size: np.ndarray, iid: np.ndarray) -> pa.RecordBatch:
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(iid, pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array(gid, pa.int64()), lists], names=["gid", "ids"])
+
+    def frequent(tok: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
+        by = np.lexsort((own, tok))
+        gid, size = np.unique(tok, return_counts=True)
+        return out(gid, size, own[by])
 
     def groups(bucket: int, tokens: list[bytes], ids: list[bytes]) -> pa.RecordBatch:
         wide = np.zeros((sum(map(len, tokens)) // 5, 8), dtype=np.uint8)
@@ -217,15 +230,14 @@ def _group_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 known.add(members)
                 keep.append((a, e))
         if not keep:
-            return out([], [])
-        size = np.array([e - a for a, e in keep])
-        return out(np.repeat((bucket << 32) + np.arange(len(keep)), size), np.concatenate([own[a:e] for a, e in keep]))
+            return out([], [], [])
+        return out((bucket << 32) + np.arange(len(keep)), np.array([e - a for a, e in keep]), np.concatenate([own[a:e] for a, e in keep]))
 
     now, tokens, ids = None, [], []
     for b in batches:
         for bucket, t, i in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
             if bucket < 0:
-                yield out(np.frombuffer(t, np.int64) | np.int64(-(1 << 63)), np.frombuffer(i, np.int64))
+                yield frequent(np.frombuffer(t, np.int64) | np.int64(-(1 << 63)), np.frombuffer(i, np.int64))
                 continue
             if bucket != now and tokens:
                 yield groups(now, tokens, ids)
@@ -349,13 +361,32 @@ def _cells(members: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     sized = members.join(open_, "gid", "left_semi").withColumns({"step": step, "own": F.pmod(F.xxhash64("x"), blocks).cast("int")})
     cell = ["gid", "base", "i", "j"]
     placed = sized.select("x", "n", "c", "step", "own", "gid", cells.alias("cell")).select("x", "n", "c", "step", "own", "gid", "cell.base", "cell.i", "cell.j")
-    full = placed.join(placed.groupBy(*cell).agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select(*cell), cell, "left_semi")
+    # a cell without its own, lower step holds pairs of the step above only, which meet in a cell of theirs
+    full = placed.join(placed.groupBy(*cell).agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("step").alias("least")).filter("lo < hi and least = base").select(*cell), cell, "left_semi")
     first = members.groupBy("x").agg(F.slice(F.array_sort(F.collect_set("gid")), 1, FIRST).alias("first"))  # a document's groups: as many as its prefix is long
-    about = bits.join(first, "x").groupBy("x", "n").agg(F.first("bits").alias("bits"), F.first("first").alias("first"))
-    described = full.join(about, ["x", "n"]).select(*cell, "x", "n", "c", "step", "own", "bits", "first")
+    about = bits.join(first, "x").groupBy("x").agg(F.first("bits").alias("bits"), F.first("first").alias("first"))  # equal ids stand for equal sets
+    described = full.join(about, "x").select(*cell, "x", "n", "c", "step", "own", "bits", "first")
     return described.repartition(*map(F.col, cell)).sortWithinPartitions(*cell).mapInArrow(_cell_rows(percent), "a long, b long")
 
 
+def _distinct_groups(grouped: DataFrame) -> DataFrame:
+    """(gid, iid) of what _group_rows gives: buckets may hold the same group, of which one stays before its members become rows."""
+    cold = grouped.filter("gid >= 0").groupBy("ids").agg(F.min("gid").alias("gid"))
+    return grouped.filter("gid < 0").unionByName(cold).select("gid", F.explode("ids").alias("iid"))
+
+
+def _merged_groups(members: DataFrame) -> DataFrame:
+    """(gid, x, n) of groups that hold every pair of members (gid, x, n) of one group: groups with the same members are
+    one, and groups with the same smallest member are united, unless the union has more than twice as many pairs as all of them."""
+    print_ = members.groupBy("gid").agg(F.bit_xor(F.xxhash64("x")).alias("h"), F.bit_xor(F.xxhash64("x", F.lit(1))).alias("h2"), F.count(F.lit(1)).alias("m"), F.min("x").alias("lead"))
+    kept = materialise(print_.filter("m > 1").groupBy("h", "h2", "m").agg(F.min("gid").alias("gid"), F.min("lead").alias("lead")).select("gid", "lead", "m"), "kept")
+    placed = materialise(members.join(kept.select("gid", "lead"), "gid"), "placed")
+    apart = kept.groupBy("lead").agg(F.sum(F.col("m").cast("double") * F.col("m")).alias("pairs"), F.min("gid").alias("into"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+    united = placed.select("lead", "x").distinct().groupBy("lead").agg(F.count(F.lit(1)).cast("double").alias("u"))
+    into = apart.join(united, "lead").filter("u * u <= 2 * pairs").select("lead", "into")
+    return placed.join(into, "lead", "left").select(F.coalesce("into", "gid").alias("gid"), "x", "n").distinct()
+
+
 def _linked_ids(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
     """near_duplicates of rows whose ids, if they are equal, stand for equal texts."""
     rows = keyed(docs, id_col, text_col)
@@ -369,16 +400,14 @@ def _linked_ids(docs: DataFrame, id_col: str, text_col: str, words: int, percent
     sent = spark.sparkContext.broadcast((token, level))
     buckets = max(1, total * (100 - percent) // 100 // BUCKET_TOKENS)
 
-    sets = materialise(rows.select("iid", "text").mapInArrow(_set_rows(words), "iid long, n long, sig long, sig2 long, bits binary"), "sets")
+    sets = materialise(rows.select("iid", "text").mapInArrow(_set_rows(words, percent), "iid long, n long, sig long, sig2 long, bits binary"), "sets")
     same = ["sig", "sig2", "n"]
     node = materialise(sets.filter("n > 0").groupBy(*same).agg(F.min("iid").alias("node")), "nodes")
     of_id = sets.filter("n > 0").select("iid", *same).distinct().join(node, same).select("iid", "node", "n")
     dealt = rows.select("iid", "text").mapInArrow(_prefix_rows(words, percent, sent, buckets), "bucket long, tokens binary, ids binary").repartition(F.col("bucket")).sortWithinPartitions("bucket")
-    grouped = materialise(dealt.mapInArrow(_group_rows, "gid long, iid long"), "groups")
-    members = materialise(grouped.join(of_id, "iid").select("gid", F.col("node").alias("x"), "n").distinct(), "members")
-    # buckets may hold the same group: of groups with the same members one stays
-    print_ = members.groupBy("gid").agg(F.bit_xor(F.xxhash64("x")).alias("h"), F.bit_xor(F.xxhash64("x", F.lit(1))).alias("h2"), F.count(F.lit(1)).alias("m")).filter("m > 1")
-    shared = materialise(members.join(print_.groupBy("h", "h2", "m").agg(F.min("gid").alias("gid")).select("gid"), "gid", "left_semi"), "groups")
+    grouped = materialise(dealt.mapInArrow(_group_rows, "gid long, ids array<long>"), "groups")
+    members = materialise(_distinct_groups(grouped).join(of_id, "iid").select("gid", F.col("node").alias("x"), "n").distinct(), "members")
+    shared = materialise(_merged_groups(members), "groups")
     bits = sets.filter("n > 0").select(F.col("iid").alias("x"), "n", "bits")
 
     def near_size(a: str, b: str):

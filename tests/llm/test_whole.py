@@ -39,6 +39,57 @@ def test_jaccard_of_few_words_alone(spark):
         assert [len(x) for x in jaccard.shingle_sets(np.frombuffer(text, np.uint8), np.array([0, len(text)]))] == [1]
 
 
+def test_jaccard_equal_groups_of_buckets_become_rows_once(spark, monkeypatch):
+    """Documents that share passages meet in every bucket: their groups are stored once, those of one smallest document united."""
+    kept = collections.defaultdict(list)
+    write = jaccard.materialise
+
+    def watched(df, name):
+        kept[name].append(write(df, name))
+        return kept[name][-1]
+
+    monkeypatch.setattr(jaccard, "materialise", watched)
+    monkeypatch.setattr(jaccard, "BUCKET_TOKENS", 40)
+    passages = [[f"p{k}_{i}" for i in range(40)] for k in range(4)]
+    texts = {d: [f"own{d}_{i}" for i in range(70)] + passages[d % 4] + passages[(d // 4) % 4] for d in range(24)}
+    texts |= {100: texts[0][:-1], 101: texts[5], 102: [*texts[7], "end"]}
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in texts.items()], SCHEMA)
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).collect()}
+    assert got == {d: {100: 0, 101: 5, 102: 7}.get(d, d) for d in texts}
+    groups = collections.defaultdict(set)
+    for r in kept["members"][0].collect():
+        groups[r.gid].add(r.x)
+    assert len(groups) > 4 and len({frozenset(g) for g in groups.values()}) == len(groups)
+    shared = kept["groups"][1]
+    united = collections.defaultdict(set)
+    for r in shared.collect():
+        united[r.gid].add(r.x)
+    pairs = lambda of: {p for g in of.values() for p in itertools.combinations(sorted(g), 2)}
+    assert pairs(groups) <= pairs(united) and shared.count() < sum(map(len, groups.values()))
+
+
+def test_jaccard_groups_of_little_in_common_stay_apart(spark):
+    """A document that is the smallest of many groups without other common members doesn't unite them; near equal groups are united."""
+    rows = [(g, x) for g in range(30) for x in [1, *range(100 * g + 10, 100 * g + 15)]]
+    rows += [(g, x) for g in range(50, 60) for x in [2, *range(5000, 5020)] if x != 5000 + g - 50]
+    got = collections.defaultdict(set)
+    for r in jaccard._merged_groups(spark.createDataFrame([(g, x, 50) for g, x in rows], "gid long, x long, n long")).collect():
+        got[r.gid].add(r.x)
+    want = {frozenset([1, *range(100 * g + 10, 100 * g + 15)]) for g in range(30)} | {frozenset([2, *range(5000, 5020)])}
+    assert {frozenset(g) for g in got.values()} == want and len(got) == 31
+
+
+def test_jaccard_bitmaps_are_as_wide_as_the_bound_needs():
+    """Never more bits than 3.2 for a shingle above 40, and unrelated sets of one or two steps of sizes stay apart when they are folded."""
+    rng = np.random.default_rng(5)
+    for n in (45, 100, 255, 256, 300, 1000, 5000):
+        for m in (n, n * 5 // 4, n * 4 // 3):
+            s, t = (rng.integers(0, 1 << 63, k).astype(np.uint64) for k in (n, m))
+            assert 8 * len(jaccard.parity(s)) <= 3.2 * n and not jaccard.may_link(jaccard.parity(s), jaccard.parity(t), n, m, 75)
+            near = np.concatenate([s[: n - n // 10], t[: n // 20]])
+            assert jaccard.may_link(jaccard.parity(s), jaccard.parity(near), n, len(near), 75)
+
+
 def without_repeats(rows):
     """Brute force of line dedup for distinct ids: lines of a pair that an earlier place has, pairs skip blank lines."""
     first, out = {}, {}
