@@ -28,13 +28,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regisight.llm.common import texts
+from regisight.llm.common import lean, texts
 
 #: Fixed value: the pretoken pattern of byte-level BPE.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPACE_BEFORE_SPACE = regex.compile(r"[^\S ] ").search
 SINGLE_MARKS = frozenset(",.;:!?")
-CACHE, PIECE = 150_000, 4_000_000
+CACHE, PIECE = 50_000, 1_000_000
 NONE = 1 << 62
 LOCKSTEP = 64
 _SHIFT = 32
@@ -352,6 +352,7 @@ def _learned(c: Codec, column: pa.Array) -> Iterator[str]:
 def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>) of every row."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocabulary)
         for b in batches:
@@ -364,6 +365,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
 def decode_documents(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(doc_id, text) of rows with token ids; null ids give an empty text."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocabulary)
         for b in batches:
@@ -375,6 +377,7 @@ def decode_documents(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id"
 def encode_checked(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>, n_tokens, exact) of every row; exact: the ids decode to the text."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocabulary)
         for b in batches:
@@ -393,6 +396,7 @@ def encode_checked(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
 def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_tokens, ids_sha256, decoded_sha256 of encoding and decoding the whole text."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocabulary)
         piece = c.piece_of_decimal.__getitem__

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regisight.llm.common import materialise, texts
+from regisight.llm.common import lean, materialise, texts
 
 WINDOW = 10
 PATTERNS_PER_BLOCK = 100_000
@@ -106,6 +106,7 @@ def compiled(patterns: list[bytes]) -> list[WuManber]:
 def _patterns(items: DataFrame, item_col: str, text_col: str, width: int) -> DataFrame:
     """(pattern, item_ids, block): the distinct windows of all items; computed by the tasks."""
 
+    @lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = [(i, w) for i, t in zip(b.column(0).to_pylist(), texts(b.column(1)), strict=True) for w in sorted(windows(t, width))]
@@ -115,12 +116,13 @@ def _patterns(items: DataFrame, item_col: str, text_col: str, width: int) -> Dat
     return flat.mapInArrow(cut, "item_id string, pattern binary").groupBy("pattern").agg(F.collect_set("item_id").alias("item_ids"))
 
 
-def _search_block(carried: DataFrame, patterns: dict[bytes, list[str]]) -> DataFrame:
+def _search_block(carried: DataFrame, patterns: dict[bytes, list[str]], last: bool, keep_text: bool) -> DataFrame:
     """carried: (row, text, spans, item_ids); the word spans [begin, end, ..] of this block's occurrences and
-    their item ids are appended."""
+    their item ids are appended. The last block's rows are digested in the same Python worker, so texts don't go through another."""
     sent = carried.sparkSession.sparkContext.broadcast(patterns)
     tables: list[WuManber] = []
 
+    @lean
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         item_ids = sent.value
         if not tables and item_ids:
@@ -146,32 +148,31 @@ def _search_block(carried: DataFrame, patterns: dict[bytes, list[str]]) -> DataF
                 space = np.flatnonzero(np.frombuffer(forms[d], dtype=np.uint8) == 32) + begin[d]
                 ends_at = np.array(sorted(pairs))
                 spans[d] = spans[d] + np.stack([np.searchsorted(space, ends_at[:, 0]), np.searchsorted(space, ends_at[:, 1] - 1)], 1).ravel().tolist()
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(spans, pa.list_(pa.int64())), pa.array(found, pa.list_(pa.string()))],
-                                             names=["row", "text", "spans", "item_ids"])
-
-    return carried.mapInArrow(search, carried.schema)
-
-
-def _digest(carried: DataFrame, keep_text: bool) -> DataFrame:
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n_hit, n_items, digests = [], [], []
-            for s, items in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                end = hit = 0
-                for a, e in sorted(zip(s[::2], s[1::2], strict=True)):
-                    hit += max(0, e - max(a, end))
-                    end = max(end, e)
-                n_hit.append(hit)
-                n_items.append(len(items))
-                digests.append(hashlib.sha256(",".join(sorted(items)).encode()).hexdigest())
-            n_words = [len(words_of(t)) for t in texts(b.column(1))]
-            text = b.column(1) if keep_text else pa.nulls(len(b), pa.string())
-            yield pa.RecordBatch.from_arrays([b.column(0), text, pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()),
-                                              pa.array(digests, pa.string()), pa.array([n > 0 for n in n_hit], pa.bool_()), b.column(3)],
-                                             names=["row", "text", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "item_ids"])
+            if last:
+                yield _digested(b.column(0), b.column(1), spans, found, keep_text)
+            else:
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(spans, pa.list_(pa.int64())), pa.array(found, pa.list_(pa.string()))],
+                                                 names=["row", "text", "spans", "item_ids"])
 
     row = carried.schema["row"].dataType.simpleString()
-    return carried.mapInArrow(digest, f"row {row}, text string, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, item_ids array<string>")
+    digest = f"row {row}, text string, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, item_ids array<string>"
+    return carried.mapInArrow(search, digest if last else carried.schema)
+
+
+def _digested(row: pa.Array, text: pa.Array, spans: list[list[int]], found: list[list[str]], keep_text: bool) -> pa.RecordBatch:
+    n_hit, n_items, digests = [], [], []
+    for s, items in zip(spans, found, strict=True):
+        end = hit = 0
+        for a, e in sorted(zip(s[::2], s[1::2], strict=True)):
+            hit += max(0, e - max(a, end))
+            end = max(end, e)
+        n_hit.append(hit)
+        n_items.append(len(items))
+        digests.append(hashlib.sha256(",".join(sorted(items)).encode()).hexdigest())
+    n_words = [len(words_of(t)) for t in texts(text)]
+    return pa.RecordBatch.from_arrays([row, text if keep_text else pa.nulls(len(row), pa.string()), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()),
+                                       pa.array(digests, pa.string()), pa.array([n > 0 for n in n_hit], pa.bool_()), pa.array(found, pa.list_(pa.string()))],
+                                      names=["row", "text", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "item_ids"])
 
 
 def _judged(docs: DataFrame, items: DataFrame, rest: list[str], text_col: str, item_col: str, item_text_col: str, width: int, block: int, keep_text: bool) -> DataFrame:
@@ -181,8 +182,8 @@ def _judged(docs: DataFrame, items: DataFrame, rest: list[str], text_col: str, i
                           F.array().cast("array<long>").alias("spans"), F.array().cast("array<string>").alias("item_ids"))
     for i in range(n):
         chosen = patterns if n == 1 else patterns.filter(F.pmod(F.xxhash64("pattern"), F.lit(n)) == i)
-        carried = _search_block(carried, {bytes(r[0]): list(r[1]) for r in chosen.collect()})  # about `block` patterns: the stated bound
-    return _digest(carried, keep_text)
+        carried = _search_block(carried, {bytes(r[0]): list(r[1]) for r in chosen.collect()}, i == n - 1, keep_text)  # about `block` patterns: the stated bound
+    return carried
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",

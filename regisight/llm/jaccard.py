@@ -33,14 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regisight.llm.common import MAX_ID, components, keyed, materialise, mix, utf8
+from regisight.llm.common import MAX_ID, components, keyed, lean, materialise, mix, utf8
 from regisight.plans.sizing import small_side
 
 WORDS, PERCENT = 5, 75
 ORDERS = (0x2545F4914F6CDD1D, 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 FRONTS = [f"front{q}" for q in range(1, len(ORDERS))]
 HEAVY_LOCAL, HEAVY_LIST, HEAVY_LEAST, HEAVY_LEVEL = 4096, 65536, 4, 9
-BUCKET_TOKENS = 1_000_000
+BUCKET_TOKENS, PARTS = 1_000_000, 8
+PIECE = 1 << 18
 STARS, BLOCK, FIRST = 3, 1024, 16
 SPARE = 1.8
 SMALL = 8 << 20
@@ -104,11 +105,11 @@ def prefix(s: np.ndarray, order: int, heavy: np.ndarray, level: np.ndarray, perc
 
 
 def _blocks(b: pa.RecordBatch, column: int, words: int) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """(first row, sets) of pieces of a batch of about a megabyte of text."""
+    """(first row, sets) of pieces of a batch of about PIECE bytes of text, which bounds the arrays made of a piece."""
     buf, at = utf8(b.column(column))
     lo = 0
     while lo < len(b):
-        hi = max(lo + 1, int(np.searchsorted(at, at[lo] + (1 << 20), "right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(at, at[lo] + PIECE, "right")) - 1)
         yield lo, shingle_sets(buf[at[lo] : at[hi]], at[lo : hi + 1] - at[lo], words)
         lo = hi
 
@@ -116,6 +117,7 @@ def _blocks(b: pa.RecordBatch, column: int, words: int) -> Iterator[tuple[int, l
 def _heavy_rows(words: int):
     """Shingles that are frequent within a batch; token null: number of shingles in the batch."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [s for _, part in _blocks(b, 0, words) for s in part]
@@ -152,6 +154,7 @@ def may_link(a: bytes, b: bytes, na: int, nb: int, percent: int) -> bool:
 def _set_rows(words: int, percent: int):
     """n, a 128-bit signature of the set and its bitmap."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, sig, sig2, bits = [], [], [], []
@@ -171,6 +174,7 @@ def _prefix_rows(words: int, percent: int, sent, buckets: int):
     """Prefixes of a batch's distinct sets, packed by bucket: 40 bits of each shingle and its document; frequent
     shingles in whole, under a negative bucket."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy, level = sent.value
         hot = heavy[level >= HEAVY_LEVEL]
@@ -203,6 +207,7 @@ def _prefix_rows(words: int, percent: int, sent, buckets: int):
     return run
 
 
+@lean
 def _group_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(gid, ids) of the distinct groups of documents that share a shingle, ids sorted; rows come sorted by bucket.
     Frequent shingles have a negative gid and a row for each batch that holds them."""
@@ -216,22 +221,29 @@ def _group_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gid, size = np.unique(tok, return_counts=True)
         return out(gid, size, own[by])
 
-    def groups(bucket: int, tokens: list[bytes], ids: list[bytes]) -> pa.RecordBatch:
-        wide = np.zeros((sum(map(len, tokens)) // 5, 8), dtype=np.uint8)
-        wide[:, 3:] = np.frombuffer(b"".join(tokens), np.uint8).reshape(-1, 5)
-        tok, own = wide.view(">u8")[:, 0].astype(np.int64), np.frombuffer(b"".join(ids), np.int64)
-        by = np.lexsort((own, tok))
-        tok, own = tok[by], own[by]
-        edge = np.concatenate([[0], np.flatnonzero(tok[1:] != tok[:-1]) + 1, [len(tok)]])
-        several = np.flatnonzero(edge[1:] - edge[:-1] > 1)
-        known, keep = set(), []
-        for a, e in zip(edge[several].tolist(), edge[several + 1].tolist(), strict=True):
-            if (members := own[a:e].tobytes()) not in known:
-                known.add(members)
-                keep.append((a, e))
-        if not keep:
-            return out([], [], [])
-        return out((bucket << 32) + np.arange(len(keep)), np.array([e - a for a, e in keep]), np.concatenate([own[a:e] for a, e in keep]))
+    def groups(bucket: int, tokens: list[bytes], ids: list[bytes]) -> Iterator[pa.RecordBatch]:
+        """A bucket's groups, a part of its shingles at a time."""
+        short, every = np.frombuffer(b"".join(tokens), np.uint8).reshape(-1, 5), np.frombuffer(b"".join(ids), np.int64)
+        tokens.clear()
+        ids.clear()
+        known: set[bytes] = set()
+        for part in range(PARTS):
+            at = np.flatnonzero(short[:, 0] % PARTS == part)
+            wide = np.zeros((len(at), 8), dtype=np.uint8)
+            wide[:, 3:] = short[at]
+            tok, own = wide.view(">u8")[:, 0].astype(np.int64), every[at]
+            by = np.lexsort((own, tok))
+            tok, own = tok[by], own[by]
+            edge = np.concatenate([[0], np.flatnonzero(tok[1:] != tok[:-1]) + 1, [len(tok)]])
+            several = np.flatnonzero(edge[1:] - edge[:-1] > 1)
+            first, keep = len(known), []
+            for k, a, e in zip(several.tolist(), edge[several].tolist(), edge[several + 1].tolist(), strict=True):
+                if (members := own[a:e].tobytes()) not in known:
+                    known.add(members)
+                    keep.append(k)
+            if keep:
+                size = edge[np.add(keep, 1)] - edge[keep]
+                yield out((bucket << 32) + first + np.arange(len(keep)), size, own[np.repeat(edge[keep] - np.cumsum(size) + size, size) + np.arange(size.sum())])
 
     now, tokens, ids = None, [], []
     for b in batches:
@@ -240,16 +252,16 @@ def _group_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield frequent(np.frombuffer(t, np.int64) | np.int64(-(1 << 63)), np.frombuffer(i, np.int64))
                 continue
             if bucket != now and tokens:
-                yield groups(now, tokens, ids)
-                tokens, ids = [], []
+                yield from groups(now, tokens, ids)
             now = bucket
             tokens.append(t)
             ids.append(i)
     if tokens:
-        yield groups(now, tokens, ids)
+        yield from groups(now, tokens, ids)
 
 
 def _possible(percent: int):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             a, c, na, nb, x, y = (b.column(k).to_pylist() for k in range(6))
@@ -262,6 +274,7 @@ def _possible(percent: int):
 def _whole_sets(words: int, percent: int, sent):
     """Sets and, cut to 32 bits, their prefixes under the other orders."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy, level = sent.value
         for b in batches:
@@ -278,6 +291,7 @@ def _common(x: pa.Scalar, y: pa.Scalar, kind: type) -> int:
     return len(np.intersect1d(np.frombuffer(x.as_buffer(), kind), np.frombuffer(y.as_buffer(), kind), True))
 
 
+@lean
 def _shared_fronts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose prefixes meet under every other order as well."""
     for b in batches:
@@ -289,6 +303,7 @@ def _shared_fronts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def _compared(percent: int):
     """Pairs that pass the exact comparison."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             good = []
@@ -333,6 +348,7 @@ def _cell_rows(percent: int):
                     out_b.append(max(ids[k], ids[k + 1 + q]))
         return np.array(out_a, np.int64), np.array(out_b, np.int64)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
         for batch in batches:

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regisight.llm.common import keyed, materialise, texts
+from regisight.llm.common import keyed, lean, materialise, texts
 
 ROLL, MIN_LINES = 2, 2
 BLANK = " \t\n\r\x0b\x0c"  # what bytes.strip() takes away
@@ -66,6 +66,7 @@ def _signed(h: int) -> int:
 
 
 def _passage_rows(least: int):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[list] = [[] for _ in range(6)]
@@ -83,6 +84,7 @@ def _passage_rows(least: int):
     return run
 
 
+@lean
 def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         h, h2, body = [], [], []
@@ -122,6 +124,7 @@ def _with_blanks(lines: list[str], gone: set[int]) -> set[int]:
     return out
 
 
+@lean
 def _rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         out, n_lines, n_removed = [], [], []
