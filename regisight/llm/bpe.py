@@ -36,7 +36,8 @@ SPACE_BEFORE_SPACE = regex.compile(r"[^\S ] ").search
 SINGLE_MARKS = frozenset(",.;:!?")
 CACHE, PIECE = 50_000, 1_000_000
 NONE = 1 << 62
-LOCKSTEP = 64
+NO_RANK = (1 << 31) - 1
+LOCKSTEP, TOGETHER = 64, 4096
 _SHIFT = 32
 
 
@@ -100,67 +101,103 @@ def merge_all(symbols: list[int], pairs: dict[int, tuple[int, int]]) -> list[int
 
 
 class PairTable:
-    """Ranks and results of all pairs as sorted arrays, for numpy look-ups."""
-
-    def __init__(self, pairs: dict[int, tuple[int, int]]):
-        keys = np.fromiter(pairs, dtype=np.int64, count=len(pairs))
-        order = np.argsort(keys)
-        self.keys = keys[order]
-        self.ranks = np.fromiter((r for r, _ in pairs.values()), dtype=np.int64, count=len(pairs))[order]
-        self.merged = np.full(int(self.ranks.max(initial=-1)) + 1, -1, dtype=np.int64)
+    """Ranks and results of all pairs in an open hash table, for numpy look-ups; byte pairs have a table of their own."""
+
+    def __init__(self, pairs: dict[int, tuple[int, int]], byte_id: np.ndarray):
+        n = len(pairs)
+        bits = max(4, (4 * n).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.ranks = np.full(1 << bits, -1, dtype=np.int64), np.full(1 << bits, NO_RANK, dtype=np.int32)
+        keys = np.fromiter(pairs, dtype=np.int64, count=n)
+        ranks = np.fromiter((r for r, _ in pairs.values()), dtype=np.int32, count=n)
+        slot = self.slot(keys)
+        while len(keys):  # of the pairs that want one empty slot the first gets it, the others try the next slot
+            empty = np.flatnonzero(self.keys[slot] < 0)
+            _, one = np.unique(slot[empty], return_index=True)
+            put = empty[one]
+            self.keys[slot[put]], self.ranks[slot[put]] = keys[put], ranks[put]
+            left = np.ones(len(keys), dtype=bool)
+            left[put] = False
+            keys, ranks, slot = keys[left], ranks[left], (slot[left] + 1) & self.mask
+        self.merged = np.full(max((r for r, _ in pairs.values()), default=-1) + 1, -1, dtype=np.int32)
         for r, m in pairs.values():
             self.merged[r] = m
-
-    def leaf(self, left: np.ndarray, right: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Leaf values of the pairs (left, right) at positions `at`; a negative symbol makes no pair."""
-        key = np.where((left < 0) | (right < 0), -1, left << _SHIFT | right)
-        k = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[k] == key, self.ranks[k] << _SHIFT | at, NONE)
-
-
-def merge_lockstep(words: list[bytes], byte_id: np.ndarray, table: PairTable, size: int) -> list[tuple[int, ...]]:
-    """merge_all of words of at most `size` bytes (a power of two), all trees advancing together."""
+        self.byte_id = byte_id.astype(np.int32)
+        self.byte_ranks = self.rank(np.repeat(self.byte_id, 256), np.tile(self.byte_id, 256))
+
+    def slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of the pairs (left, right), NO_RANK for none; a negative symbol makes no pair."""
+        key = left.astype(np.int64) << _SHIFT | right
+        slot = self.slot(key)
+        found = self.keys.take(slot)
+        out = np.where((found == key) & (key >= 0), self.ranks.take(slot), NO_RANK)
+        open_ = np.flatnonzero((found != key) & (found >= 0) & (key >= 0))
+        while len(open_):
+            slot_ = slot[open_] = (slot[open_] + 1) & self.mask
+            found = self.keys[slot_]
+            hit = found == key[open_]
+            out[open_[hit]] = self.ranks[slot_[hit]]
+            open_ = open_[~hit & (found >= 0)]
+        return out
+
+
+def merge_lockstep(words: list[bytes], table: PairTable, size: int) -> tuple[list[int], list[int]]:
+    """merge_all of words of at most `size` bytes (a power of two), all trees advancing together: the symbols of all
+    words and where those of each end. A leaf is rank * size + position; words lie one after another in flat arrays."""
     w, width = len(words), size + 1
     n = np.array([len(x) for x in words])
-    sym = np.full((w, width), -1, dtype=np.int64)
     cell = np.arange(size)
     inside = cell < n[:, None]
-    sym[:, :size][inside] = byte_id[np.frombuffer(b"".join(words), dtype=np.uint8)]
-    tree = np.full((w, 2 * size), NONE, dtype=np.int64)
-    tree[:, size:] = table.leaf(sym[:, :-1], sym[:, 1:], cell)
+    raw = np.zeros((w, size), dtype=np.uint8)
+    raw[inside] = np.frombuffer(b"".join(words), dtype=np.uint8)
+    symbols = np.full((w, width), -1, dtype=np.int32)
+    symbols[:, :size] = np.where(inside, table.byte_id[raw], -1)
+    bits = size.bit_length() - 1
+    trees = np.full((w, 2 * size), NONE, dtype=np.int64)
+    first = table.byte_ranks[raw[:, :-1].astype(np.int64) << 8 | raw[:, 1:]].astype(np.int64)
+    trees[:, size:-1] = np.where(inside[:, 1:] & (first != NO_RANK), first << bits | cell[:-1], NONE)
     k = size
     while k > 1:
         k //= 2
-        tree[:, k : 2 * k] = np.minimum(tree[:, 2 * k : 4 * k : 2], tree[:, 2 * k + 1 : 4 * k : 2])
-    after = np.tile(np.arange(1, width + 1), (w, 1))
-    before = np.tile(np.arange(-1, width - 1), (w, 1))
-    alive = inside.copy()
-    rows = np.flatnonzero(tree[:, 1] != NONE)
+        np.minimum(trees[:, 2 * k : 4 * k : 2], trees[:, 2 * k + 1 : 4 * k : 2], out=trees[:, k : 2 * k])
+    tree, sym, alive = trees.reshape(-1), symbols.reshape(-1), inside.copy()
+    after = np.tile(np.arange(1, width + 1), (w, 1)).reshape(-1)
+    before = np.tile(np.arange(-1, width - 1), (w, 1)).reshape(-1)
+    living = alive.reshape(-1)
+    rows = np.flatnonzero(trees[:, 1] != NONE)
+    root = trees[rows, 1]
     while len(rows):
-        root = tree[rows, 1]
-        i = root & 0xFFFFFFFF
-        j = after[rows, i]
-        m = table.merged[root >> _SHIFT]
-        sym[rows, i] = m
-        alive[rows, j] = False
-        right = after[rows, j]
-        after[rows, i] = right
-        before[rows, right] = i
-        left = before[rows, i]
-        tree[rows, size + i] = table.leaf(m, sym[rows, right], i)
-        tree[rows, size + j] = NONE
+        at, leaves = rows * width, rows * (2 * size) + size
+        i = root & (size - 1)
+        m = table.merged.take(root >> bits)
+        ai = at + i
+        j = after.take(ai)
+        right = after.take(at + j)
+        sym[ai] = m
+        living[rows * size + j] = False
+        after[ai] = right
+        before[at + right] = i
+        left = before.take(ai)
         # without a left neighbour the last leaf is written, which never starts a pair
-        tree[rows, size + left % size] = table.leaf(np.where(left < 0, -1, sym[rows, left]), m, left)
-        paths = [size + i, size + j, size + left % size]
+        place = np.concatenate([i, left % size])
+        ranks = table.rank(np.concatenate([m, np.where(left < 0, -1, sym.take(at + left % size))]), np.concatenate([sym.take(at + right), m]))
+        tree[leaves + j] = NONE
+        tree[np.concatenate([leaves, leaves]) + place] = np.where(ranks == NO_RANK, NONE, ranks.astype(np.int64) << bits | place)
+        start = np.concatenate([leaves, leaves, leaves]) - size
+        node = np.concatenate([place, j]) + size
         level = size
         while level > 1:
             level //= 2
-            for q in range(3):
-                paths[q] = paths[q] >> 1
-                tree[rows, paths[q]] = np.minimum(tree[rows, 2 * paths[q]], tree[rows, 2 * paths[q] + 1])
-        rows = rows[tree[rows, 1] != NONE]
-    flat, ends = sym[:, :size][alive].tolist(), np.cumsum(alive.sum(axis=1)).tolist()
-    return [tuple(flat[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+            node >>= 1
+            child = start + 2 * node
+            tree[start + node] = np.minimum(tree.take(child), tree.take(child + 1))
+        root = tree.take(leaves - size + 1)
+        more = root != NONE
+        rows, root = rows[more], root[more]
+    return symbols[:, :size][alive].tolist(), np.cumsum(alive.sum(axis=1)).tolist()
 
 
 class Codec:
@@ -182,7 +219,7 @@ class Codec:
         self.piece_of_decimal = {str(i): b for i, b in self.piece.items()}
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.pretokens = regex.compile(PRETOKEN).findall
-        self.table, self.byte_ids = PairTable(self.pairs), np.array(self.byte_id, dtype=np.int64)
+        self.table = PairTable(self.pairs, np.array(self.byte_id))
         self.decimal = {i: str(i) for i in self.piece}
         self.bare, self.after_space = _Segments(self, ""), _Segments(self, " ")
 
@@ -209,43 +246,63 @@ class Codec:
         return cache[key]
 
     def learn(self, batch: list[str]) -> None:
-        """Puts the new segments of some texts into the caches, their pretokens merged together."""
+        """Puts the new segments of some texts into the caches, their pretokens merged together. Segments of several
+        pretokens seldom come again: they stay until other texts are learnt, their pretokens longer."""
         first: set[str] = set()
         rest: set[str] = set()
         for t in batch:
             parts = t.split(" ")
             first.add(parts[0])
             rest.update(parts[1:])
-        missing: list[tuple[_Segments, str, list[str]]] = []
-        new: set[str] = set()
+        cuts: list[tuple[_Segments, str, _Segments, str, list[str]]] = []
+        bare: set[str] = set()
+        spaced: set[str] = set()
         for cache, keys in ((self.bare, first), (self.after_space, rest)):
+            cache.forget()
             cache.turn()
-            for key in keys:
-                if key and len(key) < LOCKSTEP and not cache.recalled(key):
-                    missing.append((cache, key, self.cut(cache.before + key)))
-        for cache, key, words in missing:
-            if len(words) == 1:
-                new.add(words[0])
+            plain, others = [], []
+            for key in cache.unknown(keys):
+                (plain if key.isalpha() and key.isascii() else others).append(key)
+            (spaced if cache.before else bare).update([k for k in plain if len(k) < LOCKSTEP])
+            for key, words in self.cut_all(cache.before, [k for k in others if k and len(k) < LOCKSTEP]):
+                own, k = self.home(words[0])
+                (spaced if own.before else bare).add(k)
+                if len(words) > 1:  # only the first may begin with a space
+                    cuts.append((cache, key, own, k, words[1:]))
+                    bare.update(words[1:])
+        self.merge_new([(cache, k) for cache, keys in ((self.bare, bare), (self.after_space, spaced)) for k in cache.unknown(keys)])
+        joined = self.bare.__getitem__
+        for cache, key, own, k, words in cuts:
+            cache.pass_by(key, ",".join([own[k], *map(joined, words)]))
+
+    def cut_all(self, before: str, keys: list[str]) -> list[tuple[str, list[str]]]:
+        """Keys with the pretokens of the segments before + key. Those that begin with a space and don't end with white
+        space are cut as one text: nothing but their beginnings begins with a space there."""
+        together = [k for k in keys if not k[-1].isspace()] if before else []
+        cut: list[list[str]] = []
+        for w in self.pretokens(before + before.join(together)) if together else []:
+            if w[0] == before:
+                cut.append([w])
             else:
-                for w in words:
-                    own, k = self.home(w)
-                    if w not in new and not own.recalled(k):
-                        new.add(w)
-        by_size: dict[int, tuple[list[str], list[bytes]]] = {}
-        for w in new:
-            if (n := len(raw := w.encode("utf-8", "surrogatepass"))) <= LOCKSTEP:
-                words, raws = by_size.setdefault(max(8, 1 << (n - 1).bit_length()), ([], []))
-                words.append(w)
-                raws.append(raw)
-        decimal = self.decimal.__getitem__
-        for size, (words, raws) in by_size.items():
-            for lo in range(0, len(words), 4096):
-                for w, ids in zip(words[lo : lo + 4096], merge_lockstep(raws[lo : lo + 4096], self.byte_ids, self.table, size), strict=True):
-                    own, k = self.home(w)
-                    own[k] = ",".join(map(decimal, ids))
-        for cache, key, words in missing:
-            if len(words) > 1:
-                cache[key] = ",".join(map(self.word, words))
+                cut[-1].append(w)
+        return [*zip(together, cut, strict=True), *((k, self.cut(before + k)) for k in keys if not before or k[-1].isspace())]
+
+    def merge_new(self, places: list[tuple[_Segments, str]]) -> None:
+        """Puts the ids of pretokens into their places, those whose trees are of one size merged together."""
+        raws = [(cache.before + k).encode("utf-8", "surrogatepass") for cache, k in places]
+        sizes = np.array([len(r) for r in raws], dtype=np.int64)
+        size, low = 8, 0
+        while low < LOCKSTEP:
+            order = np.flatnonzero((sizes > low) & (sizes <= size)).tolist()
+            for lo in range(0, len(order), TOGETHER):
+                part = order[lo : lo + TOGETHER]
+                ids, ends = merge_lockstep([raws[x] for x in part], self.table, size)
+                decimals, start = list(map(self.decimal.__getitem__, ids)), 0
+                for x, end in zip(part, ends, strict=True):
+                    cache, k = places[x]
+                    cache[k] = ",".join(decimals[start:end])
+                    start = end
+            size, low = 2 * size, size
 
     def encode_plain(self, text: str) -> list[str]:
         """Comma-joined ids of the segments of a text without special tokens; a segment begins at a space
@@ -283,26 +340,36 @@ class Codec:
 
 class _Segments(dict):
     """Comma-joined ids of segments, all of which begin with `before`, in two generations: what is used moves to the
-    young one, and when that is full it becomes the old one, whose unused entries go. Long segments aren't kept."""
+    young one, and when that is full it becomes the old one, whose unused entries go. Long segments aren't kept, those
+    of several pretokens (passing) only for the texts they were learnt from."""
 
     def __init__(self, codec: Codec, before: str):
         super().__init__()
-        self.codec, self.before, self.old = codec, before, {}
+        self.codec, self.before, self.old, self.passing = codec, before, {}, []
 
     def turn(self) -> None:
         if len(self) >= CACHE:
             self.old = dict(self)
             self.clear()
 
-    def recalled(self, key: str) -> bool:
-        """Whether the segment is known; it is young then."""
-        if key in self:
-            return True
-        joined = self.old.get(key)
-        if joined is None:
-            return False
+    def unknown(self, keys: set[str]) -> list[str]:
+        """The keys in neither generation; those in the old one are young then."""
+        new = [k for k in keys if k not in self]
+        if self.old:
+            for k in (old := self.old).keys() & new:
+                self[k] = old[k]
+            new = [k for k in new if k not in old]
+        return new
+
+    def forget(self) -> None:
+        for key in self.passing:
+            self.pop(key, None)
+        self.passing.clear()
+
+    def pass_by(self, key: str, joined: str) -> None:
+        """Keeps a segment until others are learnt."""
         self[key] = joined
-        return True
+        self.passing.append(key)
 
     def __missing__(self, key: str) -> str:
         joined = self.old.get(key)

@@ -6,6 +6,7 @@ import tracemalloc
 from pathlib import Path
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 
@@ -88,6 +89,51 @@ def test_bpe_learns_little_at_once():
     assert bpe.CACHE <= 50_000
 
 
+def test_bpe_learns_segments_together():
+    """Every new segment was cut by itself, and segments that never come again put the words out of the caches."""
+    c, calls = bpe.Codec(public_tokenizers.path("byte_bpe_50k.json")), []
+    cut = c.pretokens
+    c.pretokens = lambda t: calls.append(1) or cut(t)
+    batch = [" ".join(f"w{k}.\nX{j}" for k in range(40)) for j in range(40)]
+    c.learn(batch)
+    assert len(calls) <= 2 * len(batch) and "w1.\nX1" in c.after_space
+    ids = [c.encode(t) for t in batch]
+    c.learn(["some words"])
+    assert not any("\n" in k and len(k) > 1 for d in (c.after_space, c.bare, c.after_space.old, c.bare.old) for k in d) and {"words", "w"} <= c.after_space.keys()
+    assert ids == [c.encode(t) for t in batch] and [c.decode(x) for x in ids] == batch
+
+
+def test_bpe_learnt_segments_are_cut_as_texts(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE", 40)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    c = bpe.Codec(path)
+    rng = np.random.default_rng(3)
+    signs = ["a", "the", "'s", "'", "I'll", "\n", "\t", "\x1c", "\x85", "\u3000", "7", "!", "--", "é", "ř" * 40, "語" * 30, "x" * 70, "<|endoftext|>", " ", "  ", " ", " ", "word", "Zz.", "\n\n", "\U0001f600"]
+    batch = ["", " ", "end\n", "end\n more", " start", *("".join(rng.choice(signs, n)) for n in rng.integers(1, 30, 400))]
+
+    def alone(text: str) -> list[int]:
+        out = []
+        for k, part in enumerate(c.split_special.split(text) if c.split_special else [text]):
+            out += [c.special[part]] if k % 2 else [i for w in c.pretokens(part) for i in bpe.merge_all([c.byte_id[b] for b in w.encode()], c.pairs)]
+        return out
+
+    for lo in range(0, len(batch), 20):
+        c.learn(batch[lo : lo + 20])
+        for t in batch[lo : lo + 20]:
+            assert c.encode(t) == alone(t), t
+
+
+def test_bpe_pairs_are_found():
+    for pairs in ({}, {0: (0, 7)}, {(k * 7919 % 1000) << 32 | k: (k, 1000 + k) for k in range(3_000)}):
+        table = bpe.PairTable(pairs, np.arange(256))
+        keys = np.array([*pairs, 5 << 32 | 999_999, 3], dtype=np.int64)
+        got = table.rank(keys >> 32, keys & 0xFFFFFFFF)
+        assert got.tolist() == [pairs[k][0] if k in pairs else bpe.NO_RANK for k in keys.tolist()]
+        assert (table.rank(np.array([-1, 0, -1]), np.array([0, -1, -1])) == bpe.NO_RANK).all()
+        for left in (0, 7, 255):
+            assert table.byte_ranks[left * 256 : left * 256 + 256].tolist() == [pairs.get(left << 32 | k, (bpe.NO_RANK,))[0] for k in range(256)]
+
+
 def test_decontamination_takes_one_python_worker_a_task(spark):
     """The digest is made where the last block is searched: a second worker for each core would stay with its memory."""
     docs = spark.createDataFrame([(1, "a b c d e f g h i j k"), (2, "x y"), (3, None)], "doc_id long, text string")
